@@ -41,8 +41,13 @@ def word_counts(tweets: DataFrame, text: str = "tweet_text") -> DataFrame:
 
 
 def tag_rows(records: DataFrame) -> DataFrame:
-    """One row per tag of the ``hashtags`` array; null tags are dropped."""
-    return records.select(F.explode("hashtags").alias("hashtag")).where(F.col("hashtag").isNotNull())
+    """One row per tag of the ``hashtags`` array; null tags are dropped.
+
+    A plain ``explode`` makes Spark test the array for emptiness ahead of the
+    step that yields it, and so parse every message twice. The outer one does
+    not, and the null row it gives for no tags falls to the null filter.
+    """
+    return records.select(F.explode_outer("hashtags").alias("hashtag")).where(F.col("hashtag").isNotNull())
 
 
 def tag_counts(records: DataFrame) -> DataFrame:

@@ -125,15 +125,15 @@ def start_all(
     stored_as: str = "current",
     interval: str | None = TABLE_INTERVAL,
     console: bool = False,
+    console_interval: str | None = CONSOLE_INTERVAL,
 ) -> list[StreamingQuery]:
-    """One query per output; each reads the source by itself."""
+    """One query per output, and per console; each reads the source by itself."""
     queries = [
         start_count(messages, output, store, checkpoint, stored_as=stored_as, interval=interval)
         for output in RUNNING_COUNTS
     ]
     queries.append(start_tweets(messages, store, checkpoint, interval=interval))
     if console:
-        console_interval = CONSOLE_INTERVAL if interval else None
         queries += [start_console(messages, output, checkpoint, interval=console_interval) for output in RUNNING_COUNTS]
     return queries
 

@@ -1,0 +1,90 @@
+import pytest
+
+from chirpline.operators.compare import (
+    compare_counts,
+    compare_hashtags,
+    compare_negative_by_airline,
+    compare_sentiment,
+)
+from chirpline.operators.counts import add_up, airline_sentiment_counts, newest, sentiment_counts
+from chirpline.operators.ordering import by_airline, by_count, top
+
+
+def counted(spark, rows, key="airline_sentiment"):
+    return spark.createDataFrame(rows, f"{key} string, count long")
+
+
+def as_set(df):
+    return {tuple(row) for row in df.collect()}
+
+
+def test_keys_of_one_side_null_key_and_equal_counts(spark):
+    streaming = counted(spark, [("negative", 5), (None, 1), ("x", 2)])
+    batch = counted(spark, [("negative", 4), (None, 1), ("y", 3)])
+    assert as_set(compare_sentiment(streaming, batch)) == {
+        ("negative", 5, 4, 1),
+        (None, 1, 1, 0),
+        ("x", 2, 0, 2),
+        ("y", 0, 3, -3),
+    }
+
+
+def test_equals_the_null_safe_full_outer_join(spark):
+    streaming = counted(spark, [(None if i % 17 == 0 else f"k{i}", i) for i in range(1, 17)])
+    batch = counted(spark, [(None if i % 13 == 0 else f"k{i}", 2 * i) for i in range(9, 22)])
+    streaming.createOrReplaceTempView("s")
+    batch.createOrReplaceTempView("b")
+    joined = spark.sql(
+        """SELECT coalesce(s.airline_sentiment, b.airline_sentiment), coalesce(s.count, 0), coalesce(b.count, 0),
+                  coalesce(s.count, 0) - coalesce(b.count, 0)
+           FROM s FULL JOIN b ON s.airline_sentiment <=> b.airline_sentiment"""
+    )
+    assert as_set(compare_counts(streaming, batch, "airline_sentiment")) == as_set(joined)
+
+
+def test_an_old_column_name_is_renamed(spark):
+    old = counted(spark, [("a", 1)], key="sentiment")
+    assert as_set(compare_sentiment(old, counted(spark, [("a", 1)]))) == {("a", 1, 1, 0)}
+
+
+def test_negative_by_airline(spark):
+    schema = "airline string, airline_sentiment string, count long"
+    streaming = spark.createDataFrame([("A", "negative", 3), ("A", "positive", 9), ("B", "negative", 1)], schema)
+    batch = spark.createDataFrame([("A", "negative", 2), ("C", "neutral", 4), (None, None, 4)], schema)
+    assert as_set(compare_negative_by_airline(streaming, batch)) == {("A", 3, 2, 1), ("B", 1, 0, 1)}
+
+
+@pytest.mark.parametrize("k, keys", [(10, {"a", "#b", "c"}), (1, {"a", "#b"})])
+def test_hashtags_meet_without_the_leading_hash(spark, k, keys):
+    streaming = counted(spark, [("a", 5), ("#b", 4)], key="hashtag")
+    batch = counted(spark, [("#a", 3), ("##b", 4), ("#c", 1)], key="word")
+    assert {row["hashtag"] for row in compare_hashtags(streaming, batch, k).collect()} == keys
+
+
+def test_counts_keep_a_null_group(spark):
+    tweets = spark.createDataFrame([("A", None), (None, None), ("A", "negative")], "airline string, airline_sentiment string")
+    assert as_set(sentiment_counts(tweets)) == {(None, 2), ("negative", 1)}
+    assert as_set(airline_sentiment_counts(tweets)) == {("A", None, 1), (None, None, 1), ("A", "negative", 1)}
+
+
+def test_ties_are_ordered_by_key(spark):
+    df = counted(spark, [("b", 1), ("a", 1), (None, 1), ("c", 2)])
+    assert [row[0] for row in by_count(df).collect()] == ["c", "a", "b", None]
+    assert [row[0] for row in top(df, 2).collect()] == ["c", "a"]
+
+
+def test_by_airline(spark):
+    schema = "airline string, airline_sentiment string, count long"
+    df = spark.createDataFrame([("B", "x", 9), ("A", "x", 1), ("A", "y", 2), ("A", "b", 1)], schema)
+    assert [tuple(row)[:2] for row in by_airline(df).collect()] == [("A", "y"), ("A", "b"), ("A", "x"), ("B", "x")]
+
+
+def test_top_is_cut_within_tasks(spark):
+    plan = top(counted(spark, [("a", 1)]), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_snapshots_and_increments(spark):
+    snapshots = counted(spark, [("a", 692), ("a", 1350), ("a", 2014), (None, 1), (None, 1)])
+    assert as_set(newest(snapshots, "airline_sentiment")) == {("a", 2014), (None, 1)}
+    assert as_set(add_up(snapshots, "airline_sentiment")) == {("a", 4056), (None, 2)}

@@ -1,0 +1,57 @@
+import pytest
+
+from chirpline.operators.counts import tweet_count
+from chirpline.operators.records import shape_records
+from chirpline.sources.csv import land, read_csv
+
+HEADER = "tweet_id,airline_sentiment,airline_sentiment_confidence,airline,name,text,tweet_created,retweet_count\n"
+ROWS = (
+    '1,negative,1.0,Air1,a,"first\nsecond ""quoted"", rest #tag",2015-02-24,0\n'
+    "2,neutral,0.5,Air1,b,plain,2015-02-24,1\n"
+    "3,positive,0.25,Air2,c,,2015-02-24,2\n"
+)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "tweets.csv").write_text(HEADER + ROWS)
+    return str(tmp_path)
+
+
+def test_quoted_newlines_and_quotes_come_back_exact(spark, folder):
+    rows = {row["tweet_id"]: row for row in shape_records(read_csv(spark, folder)).collect()}
+    assert len(rows) == 3
+    assert rows["1"]["tweet_text"] == 'first\nsecond "quoted", rest #tag'
+    assert rows["1"]["hashtags"] == ["tag"]
+    assert rows["3"]["tweet_text"] is None
+    assert rows["3"]["hashtags"] is None
+
+
+def test_without_multiline_rows_are_torn(spark, folder):
+    assert tweet_count(read_csv(spark, folder, multiline=False)).first()["count"] == 4
+
+
+def test_inferred_types(spark, folder):
+    types = dict(read_csv(spark, folder, infer=True).dtypes)
+    assert (types["tweet_id"], types["airline_sentiment_confidence"], types["text"]) == ("int", "double", "string")
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "tweets.csv").write_text("text,retweet_count,tweet_id\nhello,7,1\n")
+    row = read_csv(spark, str(tmp_path)).first()
+    assert (row["tweet_id"], row["text"], row["retweet_count"]) == ("1", "hello", "7")
+
+
+def test_files_with_other_headers_fail_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("tweet_id,text\n1,x\n")
+    (tmp_path / "b.csv").write_text("text,tweet_id\ny,2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_landed_rows_equal_the_csv(spark, folder, tmp_path):
+    shaped = shape_records(read_csv(spark, folder))
+    landed = land(shaped, f"{tmp_path}/landed")
+    assert landed.schema == shaped.schema
+    assert sorted(landed.collect()) == sorted(shaped.collect())
+    assert tweet_count(landed).first()["count"] == 3

@@ -1,0 +1,113 @@
+import sys
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from chirpline.functions.hashtags import first_tag, message_tags, without_hash
+from chirpline.operators.counts import hash_words, tag_counts, tag_rows, word_counts
+from chirpline.operators.records import add_hashtags, with_first_hashtag
+
+# text, words of the batch rule, tags of the message rule, first tag
+EDGES = [
+    ("@united #fail  #Fail, #fail", ["#fail", "#Fail,", "#fail"], ["fail", "Fail,", "fail"], ["#fail"]),
+    ("x\n#nl #tab\t#tab2", ["#tab\t#tab2"], ["nl", "tab", "tab2"], ["#nl"]),
+    ("##dbl # (#paren) #café_ok #a#b", ["##dbl", "#", "#café_ok", "#a#b"], ["#dbl", "", "café_ok", "a#b"], ["#dbl"]),
+    ("none", [], [], [""]),
+    ("", [], [], [""]),
+    (None, [], None, None),
+    ("@u #nbsp", [], ["nbsp"], ["#nbsp"]),
+    ("#start", ["#start"], ["start"], ["#start"]),
+    ("\U0001f600#glued \U0001f600 #\U0001f600x", ["#\U0001f600x"], ["\U0001f600x"], ["#glued"]),
+    ("#a\r\n#b", ["#a\r\n#b"], ["a", "b"], ["#a"]),
+]
+
+
+def scanned_words(text, is_space):
+    """Words of a text, found letter by letter."""
+    words, word = [], None
+    for letter in text:
+        if is_space(letter):
+            if word is not None:
+                words.append(word)
+            word = None
+        else:
+            word = (word or "") + letter
+    return words if word is None else [*words, word]
+
+
+def scanned_tags(text):
+    return [word[1:] for word in scanned_words(text, str.isspace) if word[0] == "#"]
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, tweet_text string")
+
+
+@pytest.mark.parametrize("text, words, tags, first", EDGES)
+def test_edges(spark, text, words, tags, first):
+    df = frame(spark, [text])
+    assert [row["word"] for row in hash_words(df).collect()] == words
+    row = df.select(
+        message_tags(F.col("tweet_text")).alias("tags"), first_tag(F.col("tweet_text")).alias("first")
+    ).first()
+    assert row["tags"] == tags
+    assert row["first"] == first
+
+
+def test_every_character_as_a_separator(spark):
+    """The message rule parts words where Python's own notion of a space does."""
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF and (c < 0x3100 or c % 97 == 0)]
+    df = spark.createDataFrame(pd.DataFrame({"letter": letters}))
+    found = df.select("letter", message_tags(F.concat(F.lit("a"), "letter", F.lit("#x"))).alias("tags")).collect()
+    for row in found:
+        assert row["tags"] == scanned_tags(f"a{row['letter']}#x"), hex(ord(row["letter"]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="# \t\n\x0b\x1c\x85 　ab,\U0001f600"), min_size=60, max_size=120))
+def test_message_rule_on_random_texts(spark, texts):
+    rows = frame(spark, texts).select("id", message_tags(F.col("tweet_text")).alias("tags")).collect()
+    assert {row["id"]: row["tags"] for row in rows} == {i: scanned_tags(text) for i, text in enumerate(texts)}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet="# \n ab,"), min_size=60, max_size=120))
+def test_batch_rule_on_random_texts(spark, texts):
+    counted = {row["word"]: row["count"] for row in word_counts(frame(spark, texts)).collect()}
+    expected = {}
+    for text in texts:
+        for word in scanned_words(text, " ".__eq__):
+            if word[0] == "#":
+                expected[word] = expected.get(word, 0) + 1
+    assert counted == expected
+
+
+def test_null_tags_are_dropped_and_empty_ones_kept(spark):
+    df = spark.createDataFrame([(["a", None, ""],), ([],), (None,), (["a"],)], "hashtags array<string>")
+    assert sorted(row["hashtag"] for row in tag_rows(df).collect()) == ["", "a", "a"]
+    assert {row["hashtag"]: row["count"] for row in tag_counts(df).collect()} == {"": 1, "a": 2}
+
+
+def test_first_hashtag_column(spark):
+    df = with_first_hashtag(frame(spark, ["a #b #c", "d"]))
+    assert [row["hashtags"] for row in df.orderBy("id").collect()] == [["#b"], [""]]
+
+
+def test_add_hashtags(spark):
+    assert add_hashtags(frame(spark, ["a #b #c"])).first()["hashtags"] == ["b", "c"]
+
+
+def test_one_leading_hash_is_stripped(spark):
+    df = spark.createDataFrame([("#a",), ("##b",), ("c#",), ("#",), (None,)], "word string")
+    assert [row[0] for row in df.select(without_hash(F.col("word"))).collect()] == ["a", "#b", "c#", "", None]
+
+
+def test_a_message_is_parsed_once_for_its_tags(spark):
+    from chirpline.sources.messages import decode
+
+    messages = spark.createDataFrame([('{"hashtags":["a"]}',)], "value string")
+    plan = tag_counts(decode(messages, ["hashtags"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
