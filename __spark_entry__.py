@@ -96,12 +96,12 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_tags(decoded)
 
 
-def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_roundtrip(spark: SparkSession, sf_dir: str, *, large: bool = False) -> DataFrame:
     work = work_dir(spark, "csv")
     rows = csv_rows_from(events(spark, sf_dir))
     rows.write.csv(f"{work}/csv", header=True, quote='"', escape='"')
-    landed = csv.land(records.shape_records(csv.read_csv(spark, f"{work}/csv")), f"{work}/landed")
-    return joined_tags(landed)
+    read = csv.read_large_csv(spark, f"{work}/csv", work) if large else csv.read_csv(spark, f"{work}/csv")
+    return joined_tags(csv.land(records.shape_records(read), f"{work}/landed"))
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_roundtrip": table_roundtrip,
         # records and messages
         "csv_roundtrip": csv_roundtrip,
+        "csv_large_roundtrip": lambda s, d: csv_roundtrip(s, d, large=True),
         "tweet_records": lambda s, d: joined_tags(tweet_records(s, d)),
         "hashtag_array": lambda s, d: joined_tags(
             records.add_hashtags(tweets(s, d)).select("tweet_id", "hashtags")
@@ -259,6 +260,8 @@ def oracle_sql() -> dict[str, str]:
     same = "count(*) AS streaming_count, count(*) AS batch_count, CAST(0 AS BIGINT) AS delta"
     compared_sentiment = f"SELECT airline_sentiment, {same} FROM tweets GROUP BY 1"
     compared_airline = f"SELECT airline, {same} FROM tweets WHERE airline_sentiment = 'negative' GROUP BY 1"
+    # an empty CSV cell is a missing value
+    csv_records = RECORDS.replace("*", "* REPLACE (nullif(user_timezone, '') AS user_timezone)", 1)
 
     plain = {
         "tweet_count": "SELECT count(*) AS count FROM tweets",
@@ -267,8 +270,8 @@ def oracle_sql() -> dict[str, str]:
         "airline_sentiment_counts": by_airline,
         "first_hashtag": r"SELECT tweet_id, regexp_extract(tweet_text, '(#\w+)', 1) AS first_hashtag FROM tweets",
         "table_roundtrip": by_airline,
-        # an empty CSV cell is a missing value
-        "csv_roundtrip": RECORDS.replace("*", "* REPLACE (nullif(user_timezone, '') AS user_timezone)", 1),
+        "csv_roundtrip": csv_records,
+        "csv_large_roundtrip": csv_records,
         "tweet_records": RECORDS,
         "hashtag_array": f"SELECT tweet_id, {TAG_ARRAY} AS hashtags FROM tweets",
         "json_roundtrip": RECORDS,

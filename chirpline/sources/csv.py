@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from chirpline.session import settings
+
+QUOTING = {"quote": '"', "escape": '"', "multiLine": "true"}
 
 
 def read_csv(spark: SparkSession, path: str, *, multiline: bool = True, infer: bool = False) -> DataFrame:
@@ -11,21 +17,128 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = True, infer: b
     Columns are text unless ``infer`` is set, which reads the files once more;
     ``shape_records`` gives them their types. A quoted text may hold newlines
     and doubled quotes. Spark then cannot split a file, so parallelism comes
-    from the number of files. Where texts hold no newline, ``multiline=False``
-    lets even a single large file be read by many tasks.
+    from the number of files; ``read_large_csv`` is for files too large for
+    that. Where no text holds a newline, ``multiline=False`` lets Spark split.
 
     Files of one read must share a header; one with other columns fails the
     read instead of shifting values into the wrong column.
     """
-    return spark.read.csv(
-        path,
-        header=True,
-        inferSchema=infer,
-        multiLine=multiline,
-        quote='"',
-        escape='"',
-        enforceSchema=False,
+    options = QUOTING | {"multiLine": str(multiline)}
+    return spark.read.options(**options).csv(path, header=True, inferSchema=infer, enforceSchema=False)
+
+
+def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
+    """The same rows, all text, with each file read by many tasks.
+
+    The files must quote every text that holds a quote, as CSV writers do.
+    Then a line with an odd number of quotes opens or closes a quoted text that
+    goes over several lines, and no other line does:
+
+    * these turns are numbered within each part of a file, a part being what
+      one task reads;
+    * adding up parts, one row each, tells which of them start within a text;
+    * from one turn to the next, that gives the lines of each longer record,
+      which are brought together; every other line is a record by itself.
+
+    ``work`` is a folder for the staged lines, which all executors must reach.
+    """
+    columns = read_csv(spark, path).columns
+    _stage_lines(spark, path, f"{work}/lines")
+    staged = spark.read.parquet(f"{work}/lines")
+    parts = _parts(staged)
+    lines = staged.select("line", "block", "value", "is_header").repartition(max(parts.count(), 1), "line")
+    members = _lines_of_longer_records(staged, parts).hint("shuffle_hash")
+
+    whole = lines.join(members, "line", "left_anti").select("value", "is_header")
+    longer = (
+        lines.join(members, "line")
+        .groupBy("start")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("pieces"),
+            F.bool_or("is_header").alias("is_header"),
+        )
+        .select(F.concat_ws("\n", F.col("pieces.value")).alias("value"), "is_header")
+    )
+    records = whole.unionByName(longer).select(
+        "is_header",
+        F.col("value").rlike("^\r?$").alias("is_blank"),
+        _parsed(F.regexp_replace("value", "\r$", ""), columns).alias("row"),
+    )
+    return records.where(_is_data(columns)).select("row.*")
+
+
+def _stage_lines(spark: SparkSession, path: str, staged: str) -> None:
+    """Lines with their part and place, stored so that every later step, and
+    every repeated task, sees the same parts.
+
+    With files as dear to open as a task may be large, each task reads one part.
+    """
+    part_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first_line = F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    with settings(spark, {"spark.sql.files.openCostInBytes": part_bytes}):
+        (
+            spark.read.text(path, lineSep="\n")
+            .select(
+                F.spark_partition_id().alias("part"),
+                F.monotonically_increasing_id().alias("line"),
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                (quotes % 2 == 1).alias("is_turn"),
+                "value",
+            )
+            .withColumn("is_header", (F.col("block") == 0) & (F.col("line") == first_line))
+            .write.mode("overwrite")
+            .parquet(staged)
+        )
+
+
+def _parts(staged: DataFrame) -> DataFrame:
+    """Per part: its lines and turns, whether it starts within a text, and the
+    line that opened that text."""
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    turn = F.when(F.col("is_turn"), F.col("line"))
+    return (
+        staged.groupBy("part", "file", "block")
+        .agg(
+            F.min("line").alias("first_line"),
+            F.max("line").alias("last_line"),
+            F.count(turn).alias("turns"),
+            F.min(turn).alias("first_turn"),
+            F.max(turn).alias("last_turn"),
+        )
+        .withColumn("within", F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2)
+        .withColumn("opened", F.last("last_turn", ignorenulls=True).over(earlier))
+    )
+
+
+def _lines_of_longer_records(staged: DataFrame, parts: DataFrame) -> DataFrame:
+    """``line`` and the ``start`` of its record, for records of several lines."""
+    in_part = Window.partitionBy("part").orderBy("line")
+    turns = (
+        staged.where("is_turn")
+        .select("part", "line", F.row_number().over(in_part).alias("number"), F.lead("line").over(in_part).alias("next"))
+        .join(parts.select("part", "within", "last_line"), "part")
     )
+    opened_here = turns.where((F.col("number") + F.col("within")) % 2 == 1).select(
+        F.col("line").alias("start"), F.col("line").alias("from"), F.coalesce("next", "last_line").alias("to")
+    )
+    opened_before = parts.where("within = 1").select(
+        F.col("opened").alias("start"), F.col("first_line").alias("from"), F.coalesce("first_turn", "last_line").alias("to")
+    )
+    return opened_here.unionByName(opened_before).select("start", F.explode(F.sequence("from", "to")).alias("line"))
+
+
+def _parsed(record: Column, columns: list[str]) -> Column:
+    schema = StructType([StructField(name, StringType()) for name in columns])
+    return F.from_csv(record, schema.toDDL(), QUOTING)
+
+
+def _is_data(columns: list[str]) -> Column:
+    """Leaves out blank lines and headers; a header with other names is an error."""
+    same = F.col("row") == F.struct(*[F.lit(name).alias(name) for name in columns])
+    other = F.raise_error(F.concat(F.lit("CSV header does not conform: "), F.to_json("row"))).cast("boolean")
+    return ~F.col("is_blank") & F.when(~F.col("is_header"), True).when(same, False).otherwise(other)
 
 
 def land(rows: DataFrame, path: str) -> DataFrame:

@@ -1,8 +1,11 @@
+from random import Random
+
 import pytest
 
 from chirpline.operators.counts import tweet_count
 from chirpline.operators.records import shape_records
-from chirpline.sources.csv import land, read_csv
+from chirpline.session import settings
+from chirpline.sources.csv import land, read_csv, read_large_csv
 
 HEADER = "tweet_id,airline_sentiment,airline_sentiment_confidence,airline,name,text,tweet_created,retweet_count\n"
 ROWS = (
@@ -55,3 +58,51 @@ def test_landed_rows_equal_the_csv(spark, folder, tmp_path):
     assert landed.schema == shaped.schema
     assert sorted(landed.collect()) == sorted(shaped.collect())
     assert tweet_count(landed).first()["count"] == 3
+
+
+def quoted(text):
+    return '"' + text.replace('"', '""') + '"'
+
+
+AWKWARD = ['a "b"', "one\ntwo", "\n", '"', '"\n"', "x,\ny,\r\nz", "#t\n\n\n#u", " ", "plain", ',"', 'é\n"ü"', "\r", '""\n']
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("split_bytes", [64, 700, 1 << 20])
+def test_large_files_are_read_in_parts(spark, tmp_path, newline, split_bytes):
+    """However the files are cut, the rows are those that were written."""
+    random = Random(split_bytes)
+    rows_per_file = 25 if split_bytes == 64 else 120
+    written = []
+    (tmp_path / "in").mkdir()
+    for file in range(3):
+        rows = []
+        for i in range(rows_per_file):
+            text = "".join(random.choices(AWKWARD, k=random.randint(1, 6)))
+            rows.append((f"{file}-{i}", text, str(i)))
+        body = "".join(f"{a},{quoted(b)},{c}{newline}" for a, b, c in rows)
+        end = "" if file == 0 else newline
+        (tmp_path / "in" / f"{file}.csv").write_bytes(f"tweet_id,text,n{newline}{body}{end}".encode())
+        written += rows
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)}):
+        found = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
+        assert found.columns == ["tweet_id", "text", "n"]
+        assert sorted(tuple(row) for row in found.collect()) == sorted(written)
+        if split_bytes == 64:
+            staged = spark.read.parquet(f"{tmp_path}/work/lines")
+            assert staged.select("part").distinct().count() > 20
+
+
+def test_large_reader_agrees_with_the_plain_one(spark, folder, tmp_path):
+    large = read_large_csv(spark, folder, f"{tmp_path}/work")
+    plain = read_csv(spark, folder)
+    assert large.schema == plain.schema
+    assert sorted(map(str, large.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_reader_checks_every_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("tweet_id,text\n1,x\n")
+    (tmp_path / "in" / "b.csv").write_text("text,tweet_id\ny,2\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work").collect()
