@@ -20,7 +20,7 @@ from chirpline.session import work_dir
 from chirpline.sources import csv, messages
 from chirpline.sources.events import TWEETS_SQL, csv_rows_from, tweets_from
 from chirpline.sources.tables import ParquetTables
-from chirpline.streaming.queries import finish, start_count, start_shared, start_tweets
+from chirpline.streaming.queries import finish, start_cards, start_count, start_shared, start_tweets
 from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT, Output
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -86,6 +86,12 @@ def stream_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("tweets").drop("processing_time")
 
 
+def stream_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = work_dir(spark, "cards")
+    finish([start_cards(topic(spark, sf_dir, work), f"{work}/cards", f"{work}/checkpoints", interval=None)])
+    return spark.read.text(f"{work}/cards", lineSep="\n\n").withColumnRenamed("value", "card")
+
+
 # ---- other queries that store something first ----------------------------------
 
 
@@ -153,7 +159,7 @@ def compare_negative_by_airline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_counts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tweets(spark, sf_dir).createOrReplaceTempView("tweets")
+    records.register(tweets(spark, sf_dir))
     return spark.sql("SELECT airline_sentiment, COUNT(*) AS count FROM tweets GROUP BY airline_sentiment")
 
 
@@ -193,6 +199,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sentiment_counts": lambda s, d: running_count(s, d, SENTIMENT),
         "stream_airline_sentiment": lambda s, d: running_count(s, d, AIRLINE),
         "stream_tweets": stream_tweets,
+        "stream_cards": stream_cards,
         "snapshot_current": lambda s, d: running_count(s, d, SENTIMENT, "history"),
         "hashtag_changes_current": lambda s, d: running_count(s, d, HASHTAGS, "changes"),
         "shared_hashtag_counts": lambda s, d: shared_count(s, d, HASHTAGS),
@@ -301,12 +308,13 @@ def oracle_sql() -> dict[str, str]:
         "hashtag_top5": "SELECT * FROM tags ORDER BY count DESC, hashtag LIMIT 5",
     }
     both = f"WITH {TWEETS}, {WORDS}, {TAGS}"
+    records = f"WITH {TWEETS}, records AS (SELECT *, {TAG_LIST} AS hashtags FROM tweets)"
     return {
         **{name: f"WITH {TWEETS} {query}" for name, query in plain.items()},
         **{name: f"WITH {TWEETS}, {WORDS} {query}" for name, query in with_words.items()},
         **{name: f"WITH {TWEETS}, {TAGS} {query}" for name, query in with_tags.items()},
-        "tweet_cards": f"""WITH {TWEETS}, records AS (SELECT *, {TAG_LIST} AS hashtags FROM tweets)
-            SELECT tweet_id, {CARD} AS card FROM records""",
+        "tweet_cards": f"{records} SELECT tweet_id, {CARD} AS card FROM records",
+        "stream_cards": f"{records} SELECT {CARD} AS card FROM records",
         "compare_hashtags": f"{both}, {_compared_hashtags(10)}",
         "compare_hashtags_charted": f"{both}, {_compared_hashtags(5)}",
         "comparison_report": f"""{both}, hashtags AS (

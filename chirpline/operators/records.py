@@ -35,6 +35,11 @@ def add_hashtags(tweets: DataFrame) -> DataFrame:
     return tweets.withColumn("hashtags", message_tags(F.col("tweet_text")))
 
 
+def register(tweets: DataFrame, name: str = "tweets") -> None:
+    """Make tweets known to SQL under a name, with the columns they have now."""
+    tweets.createOrReplaceTempView(name)
+
+
 def with_first_hashtag(tweets: DataFrame, text: str = "tweet_text") -> DataFrame:
     """Add ``hashtags``, an array holding the first tag only."""
     return tweets.withColumn("hashtags", first_tag(F.col(text)))

@@ -6,23 +6,31 @@ from pyspark.sql import DataFrame
 
 from chirpline.operators.compare import compare_counts, compare_hashtags, compare_sentiment
 from chirpline.operators.counts import negative_by_airline
+from chirpline.operators.ordering import top
+from chirpline.plans.live import current_counts
+from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT
 
 # Hashtags read from each side, and hashtags charted.
 HASHTAGS_READ = 10
 HASHTAGS_CHARTED = 5
 
 
-def comparisons(store) -> dict[str, DataFrame]:
+def comparisons(store, stored_as: str = "current") -> dict[str, DataFrame]:
     """The three comparisons; one with an empty side is left out.
 
-    Both sides are tables of counts, and of the hashtags only the top ones are
-    read, so the work does not grow with the tweets.
+    ``stored_as`` tells how the stream has stored its counts. Both sides are
+    tables of counts, and of the hashtags only the top ones are compared, so
+    the work does not grow with the tweets.
     """
+    if stored_as == "current":
+        hashtags = store.read_top("hashtags", HASHTAGS_READ)
+    else:
+        hashtags = top(current_counts(store, HASHTAGS, stored_as), HASHTAGS_READ)
     inputs = {
-        "sentiment": (store.read("sentiment_counts"), store.read("batch_sentiment_counts")),
-        "hashtags": (store.read_top("hashtags", HASHTAGS_READ), store.read_top("batch_hashtags", HASHTAGS_READ)),
+        "sentiment": (current_counts(store, SENTIMENT, stored_as), store.read("batch_sentiment_counts")),
+        "hashtags": (hashtags, store.read_top("batch_hashtags", HASHTAGS_READ)),
         "negative_by_airline": (
-            negative_by_airline(store.read("airline_sentiment")),
+            negative_by_airline(current_counts(store, AIRLINE, stored_as)),
             negative_by_airline(store.read("batch_airline_sentiment")),
         ),
     }

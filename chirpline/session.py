@@ -19,19 +19,27 @@ LARGE_STATE = {
 }
 
 
-def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
-    """Session with run-time re-planning on and shuffle sizes left to it."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.parquet.compression.codec", "zstd")
-    )
-    for key, value in (settings or {}).items():
+def build_session(app_name: str, options: dict[str, str] | None = None) -> SparkSession:
+    """Session with run-time re-planning on.
+
+    Shuffles start with several partitions per core and are merged to a fitting
+    size once their data is known. Anything in ``options`` takes precedence.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    defaults = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+    for key, value in (defaults | (options or {})).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.conf.get(initial, None):
+        spark.conf.set(initial, str(max(200, 4 * spark.sparkContext.defaultParallelism)))
+    return spark
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

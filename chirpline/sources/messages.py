@@ -49,11 +49,10 @@ def publish_files(records: DataFrame, path: str, files: int = 1) -> int:
     stream over them has several batches; a large input keeps its own layout
     and is not shuffled.
     """
-    messages = encode(records)
-    partitions = messages.rdd.getNumPartitions()
+    partitions = records.rdd.getNumPartitions()
     if partitions < files:
-        messages = messages.repartition(files)
-    messages.write.mode("overwrite").text(path)
+        records = records.repartition(files)
+    encode(records).write.mode("overwrite").text(path)
     return max(partitions, files)
 
 

@@ -78,9 +78,10 @@ class JdbcTables:
 
     A JDBC write has no upsert, and a task that is run again after its commit
     was lost adds its rows twice. Count tables are therefore read as the
-    largest count per key. Batches carry the try that wrote them and a row
-    number; a try counts once its entry in the commit table exists, and of
-    several only one.
+    largest count per key. Batches carry the try that wrote them; a try counts
+    once its entry in the commit table exists, and of several only one. Within
+    a try a row is told from its repeat by its keys or, where it has none, by
+    its number, which is the same each time a task reads its input.
 
     ``connections`` bounds how many tasks write to the database at a time.
     """
@@ -143,9 +144,12 @@ class JdbcTables:
     def _load(self, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options(), **options).load()
 
+    def query(self, statement: str) -> DataFrame:
+        """Result of a statement that the database runs."""
+        return self._load(query=statement)
+
     def exists(self, table: str) -> bool:
-        found = self._load(query=exists_query(table))
-        return not found.isEmpty()
+        return not self.query(exists_query(table)).isEmpty()
 
     def read(self, table: str, schema: StructType | None = None, **partitioning: str) -> DataFrame:
         """Rows of a table; ``partitioning`` takes Spark's options
@@ -163,22 +167,25 @@ class JdbcTables:
         if not self.exists(f"{table}_commits"):
             return self.spark.createDataFrame([], schema)
         rows = self._load(dbtable=table, **partitioning)
-        return committed(rows, self._load(dbtable=f"{table}_commits")).select(*schema.names)
+        commits = self._load(dbtable=f"{table}_commits")
+        identity = [name for name in schema.names if name != "count"] if "count" in schema.names else ["row_id"]
+        return committed(rows, commits, identity).select(*schema.names)
 
     def read_top(self, table: str, k: int) -> DataFrame:
         """The database sorts and cuts, so only ``k`` rows are read."""
         if not self.exists(table):
             return self.spark.createDataFrame([], TABLES[table])
-        return self._load(query=top_query(table, keys_of(table), k))
+        return self.query(top_query(table, keys_of(table), k))
 
 
 COMMIT = StructType([BATCH, StructField("attempt", StringType())])
 
 
-def committed(rows: DataFrame, commits: DataFrame) -> DataFrame:
+def committed(rows: DataFrame, commits: DataFrame, identity: list[str]) -> DataFrame:
     """Rows of one finished try per batch, each row once."""
     chosen = commits.groupBy(BATCH.name).agg(F.min("attempt").alias("attempt"))
-    return rows.join(chosen, [BATCH.name, "attempt"], "left_semi").dropDuplicates([BATCH.name, "row_id"])
+    tried = rows.join(chosen, [BATCH.name, "attempt"], "left_semi")
+    return tried.dropDuplicates(list(dict.fromkeys([BATCH.name, *identity])))
 
 
 def exists_query(table: str) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from chirpline.operators.records import tweet_cards
 from chirpline.session import LARGE_STATE, settings
 from chirpline.sources.messages import decode
 from chirpline.streaming.running import HASHTAGS, RAW, RUNNING_COUNTS, Output
@@ -41,16 +42,17 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
-def state_settings(spark: SparkSession, output: Output) -> dict[str, str]:
+def state_settings(spark: SparkSession, output: Output, partitions: int | None = None) -> dict[str, str]:
     """Shuffle and state options of a running count.
 
-    The number of partitions stays with a checkpoint for good, so a count with
-    unbounded keys takes as many as the cluster has cores.
+    The number of partitions stays with a checkpoint for good. A count with
+    unbounded keys takes one per core the session has at that time, so set
+    ``partitions`` where the cluster is still to grow.
     """
     if not output.large:
-        return {"spark.sql.shuffle.partitions": str(FEW_KEYS_PARTITIONS)}
+        return {"spark.sql.shuffle.partitions": str(partitions or FEW_KEYS_PARTITIONS)}
     cores = max(spark.sparkContext.defaultParallelism, FEW_KEYS_PARTITIONS)
-    return {"spark.sql.shuffle.partitions": str(cores), **LARGE_STATE}
+    return {"spark.sql.shuffle.partitions": str(partitions or cores), **LARGE_STATE}
 
 
 def _start(
@@ -74,6 +76,7 @@ def start_count(
     *,
     stored_as: str = "current",
     interval: str | None = TABLE_INTERVAL,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep one running count in the store.
 
@@ -85,7 +88,7 @@ def start_count(
     table = output.table + ending
     spark = messages.sparkSession
     counted = output.make(decode(messages, output.fields))
-    with settings(spark, state_settings(spark, output)):
+    with settings(spark, state_settings(spark, output, state_partitions)):
         return _start(counted, writer(store, table), mode=mode, name=table, checkpoint=checkpoint, interval=interval)
 
 
@@ -99,6 +102,24 @@ def start_tweets(
     )
 
 
+def start_cards(
+    messages: DataFrame, path: str, checkpoint: str, *, interval: str | None = CONSOLE_INTERVAL
+) -> StreamingQuery:
+    """Write one readable card per tweet to text files, each card once."""
+    return (
+        tweet_cards(decode(messages))
+        .select("card")
+        .writeStream.format("text")
+        .outputMode("append")
+        .queryName("cards")
+        .option("path", path)
+        .option("lineSep", "\n\n")
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/cards")
+        .trigger(**_trigger(interval))
+        .start()
+    )
+
+
 def start_console(
     messages: DataFrame, output: Output, checkpoint: str, *, interval: str | None = CONSOLE_INTERVAL
 ) -> StreamingQuery:

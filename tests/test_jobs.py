@@ -1,0 +1,66 @@
+import pytest
+
+from chirpline.__main__ import parse, run, store_of
+from chirpline.sources.tables import JdbcTables, ParquetTables
+
+CSV = (
+    "tweet_id,airline_sentiment,airline_sentiment_confidence,airline,name,text,tweet_created,retweet_count\n"
+    '1,negative,1.0,Air1,a,"first\n#late, ""again"" #late",2015-02-24,0\n'
+    "2,neutral,0.5,Air1,b,plain #fine,2015-02-24,1\n"
+    "3,negative,0.25,Air2,c,more #late,2015-02-24,2\n"
+)
+
+
+@pytest.mark.parametrize("large", [[], ["--large"]], ids=["plain", "large"])
+@pytest.mark.parametrize(
+    "mode, stored_as",
+    [
+        ([], "current"),
+        (["--stored-as", "history", "--console"], "history"),
+        (["--stored-as", "changes"], "changes"),
+        (["--shared"], "increments"),
+    ],
+)
+def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "tweets.csv").write_text(CSV)
+    tables = ["--tables", f"{tmp_path}/tables"]
+    source = ["--folder", f"{tmp_path}/topic", "--checkpoint", f"{tmp_path}/checkpoints", "--until-done"]
+
+    def job(*arguments):
+        run(spark, parse(list(arguments)))
+
+    job("land", f"{tmp_path}/in", f"{tmp_path}/records", *large)
+    job("publish", f"{tmp_path}/records", "--folder", f"{tmp_path}/topic")
+    job("batch", f"{tmp_path}/records", *tables, "--show")
+    job("stream", *source, *tables, *mode)
+    job("cards", f"{tmp_path}/cards", *source)
+    capfd.readouterr()
+    job("compare", *tables, "--stored-as", stored_as)
+    job("query", f"{tmp_path}/records", "SELECT airline, COUNT(*) AS tweets FROM tweets GROUP BY airline")
+    shown = capfd.readouterr().out
+
+    store = ParquetTables(spark, f"{tmp_path}/tables")
+    assert store.read("tweets").count() == 3
+    assert {row["word"]: row["count"] for row in store.read("batch_hashtags").collect()} == {"#late": 2, "#fine": 1}
+    metrics = {row["processing_type"]: row["records_processed"] for row in store.read("performance_metrics").collect()}
+    assert metrics == {"batch": 3, "streaming": 3}
+    cards = [row["value"] for row in spark.read.text(f"{tmp_path}/cards", lineSep="\n\n").collect()]
+    assert len(cards) == 3
+    assert any("Text: more #late\n" in card and "Hashtags: late\n" in card for card in cards)
+    assert "|negative         |2              |2          |0    |" in shown
+    assert "|Air2   |1              |1          |0    |" in shown
+    assert "|Air1   |2     |" in shown
+
+
+def test_store_choice(spark):
+    assert isinstance(store_of(spark, parse(["compare", "--tables", "t"])), ParquetTables)
+    jdbc = store_of(spark, parse(["compare", "--jdbc", "jdbc:postgresql://db/x", "--user", "u"]))
+    assert isinstance(jdbc, JdbcTables)
+    assert (jdbc.url, jdbc.user) == ("jdbc:postgresql://db/x", "u")
+
+
+@pytest.mark.parametrize("arguments", [[], ["batch", "records"], ["stream", "--folder", "f"]])
+def test_missing_arguments(arguments, capsys):
+    with pytest.raises(SystemExit):
+        parse(arguments)

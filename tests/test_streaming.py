@@ -9,7 +9,7 @@ from chirpline.operators.counts import airline_sentiment_counts, sentiment_count
 from chirpline.plans.live import current_counts, run_live
 from chirpline.plans.metrics import timed
 from chirpline.schema import KEY_FIELDS, TABLES
-from chirpline.session import settings, work_dir
+from chirpline.session import build_session, settings, work_dir
 from chirpline.sources.messages import decode, read_files, stream_files
 from chirpline.sources.tables import ParquetTables
 from chirpline.streaming.queries import (
@@ -205,6 +205,7 @@ def test_live_run_writes_one_metric_row(spark, topic, store, checkpoint, shared)
 def test_large_state_is_kept_apart(spark):
     assert "stateStore.providerClass" in " ".join(state_settings(spark, HASHTAGS))
     assert "stateStore.providerClass" not in " ".join(state_settings(spark, SENTIMENT))
+    assert state_settings(spark, HASHTAGS, 1000)["spark.sql.shuffle.partitions"] == "1000"
 
 
 def test_settings_are_put_back(spark):
@@ -215,6 +216,14 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get("chirpline.test", None) is None
 
 
+def test_session_options():
+    spark = build_session("again", {"spark.sql.session.timeZone": "Europe/Paris"})
+    assert spark.conf.get("spark.sql.session.timeZone") == "Europe/Paris"
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 200
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def test_work_folder_is_the_shared_one(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second

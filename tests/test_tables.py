@@ -155,6 +155,22 @@ def test_jdbc_write_options(spark, monkeypatch):
     writer.save.assert_called_once_with()
 
 
+def test_jdbc_query_and_table_options(spark, monkeypatch):
+    loaded = []
+    monkeypatch.setattr(JdbcTables, "_load", lambda self, **options: loaded.append(options) or counted(spark, [("a", 1)]))
+    store = JdbcTables(spark, "jdbc:postgresql://db/tweets")
+    store.query("SELECT 1")
+    store.read("sentiment_counts", numPartitions="4")
+    store.read_top("sentiment_counts", 10)
+    assert loaded == [
+        {"query": "SELECT 1"},
+        {"query": exists_query("sentiment_counts")},
+        {"dbtable": "sentiment_counts", "numPartitions": "4"},
+        {"query": exists_query("sentiment_counts")},
+        {"query": top_query("sentiment_counts", ["airline_sentiment"], 10)},
+    ]
+
+
 def test_jdbc_queries():
     assert exists_query("hashtags") == "SELECT 1 AS found FROM information_schema.tables WHERE table_name = 'hashtags'"
     assert top_query("hashtags", ["hashtag"], 10) == (
@@ -186,7 +202,17 @@ def test_jdbc_unfinished_tries_and_repeated_tasks_do_not_count(spark):
         "tweet_id string, batch_id long, attempt string, row_id long",
     )
     commits = spark.createDataFrame([(0, "second")], COMMIT)
-    assert sorted(row["tweet_id"] for row in committed(rows, commits).collect()) == ["x", "y"]
+    assert sorted(row["tweet_id"] for row in committed(rows, commits, ["row_id"]).collect()) == ["x", "y"]
+
+
+def test_jdbc_counts_repeated_in_another_order_count_once(spark):
+    store = TablesInMemory(spark)
+    store.write_batch(counted(spark, [("a", 1), (None, 2)]), "sentiment_counts_increments", 0)
+    written = store.frames["sentiment_counts_increments"]
+    again = written.withColumn("row_id", -F.col("row_id"))
+    store._write(again, "sentiment_counts_increments", "append")
+    found = store.read_batches("sentiment_counts_increments", TABLES["sentiment_counts"])
+    assert as_set(found) == {("a", 1, 0), (None, 2, 0)} and found.count() == 2
 
 
 def test_jdbc_reads(spark):
