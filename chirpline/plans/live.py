@@ -53,6 +53,7 @@ def run_live(
             else:
                 wait_any(spark, queries)
         finally:
+            progress.wait(queries)
             record_stream(spark, store, progress, raw)
     finally:
         spark.streams.removeListener(progress)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections import defaultdict
+from collections.abc import Iterable
 
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -34,12 +35,16 @@ class ProgressTotals(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         self._ended[str(event.runId)].set()
 
-    def totals(self, query: StreamingQuery, timeout: float = 60.0) -> tuple[int, float]:
-        """Rows and seconds of a run that has ended.
+    def wait(self, queries: Iterable[StreamingQuery], timeout: float = 60.0) -> None:
+        """Wait until the end of every run has been reported.
 
-        Events arrive a moment after the query ends, hence the wait.
+        Events arrive a moment after a query ends.
         """
+        for query in queries:
+            if not self._ended[str(query.runId)].wait(timeout):
+                raise TimeoutError(f"no end of query {query.name} reported within {timeout} seconds")
+
+    def totals(self, query: StreamingQuery) -> tuple[int, float]:
+        """Rows and seconds of a run, complete once it has been waited for."""
         run = str(query.runId)
-        if not self._ended[run].wait(timeout):
-            raise TimeoutError(f"no end of run {run} reported within {timeout} seconds")
         return self._rows[run], self._milliseconds[run] / 1000.0
