@@ -46,6 +46,7 @@ def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
     _stage_lines(spark, path, f"{work}/lines")
     staged = spark.read.parquet(f"{work}/lines")
     parts = _parts(staged)
+    _check_quotes(parts)
     lines = staged.select("line", "block", "value", "is_header").repartition(max(parts.count(), 1), "line")
     members = _lines_of_longer_records(staged, parts).hint("shuffle_hash")
 
@@ -112,6 +113,13 @@ def _parts(staged: DataFrame) -> DataFrame:
     )
 
 
+def _check_quotes(parts: DataFrame) -> None:
+    """A text left open would take in the rest of its file as one record."""
+    open_at_end = parts.groupBy("file").agg(F.sum("turns").alias("turns")).where("turns % 2 = 1").first()
+    if open_at_end:
+        raise ValueError(f"unclosed quote in {open_at_end['file']}")
+
+
 def _lines_of_longer_records(staged: DataFrame, parts: DataFrame) -> DataFrame:
     """``line`` and the ``start`` of its record, for records of several lines."""
     in_part = Window.partitionBy("part").orderBy("line")

@@ -106,3 +106,27 @@ def test_large_reader_checks_every_header(spark, tmp_path):
     (tmp_path / "in" / "b.csv").write_text("text,tweet_id\ny,2\n")
     with pytest.raises(Exception, match="header does not conform"):
         read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work").collect()
+
+
+def test_large_reader_refuses_an_unclosed_quote(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('tweet_id,text\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="unclosed quote in .*a.csv"):
+        read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
+
+
+@pytest.mark.parametrize("content", ["tweet_id,text\n", "tweet_id,text", "tweet_id,text\n\n\n"])
+def test_large_reader_on_a_file_without_rows(spark, tmp_path, content):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(content)
+    found = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
+    assert found.columns == ["tweet_id", "text"]
+    assert found.isEmpty()
+
+
+def test_large_reader_skips_a_byte_order_mark(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\ufefftweet_id,text\n1,x\n", encoding="utf-8")
+    for found in (read_csv(spark, f"{tmp_path}/in"), read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")):
+        assert found.columns == ["tweet_id", "text"]
+        assert [tuple(row) for row in found.collect()] == [("1", "x")]

@@ -1,5 +1,6 @@
 import json
 import math
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from chirpline.sources.messages import (
     decode,
     encode,
     publish_files,
+    publish_topic,
     read_files,
+    stream_topic,
     subscribe_options,
     topic_options,
 )
@@ -146,6 +149,25 @@ def test_topic_options():
     assert topic_options("host:1", acks="all") == {"kafka.bootstrap.servers": "host:1", "acks": "all"}
 
 
+def test_topic_reader_and_writer(spark):
+    session = MagicMock()
+    reader = session.readStream.format.return_value
+    reader.options.return_value = reader
+    assert stream_topic(session, "host:1", "t", per_trigger=5) is reader.load.return_value
+    session.readStream.format.assert_called_once_with("kafka")
+    reader.options.assert_called_once_with(**subscribe_options("host:1", "t", per_trigger=5))
+
+    records = MagicMock(columns=TWEET.names)
+    writer = records.select.return_value.write.format.return_value
+    for call in ("option", "options"):
+        getattr(writer, call).return_value = writer
+    publish_topic(records, "host:1", "t")
+    records.select.return_value.write.format.assert_called_once_with("kafka")
+    writer.options.assert_called_once_with(**{"kafka.bootstrap.servers": "host:1"})
+    writer.option.assert_called_once_with("topic", "t")
+    writer.save.assert_called_once_with()
+
+
 def test_card(spark):
     record = shape_records(csv_rows(spark, CSV_ROW | {"negativereason": "late"}))
     assert tweet_cards(record).first()["card"].split("\n") == [
