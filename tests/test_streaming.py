@@ -2,7 +2,9 @@ import glob
 import json
 import os
 
+import hypothesis
 import pytest
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 
 from chirpline.operators.counts import airline_sentiment_counts, sentiment_counts, tag_counts
@@ -82,6 +84,31 @@ def test_stream_equals_batch(spark, topic, store, checkpoint, output, stored_as)
     assert as_set(current_counts(store, output, stored_as)) == expected(spark, topic, output)
 
 
+words = st.sampled_from(["x", "y", "", "ä", "NaN"])
+random_row = st.tuples(
+    st.none() | words,
+    st.none() | words,
+    st.none() | st.sampled_from(["negative", "neutral"]),
+    st.none() | st.lists(st.none() | words, max_size=4),
+)
+
+
+@hypothesis.settings(max_examples=4, deadline=None, suppress_health_check=list(hypothesis.HealthCheck))
+@hypothesis.given(st.lists(st.lists(random_row, max_size=8), min_size=1, max_size=4))
+def test_stream_equals_batch_on_random_messages(spark, tmp_path_factory, batches):
+    folder = tmp_path_factory.mktemp("random")
+    (folder / "topic").mkdir()
+    for number, rows in enumerate(batches):
+        write_batch(folder / "topic", number, rows)
+    topic, store = str(folder / "topic"), ParquetTables(spark, f"{folder}/tables")
+    finish([start_shared(stream_files(spark, topic, 1), store, f"{folder}/checkpoints", interval=None)])
+    finish([start_count(stream_files(spark, topic, 1), AIRLINE, store, f"{folder}/checkpoints", interval=None)])
+    for output in RUNNING_COUNTS:
+        assert as_set(current_counts(store, output, "increments")) == expected(spark, topic, output)
+    assert as_set(current_counts(store, AIRLINE)) == expected(spark, topic, AIRLINE)
+    assert store.read("tweets").count() == read_files(spark, topic).count()
+
+
 def test_changes_hold_only_touched_keys(spark, topic, store, checkpoint):
     messages = stream_files(spark, topic, 1)
     finish([start_count(messages, SENTIMENT, store, checkpoint, stored_as="changes", interval=None)])
