@@ -46,8 +46,7 @@ def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
     _stage_lines(spark, path, f"{work}/lines")
     staged = spark.read.parquet(f"{work}/lines")
     parts = _parts(staged)
-    _check_quotes(parts)
-    lines = staged.select("line", "block", "value", "is_header").repartition(max(parts.count(), 1), "line")
+    lines = staged.select("line", "block", "value", "is_header").repartition(_checked_number(parts), "line")
     members = _lines_of_longer_records(staged, parts).hint("shuffle_hash")
 
     whole = lines.join(members, "line", "left_anti").select("value", "is_header")
@@ -113,11 +112,15 @@ def _parts(staged: DataFrame) -> DataFrame:
     )
 
 
-def _check_quotes(parts: DataFrame) -> None:
-    """A text left open would take in the rest of its file as one record."""
-    open_at_end = parts.groupBy("file").agg(F.sum("turns").alias("turns")).where("turns % 2 = 1").first()
-    if open_at_end:
-        raise ValueError(f"unclosed quote in {open_at_end['file']}")
+def _checked_number(parts: DataFrame) -> int:
+    """The number of parts. A quote left open is an error, as it would take in
+    the rest of its file as one record."""
+    per_file = parts.groupBy("file").agg(F.count("part").alias("parts"), F.sum("turns").alias("turns"))
+    unclosed = F.max(F.when(F.col("turns") % 2 == 1, F.col("file")))
+    found = per_file.agg(F.sum("parts").alias("parts"), unclosed.alias("unclosed")).first()
+    if found["unclosed"]:
+        raise ValueError(f"unclosed quote in {found['unclosed']}")
+    return found["parts"] or 1
 
 
 def _lines_of_longer_records(staged: DataFrame, parts: DataFrame) -> DataFrame:
