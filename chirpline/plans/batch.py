@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from chirpline.operators.counts import add_up, airline_sentiment_counts, word_counts
 from chirpline.operators.ordering import by_airline, by_count, top
 from chirpline.plans.metrics import record_run, timed
+from chirpline.sources.tables import Tables
 
 
-def store_counts(tweets: DataFrame, store, text: str = "tweet_text") -> int:
+def store_counts(tweets: DataFrame, store: Tables, text: str = "tweet_text") -> int:
     """Write the three batch tables; the number of tweets is returned.
 
     The tweets are read twice, each time other columns: the text for the
@@ -24,14 +25,14 @@ def store_counts(tweets: DataFrame, store, text: str = "tweet_text") -> int:
     return stored.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count")).first()["count"]
 
 
-def show_counts(store) -> None:
+def show_counts(store: Tables) -> None:
     """Print the batch tables: the top 10 hashtags, the first 20 rows of the others."""
     by_count(store.read("batch_sentiment_counts")).show()
     top(store.read("batch_hashtags"), 10).show()
     by_airline(store.read("batch_airline_sentiment")).show()
 
 
-def run_batch(tweets: DataFrame, store, text: str = "tweet_text", *, show: bool = False) -> None:
+def run_batch(tweets: DataFrame, store: Tables, text: str = "tweet_text", *, show: bool = False) -> None:
     """Counts, tables and the metric row of one batch run. Errors are raised."""
 
     def work() -> int:

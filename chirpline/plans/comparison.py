@@ -8,6 +8,7 @@ from chirpline.operators.compare import compare_counts, compare_hashtags, compar
 from chirpline.operators.counts import negative_by_airline
 from chirpline.operators.ordering import top
 from chirpline.plans.live import current_counts
+from chirpline.sources.tables import Tables
 from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT
 
 # Hashtags read from each side, and hashtags charted.
@@ -15,7 +16,7 @@ HASHTAGS_READ = 10
 HASHTAGS_CHARTED = 5
 
 
-def comparisons(store, stored_as: str = "current") -> dict[str, DataFrame]:
+def comparisons(store: Tables, stored_as: str = "current") -> dict[str, DataFrame]:
     """The three comparisons; one with an empty side is left out.
 
     ``stored_as`` tells how the stream has stored its counts. Both sides are

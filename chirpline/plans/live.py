@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from chirpline.operators.counts import add_up, newest
 from chirpline.plans.metrics import record_stream
 from chirpline.schema import TABLES
+from chirpline.sources.tables import Tables
 from chirpline.streaming.progress import ProgressTotals
 from chirpline.streaming.queries import finish, start_all, start_shared, wait_any
 from chirpline.streaming.running import Output
 from chirpline.streaming.sinks import CHANGES, HISTORY, INCREMENTS
 
 
-def current_counts(store, output: Output, stored_as: str = "current") -> DataFrame:
+def current_counts(store: Tables, output: Output, stored_as: str = "current") -> DataFrame:
     """Running counts as last stored, whichever way they are stored."""
     if stored_as == "current":
         return store.read(output.table)
@@ -25,7 +26,7 @@ def current_counts(store, output: Output, stored_as: str = "current") -> DataFra
 def run_live(
     spark: SparkSession,
     messages: DataFrame,
-    store,
+    store: Tables,
     checkpoint: str,
     *,
     shared: bool = False,

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from chirpline.schema import METRIC
+from chirpline.sources.tables import Tables
 from chirpline.streaming.progress import ProgressTotals
 
 T = TypeVar("T")
@@ -22,13 +23,13 @@ def timed(work: Callable[[], T]) -> tuple[T, float]:
     return result, time.perf_counter() - start
 
 
-def record_run(spark: SparkSession, store, processing_type: str, records: int, seconds: float) -> None:
+def record_run(spark: SparkSession, store: Tables, processing_type: str, records: int, seconds: float) -> None:
     """Add one row to the metric table."""
     row = spark.createDataFrame([(processing_type, records, seconds)], METRIC)
     store.append(row, "performance_metrics")
 
 
-def record_stream(spark: SparkSession, store, progress: ProgressTotals, query: StreamingQuery) -> None:
+def record_stream(spark: SparkSession, store: Tables, progress: ProgressTotals, query: StreamingQuery) -> None:
     """Add the row of a streaming run that has ended."""
     records, seconds = progress.totals(query)
     record_run(spark, store, "streaming", records, seconds)

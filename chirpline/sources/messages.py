@@ -96,11 +96,19 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return spark.readStream.format("kafka").options(**subscribe_options(servers, topic, **options)).load()
 
 
-def stream_files(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
-    """Unbounded messages of a folder of text files, ``per_trigger`` files a batch."""
+def stream_files(
+    spark: SparkSession, path: str, per_trigger: int | None = None, *, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Unbounded messages of a folder of text files.
+
+    A batch takes in ``per_trigger`` files, or about ``bytes_per_trigger`` bytes
+    of them where files differ in size.
+    """
     reader = spark.readStream.format("text")
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 

@@ -1,21 +1,11 @@
 """Result tables, in Parquet folders or in a database over JDBC.
-
-Both kinds offer the same calls:
-
-``replace``      the whole table becomes the given rows
-``append``       rows are added
-``write_batch``  rows of one micro-batch are added, once, however often the
-                 batch is tried
-``read``         the rows, or an empty frame if the table was never written
-``read_batches`` ``read`` for a table filled by ``write_batch``, with
-                 ``batch_id``
-``read_top``     the ``k`` largest counts
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +23,28 @@ def with_batch(schema: StructType) -> StructType:
     return StructType([*schema.fields, BATCH])
 
 
+class Tables(Protocol):
+    """What both kinds of tables can do."""
+
+    def replace(self, rows: DataFrame, table: str) -> None:
+        """Make the given rows the whole table."""
+
+    def append(self, rows: DataFrame, table: str) -> None:
+        """Add rows."""
+
+    def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        """Add the rows of a micro-batch, once, however often it is tried."""
+
+    def read(self, table: str, schema: StructType | None = None) -> DataFrame:
+        """The rows; an empty frame if the table was never written."""
+
+    def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
+        """The rows of a table filled by ``write_batch``, with ``batch_id``."""
+
+    def read_top(self, table: str, k: int) -> DataFrame:
+        """The ``k`` largest counts."""
+
+
 class ParquetTables:
     """Tables as folders below ``root``, which all executors must reach.
 

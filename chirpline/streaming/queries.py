@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chirpline.operators.records import tweet_cards
 from chirpline.session import LARGE_STATE, settings
 from chirpline.sources.messages import decode
+from chirpline.sources.tables import Tables
 from chirpline.streaming.running import HASHTAGS, RAW, RUNNING_COUNTS, Output
 from chirpline.streaming.sinks import (
     CHANGES,
@@ -71,7 +72,7 @@ def _start(
 def start_count(
     messages: DataFrame,
     output: Output,
-    store,
+    store: Tables,
     checkpoint: str,
     *,
     stored_as: str = "current",
@@ -93,7 +94,7 @@ def start_count(
 
 
 def start_tweets(
-    messages: DataFrame, store, checkpoint: str, *, interval: str | None = TABLE_INTERVAL
+    messages: DataFrame, store: Tables, checkpoint: str, *, interval: str | None = TABLE_INTERVAL
 ) -> StreamingQuery:
     """Store the key fields of every tweet."""
     rows = RAW.make(decode(messages, RAW.fields))
@@ -140,7 +141,7 @@ def start_console(
 
 def start_all(
     messages: DataFrame,
-    store,
+    store: Tables,
     checkpoint: str,
     *,
     stored_as: str = "current",
@@ -160,7 +161,7 @@ def start_all(
 
 
 def start_shared(
-    messages: DataFrame, store, checkpoint: str, *, interval: str | None = TABLE_INTERVAL
+    messages: DataFrame, store: Tables, checkpoint: str, *, interval: str | None = TABLE_INTERVAL
 ) -> StreamingQuery:
     """All four outputs from one query, which reads and decodes the source once."""
     fields = dict.fromkeys([*RAW.fields, *(name for output in RUNNING_COUNTS for name in output.fields)])

@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from chirpline.operators.counts import add_up
 from chirpline.operators.ordering import by_count
+from chirpline.sources.tables import Tables
 from chirpline.streaming.running import AIRLINE, HASHTAGS, RAW, SENTIMENT
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -37,12 +38,12 @@ def unless_empty(write: BatchWriter) -> BatchWriter:
     return run
 
 
-def replace_table(store, table: str) -> BatchWriter:
+def replace_table(store: Tables, table: str) -> BatchWriter:
     """The table always holds the latest counts, and only those."""
     return unless_empty(lambda batch, batch_id: store.replace(batch, table))
 
 
-def add_batch(store, table: str) -> BatchWriter:
+def add_batch(store: Tables, table: str) -> BatchWriter:
     """The table gains the rows of the batch, once."""
     return unless_empty(lambda batch, batch_id: store.write_batch(batch, table, batch_id))
 
@@ -61,7 +62,7 @@ def show_batch(rows: int, *, sort: bool = False) -> BatchWriter:
     return run
 
 
-def all_outputs(store) -> BatchWriter:
+def all_outputs(store: Tables) -> BatchWriter:
     """Raw tweets and the three counts of a batch, from one reading of it.
 
     The counts cover the batch alone and are stored as increments; adding them

@@ -178,6 +178,13 @@ def test_a_failed_write_fails_the_query_and_is_repeated_once(spark, topic, tmp_p
         assert as_set(current_counts(store, HASHTAGS, "increments")) == expected(spark, topic, HASHTAGS)
 
 
+def test_intake_by_bytes(spark, topic, store, checkpoint):
+    query = start_tweets(stream_files(spark, topic, bytes_per_trigger=1), store, checkpoint, interval=None)
+    finish([query])
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    assert store.read("tweets").count() == 8
+
+
 def test_empty_batches_write_nothing(spark, tmp_path, store, checkpoint):
     folder = tmp_path / "quiet"
     folder.mkdir()
