@@ -53,7 +53,9 @@ def joined_tags(rows: DataFrame) -> DataFrame:
 def topic(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
     """All tweets as a stream of messages, in several batches."""
     path = f"{work}/topic"
-    files = messages.publish_files(tweet_records(spark, sf_dir), path, BATCHES * FILES_PER_BATCH)
+    rows = messages.spread(events(spark, sf_dir), BATCHES * FILES_PER_BATCH)
+    messages.publish_files(records.shape_records(csv_rows_from(rows)), path)
+    files = len(messages.read_files(spark, path).inputFiles())
     return messages.stream_files(spark, path, per_trigger=-(-files // BATCHES))
 
 

@@ -42,18 +42,15 @@ def decode(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFram
     return parsed.select(*cleaned, F.current_timestamp().alias("processing_time"))
 
 
-def publish_files(records: DataFrame, path: str, files: int = 1) -> int:
-    """Write records as text files of messages; the number of files is returned.
+def spread(rows: DataFrame, files: int) -> DataFrame:
+    """Rows in at least ``files`` partitions, so that a stream over them, once
+    published, has several batches. A large input is left as it is."""
+    return rows if rows.rdd.getNumPartitions() >= files else rows.repartition(files)
 
-    ``files`` spreads a small input over at least that many files, so that a
-    stream over them has several batches; a large input keeps its own layout
-    and is not shuffled.
-    """
-    partitions = records.rdd.getNumPartitions()
-    if partitions < files:
-        records = records.repartition(files)
+
+def publish_files(records: DataFrame, path: str) -> None:
+    """Write records as text files of messages, one per partition."""
     encode(records).write.mode("overwrite").text(path)
-    return max(partitions, files)
 
 
 def publish_topic(records: DataFrame, servers: str, topic: str, **options: str) -> None:

@@ -45,6 +45,7 @@ def test_query(spark, oracle, name):
     columns = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(columns)
     assert rows_of(result.columns, result.collect()) == rows_of(columns, expected.fetchall())
+    assert not spark.streams.active
 
 
 def test_entry(spark):
