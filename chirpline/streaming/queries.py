@@ -17,6 +17,7 @@ from chirpline.streaming.sinks import (
     HISTORY,
     BatchWriter,
     add_batch,
+    add_rows,
     all_outputs,
     replace_table,
     show_batch,
@@ -99,7 +100,7 @@ def start_tweets(
     """Store the key fields of every tweet."""
     rows = RAW.make(decode(messages, RAW.fields))
     return _start(
-        rows, add_batch(store, RAW.table), mode="append", name=RAW.table, checkpoint=checkpoint, interval=interval
+        rows, add_rows(store, RAW.table), mode="append", name=RAW.table, checkpoint=checkpoint, interval=interval
     )
 
 

@@ -48,6 +48,16 @@ def add_batch(store: Tables, table: str) -> BatchWriter:
     return unless_empty(lambda batch, batch_id: store.write_batch(batch, table, batch_id))
 
 
+def add_rows(store: Tables, table: str) -> BatchWriter:
+    """The same, for rows that come straight from the source.
+
+    Keeping those rows to look at them first would cost as much as writing
+    them, and reading them twice would count them twice. Such a batch is empty
+    only if the source has moved on without a message; it then adds no rows.
+    """
+    return lambda batch, batch_id: store.write_batch(batch, table, batch_id)
+
+
 def show_batch(rows: int, *, sort: bool = False) -> BatchWriter:
     """Print the first ``rows`` rows of each batch.
 

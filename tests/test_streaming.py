@@ -194,6 +194,18 @@ def test_empty_batches_write_nothing(spark, tmp_path, store, checkpoint):
     assert store.read("hashtags").isEmpty()
 
 
+def test_a_batch_without_messages_adds_no_tweets(spark, tmp_path, store, checkpoint):
+    folder = tmp_path / "quiet"
+    folder.mkdir()
+    for number, rows in enumerate([[("1", "A", "negative", [])], [], [("2", "A", "negative", [])]]):
+        write_batch(folder, number, rows)
+    (folder / "00001.json").write_text("")
+    os.utime(folder / "00001.json", (1, 1))
+    for start in (start_tweets, start_shared):
+        finish([start(stream_files(spark, str(folder), 1), store, checkpoint, interval=None)])
+        assert sorted(row["tweet_id"] for row in store.read("tweets").collect()) == ["1", "2"]
+
+
 def test_console_shows_the_top_hashtags(spark, topic, checkpoint, capfd):
     finish([start_console(stream_files(spark, topic), HASHTAGS, checkpoint, interval=None)])
     finish([start_console(stream_files(spark, topic), AIRLINE, checkpoint, interval=None)])
