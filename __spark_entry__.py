@@ -118,17 +118,17 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("batch_airline_sentiment")
 
 
-def both_paths(spark: SparkSession, sf_dir: str) -> ParquetTables:
+def both_paths(spark: SparkSession, sf_dir: str, *, shared: bool = False) -> ParquetTables:
     """A store filled by the batch job and by the streaming job."""
     work = work_dir(spark, "both")
     store = ParquetTables(spark, f"{work}/tables")
     run_batch(tweets(spark, sf_dir), store)
-    run_live(spark, topic(spark, sf_dir, work), store, f"{work}/checkpoints", interval=None)
+    run_live(spark, topic(spark, sf_dir, work), store, f"{work}/checkpoints", shared=shared, interval=None)
     return store
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = both_paths(spark, sf_dir).read("performance_metrics")
+    rows = both_paths(spark, sf_dir, shared=True).read("performance_metrics")
     took_time = (F.col("processing_time_seconds") > 0).alias("took_time")
     return rows.select("processing_type", "records_processed", took_time)
 

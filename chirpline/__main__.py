@@ -68,7 +68,11 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     query = jobs.add_parser("query")
     query.add_argument("records", help="folder of landed records")
     query.add_argument("statement")
-    return parser.parse_args(arguments)
+
+    options = parser.parse_args(arguments)
+    if options.job == "stream" and options.shared and (options.console or options.stored_as != "current"):
+        stream.error("--shared stores increments and prints nothing; leave out --console and --stored-as")
+    return options
 
 
 def _topic(parser: argparse.ArgumentParser) -> None:

@@ -71,12 +71,16 @@ def _stage_lines(spark: SparkSession, path: str, staged: str) -> None:
     """Lines with their part and place, stored so that every later step, and
     every repeated task, sees the same parts.
 
-    With files as dear to open as a task may be large, each task reads one part.
+    With files as dear to open as a task may be large, and any number of tasks,
+    each task reads one part.
     """
-    part_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    one_part_each = {
+        "spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes"),
+        "spark.sql.files.maxPartitionNum": str(2**31 - 1),
+    }
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     first_line = F.shiftleft(F.spark_partition_id().cast("long"), 33)
-    with settings(spark, {"spark.sql.files.openCostInBytes": part_bytes}):
+    with settings(spark, one_part_each):
         (
             spark.read.text(path, lineSep="\n")
             .select(

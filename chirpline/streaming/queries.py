@@ -151,13 +151,17 @@ def start_all(
     console_interval: str | None = CONSOLE_INTERVAL,
 ) -> list[StreamingQuery]:
     """One query per output, and per console; each reads the source by itself."""
-    queries = [
-        start_count(messages, output, store, checkpoint, stored_as=stored_as, interval=interval)
-        for output in RUNNING_COUNTS
-    ]
-    queries.append(start_tweets(messages, store, checkpoint, interval=interval))
-    if console:
-        queries += [start_console(messages, output, checkpoint, interval=console_interval) for output in RUNNING_COUNTS]
+    queries: list[StreamingQuery] = []
+    try:
+        for output in RUNNING_COUNTS:
+            queries.append(start_count(messages, output, store, checkpoint, stored_as=stored_as, interval=interval))
+        queries.append(start_tweets(messages, store, checkpoint, interval=interval))
+        for output in RUNNING_COUNTS if console else ():
+            queries.append(start_console(messages, output, checkpoint, interval=console_interval))
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
     return queries
 
 

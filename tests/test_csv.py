@@ -84,7 +84,8 @@ def test_large_files_are_read_in_parts(spark, tmp_path, newline, split_bytes):
         end = "" if file == 0 else newline
         (tmp_path / "in" / f"{file}.csv").write_bytes(f"tweet_id,text,n{newline}{body}{end}".encode())
         written += rows
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)}):
+    cut = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.maxPartitionNum": "10"}
+    with settings(spark, cut):
         found = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
         assert found.columns == ["tweet_id", "text", "n"]
         assert sorted(tuple(row) for row in found.collect()) == sorted(written)

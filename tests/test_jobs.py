@@ -60,7 +60,15 @@ def test_store_choice(spark):
     assert (jdbc.url, jdbc.user) == ("jdbc:postgresql://db/x", "u")
 
 
-@pytest.mark.parametrize("arguments", [[], ["batch", "records"], ["stream", "--folder", "f"]])
-def test_missing_arguments(arguments, capsys):
+@pytest.mark.parametrize(
+    "arguments",
+    [
+        [],
+        ["batch", "records"],
+        ["stream", "--folder", "f"],
+        ["stream", "--folder", "f", "--checkpoint", "c", "--tables", "t", "--shared", "--console"],
+    ],
+)
+def test_arguments_that_are_missing_or_do_not_fit(arguments, capsys):
     with pytest.raises(SystemExit):
         parse(arguments)

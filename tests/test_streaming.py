@@ -228,6 +228,15 @@ def test_every_query_at_once_until_one_ends(spark, topic, store, checkpoint):
         assert as_set(store.read(output.table)) == expected(spark, topic, output)
 
 
+def test_a_query_that_cannot_start_stops_the_others(spark, topic, store, checkpoint):
+    messages = stream_files(spark, topic, 1)
+    running = start_tweets(messages, store, checkpoint, interval="1 second")
+    with pytest.raises(Exception, match="(?i)already active|same name"):
+        start_all(messages, store, f"{checkpoint}-2", interval="1 second")
+    assert [query.name for query in spark.streams.active] == ["tweets"]
+    running.stop()
+
+
 def test_wait_any_raises_what_failed(spark, topic, tmp_path, checkpoint):
     spark.streams.resetTerminated()
     messages = stream_files(spark, topic, 1)
