@@ -21,7 +21,9 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = True, infer: b
     that. Where no text holds a newline, ``multiline=False`` lets Spark split.
 
     Files of one read must share a header; one with other columns fails the
-    read instead of shifting values into the wrong column.
+    read instead of shifting values into the wrong column. In files whose lines
+    end in CR LF, Spark gives a CR LF within a text as LF; ``read_large_csv``
+    leaves it as it is.
     """
     options = QUOTING | {"multiLine": str(multiline)}
     return spark.read.options(**options).csv(path, header=True, inferSchema=infer, enforceSchema=False)

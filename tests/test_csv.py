@@ -89,6 +89,11 @@ def test_large_files_are_read_in_parts(spark, tmp_path, newline, split_bytes):
         found = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
         assert found.columns == ["tweet_id", "text", "n"]
         assert sorted(tuple(row) for row in found.collect()) == sorted(written)
+        plain = sorted(tuple(row) for row in read_csv(spark, f"{tmp_path}/in").collect())
+        if newline == "\n":
+            assert plain == sorted(written)
+        else:
+            assert plain == sorted((a, b.replace("\r\n", "\n"), c) for a, b, c in written)
         if split_bytes == 64:
             staged = spark.read.parquet(f"{tmp_path}/work/lines")
             assert staged.select("part").distinct().count() > 20
