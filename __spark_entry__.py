@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpline.functions.hashtags import without_hash
 from chirpline.operators import compare, counts, ordering, records
 from chirpline.plans.batch import run_batch, store_counts
 from chirpline.plans.comparison import comparisons

@@ -26,7 +26,9 @@ from chirpline.streaming.queries import finish, start_cards
 
 
 def parse(arguments: list[str] | None) -> argparse.Namespace:
-    parser = argparse.ArgumentParser(prog="chirpline", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
+    parser = argparse.ArgumentParser(
+        prog="chirpline", description=__doc__, formatter_class=argparse.RawTextHelpFormatter
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
 
     land = jobs.add_parser("land")
@@ -130,9 +132,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         choices = {} if options.shared else {"stored_as": options.stored_as, "console": options.console}
         if options.until_done:
             choices |= {"interval": None} | ({} if options.shared else {"console_interval": None})
-        run_live(
-            spark, stream_of(spark, options), store_of(spark, options), options.checkpoint, shared=options.shared, **choices
-        )
+        stream, store = stream_of(spark, options), store_of(spark, options)
+        run_live(spark, stream, store, options.checkpoint, shared=options.shared, **choices)
     elif options.job == "cards":
         interval = {"interval": None} if options.until_done else {}
         finish([start_cards(stream_of(spark, options), options.out, options.checkpoint, **interval)])

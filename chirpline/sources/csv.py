@@ -134,14 +134,17 @@ def _lines_of_longer_records(staged: DataFrame, parts: DataFrame) -> DataFrame:
     in_part = Window.partitionBy("part").orderBy("line")
     turns = (
         staged.where("is_turn")
-        .select("part", "line", F.row_number().over(in_part).alias("number"), F.lead("line").over(in_part).alias("next"))
+        .withColumns({"number": F.row_number().over(in_part), "next": F.lead("line").over(in_part)})
+        .select("part", "line", "number", "next")
         .join(parts.select("part", "within", "last_line"), "part")
     )
     opened_here = turns.where((F.col("number") + F.col("within")) % 2 == 1).select(
         F.col("line").alias("start"), F.col("line").alias("from"), F.coalesce("next", "last_line").alias("to")
     )
     opened_before = parts.where("within = 1").select(
-        F.col("opened").alias("start"), F.col("first_line").alias("from"), F.coalesce("first_turn", "last_line").alias("to")
+        F.col("opened").alias("start"),
+        F.col("first_line").alias("from"),
+        F.coalesce("first_turn", "last_line").alias("to"),
     )
     return opened_here.unionByName(opened_before).select("start", F.explode(F.sequence("from", "to")).alias("line"))
 

@@ -62,7 +62,8 @@ def test_hashtags_meet_without_the_leading_hash(spark, k, keys):
 
 
 def test_counts_keep_a_null_group(spark):
-    tweets = spark.createDataFrame([("A", None), (None, None), ("A", "negative")], "airline string, airline_sentiment string")
+    rows = [("A", None), (None, None), ("A", "negative")]
+    tweets = spark.createDataFrame(rows, "airline string, airline_sentiment string")
     assert as_set(sentiment_counts(tweets)) == {(None, 2), ("negative", 1)}
     assert as_set(airline_sentiment_counts(tweets)) == {("A", None, 1), (None, None, 1), ("A", "negative", 1)}
 

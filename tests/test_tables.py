@@ -157,7 +157,8 @@ def test_jdbc_write_options(spark, monkeypatch):
 
 def test_jdbc_query_and_table_options(spark, monkeypatch):
     loaded = []
-    monkeypatch.setattr(JdbcTables, "_load", lambda self, **options: loaded.append(options) or counted(spark, [("a", 1)]))
+    frame = counted(spark, [("a", 1)])
+    monkeypatch.setattr(JdbcTables, "_load", lambda self, **options: loaded.append(options) or frame)
     store = JdbcTables(spark, "jdbc:postgresql://db/tweets")
     store.query("SELECT 1")
     store.read("sentiment_counts", numPartitions="4")
@@ -198,7 +199,13 @@ def test_jdbc_batches_count_once(spark):
 
 def test_jdbc_unfinished_tries_and_repeated_tasks_do_not_count(spark):
     rows = spark.createDataFrame(
-        [("x", 0, "first", 0), ("x", 0, "second", 0), ("x", 0, "second", 0), ("y", 0, "second", 1), ("z", 1, "third", 0)],
+        [
+            ("x", 0, "first", 0),
+            ("x", 0, "second", 0),
+            ("x", 0, "second", 0),
+            ("y", 0, "second", 1),
+            ("z", 1, "third", 0),
+        ],
         "tweet_id string, batch_id long, attempt string, row_id long",
     )
     commits = spark.createDataFrame([(0, "second")], COMMIT)
