@@ -1,11 +1,11 @@
-"""Command line: ``spark-submit ... -m chirpline <job>`` or ``python -m chirpline <job>``.
+"""Command line: ``spark-submit run.py <job>`` or ``python -m chirpline <job>``.
 
 land      CSV files -> tweet records in Parquet
 publish   tweet records -> messages in a topic or a folder
 batch     tweet records -> batch tables and a metric row
 stream    messages -> running counts, raw tweets and a metric row
 cards     messages -> one readable card per tweet, as text files
-compare   stored tables -> streaming and batch side by side
+compare   stored tables -> streaming and batch side by side, and the run metrics
 query     a SQL statement over the tweet records, known as ``tweets``
 """
 
@@ -138,9 +138,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         interval = {"interval": None} if options.until_done else {}
         finish([start_cards(stream_of(spark, options), options.out, options.checkpoint, **interval)])
     elif options.job == "compare":
-        for name, compared in comparisons(store_of(spark, options), options.stored_as).items():
+        store = store_of(spark, options)
+        for name, compared in comparisons(store, options.stored_as).items():
             print(name)
             compared.orderBy(compared["streaming_count"].desc(), compared.columns[0]).show(truncate=False)
+        print("runs")
+        store.read("performance_metrics").show(truncate=False)
     elif options.job == "query":
         register(spark.read.parquet(options.records))
         spark.sql(options.statement).show(truncate=False)

@@ -42,12 +42,13 @@ def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
     * from one turn to the next, that gives the lines of each longer record,
       which are brought together; every other line is a record by itself.
 
-    ``work`` is a folder for the staged lines, which all executors must reach.
+    ``work`` is a folder for lines and parts, which all executors must reach.
     """
     columns = read_csv(spark, path).columns
     _stage_lines(spark, path, f"{work}/lines")
     staged = spark.read.parquet(f"{work}/lines")
-    parts = _parts(staged)
+    _parts(staged).write.mode("overwrite").parquet(f"{work}/parts")
+    parts = spark.read.parquet(f"{work}/parts")
     lines = staged.select("line", "block", "value", "is_header").repartition(_checked_number(parts), "line")
     members = _lines_of_longer_records(staged, parts).hint("shuffle_hash")
 

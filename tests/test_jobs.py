@@ -51,6 +51,7 @@ def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
     assert "|negative         |2              |2          |0    |" in shown
     assert "|Air2   |1              |1          |0    |" in shown
     assert "|Air1   |2     |" in shown
+    assert "|streaming      |3                |" in shown
 
 
 def test_store_choice(spark):
