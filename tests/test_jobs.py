@@ -1,6 +1,9 @@
+from unittest.mock import MagicMock
+
 import pytest
 
-from chirpline.__main__ import parse, run, store_of
+from chirpline.__main__ import parse, run, store_of, stream_of
+from chirpline.sources.messages import subscribe_options
 from chirpline.sources.tables import JdbcTables, ParquetTables
 
 CSV = (
@@ -73,3 +76,14 @@ def test_store_choice(spark):
 def test_arguments_that_are_missing_or_do_not_fit(arguments, capsys):
     with pytest.raises(SystemExit):
         parse(arguments)
+
+
+def test_topic_arguments_reach_the_reader():
+    session = MagicMock()
+    reader = session.readStream.format.return_value
+    reader.options.return_value = reader
+    arguments = ["cards", "out", "--checkpoint", "c", "--servers", "h:1", "--topic", "t"]
+    assert stream_of(session, parse(arguments)) is reader.load.return_value
+    reader.options.assert_called_with(**subscribe_options("h:1", "t"))
+    stream_of(session, parse([*arguments, "--per-trigger", "500000", "--min-partitions", "64"]))
+    reader.options.assert_called_with(**subscribe_options("h:1", "t", per_trigger=500000, min_partitions=64))
