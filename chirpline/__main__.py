@@ -95,13 +95,17 @@ def _store(parser: argparse.ArgumentParser) -> None:
     where = parser.add_mutually_exclusive_group(required=True)
     where.add_argument("--tables", help="folder of Parquet tables")
     where.add_argument("--jdbc", help="JDBC URL; the password is taken from JDBC_PASSWORD")
-    parser.add_argument("--user", default="postgres")
+    parser.add_argument("--user", default="postgres", help="database user")
+    parser.add_argument("--driver", default="org.postgresql.Driver", help="JDBC driver class")
+    parser.add_argument("--connections", type=int, default=16, help="tasks that write at a time")
 
 
 def store_of(spark: SparkSession, options: argparse.Namespace) -> ParquetTables | JdbcTables:
     if options.tables:
         return ParquetTables(spark, options.tables)
-    return JdbcTables(spark, options.jdbc, user=options.user)
+    return JdbcTables(
+        spark, options.jdbc, user=options.user, driver=options.driver, connections=options.connections
+    )
 
 
 def stream_of(spark: SparkSession, options: argparse.Namespace) -> DataFrame:

@@ -59,9 +59,9 @@ def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
 
 def test_store_choice(spark):
     assert isinstance(store_of(spark, parse(["compare", "--tables", "t"])), ParquetTables)
-    jdbc = store_of(spark, parse(["compare", "--jdbc", "jdbc:postgresql://db/x", "--user", "u"]))
+    jdbc = store_of(spark, parse(["compare", "--jdbc", "jdbc:postgresql://db/x", "--user", "u", "--connections", "3"]))
     assert isinstance(jdbc, JdbcTables)
-    assert (jdbc.url, jdbc.user) == ("jdbc:postgresql://db/x", "u")
+    assert (jdbc.url, jdbc.user, jdbc.connections) == ("jdbc:postgresql://db/x", "u", 3)
 
 
 @pytest.mark.parametrize(
