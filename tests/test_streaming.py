@@ -174,6 +174,7 @@ def test_a_failed_write_fails_the_query_and_is_repeated_once(spark, topic, tmp_p
     assert sorted(os.path.basename(p) for p in glob.glob(f"{checkpoint}/{table}/commits/*")) == ["0"]
     finish([start(messages, store, checkpoint, interval=None)])
     assert store.read("tweets").count() == 8
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
     if start is start_shared:
         assert as_set(current_counts(store, HASHTAGS, "increments")) == expected(spark, topic, HASHTAGS)
 
