@@ -6,6 +6,7 @@ batch     tweet records -> batch tables and a metric row
 stream    messages -> running counts, raw tweets and a metric row
 cards     messages -> one readable card per tweet, as text files
 compare   stored tables -> streaming and batch side by side, and the run metrics
+compact   stored tables -> a copy with fewer, larger files
 query     a SQL statement over the tweet records, known as ``tweets``
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from chirpline.operators.records import register, shape_records
 from chirpline.plans.batch import run_batch
 from chirpline.plans.comparison import comparisons
-from chirpline.plans.live import run_live
+from chirpline.plans.live import ENDINGS, run_live
+from chirpline.plans.upkeep import compact
 from chirpline.session import build_session, work_dir
 from chirpline.sources import csv, messages
 from chirpline.sources.tables import JdbcTables, ParquetTables
@@ -60,12 +62,12 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
 
     compare = jobs.add_parser("compare")
     _store(compare)
-    compare.add_argument(
-        "--stored-as",
-        choices=["current", "history", "changes", "increments"],
-        default="current",
-        help="how the stream has stored its counts; a shared one stores increments",
-    )
+    _stored(compare)
+
+    compaction = jobs.add_parser("compact")
+    compaction.add_argument("--tables", required=True, help="folder of Parquet tables of a stopped stream")
+    compaction.add_argument("into", help="folder to write; the stream may go on with it")
+    _stored(compaction)
 
     query = jobs.add_parser("query")
     query.add_argument("records", help="folder of landed records")
@@ -100,6 +102,15 @@ def _store(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--connections", type=int, default=16, help="tasks that write at a time")
 
 
+def _stored(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument(
+        "--stored-as",
+        choices=list(ENDINGS),
+        default="current",
+        help="how the stream has stored its counts; a shared one stores increments",
+    )
+
+
 def store_of(spark: SparkSession, options: argparse.Namespace) -> ParquetTables | JdbcTables:
     if options.tables:
         return ParquetTables(spark, options.tables)
@@ -148,6 +159,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             compared.orderBy(compared["streaming_count"].desc(), compared.columns[0]).show(truncate=False)
         print("runs")
         store.read("performance_metrics").show(truncate=False)
+    elif options.job == "compact":
+        compact(ParquetTables(spark, options.tables), ParquetTables(spark, options.into), options.stored_as)
     elif options.job == "query":
         register(spark.read.parquet(options.records))
         spark.sql(options.statement).show(truncate=False)

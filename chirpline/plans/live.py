@@ -13,14 +13,19 @@ from chirpline.streaming.queries import finish, start_all, start_shared, wait_an
 from chirpline.streaming.running import Output
 from chirpline.streaming.sinks import CHANGES, HISTORY, INCREMENTS
 
+ENDINGS = {"current": "", "history": HISTORY, "changes": CHANGES, "increments": INCREMENTS}
+
+
+def fold(rows: DataFrame, output: Output, stored_as: str) -> DataFrame:
+    """Current counts out of what several batches have stored."""
+    return add_up(rows, *output.keys) if stored_as == "increments" else newest(rows, *output.keys)
+
 
 def current_counts(store: Tables, output: Output, stored_as: str = "current") -> DataFrame:
     """Running counts as last stored, whichever way they are stored."""
     if stored_as == "current":
         return store.read(output.table)
-    ending = {"history": HISTORY, "changes": CHANGES, "increments": INCREMENTS}[stored_as]
-    rows = store.read_batches(output.table + ending, TABLES[output.table])
-    return add_up(rows, *output.keys) if stored_as == "increments" else newest(rows, *output.keys)
+    return fold(store.read_batches(output.table + ENDINGS[stored_as], TABLES[output.table]), output, stored_as)
 
 
 def run_live(

@@ -39,7 +39,8 @@ def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
     job("stream", *source, *tables, *mode)
     job("cards", f"{tmp_path}/cards", *source)
     capfd.readouterr()
-    job("compare", *tables, "--stored-as", stored_as)
+    job("compact", *tables, f"{tmp_path}/compacted", "--stored-as", stored_as)
+    job("compare", "--tables", f"{tmp_path}/compacted", "--stored-as", stored_as)
     job("query", f"{tmp_path}/records", "SELECT airline, COUNT(*) AS tweets FROM tweets GROUP BY airline")
     shown = capfd.readouterr().out
 

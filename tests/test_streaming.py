@@ -10,6 +10,7 @@ from pyspark.errors import StreamingQueryException
 from chirpline.operators.counts import airline_sentiment_counts, sentiment_counts, tag_counts
 from chirpline.plans.live import current_counts, run_live
 from chirpline.plans.metrics import timed
+from chirpline.plans.upkeep import compact
 from chirpline.schema import KEY_FIELDS, TABLES
 from chirpline.session import build_session, settings, work_dir
 from chirpline.sources.messages import decode, read_files, stream_files
@@ -186,6 +187,49 @@ def test_intake_by_bytes(spark, topic, store, checkpoint):
     assert store.read("tweets").count() == 8
 
 
+@pytest.mark.parametrize("stored_as", ["current", "history", "changes", "increments"])
+def test_a_compacted_copy_holds_the_same_and_the_stream_goes_on(spark, topic, tmp_path, store, checkpoint, stored_as):
+    def run(store):
+        messages = stream_files(spark, topic, 1)
+        if stored_as == "increments":
+            finish([start_shared(messages, store, checkpoint, interval=None)])
+        else:
+            finish(start_all(messages, store, checkpoint, stored_as=stored_as, interval=None))
+
+    def check(store, tweets):
+        for output in RUNNING_COUNTS:
+            assert as_set(current_counts(store, output, stored_as)) == expected(spark, topic, output)
+        assert store.read("tweets").count() == tweets
+
+    run(store)
+    target = ParquetTables(spark, f"{tmp_path}/compacted")
+    compact(store, target, stored_as)
+    check(target, 8)
+    batches = {row["batch_id"] for row in target.read_batches("tweets").collect()}
+    assert batches == {-1, 2}
+
+    # the last batch is repeated, as after a stop before it was marked done
+    for commit in glob.glob(f"{checkpoint}/*/commits/2"):
+        os.remove(commit)
+    for commit in glob.glob(f"{checkpoint}/*/commits/.2.crc"):
+        os.remove(commit)
+    run(target)
+    check(target, 8)
+
+    write_batch(topic, 9, [("7", "C", "neutral", ["new", "x"])])
+    run(target)
+    check(target, 9)
+
+    again = ParquetTables(spark, f"{tmp_path}/again")
+    compact(target, again, stored_as)
+    check(again, 9)
+
+
+def test_compacting_nothing_writes_nothing(spark, tmp_path, store):
+    compact(store, ParquetTables(spark, f"{tmp_path}/compacted"), "changes")
+    assert not os.path.exists(f"{tmp_path}/compacted")
+
+
 def test_empty_batches_write_nothing(spark, tmp_path, store, checkpoint):
     folder = tmp_path / "quiet"
     folder.mkdir()
