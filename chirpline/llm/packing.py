@@ -8,8 +8,10 @@ equal length form a bucket from which batches without padding are drawn.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,59 +20,119 @@ from pyspark.sql import DataFrame
 
 from chirpline.llm.common import blocks, text_or_empty, texts_of
 
-# A word that no text may hold next to others when several are encoded at once.
+# Stands between words that are encoded together; words that hold it go alone.
 MARK = b"\x01"
-MEMO_WORDS = 250_000
+MEMO_WORDS = 400_000
 MEMO_WORD_BYTES = 64
 WORDS_PER_CALL = 1_000
+# Letters with punctuation around them: up to three parts that the tokenizer splits before it merges.
+PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 # Bits of a sequence id: the bucket, the task that cut the piece, the piece's place there.
 TASK_BITS, PLACE_BITS = 24, 34
 
 
+class Memo:
+    """The entries used last, at least ``size`` and at most twice as many."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys without an entry; the others can be looked up in ``now`` until the next call."""
+        if len(self.now) > self.size:
+            self.before, self.now = self.now, {}
+        away = keys.difference(self.now)
+        before = self.before
+        back = [x for x in away if x in before]
+        self.now.update((x, before[x]) for x in back)
+        return away.difference(back)
+
+
 class WordEncoder:
-    """Token ids of whole texts by a tokenizer that drops white space.
+    """Token ids of whole texts by a lower-casing tokenizer that drops white space.
 
-    Such a tokenizer never looks across white space, so a text's ids are those
-    of its words one after the other. Words met before come from a memo, which
-    is emptied when full; it changes no result.
+    Such a tokenizer never looks across white space, nor from letters to
+    punctuation, so a text's ids are those of its words one after the other,
+    and a plain word's ids those of its parts. Words and parts met before come
+    from memos, which change no result.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-        self.mark = self._encode([MARK])[0]
+        self.words, self.parts = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        self.mark = self._encode([MARK.decode()])[0]
         if len(self.mark) != 1:
             raise ValueError(f"{path} has no single id for the mark between words")
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4") for x in found]
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        plain = [x for x in words if MARK not in x and len(x) <= MEMO_WORD_BYTES]
-        odd = [x for x in words if MARK in x or len(x) > MEMO_WORD_BYTES]
-        out = {word: ids.tobytes() for word, ids in zip(odd, self._encode(odd), strict=True)} if odd else {}
-        groups = [plain[i : i + WORDS_PER_CALL] for i in range(0, len(plain), WORDS_PER_CALL)]
-        joined = self._encode([(b" " + MARK + b" ").join(group) for group in groups]) if groups else []
-        for group, ids in zip(groups, joined, strict=True):
+    def _learn_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Each part ends in the only one of its tokens that ends a part."""
+        out = {}
+        for i in range(0, len(parts), WORDS_PER_CALL):
+            group = parts[i : i + WORDS_PER_CALL]
+            ids = self._encode([" ".join(group)])[0]
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(group):
+                raise ValueError("the tokenizer does not split letters from punctuation")
+            packed = ids.tobytes()
+            out.update((x, packed[4 * a : 4 * b]) for x, a, b in zip(group, [0, *cuts], cuts, strict=False))
+        return out
+
+    def _learn_odd(self, words: list[bytes]) -> dict[bytes, bytes]:
+        alone = [x for x in words if MARK in x or len(x) > MEMO_WORD_BYTES]
+        out = {word: ids.tobytes() for word, ids in zip(alone, self._encode([x.decode() for x in alone]), strict=True)}
+        rest = [x for x in words if x not in out]
+        for i in range(0, len(rest), WORDS_PER_CALL):
+            group = rest[i : i + WORDS_PER_CALL]
+            ids = self._encode([(b" " + MARK + b" ").join(group).decode()])[0]
             cuts = np.flatnonzero(ids == self.mark[0])
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
             out.update((word, ids[a:b].tobytes()) for word, a, b in zip(group, starts, ends, strict=True))
         return out
 
+    def learn(self, words: set[bytes], special: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, of which some may hold the ``special`` tokens' texts."""
+        match = PLAIN.fullmatch
+        plain, odd = {}, []
+        for word in words:
+            found = match(word.decode().lower()) if len(word) <= MEMO_WORD_BYTES else None
+            if found and not (special and any(x in word for x in special)):
+                plain[word] = [x for x in found.groups() if x]
+            else:
+                odd.append(word)
+        new = self.parts.missing({x for parts in plain.values() for x in parts})
+        self.parts.now.update(self._learn_parts(list(new)))
+        find = self.parts.now
+        out = {word: b"".join([find[x] for x in parts]) for word, parts in plain.items()}
+        out.update(self._learn_odd(odd))
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [x.split() for x in texts]
-        wanted: set[bytes] = set().union(*split)
-        new = self.learn(wanted.difference(self.memo))
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            known = {word: self.memo[word] for word in wanted if word in self.memo}
-            self.memo = known
-        self.memo.update(new)
-        return [b"".join(map(self.memo.__getitem__, words)) for words in split]
+        new = self.words.missing(set().union(*split))
+        special = [x for x in self.special if any(x in text for text in texts)]
+        self.words.now.update(self.learn(new, special))
+        find = self.words.now.__getitem__
+        return [b"".join(map(find, words)) for words in split]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs."""
+    return WordEncoder(path)
 
 
 def piece_lengths(total: int, longest: int) -> list[int]:
@@ -85,7 +147,7 @@ def pack(
     longest: int = 2048,
     end_id: int = 1,
     with_ids: bool = True,
-    encoder: Callable[[str], WordEncoder] = WordEncoder,
+    encoder: Callable[[str], WordEncoder] = encoder_of,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket`` and, if asked for, ``ids``.
 
