@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chirpline.llm import exact, packing, simhash
+from pyspark.sql import functions as F
+
+from chirpline.llm import exact, lines, mixing, packing, quality, simhash, tokens, toxicity
 from chirpline.llm.common import read_table
 
 
@@ -17,21 +19,113 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = lines.line_dedup(read_table(spark, sf_dir, "documents"))
+    return deduped.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op5_exact_dedup": op5_exact_dedup,
-    "op10_simhash": op10_simhash,
+    query.__name__: query
+    for query in (
+        op1_packing,
+        op2_mixing,
+        op5_exact_dedup,
+        op6_line_dedup,
+        op7_quality,
+        op8_token_counts,
+        op9_toxicity,
+        op10_simhash,
+    )
 }
 
 SQL: dict[str, str] = {
+    "op2_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(text, '') AS text,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   length(regexp_replace(coalesce(text, ''), '[\p{L}\x20\x09-\x0D]+', '', 'g')) AS others,
+                   length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS shown
+            FROM documents),
+        k AS (
+            SELECT doc_id, source, size,
+                   -ln((('0x' || substr(md5('mix-1:' || doc_id), 1, 12))::UBIGINT::DOUBLE + 0.5) / 281474976710656)
+                   / (1.05 - CASE WHEN shown > 0 THEN others::DOUBLE / shown ELSE 1 END) AS key
+            FROM d),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
+            FROM k GROUP BY source),
+        c AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(sum(3.0::DOUBLE * source_size) OVER earlier, 0)) * weight
+                      > 3.0::DOUBLE * source_size * (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS capped
+            FROM s WINDOW earlier AS (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (
+            SELECT source, source_size,
+                   CASE WHEN capped THEN 3.0::DOUBLE * source_size
+                        ELSE least((sum(source_size) OVER () - sum(CASE WHEN capped THEN 3.0::DOUBLE * source_size ELSE 0 END) OVER ())
+                                   * weight / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 3.0::DOUBLE * source_size)
+                   END AS target
+            FROM c),
+        b AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
+                   CASE WHEN source_size > 0 THEN floor(target)::BIGINT % source_size ELSE 0 END AS rest
+            FROM t)
+        SELECT doc_id, size, source_size, target,
+               epochs * size + greatest(0, least(size, rest - (sum(size) OVER ranked - size)))::BIGINT AS taken
+        FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source
+        WINDOW ranked AS (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "op6_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+            FROM documents),
+        f AS (
+            SELECT doc_id, place, row_number() OVER one AS n,
+                   [trimmed, lead(trimmed) OVER one, lead(trimmed, 2) OVER one] AS run, lead(trimmed, 2) OVER one IS NOT NULL AS whole
+            FROM (SELECT *, trim(line, E' \t\n\r\x0b\x0c') AS trimmed FROM l) WHERE trimmed <> ''
+            WINDOW one AS (PARTITION BY doc_id ORDER BY place)),
+        later AS (
+            SELECT doc_id, n FROM (SELECT *, min((doc_id, n)) OVER (PARTITION BY run) AS first_at FROM f WHERE whole)
+            WHERE (doc_id, n) <> first_at),
+        gone AS (SELECT DISTINCT doc_id, n + step AS n FROM later, (SELECT unnest([0, 1, 2]) AS step)),
+        dropped AS (SELECT doc_id, place, n FROM f JOIN gone USING (doc_id, n)),
+        runs AS (
+            SELECT doc_id, count(*) AS n_removed, count(*) FILTER (is_start) AS n_runs
+            FROM (SELECT doc_id, n - lag(n, 1, -1) OVER (PARTITION BY doc_id ORDER BY n) > 1 AS is_start FROM dropped)
+            GROUP BY doc_id)
+        SELECT l.doc_id, count(*) AS n_lines, coalesce(any_value(n_removed), 0) AS n_removed, coalesce(any_value(n_runs), 0) AS n_runs,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY l.place) FILTER (d.place IS NULL), '')) AS kept_sha256
+        FROM l LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.place = d.place LEFT JOIN runs r ON l.doc_id = r.doc_id
+        GROUP BY l.doc_id""",
     "op5_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
