@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,10 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Where Python workers run beside the driver, they find this package where it lies.
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, (known.get("PYTHONPATH"), root)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

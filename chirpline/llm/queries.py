@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from chirpline.llm import exact, lines, mixing, packing, quality, simhash, tokens, toxicity
+from chirpline.llm import embeddings, exact, lines, mixing, packing, quality, simhash, tokens, toxicity
 from chirpline.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_groups(read_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_packing,
         op2_mixing,
+        op3_embedding_dedup,
         op5_exact_dedup,
         op6_line_dedup,
         op7_quality,
