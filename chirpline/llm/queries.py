@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from chirpline.llm import embeddings, exact, lines, mixing, packing, quality, simhash, tokens, toxicity
+from chirpline.llm import embeddings, exact, lines, mixing, packing, quality, repeats, simhash, tokens, toxicity
 from chirpline.llm.common import read_table
 
 
@@ -27,6 +27,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_groups(read_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(read_table(spark, sf_dir, "documents"), length=400)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_packing,
         op2_mixing,
         op3_embedding_dedup,
+        op4_suffix_dedup,
         op5_exact_dedup,
         op6_line_dedup,
         op7_quality,
