@@ -10,23 +10,27 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from chirpline.llm.common import blocks, text_or_empty, texts_of
+from chirpline.llm.common import blocks, text_or_empty
 
 # Stands between words that are encoded together; words that hold it go alone.
 MARK = b"\x01"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 500_000
 MEMO_WORD_BYTES = 64
 WORDS_PER_CALL = 1_000
-# Letters with punctuation around them: up to three parts that the tokenizer splits before it merges.
-PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+TEXT_BYTES = 2 << 20
+# Letters with punctuation around them: up to three parts that the tokenizer splits
+# before it merges. Lines that are anything else go into the last group.
+PLAIN = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 
 # Bits of a sequence id: the bucket, the task that cut the piece, the piece's place there.
 TASK_BITS, PLACE_BITS = 24, 34
@@ -61,34 +65,26 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words, self.parts = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
         self.mark = self._encode([MARK.decode()])[0]
         if len(self.mark) != 1:
             raise ValueError(f"{path} has no single id for the mark between words")
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4") for x in found]
 
-    def _learn_parts(self, parts: list[str]) -> dict[str, bytes]:
-        """Each part ends in the only one of its tokens that ends a part."""
-        out = {}
-        for i in range(0, len(parts), WORDS_PER_CALL):
-            group = parts[i : i + WORDS_PER_CALL]
-            ids = self._encode([" ".join(group)])[0]
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) != len(group):
-                raise ValueError("the tokenizer does not split letters from punctuation")
-            packed = ids.tobytes()
-            out.update((x, packed[4 * a : 4 * b]) for x, a, b in zip(group, [0, *cuts], cuts, strict=False))
-        return out
+    def _learn_part(self, part: str) -> bytes:
+        """A part is merged as it stands; letters beyond ASCII are spelt in the tokenizer's byte letters first."""
+        if not part.isascii():
+            part = self.bytes_of.pre_tokenize_str(part)[0][0]
+        return array("I", [x.id for x in self.model.tokenize(part)]).tobytes()
 
     def _learn_odd(self, words: list[bytes]) -> dict[bytes, bytes]:
         alone = [x for x in words if MARK in x or len(x) > MEMO_WORD_BYTES]
@@ -102,31 +98,47 @@ class WordEncoder:
             out.update((word, ids[a:b].tobytes()) for word, a, b in zip(group, starts, ends, strict=True))
         return out
 
-    def learn(self, words: set[bytes], special: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words, of which some may hold the ``special`` tokens' texts."""
-        match = PLAIN.fullmatch
-        plain, odd = {}, []
-        for word in words:
-            found = match(word.decode().lower()) if len(word) <= MEMO_WORD_BYTES else None
-            if found and not (special and any(x in word for x in special)):
-                plain[word] = [x for x in found.groups() if x]
-            else:
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, none empty and none with white space of the ASCII range."""
+        text = b"\n".join(words)
+        special = [x for x in self.special if x in text]
+        odd = [x for x in words if len(x) > MEMO_WORD_BYTES or any(y in x for y in special)] if words else []
+        if odd:
+            apart = set(odd)
+            words = [x for x in words if x not in apart]
+            text = b"\n".join(words)
+        found = PLAIN.findall(text.decode().lower()) if words else []
+        new = self.parts.missing({x for groups in found for x in groups[:3]})
+        known = self.parts.now
+        known.update((x, self._learn_part(x) if x else b"") for x in new)
+        out = {}
+        for word, (head, letters, tail, other) in zip(words, found, strict=True):
+            if other:
                 odd.append(word)
-        new = self.parts.missing({x for parts in plain.values() for x in parts})
-        self.parts.now.update(self._learn_parts(list(new)))
-        find = self.parts.now
-        out = {word: b"".join([find[x] for x in parts]) for word, parts in plain.items()}
+            else:
+                out[word] = known[head] + known[letters] + known[tail]
         out.update(self._learn_odd(odd))
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [x.split() for x in texts]
-        new = self.words.missing(set().union(*split))
-        special = [x for x in self.special if any(x in text for text in texts)]
-        self.words.now.update(self.learn(new, special))
-        find = self.words.now.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, as unsigned 32-bit numbers, and where each text ends."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        # White space at the edges of a text leaves empty words.
+        new = self.words.missing({x for x in words if x})
+        self.words.now.update(self.learn(list(new)))
+        find = self.words.now
+        spelt = [find[x] if x else b"" for x in words]
+        sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+        ids = np.frombuffer(b"".join(spelt), dtype="<u4")
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
+        flat = ids[np.repeat(shift, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        last_word = np.cumsum(pc.list_value_length(split).to_numpy())
+        return flat, np.concatenate(([0], ends))[last_word]
 
 
 @lru_cache(maxsize=2)
@@ -175,32 +187,30 @@ def pack(
         task = TaskContext.get().partitionId()
         if task >> TASK_BITS:
             raise ValueError(f"more than {1 << TASK_BITS} tasks: read larger splits")
-        last = int(end_id).to_bytes(4, "little")
         places = [0] * (top + 1)
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", TEXT_BYTES):
+                flat, ends = encode(block.column("text"))
+                flat = np.insert(flat, ends, end_id)
+                packed = memoryview(flat.tobytes())
                 rows: list[tuple] = []
-                ids: list[np.ndarray] = []
-                for doc_id, encoded in zip(block.column("doc_id").to_pylist(), encode(texts_of(block, "text")), strict=True):
-                    encoded += last
-                    total = len(encoded) // 4
-                    start = 0
+                begin = 0
+                for doc_id, end in zip(block.column("doc_id").to_pylist(), (ends + np.arange(1, len(ends) + 1)).tolist(), strict=True):
+                    start, total = begin, end - begin
                     for length in piece_lengths(total, longest):
                         bucket = length.bit_length() - 1
-                        piece = encoded[4 * start : 4 * (start + length)]
                         sequence = (top - bucket) << (TASK_BITS + PLACE_BITS) | task << PLACE_BITS | places[bucket]
-                        rows.append((doc_id, start, length, zlib.crc32(piece), total, sequence, 0, bucket))
-                        if with_ids:
-                            ids.append(np.frombuffer(piece, dtype="<i4"))
+                        crc = zlib.crc32(packed[4 * start : 4 * (start + length)])
+                        rows.append((doc_id, start - begin, length, crc, total, sequence, 0, bucket))
                         places[bucket] += 1
                         start += length
-                columns = [
-                    pa.array(x, pa.int64() if i < 7 else pa.int32()) for i, x in enumerate(zip(*rows, strict=True))
-                ]
+                    begin = end
+                kinds = [pa.int64()] * 7 + [pa.int32()]
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"]
                 if with_ids:
-                    ends = np.cumsum([0, *map(len, ids)])
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))))
+                    cuts = np.cumsum([0, *(row[2] for row in rows)])
+                    columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.view("<i4"))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
