@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from chirpline.llm.common import blocks, text_or_empty, texts_of
 from chirpline.llm.sampling import fold, labelled_sample
@@ -175,8 +176,7 @@ def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
     if keep:
         names = [x for x in docs.columns if x.lower() != "score"]
         kept = docs.select(names)
-        schema = kept.schema.add("score", "double")
-        return kept.mapInArrow(run, schema)
+        return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("score", DoubleType())]))
     scored = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
         run, "doc_id long, score double"
     )
