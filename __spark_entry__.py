@@ -22,11 +22,14 @@ from chirpline.sources.tables import ParquetTables
 from chirpline.streaming.queries import finish, start_cards, start_count, start_shared, start_tweets
 from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT, Output
 
-# The subpackage of training-data operators is an extra: without it the rest works on.
+# The training-data operators and their pipeline are an extra: without them the rest works on.
 try:
+    import corpus_pipeline
     from chirpline.llm import queries as llm
+
+    EXTRA_QUERIES, EXTRA_SQL = {**llm.QUERIES, "pipeline": corpus_pipeline.run}, llm.SQL
 except ImportError:
-    llm = None
+    EXTRA_QUERIES, EXTRA_SQL = {}, {}
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -223,7 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_hashtags_charted": lambda s, d: compare_hashtags(s, d, 5),
         "comparison_report": comparison_report,
         "run_metrics": run_metrics,
-        **(llm.QUERIES if llm else {}),
+        **EXTRA_QUERIES,
     }
 
 
@@ -331,5 +334,5 @@ def oracle_sql() -> dict[str, str]:
               FROM ({compared_sentiment})
             UNION ALL SELECT 'hashtags', hashtag, * EXCLUDE (hashtag) FROM hashtags
             UNION ALL SELECT 'negative_by_airline', airline, * EXCLUDE (airline) FROM ({compared_airline})""",
-        **(llm.SQL if llm else {}),
+        **EXTRA_SQL,
     }
