@@ -138,8 +138,9 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
                 yield pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.string())], names)
 
     same = source["doc_id"].eqNullSafe(per_doc["doc_id"]) & (source["text_hash"] == per_doc["text_hash"])
+    # Lists of deleted lines grow with the documents, so the plan is the one for many of them.
     return (
-        source.join(per_doc, same, "left")
+        source.join(per_doc.hint("merge"), same, "left")
         .select(source["doc_id"], source["text"], "later")
         .mapInArrow(delete, "doc_id long, n_lines long, n_removed long, n_runs long, kept_text string")
     )
