@@ -1,0 +1,60 @@
+import hashlib
+import re
+
+from chirpline.llm.exact import directory, exact_dedup, exact_groups
+
+from .cases import DOC_SCHEMA, found, no_docs, odd_docs, odd_rows, with_clashes
+
+
+def norm(text):
+    return re.sub("[\\x20\\x09-\\x0D]+", " ", text or "")
+
+
+def brute(rows):
+    groups = {}
+    for doc_id, text, *_ in rows:
+        groups.setdefault(norm(text), []).append(doc_id)
+    out = []
+    for doc_id, text, *_ in rows:
+        ids = groups[norm(text)]
+        keep = min((x for x in ids if x is not None), default=None)
+        out.append((doc_id, keep, len(ids), doc_id == keep, hashlib.sha256(norm(text).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_groups(spark):
+    assert found(exact_groups(odd_docs(spark))) == brute(odd_rows())
+
+
+def test_chains_of_colliding_keys(spark):
+    for bits in (0, 2):
+        assert found(exact_groups(odd_docs(spark), key_bits=bits)) == brute(odd_rows())
+
+
+def test_overflow_pages_of_a_hot_text(spark):
+    rows = [(i, "hot text " * 30 if i % 3 else f"other {i}", "en", "s", 1) for i in range(600)]
+    assert found(exact_groups(spark.createDataFrame(rows, DOC_SCHEMA).repartition(5))) == brute(rows)
+
+
+def test_directory_doubles_where_buckets_are_full(spark):
+    keys = spark.range(64).selectExpr("(id << 58) AS key", "10L AS n_bytes")
+    crowded = spark.range(8).selectExpr("(id << 55) AS key", "10L AS n_bytes")
+    cells, depth = directory(keys.unionByName(crowded), capacity=25, depth=2)
+    rows = {r.cell: r.bucket for r in cells.collect()}
+    assert depth > 5
+    assert set(rows) <= set(range(1 << depth))
+    # Where keys are spread evenly, buckets were split less often than the directory.
+    assert len(set(rows.values())) < len(rows)
+
+
+def test_empty_table(spark):
+    assert found(exact_groups(no_docs(spark))) == []
+
+
+def test_dedup_keeps_columns_and_one_of_each(spark):
+    docs = with_clashes(odd_docs(spark))
+    kept = exact_dedup(docs)
+    assert kept.columns == docs.columns
+    texts = [norm(r.text) for r in kept.collect() if r.doc_id != 0]
+    assert len(texts) == len(set(texts))
+    assert {norm(r.text) for r in kept.collect()} == {norm(x[1]) for x in odd_rows()}
