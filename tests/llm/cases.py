@@ -22,7 +22,7 @@ def odd_rows(seed: int = 1) -> list[tuple]:
     texts += [None, "", " ", "\n\t ", "x", "same " * 300, words(rng, 4000), "line one\nline two\nline three\nline four"] * 2
     texts += ["Ünï – 漢字 😀 \x01 <|endoftext|> isn't 12", "no-white-space" * 200]
     rows = [(i * 3, x, "en", f"src{i % 3}" if i % 7 else None, len(x or "")) for i, x in enumerate(texts)]
-    return [*rows, rows[0], rows[0], (None, base[0], "en", "src1", 1), (None, None, None, None, None)]
+    return [*rows, rows[0], rows[0], (None, base[0], "en", "src1", len(base[0])), (None, None, None, None, None)]
 
 
 def odd_docs(spark, seed: int = 1, partitions: int = 4):
