@@ -78,9 +78,13 @@ def mix(
     most: int = MOST,
     quality: Column | None = None,
     seed: str = SEED,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """All rows and columns of ``docs`` plus ``size, source_size, target, taken``.
 
+    ``keep`` names the columns to return beside ``doc_id`` and ``source``, if
+    not all. Without ``text`` among them, texts are read once only.
+
     ``size`` counts words, a null text has none. ``taken`` is the words the mix
     takes of the document: its size for each whole epoch of its source, and
     once more if its key is among the first that fill the rest of the target.
@@ -91,12 +95,15 @@ def mix(
     and an empty table take nothing. Columns named as those added are replaced,
     and columns named as a working column (``OWN``) are left out.
     """
-    names = [x for x in docs.columns if x.lower() not in ADDED + OWN]
+    wanted = None if keep is None else {"doc_id", "source", *keep}
+    names = [x for x in docs.columns if x.lower() not in ADDED + OWN and (wanted is None or x in wanted)]
     ranges = max(1, math.isqrt(docs.count()))
     key = exponential_key(letter_share() if quality is None else quality, seed)
     keyed = docs.select(*names, word_count().alias("size"), key.alias("_key")).withColumn(
         "_range", F.floor((1 - F.exp(-F.col("_key"))) * ranges).cast("long")
     )
+    if "text" not in names:
+        keyed = staged(keyed, "keyed")
     summed = staged(keyed.groupBy("source", "_range").agg(F.sum("size").alias("words")), "ranges")
     sources = targets(summed.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     budget = F.floor("target").cast("long")

@@ -20,7 +20,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(read_table(spark, sf_dir, "documents"), keep=[]).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
