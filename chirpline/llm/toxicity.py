@@ -189,11 +189,12 @@ def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
 def train(
     sample: list[tuple[int, bytes]], counts: dict[int, int], epochs: int = 6, rate: float = 0.05, seed: int = 11
 ) -> Model:
-    """Trains on four fifths of the sample and calibrates on the rest.
+    """Trains on the whole sample, with thresholds from a model of four fifths of it that scored the rest.
 
-    A class weighs as much as its share of all learning rows (``counts``). A
-    language with under 20 calibration rows of either label takes the threshold
-    of all rows. Without rows of both labels, scores are the share of label 1.
+    A class weighs as much as its share of all learning rows (``counts``),
+    evened out by half. A language with under 20 calibration rows of either
+    label takes the threshold of all rows. Without rows of both labels, scores
+    are the share of label 1.
     """
     rng = np.random.default_rng(seed)
     split = [(y, words_of(text)) for y, text in sample]
@@ -203,10 +204,13 @@ def train(
         used.update({x for word in set(words) for x in word_features(word)})
     common = sorted(((n, x) for x, n in used.items() if n >= MIN_DOCS), key=lambda v: (-v[0], v[1]))[:MOST_FEATURES]
     rows = {x: i + 1 for i, (_, x) in enumerate(common)}
-    net = Net(len(rows), rng)
-    model = Model(rows, net.vectors, net.taps, net.bias, net.layer, 0.0, np.full(len(LANGUAGES), THRESHOLD))
+
+    def fresh(net: Net, thresholds: np.ndarray) -> Model:
+        return Model(rows, net.vectors, net.taps, net.bias, net.layer, float(net.offset[0]), thresholds)
+
+    model = fresh(Net(len(rows), rng), np.full(len(LANGUAGES), THRESHOLD))
     if not all(seen):
-        model.layer = np.zeros_like(net.layer)
+        model.layer = np.zeros_like(model.layer)
         model.offset = float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)))
         return model
 
@@ -218,26 +222,28 @@ def train(
             if word not in memo:
                 memo[word] = model.indices(word)
         inputs.append((y, np.array([*blank, *(memo[x] for x in words), *blank], dtype=np.int64)))
-    weight = [counts[k] / sum(counts.values()) * len(sample) / seen[k] for k in (0, 1)]
-    weight = [w**0.5 for w in weight]
-    order = rng.permutation(len(inputs))
-    kept_out, learned = order[: len(order) // 5], order[len(order) // 5 :]
-    for epoch in range(epochs):
-        for i in rng.permutation(learned):
-            net.learn(inputs[i][1], inputs[i][0], weight[inputs[i][0]], rate * (1 - epoch / epochs))
-    model.offset = float(net.offset[0])
+    weight = [(counts[k] / sum(counts.values()) * len(sample) / seen[k]) ** 0.5 for k in (0, 1)]
 
-    scorer = Scorer(model)
+    def learned(some: np.ndarray) -> Net:
+        net = Net(len(rows), np.random.default_rng(seed))
+        for epoch in range(epochs):
+            for i in rng.permutation(some):
+                net.learn(inputs[i][1], inputs[i][0], weight[inputs[i][0]], rate * (1 - epoch / epochs))
+        return net
+
+    order = rng.permutation(len(inputs))
+    kept_out = order[: len(order) // 5]
+    thresholds = model.thresholds
+    scorer = Scorer(fresh(learned(order[len(kept_out) :]), thresholds))
     raw, languages = scorer.raw([sample[i][1] for i in kept_out])
     y = np.array([sample[i][0] for i in kept_out])
     if 0 < y.sum() < len(y):
-        model.thresholds[:] = best_threshold(raw, y)
+        thresholds[:] = best_threshold(raw, y)
         for language in range(len(LANGUAGES)):
             own = languages == language
             if min(y[own].sum(), (1 - y[own]).sum()) >= 20:
-                model.thresholds[language] = best_threshold(raw[own], y[own])
-    model.thresholds = np.clip(model.thresholds, 0.01, 0.99)
-    return model
+                thresholds[language] = best_threshold(raw[own], y[own])
+    return fresh(learned(order), np.clip(thresholds, 0.01, 0.99))
 
 
 class Scorer:

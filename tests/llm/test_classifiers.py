@@ -1,0 +1,137 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chirpline.llm import quality, toxicity
+from chirpline.llm.sampling import labelled_sample
+
+from .cases import found, no_docs, odd_docs, odd_rows, with_clashes, words
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def held_out(labels, scored, label):
+    rows = scored.filter("held_out").join(labels.withColumnRenamed(label, "y"), "doc_id").select("predicted", "y").collect()
+    return np.array([r.predicted for r in rows]), np.array([r.y for r in rows])
+
+
+def test_quality_on_held_out_rows(tables):
+    docs, labels = tables
+    predicted, y = held_out(labels, quality.score(docs, quality.fit(docs, labels)), "quality")
+    assert len(y) > 500
+    assert (predicted == y).mean() > 0.98
+
+
+def test_toxicity_on_held_out_rows(tables):
+    docs, labels = tables
+    predicted, y = held_out(labels, toxicity.score(docs, toxicity.fit(docs, labels)), "toxic")
+    assert (predicted == y).mean() > 0.96
+    assert predicted[y == 1].mean() > 0.85
+
+
+def labelled(spark):
+    """Toxic documents hold one of two words, good ones no rows of marks."""
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(400):
+        bad, toxic = i % 3 == 0, i % 4 == 0
+        text = words(rng, 30).split()
+        if toxic:
+            text[rng.randrange(30)] = rng.choice(["foul", "vile"])
+        docs.append((i, " ".join(x + "%%%" * bad for x in text), "en", "s", 0))
+        labels.append((i, int(not bad), int(toxic)))
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int"
+    )
+
+
+@pytest.mark.parametrize(("module", "label", "folds", "left_out"), [(quality, "quality", 5, 0), (toxicity, "toxic", 4, 2)])
+def test_odd_rows_and_folds(spark, module, label, folds, left_out):
+    docs, labels = labelled(spark)
+    model = module.fit(docs, labels)
+    odd = with_clashes(odd_docs(spark))
+    got = module.score(odd, model).collect()
+    assert len(got) == len(odd_rows())
+    assert module.score(odd, model).columns == ["doc_id", "held_out", "score", "predicted"]
+    for r in got:
+        assert 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % folds == left_out)
+    empty = {r.score for r in module.score(odd.filter("trim(coalesce(text, '')) = ''"), model).collect()}
+    assert len(empty) == 1
+    assert found(module.score(no_docs(spark), model)) == []
+    # Language, source and id are no inputs.
+    other = odd.withColumn("lang", F.lit("fr")).withColumn("source", F.lit("z")).withColumn("doc_id", F.col("doc_id") + 1)
+    assert sorted(r.score for r in module.score(other, model).collect()) == sorted(r.score for r in got)
+
+
+@pytest.mark.parametrize(("module", "label", "left_out"), [(quality, "quality", (5, 0)), (toxicity, "toxic", (4, 2))])
+def test_held_out_labels_are_not_learned(spark, module, label, left_out):
+    docs, labels = labelled(spark)
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(left_out[0]))
+    turned = labels.withColumn(label, F.when(fold == left_out[1], 1 - F.col(label)).otherwise(F.col(label)))
+    one = found(module.score(docs, module.fit(docs, labels)))
+    assert one == found(module.score(docs, module.fit(docs, turned)))
+    right = {r.doc_id: r[label] for r in labels.collect()}
+    hits = [predicted == right[doc_id] for doc_id, out, _, predicted in one if out]
+    assert np.mean(hits) > 0.9
+
+
+@pytest.mark.parametrize(("module", "label"), [(quality, "quality"), (toxicity, "toxic")])
+def test_labels_of_one_kind_or_none(spark, module, label):
+    docs, labels = labelled(spark)
+    for some in (labels.filter("false"), labels.filter(f"{label} = 1"), labels.withColumn(label, F.lit(None).cast("int"))):
+        scores = {r.score for r in module.score(docs, module.fit(docs, some)).collect()}
+        assert len(scores) == 1
+
+
+def test_sample_is_bounded_and_counts_are_not(spark):
+    docs, labels = labelled(spark)
+    twice = labels.unionByName(labels).unionByName(labels.selectExpr("cast(null as long) doc_id", "quality", "toxic"))
+    sample, counts = labelled_sample(docs, with_clashes(twice), "quality", F.lit(True), 20, 1 << 16)
+    assert len(sample) == 20 or sum(y for y, _ in sample) <= 20
+    assert len(sample) <= 40
+    assert sum(counts.values()) == twice.count()
+    assert labelled_sample(docs, labels, "quality", F.lit(True), 20, 1)[0] == []
+
+
+def test_scores_do_not_depend_on_the_memo():
+    rng = random.Random(1)
+    texts = [words(rng, 50).encode() for _ in range(30)]
+    sample = [(i % 2, x + b" bad" * (i % 2)) for i, x in enumerate(texts)] * 3
+    for module in (quality, toxicity):
+        model = module.train(sample, {0: 45, 1: 45})
+        whole = list(module.Scorer(model).scores(texts))
+        scorer = module.Scorer(model)
+        module.MEMO_WORDS, before = 10, module.MEMO_WORDS
+        try:
+            assert np.allclose([scorer.scores([x])[0] for x in texts], whole, atol=1e-6)
+        finally:
+            module.MEMO_WORDS = before
+
+
+def test_accepted_keeps_columns(spark):
+    docs, labels = labelled(spark)
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {
+        r.doc_id for r in quality.score(docs, quality.fit(docs, labels)).filter("predicted = 1").collect()
+    }
+
+
+def test_pooling_never_crosses_documents():
+    rng = random.Random(3)
+    sample = [(i % 2, words(rng, 20).encode() + b" bad" * (i % 2)) for i in range(60)]
+    model = toxicity.train(sample, {0: 30, 1: 30})
+    texts = [x for _, x in sample[:20]] + [b"", b"one", b"two words"]
+    together, _ = toxicity.Scorer(model).raw(texts)
+    alone = [toxicity.Scorer(model).raw([x])[0][0] for x in texts]
+    assert np.allclose(together, alone, atol=1e-6)
