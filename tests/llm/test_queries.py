@@ -1,0 +1,132 @@
+"""The registered queries against their SQL, and the others against plain versions, on the given tables."""
+
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__
+import corpus_pipeline
+from chirpline.llm.queries import QUERIES, SQL
+
+from . import test_exact, test_mixing, test_repeats, test_simhash
+from .cases import found
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    return con
+
+
+def rows_of(spark, name):
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    return [tuple(r[x] for x in columns) for r in spark.read.parquet(f"{SF}/{name}.parquet").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, db, name):
+    df = QUERIES[name](spark, SF)
+    columns = sorted(df.columns)
+    want = db.sql(SQL[name])
+    assert sorted(want.columns) == columns
+    got = sorted(map(tuple, df.select(columns).collect()), key=repr)
+    assert got == sorted(db.sql(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall(), key=repr)
+
+
+def test_all_operators_are_registered():
+    names = [f"op{n}_" for n in range(1, 11)]
+    registered = __spark_entry__.queries()
+    assert all(sum(q.startswith(n) for q in registered) == 1 for n in names)
+    assert registered["pipeline"] is corpus_pipeline.run
+    assert set(QUERIES) <= set(registered)
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
+
+
+def test_op1(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r[0]: r[1] for r in rows_of(spark, "documents")}
+    ids = {k: np.array([*tokenizer.encode(v or "", add_special_tokens=False).ids, 1], "<u4") for k, v in texts.items()}
+    seen = Counter()
+    for r in QUERIES["op1_packing"](spark, SF).collect():
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(piece.tobytes())
+        assert r.doc_tokens == len(ids[r.doc_id])
+        seen[r.doc_id] += r.length
+    assert seen == {k: len(v) for k, v in ids.items()}
+
+
+def test_op3(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    labels = np.array([r[2] for r in rows])
+    near = (x @ x.T >= 0.93) & (labels[:, None] == labels[None])
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r for r in QUERIES["op3_embedding_dedup"](spark, SF).collect()}
+    assert [got[r[0]].n_links for r in rows] == near.sum(axis=1).tolist()
+    reach = near | np.eye(len(rows), dtype=bool)
+    for _ in range(10):
+        reach = reach @ reach
+    ids = np.array([r[0] for r in rows])
+    assert [got[i].component_id for i in ids.tolist()] == [int(ids[r].min()) for r in reach]
+
+
+def test_op4(spark):
+    assert found(QUERIES["op4_suffix_dedup"](spark, SF)) == test_repeats.brute(rows_of(spark, "documents"), 400)
+
+
+def test_op8_counts_add_up(spark):
+    got = QUERIES["op8_token_counts"](spark, SF).groupBy("doc_id").sum("n_tokens").collect()
+    assert len(got) == 200
+    assert all(r[1] > 0 for r in got)
+
+
+def test_op10(spark):
+    assert found(QUERIES["op10_simhash"](spark, SF)) == test_simhash.brute(rows_of(spark, "documents"))
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against a plain version on what the stage before kept; all of them as run() chains them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names, stages = zip(*corpus_pipeline.STAGES, strict=True)
+    assert names == (
+        "quality classifier", "exact dedup", "SimHash near-dedup", "mixing sources to target weights", "packing",
+    )
+    kept = [rows_of(spark, "documents")]
+    for stage in stages[:-1]:
+        df = stage(spark, docs, SF)
+        assert sorted(df.columns) == sorted(docs.columns)
+        docs = spark.createDataFrame(df.select("doc_id", "text", "lang", "source", "n_chars").collect(), docs.schema)
+        kept.append([tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()])
+    whole, good, single, apart, mixed = kept
+    predicted = {r.doc_id for r in QUERIES["op7_quality"](spark, SF).filter("predicted = 1").collect()}
+    assert sorted(good) == sorted(x for x in whole if x[0] in predicted)
+    ids = {x[0] for x in test_exact.brute(good) if x[3]}
+    assert sorted(single) == sorted(x for x in good if x[0] in ids)
+    ids = {x[0] for x in test_simhash.brute(single) if x[0] == x[2]}
+    assert sorted(apart) == sorted(x for x in single if x[0] in ids)
+    words = Counter()
+    for x in mixed:
+        words[x[0]] += test_mixing.count(x[1])
+    assert words == {x[0]: x[4] for x in test_mixing.brute(apart) if x[4]}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = stages[-1](spark, docs, SF).collect()
+    tokens = Counter()
+    for r in pieces:
+        tokens[r.doc_id] += r.length
+    want = Counter()
+    for x in mixed:
+        want[x[0]] += len(tokenizer.encode(x[1], add_special_tokens=False).ids) + 1
+    assert tokens == want
+    again = corpus_pipeline.run(spark, SF)
+    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"]
+    assert found(again.select(key)) == sorted((tuple(r[x] for x in key) for r in pieces), key=repr)
