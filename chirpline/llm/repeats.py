@@ -10,7 +10,8 @@ contexts with the same anchor, so contexts are dealt into shards by anchor and
 
 1. runs whose common core occurs once are left out: none of their strings is
    equal to another;
-2. equal contexts, as of copied documents, become one with a count;
+2. equal contexts, as of copied documents, become one with a count; if an
+   anchor has no other, all its strings occur that often;
 3. every shard builds the suffix array of its contexts (Larsson-Sadakane) and
    the common prefixes of neighbours (Kasai): a string is repeated if it
    shares ``length`` bytes with a neighbour;
@@ -140,12 +141,12 @@ def repeated_in_shard(
     """
     symbols, starts = joined(contexts)
     order = suffix_array(symbols)
-    shared = common_prefixes(symbols, order, starts, length)
+    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    shared = common_prefixes(symbols, order, starts, length, np.maximum(sizes - length + 1, 0))
     full = shared >= length
     twice = full | np.concatenate((full[1:], [False]))
     marks = np.zeros(len(symbols), dtype=bool)
     marks[order[twice]] = True
-    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     out = [marks[a : a + n - length + 1] | (t > 1) for a, n, t in zip(starts, sizes, times, strict=True)]
     digests = []
     if split:
@@ -298,11 +299,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
         "classes",
     )
     size = F.col("strings") + length - 1
-    per_anchor = classes.groupBy("anchor").agg(F.sum(size).alias("held"), F.sum("times").alias("all_times"))
-    total = per_anchor.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    per_anchor = staged(
+        classes.groupBy("anchor").agg(F.sum(size).alias("held"), F.count("*").alias("n_contexts")), "anchors"
+    )
+    # Strings of one context differ in their distance to the anchor, so in one context none is equal to another.
+    alone = classes.join(per_anchor.filter("n_contexts = 1").select("anchor"), "anchor", "left_semi").filter("times > 1")
+    sized = per_anchor.filter("n_contexts > 1")
+    total = sized.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
-    # An anchor of a single context that occurs once has nothing to be equal to.
-    sized = staged(per_anchor.filter("all_times > 1"), "anchors")
     parts = F.ceil(F.col("held") / shard_bytes).cast("int")
     wanted = classes.join(sized, "anchor").select(
         "at.*",
@@ -385,7 +389,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
     between = staged(
         by_range.select("rows").mapInArrow(merge, "context binary, spans array<long>"), "between", SHARD_ROWS
     )
-    found = in_shards.unionByName(between).groupBy("context").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    counted = alone.select("context", F.array(F.lit(0).cast("long"), F.col("strings")).alias("spans"))
+    # Written first, so that the join with a context of very many documents can be split.
+    found = staged(
+        counted.unionByName(in_shards.unionByName(between).groupBy("context").agg(F.flatten(F.collect_list("spans")).alias("spans"))),
+        "found",
+    )
     per_open = (
         held.join(found, "context")
         .groupBy(*key)

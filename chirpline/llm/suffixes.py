@@ -54,9 +54,13 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(symbols: np.ndarray, order: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(
+    symbols: np.ndarray, order: np.ndarray, starts: np.ndarray, most: int, wanted: np.ndarray | None = None
+) -> np.ndarray:
     """Of each suffix in order, the symbols it shares with the one before, up to ``most``.
 
+    With ``wanted``, only of so many suffixes from each string's start on; 0 for the others.
+
     Kasai: going from a suffix to the next shorter one, the shared prefix is
     shorter by one at most. The strings (``starts``) are walked side by side,
     each from its own beginning.
@@ -65,7 +69,7 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, starts: np.ndarray,
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     text = np.concatenate((symbols, [-1]))  # nothing equals the end
-    sizes = np.diff(np.concatenate((starts, [n])))
+    sizes = np.diff(np.concatenate((starts, [n]))) if wanted is None else wanted
     longest_first = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[longest_first], sizes[longest_first]
     shared = np.zeros(n, np.int64)

@@ -86,3 +86,12 @@ def test_empty_table_and_short_length(spark):
     assert found(repeat_digests(no_docs(spark))) == []
     with pytest.raises(ValueError, match="at least"):
         repeat_digests(no_docs(spark), length=100)
+
+
+def test_common_prefixes_of_the_first_suffixes_only():
+    symbols, starts = joined([b"abcabc", b"bcab", b"abcab"])
+    order = suffix_array(symbols)
+    some = common_prefixes(symbols, order, starts, 9, np.array([2, 0, 3]))
+    whole = common_prefixes(symbols, order, starts, 9)
+    asked = np.isin(order, [0, 1, *(starts[2] + np.arange(3)).tolist()])
+    assert some.tolist() == np.where(asked, whole, 0).tolist()
