@@ -33,9 +33,9 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# A stream over staged messages has this many batches, of at least two files.
-BATCHES = 3
-FILES_PER_BATCH = 2
+# A batch of a stream over staged messages takes in about so many bytes, of files of so many messages.
+INTAKE_BYTES = 8 << 20
+ROWS_PER_FILE = 5_000
 
 
 # ---- inputs -----------------------------------------------------------------
@@ -61,10 +61,8 @@ def joined_tags(rows: DataFrame) -> DataFrame:
 def topic(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
     """All tweets as a stream of messages, in several batches."""
     path = f"{work}/topic"
-    rows = messages.spread(events(spark, sf_dir), BATCHES * FILES_PER_BATCH)
-    messages.publish_files(records.shape_records(csv_rows_from(rows)), path)
-    files = len(messages.read_files(spark, path).inputFiles())
-    return messages.stream_files(spark, path, per_trigger=-(-files // BATCHES))
+    messages.publish_files(tweet_records(spark, sf_dir), path, ROWS_PER_FILE)
+    return messages.stream_files(spark, path, bytes_per_trigger=INTAKE_BYTES)
 
 
 # ---- streaming queries --------------------------------------------------------
@@ -99,7 +97,7 @@ def stream_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "cards")
     finish([start_cards(topic(spark, sf_dir, work), f"{work}/cards", f"{work}/checkpoints", interval=None)])
-    return spark.read.text(f"{work}/cards", lineSep="\n\n").withColumnRenamed("value", "card")
+    return spark.read.schema("tweet_id string, card string").json(f"{work}/cards")
 
 
 # ---- other queries that store something first ----------------------------------
@@ -142,7 +140,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comparison_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three comparisons of the stored tables, one below the other."""
+    """The comparisons of the stored tables, one below the other."""
     parts = [
         part.select(F.lit(name).alias("comparison"), F.col(part.columns[0]).alias("key"), *part.columns[1:])
         for name, part in comparisons(both_paths(spark, sf_dir)).items()
@@ -163,6 +161,11 @@ def compare_hashtags(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame
     return compare.compare_hashtags(running_count(spark, sf_dir, HASHTAGS), batch, k)
 
 
+def compare_all_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = counts.word_counts(tweets(spark, sf_dir))
+    return compare.compare_all_hashtags(running_count(spark, sf_dir, HASHTAGS), batch)
+
+
 def compare_negative_by_airline(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = counts.airline_sentiment_counts(tweets(spark, sf_dir))
     return compare.compare_negative_by_airline(running_count(spark, sf_dir, AIRLINE), batch)
@@ -224,6 +227,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_negative_by_airline": compare_negative_by_airline,
         "compare_hashtags": compare_hashtags,
         "compare_hashtags_charted": lambda s, d: compare_hashtags(s, d, 5),
+        "compare_all_hashtags": compare_all_hashtags,
         "comparison_report": comparison_report,
         "run_metrics": run_metrics,
         **EXTRA_QUERIES,
@@ -249,6 +253,7 @@ TAG_ARRAY = f"array_to_string({TAG_LIST}, '|')"
 
 RECORDS = f"SELECT *, {TAG_ARRAY} AS hashtags FROM tweets"
 
+# The labels of a card.
 CARD = r"""'Tweet ID: ' || tweet_id
   || chr(10) || 'Airline: ' || airline
   || chr(10) || 'Sentiment: ' || airline_sentiment
@@ -262,13 +267,17 @@ CARD = r"""'Tweet ID: ' || tweet_id
   || chr(10) || 'Reason (if negative): ' || coalesce(nullif(negativereason, ''), 'N/A')"""
 
 
+COMPARED = """coalesce(s.count, 0) AS streaming_count, coalesce(b.count, 0) AS batch_count,
+      coalesce(s.count, 0) - coalesce(b.count, 0) AS delta"""
+
+
 def _compared_hashtags(k: int) -> str:
     return f"""
-      streaming AS (SELECT * FROM tags ORDER BY count DESC, hashtag LIMIT {k}),
-      batch AS (SELECT word[2:] AS hashtag, count FROM (SELECT * FROM words ORDER BY count DESC, word LIMIT {k}))
-    SELECT coalesce(s.hashtag, b.hashtag) AS hashtag, coalesce(s.count, 0) AS streaming_count,
-      coalesce(b.count, 0) AS batch_count, coalesce(s.count, 0) - coalesce(b.count, 0) AS delta
-    FROM streaming s FULL JOIN batch b ON s.hashtag IS NOT DISTINCT FROM b.hashtag"""
+      batch AS (SELECT word[2:] AS hashtag, count FROM words),
+      asked AS (SELECT hashtag FROM (SELECT * FROM tags ORDER BY count DESC, hashtag LIMIT {k})
+        UNION SELECT word[2:] FROM (SELECT * FROM words ORDER BY count DESC, word LIMIT {k}))
+    SELECT hashtag, {COMPARED}
+    FROM asked LEFT JOIN tags s USING (hashtag) LEFT JOIN batch b USING (hashtag)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -325,14 +334,17 @@ def oracle_sql() -> dict[str, str]:
         **{name: f"WITH {TWEETS}, {WORDS} {query}" for name, query in with_words.items()},
         **{name: f"WITH {TWEETS}, {TAGS} {query}" for name, query in with_tags.items()},
         "tweet_cards": f"{records} SELECT tweet_id, {CARD} AS card FROM records",
-        "stream_cards": f"{records} SELECT {CARD} AS card FROM records",
+        "stream_cards": f"{records} SELECT tweet_id, {CARD} AS card FROM records",
         "compare_hashtags": f"{both}, {_compared_hashtags(10)}",
         "compare_hashtags_charted": f"{both}, {_compared_hashtags(5)}",
-        "comparison_report": f"""{both}, hashtags AS (
-              {_compared_hashtags(5).replace('streaming AS', 'WITH streaming AS', 1)})
+        "compare_all_hashtags": f"""{both} SELECT coalesce(s.hashtag, b.hashtag) AS hashtag, {COMPARED}
+            FROM tags s FULL JOIN (SELECT word[2:] AS hashtag, count FROM words) b ON s.hashtag = b.hashtag""",
+        "comparison_report": f"""{both},
+            hashtags AS (WITH {_compared_hashtags(5)}), hashtags_listed AS (WITH {_compared_hashtags(10)})
             SELECT 'sentiment' AS comparison, airline_sentiment AS key, * EXCLUDE (airline_sentiment)
               FROM ({compared_sentiment})
             UNION ALL SELECT 'hashtags', hashtag, * EXCLUDE (hashtag) FROM hashtags
+            UNION ALL SELECT 'hashtags_listed', hashtag, * EXCLUDE (hashtag) FROM hashtags_listed
             UNION ALL SELECT 'negative_by_airline', airline, * EXCLUDE (airline) FROM ({compared_airline})""",
         **EXTRA_SQL,
     }

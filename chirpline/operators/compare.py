@@ -37,11 +37,26 @@ def compare_negative_by_airline(streaming: DataFrame, batch: DataFrame) -> DataF
 
 
 def compare_hashtags(streaming: DataFrame, batch: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` most used hashtags of each side.
+    """The ``k`` most used hashtags of each side, with both sides' counts of them.
 
     Batch keys lose one leading ``#`` so that both sides use the same keys. A
-    key that only one side has among its first ``k`` shows 0 for the other.
+    key that only one side has among its first ``k`` shows what the other has
+    counted all the same; 0 means that it has none.
     """
-    streaming = top(streaming.withColumnRenamed("word", "hashtag"), k)
-    batch = top(batch.withColumnRenamed("word", "hashtag"), k)
-    return compare_counts(streaming, batch.withColumn("hashtag", without_hash(F.col("hashtag"))), "hashtag")
+    streaming = streaming.withColumnRenamed("word", "hashtag")
+    batch_tops = by_same_tag(top(batch, k))
+    tags = F.broadcast(top(streaming, k).select("hashtag").union(batch_tops.select("hashtag")).distinct())  # 2 k rows
+    batch = by_same_tag(batch)
+    return compare_counts(
+        streaming.join(tags, "hashtag", "left_semi"), batch.join(tags, "hashtag", "left_semi"), "hashtag"
+    )
+
+
+def by_same_tag(batch: DataFrame) -> DataFrame:
+    """Counts of the batch rule under the tags of the message rule."""
+    return batch.withColumnRenamed("word", "hashtag").withColumn("hashtag", without_hash(F.col("hashtag")))
+
+
+def compare_all_hashtags(streaming: DataFrame, batch: DataFrame) -> DataFrame:
+    """Every hashtag of either rule."""
+    return compare_counts(streaming, by_same_tag(batch), "hashtag")

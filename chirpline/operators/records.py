@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from chirpline.functions.cards import tweet_card
 from chirpline.functions.hashtags import first_tag, message_tags
@@ -18,13 +19,18 @@ def shape_records(rows: DataFrame) -> DataFrame:
     """Tweet records out of rows with the CSV's column names.
 
     A value that does not fit its type becomes null instead of failing the job.
+    A whole number may be written as a decimal, such as ``1.0``.
     """
 
     def field(name: str) -> Column:
         source = CSV_NAMES.get(name, name)
         if name in OPTIONAL and source not in rows.columns:
             return F.lit(None).cast(TWEET[name].dataType).alias(name)
-        return F.col(source).try_cast(TWEET[name].dataType).alias(name)
+        value = F.col(source).try_cast(TWEET[name].dataType)
+        if TWEET[name].dataType == IntegerType():
+            number = F.col(source).try_cast("double")
+            value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast("int")))
+        return value.alias(name)
 
     plain = [field(name) for name in TWEET.names if name != "hashtags"]
     return rows.select(*plain, message_tags(F.col("text")).alias("hashtags"))

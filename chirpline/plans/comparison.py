@@ -4,44 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from chirpline.operators.compare import compare_counts, compare_hashtags, compare_sentiment
-from chirpline.operators.counts import negative_by_airline
-from chirpline.operators.ordering import top
+from chirpline.operators.compare import by_same_tag, compare_counts, compare_negative_by_airline, compare_sentiment
 from chirpline.plans.live import current_counts
+from chirpline.schema import ENDINGS
 from chirpline.sources.tables import Tables
 from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT
 
-# Hashtags read from each side, and hashtags charted.
-HASHTAGS_READ = 10
+# Hashtags listed of each side, and hashtags charted.
+HASHTAGS_LISTED = 10
 HASHTAGS_CHARTED = 5
 
+BATCH_TABLES = ("batch_sentiment_counts", "batch_hashtags", "batch_airline_sentiment")
+
+
+def compare_top_hashtags(store: Tables, stored_as: str, k: int) -> DataFrame:
+    """The first ``k`` hashtags of each side, with both sides' counts of them.
+
+    Either side is asked for its first ``k`` rows and then for at most ``2 k``
+    keys, so that a database does the rest.
+    """
+    tops = store.read_top(HASHTAGS.table, k, stored_as), by_same_tag(store.read_top("batch_hashtags", k))
+    tags = sorted({row["hashtag"] for side in tops for row in side.collect()})
+    return compare_counts(
+        store.read_counts(HASHTAGS.table, tags, stored_as),
+        by_same_tag(store.read_counts("batch_hashtags", [f"#{tag}" for tag in tags])),
+        "hashtag",
+    )
+
 
 def comparisons(store: Tables, stored_as: str = "current") -> dict[str, DataFrame]:
-    """The three comparisons; one with an empty side is left out.
+    """All comparisons, whatever is stored: a side without a key counts 0.
 
     ``stored_as`` tells how the stream has stored its counts. Both sides are
     tables of counts, and of the hashtags only the top ones are compared, so
     the work does not grow with the tweets.
     """
-    if stored_as == "current":
-        hashtags = store.read_top("hashtags", HASHTAGS_READ)
-    else:
-        hashtags = top(current_counts(store, HASHTAGS, stored_as), HASHTAGS_READ)
-    inputs = {
-        "sentiment": (current_counts(store, SENTIMENT, stored_as), store.read("batch_sentiment_counts")),
-        "hashtags": (hashtags, store.read_top("batch_hashtags", HASHTAGS_READ)),
-        "negative_by_airline": (
-            negative_by_airline(current_counts(store, AIRLINE, stored_as)),
-            negative_by_airline(store.read("batch_airline_sentiment")),
-        ),
-    }
-    compare = {
-        "sentiment": compare_sentiment,
-        "hashtags": lambda streaming, batch: compare_hashtags(streaming, batch, HASHTAGS_CHARTED),
-        "negative_by_airline": lambda streaming, batch: compare_counts(streaming, batch, "airline"),
-    }
     return {
-        name: compare[name](*sides)
-        for name, sides in inputs.items()
-        if not any(side.isEmpty() for side in sides)
+        "sentiment": compare_sentiment(
+            current_counts(store, SENTIMENT, stored_as), store.read("batch_sentiment_counts")
+        ),
+        "hashtags": compare_top_hashtags(store, stored_as, HASHTAGS_CHARTED),
+        "hashtags_listed": compare_top_hashtags(store, stored_as, HASHTAGS_LISTED),
+        "negative_by_airline": compare_negative_by_airline(
+            current_counts(store, AIRLINE, stored_as), store.read("batch_airline_sentiment")
+        ),
     }
+
+
+def never_written(store: Tables, stored_as: str = "current") -> list[str]:
+    """The tables of either side that do not exist, so that zeros can be told from no run."""
+    outputs = (HASHTAGS, AIRLINE) if stored_as == "increments" else (HASHTAGS, SENTIMENT, AIRLINE)
+    wanted = [*(output.table + ENDINGS[stored_as] for output in outputs), *BATCH_TABLES]
+    return [table for table in wanted if not store.exists(table)]

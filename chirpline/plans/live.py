@@ -4,28 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chirpline.operators.counts import add_up, newest
 from chirpline.plans.metrics import record_stream
-from chirpline.schema import TABLES
+from chirpline.sources import tables
 from chirpline.sources.tables import Tables
 from chirpline.streaming.progress import ProgressTotals
 from chirpline.streaming.queries import finish, start_all, start_shared, wait_any
 from chirpline.streaming.running import Output
-from chirpline.streaming.sinks import CHANGES, HISTORY, INCREMENTS
-
-ENDINGS = {"current": "", "history": HISTORY, "changes": CHANGES, "increments": INCREMENTS}
-
-
-def fold(rows: DataFrame, output: Output, stored_as: str) -> DataFrame:
-    """Current counts out of what several batches have stored."""
-    return add_up(rows, *output.keys) if stored_as == "increments" else newest(rows, *output.keys)
 
 
 def current_counts(store: Tables, output: Output, stored_as: str = "current") -> DataFrame:
-    """Running counts as last stored, whichever way they are stored."""
-    if stored_as == "current":
-        return store.read(output.table)
-    return fold(store.read_batches(output.table + ENDINGS[stored_as], TABLES[output.table]), output, stored_as)
+    """Running counts of an output as last stored, whichever way they are stored."""
+    return tables.current_counts(store, output.table, stored_as)
 
 
 def run_live(
@@ -41,7 +30,7 @@ def run_live(
 
     With ``interval=None`` every query works off what is there instead. A
     metric row is written for the query that stores the raw tweets, which takes
-    in every message once.
+    in every message once; a run that fails has none.
     """
     progress = ProgressTotals()
     spark.streams.addListener(progress)
@@ -53,13 +42,11 @@ def run_live(
             queries = start_all(messages, store, checkpoint, **options)
         names = [query.name for query in queries]
         raw = queries[names.index("all_outputs" if shared else "tweets")]
-        try:
-            if options.get("interval", "") is None:
-                finish(queries)
-            else:
-                wait_any(spark, queries)
-        finally:
-            progress.wait(queries)
-            record_stream(spark, store, progress, raw)
+        if options.get("interval", "") is None:
+            finish(queries)
+        else:
+            wait_any(spark, queries)
+        progress.wait(queries)
+        record_stream(spark, store, progress, raw)
     finally:
         spark.streams.removeListener(progress)

@@ -6,25 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chirpline.plans.live import ENDINGS, fold
-from chirpline.schema import TABLES
-from chirpline.sources.tables import Tables
+from chirpline.schema import ENDINGS, TABLES
+from chirpline.sources import files
+from chirpline.sources.tables import ParquetTables, fold
 from chirpline.streaming.running import RAW, RUNNING_COUNTS
 
 # The batch that holds what earlier batches have stored.
 EARLIER = -1
 
 
-def compact(store: Tables, target: Tables, stored_as: str) -> None:
+def compact(store: ParquetTables, target: ParquetTables, stored_as: str, *, tweets: bool = False) -> None:
     """Copy the tables of a stopped stream, with earlier batches made one.
 
-    Counts are folded, tweets are kept as they are. The stream may then go on
-    from its checkpoint with ``target``. The last batch stays by itself, as the
-    stream repeats it if it was stopped before marking it done. ``store`` is
-    left as it is, so a copy that was broken off can be made again.
+    Counts are folded. The raw tweets are many times as large and gain little,
+    so they stay where they are unless ``tweets`` asks for a copy of them too.
+    The stream may then go on from its checkpoint with ``target``. The last
+    batch stays by itself, as the stream repeats it if it was stopped before
+    marking it done. ``store`` is left as it is, so a copy that was broken off
+    can be made again, into another folder: ``target`` must be empty, and
+    neither folder may lie in the other.
     """
+    spark = store.spark
+    source, copy = (f"{files.qualified(spark, at.root)}/" for at in (store, target))
+    if source.startswith(copy) or copy.startswith(source):
+        raise ValueError(f"{target.root} and {store.root} must be folders apart")
+    if not target.is_empty():
+        raise ValueError(f"{target.root} is not empty")
     copied = {RAW.table}
-    _copy_batches(store, target, RAW.table, TABLES[RAW.table], lambda rows: rows)
+    if tweets:
+        _copy_batches(store, target, RAW.table, TABLES[RAW.table], lambda rows: rows)
     for output in RUNNING_COUNTS if stored_as != "current" else ():
         copied.add(output.table)
         _copy_batches(
@@ -32,7 +42,7 @@ def compact(store: Tables, target: Tables, stored_as: str) -> None:
             target,
             output.table + ENDINGS[stored_as],
             TABLES[output.table],
-            lambda rows, output=output: fold(rows, output, stored_as),
+            lambda rows, output=output: fold(rows, output.table, stored_as),
         )
     for table in TABLES.keys() - copied:
         rows = store.read(table)
@@ -40,7 +50,7 @@ def compact(store: Tables, target: Tables, stored_as: str) -> None:
             target.replace(rows, table)
 
 
-def _copy_batches(store: Tables, target: Tables, table: str, schema: StructType, make_one) -> None:
+def _copy_batches(store: ParquetTables, target: ParquetTables, table: str, schema: StructType, make_one) -> None:
     rows = store.read_batches(table, schema)
     last = rows.agg(F.max("batch_id")).first()[0]
     if last is None:

@@ -76,6 +76,10 @@ TABLES = {
 }
 
 
+# How a running count is stored -> ending of its table's name.
+ENDINGS = {"current": "", "history": "_history", "changes": "_changes", "increments": "_increments"}
+
+
 def keys_of(table: str) -> list[str]:
     """Key columns of a count table."""
     return [name for name in TABLES[table].names if name != "count"]

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from chirpline.sources import files
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # State of a count whose keys may run into the millions: kept off the JVM heap,
@@ -42,6 +46,21 @@ def build_session(app_name: str, options: dict[str, str] | None = None) -> Spark
     return spark
 
 
+def is_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` has several."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A path for staged data that is removed at the end of the block."""
+    path = work_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        files.remove(spark, path)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for staged data, below the folder all executors share.
 
@@ -50,9 +69,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_one_machine(spark):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="chirpline-")
+    elif not is_one_machine(spark) and not re.match(r"(?!file:)[a-z][a-z0-9+.-]*:", shared):
+        warnings.warn(f"{shared} names no shared file system: it must be mounted on all machines", stacklevel=2)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

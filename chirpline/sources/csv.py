@@ -32,42 +32,58 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = True, infer: b
 def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
     """The same rows, all text, with each file read by many tasks.
 
-    The files must quote every text that holds a quote, as CSV writers do.
-    Then a line with an odd number of quotes opens or closes a quoted text that
-    goes over several lines, and no other line does:
+    The files must quote every text that holds a quote, as CSV writers do; a
+    record that does not is an error. Then a line with an odd number of quotes
+    opens or closes a quoted text that goes over several lines, and no other
+    line does:
 
-    * these turns are numbered within each part of a file, a part being what
+    * these turns are counted within each part of a file, a part being what
       one task reads;
-    * adding up parts, one row each, tells which of them start within a text;
-    * from one turn to the next, that gives the lines of each longer record,
-      which are brought together; every other line is a record by itself.
-
-    ``work`` is a folder for lines and parts, which all executors must reach.
+    * adding up parts, one row each, tells which of them start within a text
+      and which line opened it;
+    * within a part, turns so far tell which lines belong to a longer record.
+      Those lines are brought together by the line that opened it; every other
+      line is a record by itself.
+
+    So all lines are shuffled once, by part, and lines of longer records once
+    more. ``work`` is a folder for lines and parts, which all executors must
+    reach and which is the caller's to remove once the rows have been used.
     """
     columns = read_csv(spark, path).columns
     _stage_lines(spark, path, f"{work}/lines")
     staged = spark.read.parquet(f"{work}/lines")
     _parts(staged).write.mode("overwrite").parquet(f"{work}/parts")
     parts = spark.read.parquet(f"{work}/parts")
-    lines = staged.select("line", "block", "value", "is_header").repartition(_checked_number(parts), "line")
-    members = _lines_of_longer_records(staged, parts).hint("shuffle_hash")
+    _check_closed(parts)
 
-    whole = lines.join(members, "line", "left_anti").select("value", "is_header")
+    placed = _with_opening_line(staged, parts)
+    whole = placed.where("start IS NULL").select("block", "line", "part", "value")
     longer = (
-        lines.join(members, "line")
+        placed.where("start IS NOT NULL")
         .groupBy("start")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("pieces"),
-            F.bool_or("is_header").alias("is_header"),
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line", "part", "value"))).alias("pieces"))
+        .select("pieces")
+        .select(
+            *[F.col("pieces")[0][name].alias(name) for name in ("block", "line", "part")],
+            F.concat_ws("\n", F.col("pieces.value")).alias("value"),
         )
-        .select(F.concat_ws("\n", F.col("pieces.value")).alias("value"), "is_header")
     )
     records = whole.unionByName(longer).select(
-        "is_header",
+        _is_first(F.col("block"), F.col("line"), F.col("part")).alias("is_header"),
         F.col("value").rlike("^\r?$").alias("is_blank"),
-        _parsed(F.regexp_replace("value", "\r$", ""), columns).alias("row"),
+        _conforming(F.regexp_replace("value", "\r$", "")).alias("value"),
     )
-    return records.where(_is_data(columns)).select("row.*")
+    parsed = records.select("is_header", "is_blank", _parsed(F.col("value"), columns).alias("row"))
+    return parsed.where(_is_data(columns)).select("row.*")
+
+
+def _first_line(part: Column) -> Column:
+    return F.shiftleft(part.cast("long"), 33)
+
+
+def _is_first(block: Column, line: Column, part: Column) -> Column:
+    """Whether a line is its file's first."""
+    return (block == 0) & (line == _first_line(part))
 
 
 def _stage_lines(spark: SparkSession, path: str, staged: str) -> None:
@@ -82,7 +98,6 @@ def _stage_lines(spark: SparkSession, path: str, staged: str) -> None:
         "spark.sql.files.maxPartitionNum": str(2**31 - 1),
     }
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first_line = F.shiftleft(F.spark_partition_id().cast("long"), 33)
     with settings(spark, one_part_each):
         (
             spark.read.text(path, lineSep="\n")
@@ -94,60 +109,57 @@ def _stage_lines(spark: SparkSession, path: str, staged: str) -> None:
                 (quotes % 2 == 1).alias("is_turn"),
                 "value",
             )
-            .withColumn("is_header", (F.col("block") == 0) & (F.col("line") == first_line))
             .write.mode("overwrite")
             .parquet(staged)
         )
 
 
 def _parts(staged: DataFrame) -> DataFrame:
-    """Per part: its lines and turns, whether it starts within a text, and the
-    line that opened that text."""
+    """Per part: its turns, whether it starts within a text, and the line that
+    opened that text."""
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     turn = F.when(F.col("is_turn"), F.col("line"))
     return (
         staged.groupBy("part", "file", "block")
-        .agg(
-            F.min("line").alias("first_line"),
-            F.max("line").alias("last_line"),
-            F.count(turn).alias("turns"),
-            F.min(turn).alias("first_turn"),
-            F.max(turn).alias("last_turn"),
-        )
+        .agg(F.count(turn).alias("turns"), F.max(turn).alias("last_turn"))
         .withColumn("within", F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2)
         .withColumn("opened", F.last("last_turn", ignorenulls=True).over(earlier))
     )
 
 
-def _checked_number(parts: DataFrame) -> int:
-    """The number of parts. A quote left open is an error, as it would take in
-    the rest of its file as one record."""
-    per_file = parts.groupBy("file").agg(F.count("part").alias("parts"), F.sum("turns").alias("turns"))
-    unclosed = F.max(F.when(F.col("turns") % 2 == 1, F.col("file")))
-    found = per_file.agg(F.sum("parts").alias("parts"), unclosed.alias("unclosed")).first()
-    if found["unclosed"]:
-        raise ValueError(f"unclosed quote in {found['unclosed']}")
-    return found["parts"] or 1
+def _check_closed(parts: DataFrame) -> None:
+    """A quote left open is an error, as it would take in the rest of its file as one record."""
+    per_file = parts.groupBy("file").agg(F.sum("turns").alias("turns"))
+    unclosed = per_file.where("turns % 2 = 1").agg(F.max("file").alias("file")).first()["file"]
+    if unclosed:
+        raise ValueError(f"unclosed quote in {unclosed}")
 
 
-def _lines_of_longer_records(staged: DataFrame, parts: DataFrame) -> DataFrame:
-    """``line`` and the ``start`` of its record, for records of several lines."""
+def _with_opening_line(staged: DataFrame, parts: DataFrame) -> DataFrame:
+    """Lines with the ``start`` of their record, null for a record of one line."""
     in_part = Window.partitionBy("part").orderBy("line")
-    turns = (
-        staged.where("is_turn")
-        .withColumns({"number": F.row_number().over(in_part), "next": F.lead("line").over(in_part)})
-        .select("part", "line", "number", "next")
-        .join(parts.select("part", "within", "last_line"), "part")
+    so_far = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = staged.select("part", "block", "line", "is_turn", "value").join(
+        parts.select("part", "within", "opened"), "part"
     )
-    opened_here = turns.where((F.col("number") + F.col("within")) % 2 == 1).select(
-        F.col("line").alias("start"), F.col("line").alias("from"), F.coalesce("next", "last_line").alias("to")
+    turns = F.sum(F.col("is_turn").cast("int")).over(so_far) + F.col("within")
+    counted = joined.withColumn("after", turns % 2 == 1)
+    opens = F.col("is_turn") & F.col("after")
+    opened = F.coalesce(F.last(F.when(opens, F.col("line")), ignorenulls=True).over(so_far), F.col("opened"))
+    return counted.select(
+        "part", "block", "line", "value", F.when(F.col("is_turn") | F.col("after"), opened).alias("start")
     )
-    opened_before = parts.where("within = 1").select(
-        F.col("opened").alias("start"),
-        F.col("first_line").alias("from"),
-        F.coalesce("first_turn", "last_line").alias("to"),
-    )
-    return opened_here.unionByName(opened_before).select("start", F.explode(F.sequence("from", "to")).alias("line"))
+
+
+def _conforming(record: Column) -> Column:
+    """The record, if all its quotes belong to quoted cells; else an error.
+
+    An even number of stray quotes would join lines that are not one record.
+    """
+    quoted_cell = '(?<=^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+    stray = F.regexp_replace(record, quoted_cell, "").contains('"')
+    message = F.concat(F.lit("quote within an unquoted cell, read without --large: "), F.left(record, F.lit(200)))
+    return F.when(~F.contains(record, F.lit('"')) | ~stray, record).otherwise(F.raise_error(message).cast("string"))
 
 
 def _parsed(record: Column, columns: list[str]) -> Column:

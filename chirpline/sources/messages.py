@@ -42,15 +42,16 @@ def decode(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFram
     return parsed.select(*cleaned, F.current_timestamp().alias("processing_time"))
 
 
-def spread(rows: DataFrame, files: int) -> DataFrame:
-    """Rows in at least ``files`` partitions, so that a stream over them, once
-    published, has several batches. A large input is left as it is."""
-    return rows if rows.rdd.getNumPartitions() >= files else rows.repartition(files)
+def publish_files(records: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+    """Write records as text files of messages, one per partition.
 
-
-def publish_files(records: DataFrame, path: str) -> None:
-    """Write records as text files of messages, one per partition."""
-    encode(records).write.mode("overwrite").text(path)
+    ``rows_per_file`` bounds the files, so that a stream over them can take in
+    a partition in several batches.
+    """
+    writer = encode(records).write.mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.text(path)
 
 
 def publish_topic(records: DataFrame, servers: str, topic: str, **options: str) -> None:
@@ -70,22 +71,32 @@ def subscribe_options(
     per_trigger: int | None = 1000,
     min_partitions: int | None = None,
     group: str | None = None,
+    starting: str = "earliest",
+    fail_on_data_loss: bool = False,
+    more: dict[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options of a topic stream that starts at the earliest offset.
+    """Options of a topic stream.
 
     ``per_trigger`` bounds the intake of one batch. ``min_partitions`` cuts the
     offset ranges of a batch into at least that many tasks, so that a topic
-    partition holding most of the messages is read by many.
+    partition holding most of the messages is read by many. A stream without a
+    checkpoint begins at ``starting``. Offsets that the topic has lost are
+    passed over unless ``fail_on_data_loss`` is set. ``more`` are any further
+    options of the source, such as ``kafka.security.protocol``.
     """
-    # Earliest start, lost offsets tolerated, 1000 offsets a trigger.
-    options = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    # Fixed values of the defaults: earliest start, lost offsets tolerated, 1000 offsets a trigger.
+    options = {
+        "subscribe": topic,
+        "startingOffsets": starting,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+    }
     if per_trigger:
         options["maxOffsetsPerTrigger"] = str(per_trigger)
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
     if group:
         options["kafka.group.id"] = group
-    return topic_options(servers, **options)
+    return topic_options(servers, **(options | (more or {})))
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

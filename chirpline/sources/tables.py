@@ -1,5 +1,4 @@
-"""Result tables, in Parquet folders or in a database over JDBC.
-"""
+"""Result tables, in Parquet folders or in a database over JDBC."""
 
 from __future__ import annotations
 
@@ -12,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from chirpline.operators.counts import newest
+from chirpline.operators.counts import add_up, newest
 from chirpline.operators.ordering import top
-from chirpline.schema import TABLES, keys_of
+from chirpline.schema import ENDINGS, TABLES, keys_of
+from chirpline.sources import files
 
 BATCH = StructField("batch_id", LongType())
 
@@ -41,17 +41,48 @@ class Tables(Protocol):
     def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
         """The rows of a table filled by ``write_batch``, with ``batch_id``."""
 
-    def read_top(self, table: str, k: int) -> DataFrame:
-        """The ``k`` largest counts."""
+    def exists(self, table: str) -> bool:
+        """Whether the table was ever written."""
+
+    def read_top(self, table: str, k: int, stored_as: str = "current") -> DataFrame:
+        """The ``k`` largest counts, whichever way a stream has stored them."""
+
+    def read_counts(self, table: str, values: list[str], stored_as: str = "current") -> DataFrame:
+        """The counts of some values of the first key."""
+
+
+def current_counts(store: Tables, table: str, stored_as: str = "current") -> DataFrame:
+    """Running counts as last stored, whichever way they are stored.
+
+    Of snapshots the last one has all. Counts by sentiment have no increments
+    of their own: they are sums of those by airline and sentiment.
+    """
+    if stored_as == "current":
+        return store.read(table)
+    if stored_as == "increments" and table == "sentiment_counts":
+        return add_up(current_counts(store, "airline_sentiment", stored_as), *keys_of(table))
+    rows = store.read_batches(table + ENDINGS[stored_as], TABLES[table])
+    if stored_as == "history":
+        last = rows.agg(F.max(BATCH.name)).first()[0]  # of the folders' names, or an indexed column
+        rows = rows if last is None else rows.where(F.col(BATCH.name) == last)
+    return fold(rows, table, stored_as)
+
+
+def fold(rows: DataFrame, table: str, stored_as: str) -> DataFrame:
+    """Current counts out of what several batches have stored."""
+    return add_up(rows, *keys_of(table)) if stored_as == "increments" else newest(rows, *keys_of(table))
 
 
 class ParquetTables:
     """Tables as folders below ``root``, which all executors must reach.
 
-    ``replace`` drops the old files before the new ones are in place: a reader
-    at that moment finds no table or part of one. Repeating it is harmless.
+    ``replace`` writes a new folder and then names it in a file which is
+    exchanged in one step, so a reader finds the old table or the new one. The
+    one before stays until the next ``replace``, for readers that have begun.
     """
 
+    POINTER = "_current"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -59,11 +90,23 @@ class ParquetTables:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _versions(self, table: str) -> list[str]:
+        """The folder that holds the table, and the one before, if ``replace`` has made them."""
+        return (files.read_text(self.spark, f"{self.path(table)}/{self.POINTER}") or "").split()
+
+    def location(self, table: str) -> str:
+        return "/".join([self.path(table), *self._versions(table)[:1]])
+
     def replace(self, rows: DataFrame, table: str) -> None:
-        rows.write.mode("overwrite").parquet(self.path(table))
+        before = self._versions(table)
+        new = f"version-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path(table)}/{new}")
+        files.put_text(self.spark, f"{self.path(table)}/{self.POINTER}", "\n".join([new, *before[:1]]))
+        for old in before[1:]:
+            files.remove(self.spark, f"{self.path(table)}/{old}")
 
     def append(self, rows: DataFrame, table: str) -> None:
-        rows.write.mode("append").parquet(self.path(table))
+        rows.write.mode("append").parquet(self.location(table))
 
     def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
         """A batch owns one folder of the table, which each try overwrites."""
@@ -72,7 +115,7 @@ class ParquetTables:
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         schema = schema or TABLES[table]
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
+            return self.spark.read.schema(schema).parquet(self.location(table)).select(*schema.names)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -81,8 +124,18 @@ class ParquetTables:
     def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
         return self.read(table, with_batch(schema or TABLES[table]))
 
-    def read_top(self, table: str, k: int) -> DataFrame:
-        return top(self.read(table), k)
+    def exists(self, table: str) -> bool:
+        return files.exists(self.spark, self.path(table))
+
+    def is_empty(self) -> bool:
+        """Whether no table was ever written."""
+        return files.is_empty(self.spark, self.root)
+
+    def read_top(self, table: str, k: int, stored_as: str = "current") -> DataFrame:
+        return top(current_counts(self, table, stored_as), k)
+
+    def read_counts(self, table: str, values: list[str], stored_as: str = "current") -> DataFrame:
+        return current_counts(self, table, stored_as).where(F.col(keys_of(table)[0]).isin(values))
 
 
 class JdbcTables:
@@ -95,7 +148,13 @@ class JdbcTables:
     a try a row is told from its repeat by its keys or, where it has none, by
     its number, which is the same each time a task reads its input.
 
-    ``connections`` bounds how many tasks write to the database at a time.
+    ``connections`` bounds how many tasks write to the database at a time, and
+    read batches from it. Rows are dealt anew to that many tasks before they
+    are written, so what makes them keeps its own width.
+
+    Statements are standard SQL with double-quoted names and need
+    ``information_schema``, as PostgreSQL has it. A table may be named with
+    its schema.
     """
 
     def __init__(
@@ -127,7 +186,8 @@ class JdbcTables:
 
     def _write(self, rows: DataFrame, table: str, mode: str) -> None:
         (
-            rows.write.format("jdbc")
+            rows.repartition(self.connections)
+            .write.format("jdbc")
             .options(**self.options(), **self.write_options)
             .option("dbtable", table)
             .option("numPartitions", self.connections)
@@ -166,28 +226,50 @@ class JdbcTables:
     def read(self, table: str, schema: StructType | None = None, **partitioning: str) -> DataFrame:
         """Rows of a table; ``partitioning`` takes Spark's options
         ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-        ``numPartitions`` to read a large one over several connections."""
+        ``numPartitions`` to read a large one over several connections. Of a
+        table filled by batches, only those that were finished, each once."""
         schema = schema or TABLES[table]
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
+        if self.exists(f"{table}_commits"):
+            return self.read_batches(table, schema, **partitioning).select(*schema.names)
         rows = self._load(dbtable=table, **partitioning).select(*schema.names)
         keys = [name for name in schema.names if name != "count"]
         return newest(rows, *keys) if "count" in schema.names else rows
 
     def read_batches(self, table: str, schema: StructType | None = None, **partitioning: str) -> DataFrame:
+        """Finished batches, read over several connections by their number."""
         schema = with_batch(schema or TABLES[table])
         if not self.exists(f"{table}_commits"):
             return self.spark.createDataFrame([], schema)
-        rows = self._load(dbtable=table, **partitioning)
         commits = self._load(dbtable=f"{table}_commits")
+        rows = self._load(dbtable=table, **(partitioning or self._by_batch(commits)))
         identity = [name for name in schema.names if name != "count"] if "count" in schema.names else ["row_id"]
         return committed(rows, commits, identity).select(*schema.names)
 
-    def read_top(self, table: str, k: int) -> DataFrame:
-        """The database sorts and cuts, so only ``k`` rows are read."""
-        if not self.exists(table):
+    def _by_batch(self, commits: DataFrame) -> dict[str, str]:
+        first, last = commits.agg(F.min(BATCH.name), F.max(BATCH.name)).first()
+        if first is None or first == last:
+            return {}
+        return {
+            "partitionColumn": BATCH.name,
+            "lowerBound": str(first),
+            "upperBound": str(last + 1),
+            "numPartitions": str(min(self.connections, last - first + 1)),
+        }
+
+    def read_top(self, table: str, k: int, stored_as: str = "current") -> DataFrame:
+        """The database adds up, sorts and cuts, so only ``k`` rows are read."""
+        stored = table + ENDINGS[stored_as]
+        if not self.exists(stored):
+            return self.spark.createDataFrame([], TABLES[table])
+        return self.query(top_query(stored, keys_of(table), k, stored_as))
+
+    def read_counts(self, table: str, values: list[str], stored_as: str = "current") -> DataFrame:
+        stored = table + ENDINGS[stored_as]
+        if not self.exists(stored) or not values:
             return self.spark.createDataFrame([], TABLES[table])
-        return self.query(top_query(table, keys_of(table), k))
+        return self.query(counts_query(stored, keys_of(table), stored_as, values))
 
 
 COMMIT = StructType([BATCH, StructField("attempt", StringType())])
@@ -201,12 +283,38 @@ def committed(rows: DataFrame, commits: DataFrame, identity: list[str]) -> DataF
 
 
 def exists_query(table: str) -> str:
-    return f"SELECT 1 AS found FROM information_schema.tables WHERE table_name = '{table}'"
+    schema, _, name = table.rpartition(".")
+    where = f" AND table_schema = '{schema}'" if schema else ""
+    return f"SELECT 1 AS found FROM information_schema.tables WHERE table_name = '{name}'{where}"
+
+
+def counts_query(table: str, keys: list[str], stored_as: str = "current", values: list[str] | None = None) -> str:
+    """Current counts, for some values of the first key if given.
+
+    Of a table filled by batches, rows of the chosen try of each finished batch
+    count, once each. The filter reaches the table before anything is added up.
+    """
+    named = ", ".join(f'"{key}"' for key in keys)
+    only = ""
+    if values is not None:
+        listed = ", ".join("'" + value.replace("'", "''") + "'" for value in values)
+        only = f'"{keys[0]}" IN ({listed})'
+    if stored_as == "current":
+        rows, where = table, f" WHERE {only}" if only else ""
+    else:
+        chosen = f"(SELECT batch_id, MIN(attempt) AS attempt FROM {table}_commits GROUP BY batch_id)"
+        rows = (
+            f'(SELECT DISTINCT t.batch_id, {", ".join(f"""t."{key}\"""" for key in keys)}, t."count" '
+            f"FROM {table} t JOIN {chosen} c ON t.batch_id = c.batch_id AND t.attempt = c.attempt"
+            + (f" WHERE t.{only}" if only else "")
+            + ") stored"
+        )
+        where = ""
+    # A sum of whole numbers may have another type, so it is cast back.
+    total = 'CAST(SUM("count") AS BIGINT)' if stored_as == "increments" else 'MAX("count")'
+    return f'SELECT {named}, {total} AS "count" FROM {rows}{where} GROUP BY {named}'
 
 
-def top_query(table: str, keys: list[str], k: int) -> str:
+def top_query(table: str, keys: list[str], k: int, stored_as: str = "current") -> str:
     named = ", ".join(f'"{key}"' for key in keys)
-    return (
-        f'SELECT {named}, MAX("count") AS "count" FROM {table} '
-        f'GROUP BY {named} ORDER BY "count" DESC, {named} LIMIT {k}'
-    )
+    return f'{counts_query(table, keys, stored_as)} ORDER BY "count" DESC, {named} LIMIT {k}'

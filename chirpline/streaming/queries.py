@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from chirpline.operators.records import tweet_cards
+from chirpline.schema import ENDINGS
 from chirpline.session import LARGE_STATE, settings
 from chirpline.sources.messages import decode
 from chirpline.sources.tables import Tables
 from chirpline.streaming.running import HASHTAGS, RAW, RUNNING_COUNTS, Output
 from chirpline.streaming.sinks import (
-    CHANGES,
-    HISTORY,
     BatchWriter,
     add_batch,
     add_rows,
@@ -31,11 +30,11 @@ CONSOLE_INTERVAL = "10 seconds"
 # any input size, as tasks count before the shuffle.
 FEW_KEYS_PARTITIONS = 4
 
-# How a running count is stored -> output mode, table name ending, writer.
-STORED_AS: dict[str, tuple[str, str, Callable[..., BatchWriter]]] = {
-    "current": ("complete", "", replace_table),
-    "history": ("complete", HISTORY, add_batch),
-    "changes": ("update", CHANGES, add_batch),
+# How a running count is stored -> output mode, writer.
+STORED_AS: dict[str, tuple[str, Callable[..., BatchWriter]]] = {
+    "current": ("complete", replace_table),
+    "history": ("complete", add_batch),
+    "changes": ("update", add_batch),
 }
 
 
@@ -86,8 +85,8 @@ def start_count(
     snapshot. ``changes`` writes only the keys that a batch has touched, which
     is what to use once a full snapshot of the hashtags is too much to write.
     """
-    mode, ending, writer = STORED_AS[stored_as]
-    table = output.table + ending
+    mode, writer = STORED_AS[stored_as]
+    table = output.table + ENDINGS[stored_as]
     spark = messages.sparkSession
     counted = output.make(decode(messages, output.fields))
     with settings(spark, state_settings(spark, output, state_partitions)):
@@ -107,15 +106,17 @@ def start_tweets(
 def start_cards(
     messages: DataFrame, path: str, checkpoint: str, *, interval: str | None = CONSOLE_INTERVAL
 ) -> StreamingQuery:
-    """Write one readable card per tweet to text files, each card once."""
+    """Write one readable card per tweet, with the tweet's id, each card once.
+
+    Cards are JSON lines, as a tweet may hold any sequence of line ends that
+    could be put between cards.
+    """
     return (
         tweet_cards(decode(messages))
-        .select("card")
-        .writeStream.format("text")
+        .writeStream.format("json")
         .outputMode("append")
         .queryName("cards")
         .option("path", path)
-        .option("lineSep", "\n\n")
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/cards")
         .trigger(**_trigger(interval))
         .start()
@@ -125,10 +126,10 @@ def start_cards(
 def start_console(
     messages: DataFrame, output: Output, checkpoint: str, *, interval: str | None = CONSOLE_INTERVAL
 ) -> StreamingQuery:
-    """Print a running count: the top 10 hashtags, or the first 20 rows."""
+    """Print a running count: the top 10 hashtags, or the 20 largest counts."""
     spark = messages.sparkSession
     counted = output.make(decode(messages, output.fields))
-    writer = show_batch(10, sort=True) if output is HASHTAGS else show_batch(20)
+    writer = show_batch(10 if output is HASHTAGS else 20)
     with settings(spark, state_settings(spark, output)):
         return _start(
             counted,

@@ -10,17 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
-from chirpline.operators.counts import add_up
 from chirpline.operators.ordering import by_count
+from chirpline.schema import ENDINGS
 from chirpline.sources.tables import Tables
-from chirpline.streaming.running import AIRLINE, HASHTAGS, RAW, SENTIMENT
+from chirpline.streaming.running import AIRLINE, HASHTAGS, RAW
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# Table name endings by how a running count is stored.
-HISTORY = "_history"
-CHANGES = "_changes"
-INCREMENTS = "_increments"
+INCREMENTS = ENDINGS["increments"]
 
 
 def unless_empty(write: BatchWriter) -> BatchWriter:
@@ -58,33 +55,34 @@ def add_rows(store: Tables, table: str) -> BatchWriter:
     return lambda batch, batch_id: store.write_batch(batch, table, batch_id)
 
 
-def show_batch(rows: int, *, sort: bool = False) -> BatchWriter:
-    """Print the first ``rows`` rows of each batch.
+def show_batch(rows: int) -> BatchWriter:
+    """Print the ``rows`` largest counts of each batch, and say if there are more.
 
     Spark's own console sink brings the whole batch to the driver before it
-    prints a few rows; this brings only those.
+    prints a few rows; this brings only those. Finding the largest reads every
+    state partition to its end, as a batch must for its state to be kept: a
+    plain ``show`` would stop at the first partitions that have enough rows.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         print(f"batch {batch_id}")
-        (by_count(batch) if sort else batch).show(rows, truncate=False)
+        by_count(batch).show(rows, truncate=False)
 
     return run
 
 
 def all_outputs(store: Tables) -> BatchWriter:
-    """Raw tweets and the three counts of a batch, from one reading of it.
+    """Raw tweets and the counts of a batch, from one reading of it.
 
     The counts cover the batch alone and are stored as increments; adding them
     up gives the running counts. No state is kept between batches, so nothing
-    grows with the number of hashtags ever seen.
+    grows with the number of hashtags ever seen. Counts by sentiment are sums
+    of those by airline and sentiment, so they are not stored.
     """
 
     def write(records: DataFrame, batch_id: int) -> None:
-        by_airline = AIRLINE.make(records)
         store.write_batch(RAW.make(records), RAW.table, batch_id)
         store.write_batch(HASHTAGS.make(records), HASHTAGS.table + INCREMENTS, batch_id)
-        store.write_batch(by_airline, AIRLINE.table + INCREMENTS, batch_id)
-        store.write_batch(add_up(by_airline, *SENTIMENT.keys), SENTIMENT.table + INCREMENTS, batch_id)
+        store.write_batch(AIRLINE.make(records), AIRLINE.table + INCREMENTS, batch_id)
 
     return unless_empty(write)

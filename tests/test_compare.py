@@ -1,6 +1,7 @@
 import pytest
 
 from chirpline.operators.compare import (
+    compare_all_hashtags,
     compare_counts,
     compare_hashtags,
     compare_negative_by_airline,
@@ -61,6 +62,13 @@ def test_hashtags_meet_without_the_leading_hash(spark, k, keys):
     assert {row["hashtag"] for row in compare_hashtags(streaming, batch, k).collect()} == keys
 
 
+def test_hashtags_of_one_side_show_the_true_count_of_the_other(spark):
+    streaming = counted(spark, [("a", 10), ("b", 9), ("c", 8), ("d", 1)], key="hashtag")
+    batch = counted(spark, [("#a", 10), ("#b", 8), ("#c", 9), ("#e", 2)], key="word")
+    assert as_set(compare_hashtags(streaming, batch, 2)) == {("a", 10, 10, 0), ("b", 9, 8, 1), ("c", 8, 9, -1)}
+    assert as_set(compare_all_hashtags(streaming, batch)) >= {("d", 1, 0, 1), ("e", 0, 2, -2)}
+
+
 def test_counts_keep_a_null_group(spark):
     rows = [("A", None), (None, None), ("A", "negative")]
     tweets = spark.createDataFrame(rows, "airline string, airline_sentiment string")

@@ -137,3 +137,39 @@ def test_large_reader_skips_a_byte_order_mark(spark, tmp_path):
     for found in (read_csv(spark, f"{tmp_path}/in"), read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")):
         assert found.columns == ["tweet_id", "text"]
         assert [tuple(row) for row in found.collect()] == [("1", "x")]
+
+
+@pytest.mark.parametrize(
+    "body", ['1,a"b\n2,c\n3,d"e\n4,f\n', '1,x "quoted" y\n', '1,"x" y\n'], ids=["pair", "one-line", "after"]
+)
+def test_large_reader_refuses_stray_quotes(spark, tmp_path, body):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("tweet_id,text\n" + body)
+    with pytest.raises(Exception, match="quote within an unquoted cell"):
+        read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work").collect()
+
+
+def test_a_header_over_two_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('tweet_id,"te\nxt"\n1,x\n2,"y\nz"\n')
+    plain = read_csv(spark, f"{tmp_path}/in")
+    large = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work")
+    assert large.columns == plain.columns == ["tweet_id", "te\nxt"]
+    assert sorted(large.collect()) == sorted(plain.collect()) == [("1", "x"), ("2", "y\nz")]
+
+
+def test_large_reader_shuffles_lines_once(spark, folder, tmp_path):
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = read_large_csv(spark, folder, f"{tmp_path}/work")
+        text = found._jdf.queryExecution().executedPlan().toString()
+    of_lines = [x for x in text.splitlines() if "Exchange hashpartitioning(part" in x and "ReusedExchange" not in x]
+    assert len(of_lines) <= 2  # the lines, and the parts, which are small
+    assert "ShuffledHashJoin" not in text
+    header = text.index("CSV header does not conform")
+    assert "Window" not in text[:header]
+
+
+@pytest.mark.parametrize("written, number", [("1", 1), ("1.0", 1), ("-3.0", -3), ("1.5", None), ("x", None), ("1e20", None)])
+def test_whole_numbers_written_as_decimals(spark, tmp_path, written, number):
+    (tmp_path / "t.csv").write_text(HEADER + f"1,negative,1.0,A,a,b,2015,{written}\n")
+    assert shape_records(read_csv(spark, str(tmp_path))).first()["retweet_count"] == number

@@ -1,3 +1,4 @@
+import os
 from unittest.mock import MagicMock
 
 import pytest
@@ -40,8 +41,9 @@ def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
     job("cards", f"{tmp_path}/cards", *source)
     capfd.readouterr()
     job("compact", *tables, f"{tmp_path}/compacted", "--stored-as", stored_as)
-    job("compare", "--tables", f"{tmp_path}/compacted", "--stored-as", stored_as)
-    job("query", f"{tmp_path}/records", "SELECT airline, COUNT(*) AS tweets FROM tweets GROUP BY airline")
+    job("compare", "--tables", f"{tmp_path}/compacted", "--stored-as", stored_as, "--out", f"{tmp_path}/compared")
+    by_airline = "SELECT airline, COUNT(*) AS tweets FROM tweets GROUP BY airline ORDER BY airline"
+    job("query", f"{tmp_path}/records", by_airline, "--out", f"{tmp_path}/result", "--rows", "1")
     shown = capfd.readouterr().out
 
     store = ParquetTables(spark, f"{tmp_path}/tables")
@@ -49,13 +51,43 @@ def test_all_jobs_in_turn(spark, tmp_path, capfd, large, mode, stored_as):
     assert {row["word"]: row["count"] for row in store.read("batch_hashtags").collect()} == {"#late": 2, "#fine": 1}
     metrics = {row["processing_type"]: row["records_processed"] for row in store.read("performance_metrics").collect()}
     assert metrics == {"batch": 3, "streaming": 3}
-    cards = [row["value"] for row in spark.read.text(f"{tmp_path}/cards", lineSep="\n\n").collect()]
-    assert len(cards) == 3
+    by_id = {row["tweet_id"]: row["card"] for row in spark.read.json(f"{tmp_path}/cards").collect()}
+    assert sorted(by_id) == ["1", "2", "3"]
+    cards = list(by_id.values())
     assert any("Text: more #late\n" in card and "Hashtags: late\n" in card for card in cards)
     assert "|negative         |2              |2          |0    |" in shown
     assert "|Air2   |1              |1          |0    |" in shown
     assert "|Air1   |2     |" in shown
     assert "|streaming      |3                |" in shown
+    assert "only showing top 1 row" in shown
+    assert sorted(tuple(row) for row in spark.read.parquet(f"{tmp_path}/result").collect()) == [("Air1", 2), ("Air2", 1)]
+    compared = spark.read.parquet(f"{tmp_path}/compared/hashtags")
+    assert {tuple(row) for row in compared.collect()} == {("late", 2, 2, 0), ("late,", 1, 0, 1), ("fine", 1, 1, 0)}
+    assert spark.read.parquet(f"{tmp_path}/compared/negative_by_airline").count() == 2
+
+
+def test_a_result_of_any_length_is_stored_whole(spark, tmp_path, capfd):
+    spark.range(150).write.parquet(f"{tmp_path}/records")
+    run(spark, parse(["query", f"{tmp_path}/records", "SELECT id FROM tweets", "--out", f"{tmp_path}/out"]))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 150
+    assert "only showing top 20 rows" in capfd.readouterr().out
+
+
+def test_tables_never_written_are_named(spark, tmp_path, capfd):
+    run(spark, parse(["compare", "--tables", f"{tmp_path}/none"]))
+    shown = capfd.readouterr().out
+    for table in ("hashtags", "sentiment_counts", "airline_sentiment", "batch_hashtags"):
+        assert f"never written, so counted as 0: {table}\n" in shown
+
+
+def test_lines_staged_for_a_large_file_are_removed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "tweets.csv").write_text(CSV)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    run(spark, parse(["land", f"{tmp_path}/in", f"{tmp_path}/records", "--large"]))
+    assert set(os.listdir(shared)) <= before
+    assert spark.read.parquet(f"{tmp_path}/records").count() == 3
 
 
 def test_store_choice(spark):
@@ -72,6 +104,7 @@ def test_store_choice(spark):
         ["batch", "records"],
         ["stream", "--folder", "f"],
         ["stream", "--folder", "f", "--checkpoint", "c", "--tables", "t", "--shared", "--console"],
+        ["publish", "records", "--servers", "h:1", "--option", "acks"],
     ],
 )
 def test_arguments_that_are_missing_or_do_not_fit(arguments, capsys):
@@ -88,3 +121,11 @@ def test_topic_arguments_reach_the_reader():
     reader.options.assert_called_with(**subscribe_options("h:1", "t"))
     stream_of(session, parse([*arguments, "--per-trigger", "500000", "--min-partitions", "64"]))
     reader.options.assert_called_with(**subscribe_options("h:1", "t", per_trigger=500000, min_partitions=64))
+    more = ["--option", "kafka.security.protocol=SASL_SSL", "--starting", "latest", "--fail-on-data-loss"]
+    stream_of(session, parse([*arguments, *more]))
+    called = reader.options.call_args.kwargs
+    assert (called["kafka.security.protocol"], called["startingOffsets"], called["failOnDataLoss"]) == (
+        "SASL_SSL",
+        "latest",
+        "true",
+    )

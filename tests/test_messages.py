@@ -13,7 +13,6 @@ from chirpline.sources.messages import (
     publish_files,
     publish_topic,
     read_files,
-    spread,
     stream_topic,
     subscribe_options,
     topic_options,
@@ -136,10 +135,11 @@ def test_files_roundtrip(spark, tmp_path):
     assert back.collect() == records.collect()
 
 
-def test_only_small_inputs_are_spread(spark):
-    rows = spark.range(100, numPartitions=4)
-    assert spread(rows, 4) is rows
-    assert spread(rows, 5).rdd.getNumPartitions() == 5
+def test_files_of_bounded_length(spark, tmp_path):
+    records = spark.range(10, numPartitions=1).selectExpr("cast(id as string) AS tweet_id")
+    publish_files(records, f"{tmp_path}/topic", 3)
+    found = read_files(spark, f"{tmp_path}/topic")
+    assert (len(found.inputFiles()), found.count()) == (4, 10)
 
 
 def test_topic_options():
@@ -153,6 +153,11 @@ def test_topic_options():
     wide = subscribe_options("host:1", "t", per_trigger=None, min_partitions=64, group="g")
     assert "maxOffsetsPerTrigger" not in wide
     assert (wide["minPartitions"], wide["kafka.group.id"]) == ("64", "g")
+    other = subscribe_options(
+        "host:1", "t", starting="latest", fail_on_data_loss=True, more={"kafka.security.protocol": "SSL"}
+    )
+    assert (other["startingOffsets"], other["failOnDataLoss"]) == ("latest", "true")
+    assert other["kafka.security.protocol"] == "SSL"
     assert topic_options("host:1", acks="all") == {"kafka.bootstrap.servers": "host:1", "acks": "all"}
 
 

@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+from unittest.mock import MagicMock
 
 import hypothesis
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 
 from chirpline.operators.counts import airline_sentiment_counts, sentiment_counts, tag_counts
+from chirpline.operators.records import tweet_cards
 from chirpline.plans.live import current_counts, run_live
 from chirpline.plans.metrics import timed
 from chirpline.plans.upkeep import compact
@@ -15,9 +17,11 @@ from chirpline.schema import KEY_FIELDS, TABLES
 from chirpline.session import build_session, settings, work_dir
 from chirpline.sources.messages import decode, read_files, stream_files
 from chirpline.sources.tables import ParquetTables
+from chirpline.streaming.progress import ProgressTotals
 from chirpline.streaming.queries import (
     finish,
     start_all,
+    start_cards,
     start_console,
     start_count,
     start_shared,
@@ -203,7 +207,7 @@ def test_a_compacted_copy_holds_the_same_and_the_stream_goes_on(spark, topic, tm
 
     run(store)
     target = ParquetTables(spark, f"{tmp_path}/compacted")
-    compact(store, target, stored_as)
+    compact(store, target, stored_as, tweets=True)
     check(target, 8)
     batches = {row["batch_id"] for row in target.read_batches("tweets").collect()}
     assert batches == {-1, 2}
@@ -221,10 +225,29 @@ def test_a_compacted_copy_holds_the_same_and_the_stream_goes_on(spark, topic, tm
     check(target, 9)
 
     again = ParquetTables(spark, f"{tmp_path}/again")
-    compact(target, again, stored_as)
+    compact(target, again, stored_as, tweets=True)
     check(again, 9)
 
 
+def test_compaction_leaves_the_raw_tweets(spark, topic, tmp_path, store, checkpoint):
+    finish([start_shared(stream_files(spark, topic, 1), store, checkpoint, interval=None)])
+    target = ParquetTables(spark, f"{tmp_path}/compacted")
+    compact(store, target, "increments")
+    assert not target.exists("tweets")
+    assert as_set(current_counts(target, HASHTAGS, "increments")) == expected(spark, topic, HASHTAGS)
+
+
+@pytest.mark.parametrize("into", ["tables", "tables/", "./tables", "tables/inner", "", "full"])
+def test_compaction_refuses_a_target_that_could_harm(spark, topic, tmp_path, store, checkpoint, into):
+    finish([start_shared(stream_files(spark, topic, 1), store, checkpoint, interval=None)])
+    (tmp_path / "full").mkdir()
+    (tmp_path / "full" / "kept").write_text("x")
+    with pytest.raises(ValueError, match="folders apart|not empty"):
+        compact(store, ParquetTables(spark, f"{tmp_path}/{into}"), "increments", tweets=True)
+    assert store.read("tweets").count() == 8
+    assert (tmp_path / "full" / "kept").exists()
+
+
 def test_compacting_nothing_writes_nothing(spark, tmp_path, store):
     compact(store, ParquetTables(spark, f"{tmp_path}/compacted"), "changes")
     assert not os.path.exists(f"{tmp_path}/compacted")
@@ -259,6 +282,50 @@ def test_console_shows_the_top_hashtags(spark, topic, checkpoint, capfd):
     assert "|A      |negative         |2    |" in shown
 
 
+def test_console_reads_every_batch_to_its_end(spark, tmp_path, store, checkpoint):
+    """With more groups than are printed, no state partition may be left out."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for number in range(3):
+        rows = [(f"{number}-{i}", f"air{i}", f"s{i % 40}", [f"t{i}"]) for i in range(300)]
+        write_batch(folder, number, rows)
+    for output in RUNNING_COUNTS:
+        messages = stream_files(spark, str(folder), 1)
+        finish([start_console(messages, output, checkpoint, interval=None)])
+        # The state that the console has left is complete: a count that goes on from it is right.
+        with settings(spark, state_settings(spark, output)):
+            state = spark.read.format("statestore").load(f"{checkpoint}/{output.table}_console")
+            groups = state.selectExpr("key.*", "value.count AS n").collect()
+        assert len(groups) == (40 if output is SENTIMENT else 300)
+        assert sum(row["n"] for row in groups) == 900
+
+
+def test_cards_of_any_text(spark, tmp_path, checkpoint):
+    texts = ["plain", "a\n\nb", "ends\n", "\n\n", "", "a\r\nb", None, "x\u2028y"]
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    lines = [json.dumps({"tweet_id": str(i), "tweet_text": text}) for i, text in enumerate(texts)]
+    (folder / "0.json").write_text("\n".join(lines) + "\n")
+    finish([start_cards(stream_files(spark, str(folder)), f"{tmp_path}/cards", checkpoint, interval=None)])
+    stored = spark.read.schema("tweet_id string, card string").json(f"{tmp_path}/cards").collect()
+    made = tweet_cards(decode(read_files(spark, str(folder)))).collect()
+    assert sorted(map(tuple, stored)) == sorted(map(tuple, made))
+    assert len(stored) == len(texts)
+
+
+def test_a_run_that_fails_has_no_metric_row(spark, topic, tmp_path, checkpoint):
+    store = FailingOnce(spark, f"{tmp_path}/tables")
+    with pytest.raises(StreamingQueryException, match="table store is gone"):
+        run_live(spark, stream_files(spark, topic, 1), store, checkpoint, shared=True, interval=None)
+    assert store.read("performance_metrics").isEmpty()
+
+
+def test_a_late_end_event_costs_a_warning_only():
+    query = MagicMock(runId="r")
+    with pytest.warns(UserWarning, match="no end of query"):
+        ProgressTotals().wait([query], timeout=0.01)
+
+
 def test_every_query_at_once_until_one_ends(spark, topic, store, checkpoint):
     spark.streams.resetTerminated()
     messages = stream_files(spark, topic, 1)
@@ -324,6 +391,34 @@ def test_session_options():
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
+@pytest.mark.parametrize(
+    "master, shared, fits",
+    [
+        ("local[4]", None, True),
+        ("local-cluster[2,1,1024]", None, False),
+        ("yarn", None, False),
+        ("yarn", "hdfs://n/x", True),
+    ],
+)
+def test_work_folder_off_one_machine(master, shared, fits):
+    session = MagicMock()
+    session.sparkContext.master = master
+    session.conf.get.return_value = shared
+    if fits:
+        assert work_dir(session, "x")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_dir(session, "x")
+
+
+def test_a_local_folder_off_one_machine_is_warned_of():
+    session = MagicMock()
+    session.sparkContext.master = "yarn"
+    session.conf.get.return_value = "file:///tmp/x"
+    with pytest.warns(UserWarning, match="must be mounted"):
+        work_dir(session, "x")
+
+
 def test_work_folder_is_the_shared_one(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second

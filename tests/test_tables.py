@@ -1,12 +1,22 @@
+import os
 from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
 from chirpline.plans.batch import run_batch, show_counts, store_counts
-from chirpline.plans.comparison import comparisons
-from chirpline.schema import METRIC, TABLES
-from chirpline.sources.tables import COMMIT, JdbcTables, ParquetTables, committed, exists_query, top_query
+from chirpline.plans.comparison import comparisons, never_written
+from chirpline.schema import ENDINGS, METRIC, TABLES
+from chirpline.sources.tables import (
+    COMMIT,
+    JdbcTables,
+    ParquetTables,
+    committed,
+    counts_query,
+    current_counts,
+    exists_query,
+    top_query,
+)
 
 
 @pytest.fixture
@@ -102,15 +112,57 @@ def test_a_failing_batch_job_raises_and_records_nothing(spark, store):
     assert store.read("performance_metrics").isEmpty()
 
 
-def test_comparisons_leave_out_empty_sides(spark, store):
-    assert comparisons(store) == {}
+def test_comparisons_count_0_where_a_side_has_nothing(spark, store):
+    names = ["sentiment", "hashtags", "hashtags_listed", "negative_by_airline"]
+    assert list(comparisons(store)) == names
+    assert all(df.isEmpty() for df in comparisons(store).values())
+    assert "batch_hashtags" in never_written(store)
     run_batch(spark.createDataFrame(TWEETS, TWEET_COLUMNS), store, text="text")
-    assert comparisons(store) == {}
     store.replace(spark.createDataFrame([("A", "neutral", 1)], TABLES["airline_sentiment"]), "airline_sentiment")
     store.replace(counted(spark, [("negative", 1)]), "sentiment_counts")
-    found = comparisons(store)
-    assert list(found) == ["sentiment"]
-    assert as_set(found["sentiment"]) == {("negative", 1, 2, -1), (None, 0, 1, -1)}
+    assert never_written(store) == ["hashtags"]
+    found = {name: as_set(df) for name, df in comparisons(store).items()}
+    assert found == {
+        "sentiment": {("negative", 1, 2, -1), (None, 0, 1, -1)},
+        "hashtags": {("a", 0, 2, -2), ("b", 0, 1, -1)},
+        "hashtags_listed": {("a", 0, 2, -2), ("b", 0, 1, -1)},
+        "negative_by_airline": {("A", 0, 2, -2)},
+    }
+
+
+def test_a_reader_keeps_the_table_it_began_with(spark, store):
+    store.replace(counted(spark, [("a", 1)]), "sentiment_counts")
+    begun = store.read("sentiment_counts")
+    store.replace(begun.withColumn("count", F.col("count") + 1), "sentiment_counts")
+    assert as_set(begun) == {("a", 1)}
+    assert as_set(store.read("sentiment_counts")) == {("a", 2)}
+    for n in range(3):
+        store.replace(counted(spark, [("a", n)]), "sentiment_counts")
+    versions = [name for name in os.listdir(store.path("sentiment_counts")) if name.startswith("version-")]
+    assert len(versions) == 2
+
+
+def test_a_replace_that_fails_leaves_the_table(spark, store):
+    store.replace(counted(spark, [("a", 1)]), "sentiment_counts")
+    broken = counted(spark, [("b", 2)]).withColumn("count", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        store.replace(broken, "sentiment_counts")
+    assert as_set(store.read("sentiment_counts")) == {("a", 1)}
+
+
+@pytest.mark.parametrize("stored_as", ["current", "history", "changes", "increments"])
+def test_top_and_named_counts_of_every_way_to_store(spark, store, stored_as):
+    schema = TABLES["hashtags"]
+    rows = [[("a", 1), ("b", 5)], [("a", 7), ("b", 6), ("c", 6)]]
+    for batch_id, batch in enumerate(rows):
+        df = spark.createDataFrame(batch, schema)
+        if stored_as == "current":
+            store.replace(df, "hashtags")
+        else:
+            store.write_batch(df, "hashtags" + ENDINGS[stored_as], batch_id)
+    want = [("b", 11), ("a", 8)] if stored_as == "increments" else [("a", 7), ("b", 6)]
+    assert [tuple(row) for row in store.read_top("hashtags", 2, stored_as).collect()] == want
+    assert as_set(store.read_counts("hashtags", ["c", "x"], stored_as)) == {("c", 6)}
 
 
 # ---- JDBC: no database is at hand, so the calls into Spark are looked at ----------
@@ -138,11 +190,13 @@ class TablesInMemory(JdbcTables):
 def test_jdbc_write_options(spark, monkeypatch):
     monkeypatch.setenv("JDBC_PASSWORD", "secret")
     rows = MagicMock()
-    writer = rows.write.format.return_value
+    dealt = rows.repartition.return_value
+    writer = dealt.write.format.return_value
     for call in ("option", "options", "mode"):
         getattr(writer, call).return_value = writer
     JdbcTables(spark, "jdbc:postgresql://db/tweets", connections=4).replace(rows, "batch_hashtags")
-    rows.write.format.assert_called_once_with("jdbc")
+    rows.repartition.assert_called_once_with(4)
+    dealt.write.format.assert_called_once_with("jdbc")
     writer.options.assert_called_once_with(
         url="jdbc:postgresql://db/tweets", driver="org.postgresql.Driver", user="postgres", password="secret"
     )
@@ -159,20 +213,92 @@ def test_jdbc_query_and_table_options(spark, monkeypatch):
     loaded = []
     frame = counted(spark, [("a", 1)])
     monkeypatch.setattr(JdbcTables, "_load", lambda self, **options: loaded.append(options) or frame)
+    monkeypatch.setattr(JdbcTables, "exists", lambda self, table: not table.endswith("_commits"))
     store = JdbcTables(spark, "jdbc:postgresql://db/tweets")
     store.query("SELECT 1")
     store.read("sentiment_counts", numPartitions="4")
     store.read_top("sentiment_counts", 10)
     assert loaded == [
         {"query": "SELECT 1"},
-        {"query": exists_query("sentiment_counts")},
         {"dbtable": "sentiment_counts", "numPartitions": "4"},
-        {"query": exists_query("sentiment_counts")},
         {"query": top_query("sentiment_counts", ["airline_sentiment"], 10)},
     ]
+    loaded.clear()
+    store.read_top("hashtags", 10, "changes")
+    store.read_counts("hashtags", ["it's"], "increments")
+    assert loaded == [
+        {"query": top_query("hashtags_changes", ["hashtag"], 10, "changes")},
+        {"query": counts_query("hashtags_increments", ["hashtag"], "increments", ["it's"])},
+    ]
+
+
+def test_jdbc_existence_is_asked_of_the_database(spark, monkeypatch):
+    loaded = []
+    monkeypatch.setattr(JdbcTables, "_load", lambda self, **options: loaded.append(options) or spark.range(1))
+    assert JdbcTables(spark, "jdbc:postgresql://db/tweets").exists("hashtags")
+    assert loaded == [{"query": exists_query("hashtags")}]
+
+
+def test_jdbc_batches_are_read_over_several_connections(spark, monkeypatch):
+    asked = []
+    commits = spark.createDataFrame([(3, "x"), (9, "y")], COMMIT)
+    rows = spark.createDataFrame([("a", 1, 3, "x", 0)], "hashtag string, count long, batch_id long, attempt string, row_id long")
+
+    def load(self, **options):
+        asked.append(options)
+        return commits if options["dbtable"].endswith("_commits") else rows
+
+    monkeypatch.setattr(JdbcTables, "_load", load)
+    monkeypatch.setattr(JdbcTables, "exists", lambda self, table: True)
+    found = JdbcTables(spark, "jdbc:postgresql://db/x", connections=4).read_batches("hashtags")
+    assert asked[-1] == {
+        "dbtable": "hashtags",
+        "partitionColumn": "batch_id",
+        "lowerBound": "3",
+        "upperBound": "10",
+        "numPartitions": "4",
+    }
+    assert as_set(found) == {("a", 1, 3)}
+
+
+@pytest.mark.parametrize("stored_as", ["changes", "increments"])
+def test_the_database_counts_as_spark_does(spark, stored_as):
+    """The statements, run by another SQL engine on the same rows."""
+    duckdb = pytest.importorskip("duckdb")
+    schema = "hashtag string, count long, batch_id long, attempt string, row_id long"
+    rows = [("a", 4, 0, "x", 0), ("a", 4, 0, "x", 0), ("a", 9, 0, "z", 0), ("b", 2, 1, "y", 0), ("a", 5, 1, "y", 1)]
+    rows += [("a'", 1, 1, "y", 2), ("c", 9, 2, "never", 0)]
+    commits = [(0, "x"), (0, "z"), (1, "y")]
+    store = TablesInMemory(spark)
+    store.frames = {
+        f"hashtags_{stored_as}": spark.createDataFrame(rows, schema),
+        f"hashtags_{stored_as}_commits": spark.createDataFrame(commits, COMMIT),
+    }
+    con = duckdb.connect()
+    for name, df in store.frames.items():
+        con.register("frame", df.toPandas())
+        con.execute(f"CREATE TABLE {name} AS SELECT * FROM frame")
+    want = as_set(current_counts(store, "hashtags", stored_as))
+    table = f"hashtags_{stored_as}"
+    assert set(con.execute(counts_query(table, ["hashtag"], stored_as)).fetchall()) == want
+    tops = con.execute(top_query(table, ["hashtag"], 2, stored_as)).fetchall()
+    assert tops == sorted(want, key=lambda row: (-row[1], row[0]))[:2]
+    some = con.execute(counts_query(table, ["hashtag"], stored_as, ["b", "a'"])).fetchall()
+    assert set(some) == {row for row in want if row[0] in ("b", "a'")}
+
+
+def test_jdbc_raw_tweets_are_those_of_finished_batches(spark):
+    store = TablesInMemory(spark)
+    names = ", ".join(f"cast(null as {f.dataType.simpleString()}) AS {f.name}" for f in TABLES["tweets"].fields[1:])
+    rows = spark.range(3).selectExpr("cast(id as string) AS tweet_id", *names.split(", "))
+    store.write_batch(rows, "tweets", 0)
+    unfinished = store.frames["tweets"].withColumn("attempt", F.lit("lost"))
+    store._write(unfinished, "tweets", "append")
+    assert store.read("tweets").count() == 3
 
 
 def test_jdbc_queries():
+    assert exists_query("s.hashtags").endswith("table_name = 'hashtags' AND table_schema = 's'")
     assert exists_query("hashtags") == "SELECT 1 AS found FROM information_schema.tables WHERE table_name = 'hashtags'"
     assert top_query("hashtags", ["hashtag"], 10) == (
         'SELECT "hashtag", MAX("count") AS "count" FROM hashtags '
