@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -11,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpline.session import settings, work_dir
+from chirpline.session import scratch, settings, work_dir
 
 # Fixed value: the white space that separates words, as the contracts have it.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -31,14 +34,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession, purpose: str) -> Iterator[None]:
+    """Removes what was staged within the block at its end.
+
+    A result that still reads staged tables must have been written by then.
+    """
+    with scratch(spark, purpose) as path:
+        token = _FOLDER.set(path)
+        try:
+            yield
+        finally:
+            _FOLDER.reset(token)
+
+
 def staged(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back.
 
     Cuts lineage, so a lost executor costs no more than its own tasks.
     ``batch_rows`` bounds the rows handed to Python at a time.
     """
-    spark = df.sparkSession
-    path = work_dir(spark, purpose)
+    spark, folder = df.sparkSession, _FOLDER.get()
+    path = f"{folder}/{purpose}-{uuid.uuid4().hex}" if folder else work_dir(spark, purpose)
     with settings(spark, {BATCH_ROWS: str(batch_rows)} if batch_rows else {}):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

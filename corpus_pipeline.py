@@ -12,12 +12,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chirpline.llm.common import read_table, staged
+from chirpline.llm.common import read_table, staging
 from chirpline.llm.exact import exact_dedup
 from chirpline.llm.mixing import mixed_documents
 from chirpline.llm.packing import pack
 from chirpline.llm.quality import accepted
 from chirpline.llm.simhash import simhash_dedup
+from chirpline.session import work_dir
+from chirpline.sources import files
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage has read and staged goes when its result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        result = work_dir(spark, name.replace(" ", "-"))
+        with staging(spark, "stage"):
+            stage(spark, docs, sf_dir).write.parquet(result)
+        if before:
+            files.remove(spark, before)
+        docs, before = spark.read.parquet(result), result
     return docs

@@ -1,5 +1,6 @@
 """The registered queries against their SQL, and the others against plain versions, on the given tables."""
 
+import os
 import zlib
 from collections import Counter
 
@@ -127,6 +128,9 @@ def test_pipeline_stage_by_stage(spark):
     for x in mixed:
         want[x[0]] += len(tokenizer.encode(x[1], add_special_tokens=False).ids) + 1
     assert tokens == want
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
     again = corpus_pipeline.run(spark, SF)
+    assert [x.split("-")[0] for x in set(os.listdir(shared)) - before] == ["packing"]
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"]
     assert found(again.select(key)) == sorted((tuple(r[x] for x in key) for r in pieces), key=repr)
