@@ -136,6 +136,24 @@ SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY l.place) FILTER (d.place IS NULL), '')) AS kept_sha256
         FROM l LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.place = d.place LEFT JOIN runs r ON l.doc_id = r.doc_id
         GROUP BY l.doc_id""",
+    "op3_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach AS (
+            SELECT DISTINCT a AS node, a AS root FROM links
+            UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a),
+        known AS (
+            SELECT n.a AS vec_id, n.n_links, r.component_id
+            FROM (SELECT a, count(*) AS n_links FROM links GROUP BY a) n
+            JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) r ON n.a = r.node)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+               vec_id = coalesce(component_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN known USING (vec_id)""",
     "op5_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
