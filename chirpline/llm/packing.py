@@ -24,10 +24,11 @@ from chirpline.llm.common import blocks, text_or_empty
 
 # Stands between words that are encoded together; words that hold it go alone.
 MARK = b"\x01"
-MEMO_WORDS = 500_000
+MEMO_WORDS = 400_000
+MEMO_PARTS = 100_000
 MEMO_WORD_BYTES = 64
 WORDS_PER_CALL = 1_000
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 8 << 20
 # Letters with punctuation around them: up to three parts that the tokenizer splits
 # before it merges. Lines that are anything else go into the last group.
 PLAIN = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
@@ -37,22 +38,29 @@ TASK_BITS, PLACE_BITS = 24, 34
 
 
 class Memo:
-    """The entries used last, at least ``size`` and at most twice as many."""
+    """Values of the keys used last, at least ``size`` and about twice as many at most."""
 
-    def __init__(self, size: int):
-        self.size = size
+    def __init__(self, size: int, learn: Callable[[list], list]):
+        self.size, self.learn = size, learn
         self.now: dict = {}
         self.before: dict = {}
 
-    def missing(self, keys: set) -> set:
-        """The keys without an entry; the others can be looked up in ``now`` until the next call."""
+    def of(self, keys: list) -> list:
+        """The values of keys that differ from each other."""
         if len(self.now) > self.size:
             self.before, self.now = self.now, {}
-        away = keys.difference(self.now)
-        before = self.before
-        back = [x for x in away if x in before]
-        self.now.update((x, before[x]) for x in back)
-        return away.difference(back)
+        now, before = self.now, self.before
+        values = list(map(now.get, keys))
+        new = []
+        for i in [i for i, value in enumerate(values) if value is None]:
+            values[i] = before.get(keys[i])
+            if values[i] is None:
+                new.append(i)
+            else:
+                now[keys[i]] = values[i]
+        for i, value in zip(new, self.learn([keys[i] for i in new]) if new else (), strict=True):
+            values[i] = now[keys[i]] = value
+        return values
 
 
 class WordEncoder:
@@ -70,7 +78,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words, self.parts = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        self.words = Memo(MEMO_WORDS, self._learn_words)
+        self.parts = Memo(MEMO_PARTS, lambda parts: list(map(self._learn_part, parts)))
         self.mark = self._encode([MARK.decode()])[0]
         if len(self.mark) != 1:
             raise ValueError(f"{path} has no single id for the mark between words")
@@ -81,7 +90,9 @@ class WordEncoder:
         return [np.array(x.ids, dtype="<u4") for x in found]
 
     def _learn_part(self, part: str) -> bytes:
-        """A part is merged as it stands; letters beyond ASCII are spelt in the tokenizer's byte letters first."""
+        """Ids of a part, which is merged as it stands; letters beyond ASCII are spelt in the tokenizer's byte letters first."""
+        if not part:
+            return b""
         if not part.isascii():
             part = self.bytes_of.pre_tokenize_str(part)[0][0]
         return array("I", [x.id for x in self.model.tokenize(part)]).tobytes()
@@ -98,26 +109,22 @@ class WordEncoder:
             out.update((word, ids[a:b].tobytes()) for word, a, b in zip(group, starts, ends, strict=True))
         return out
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words, none empty and none with white space of the ASCII range."""
+    def _learn_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words, in their order; none has white space of the ASCII range."""
         text = b"\n".join(words)
         special = [x for x in self.special if x in text]
-        odd = [x for x in words if len(x) > MEMO_WORD_BYTES or any(y in x for y in special)] if words else []
-        if odd:
-            apart = set(odd)
-            words = [x for x in words if x not in apart]
-            text = b"\n".join(words)
-        found = PLAIN.findall(text.decode().lower()) if words else []
-        new = self.parts.missing({x for groups in found for x in groups[:3]})
-        known = self.parts.now
-        known.update((x, self._learn_part(x) if x else b"") for x in new)
-        out = {}
-        for word, (head, letters, tail, other) in zip(words, found, strict=True):
-            if other:
-                odd.append(word)
-            else:
-                out[word] = known[head] + known[letters] + known[tail]
-        out.update(self._learn_odd(odd))
+        found = PLAIN.findall(text.decode().lower())
+        parts = list({x for groups in found for x in groups[:3]})
+        known = dict(zip(parts, self.parts.of(parts), strict=True))
+        out = [known[head] + known[letters] + known[tail] for head, letters, tail, _ in found]
+        odd = [
+            i
+            for i, groups in enumerate(found)
+            if groups[3] or len(words[i]) > MEMO_WORD_BYTES or (special and any(x in words[i] for x in special))
+        ]
+        learned = self._learn_odd([words[i] for i in odd])
+        for i in odd:
+            out[i] = learned[words[i]]
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +132,7 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.cast(pa.binary()).to_pylist()
-        # White space at the edges of a text leaves empty words.
-        new = self.words.missing({x for x in words if x})
-        self.words.now.update(self.learn(list(new)))
-        find = self.words.now
-        spelt = [find[x] if x else b"" for x in words]
+        spelt = self.words.of(words)  # white space at the edges of a text leaves an empty word, without ids
         sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
         ids = np.frombuffer(b"".join(spelt), dtype="<u4")
         codes = coded.indices.to_numpy()

@@ -26,7 +26,7 @@ def ids_of(encoder, texts):
     return [x.tolist() for x in np.split(flat, ends[:-1])] if texts else []
 
 
-@given(st.lists(st.text(alphabet=st.sampled_from("aBéÉßẞΣςİı'’1٣.!-_|<> \n\t\x0b\x0c\x1c\x85 ́漢😀ﬁK\x01") | st.characters(), max_size=40), min_size=1, max_size=5))
+@given(st.lists(st.text(alphabet=st.sampled_from("aBéÉßẞΣςİı'’1٣.!-_|<> \n\t\x0b\x0c\x1c\x85 ́漢😀ﬁK\x01") | st.characters(exclude_categories=["Cs"]), max_size=40), min_size=1, max_size=5))
 @settings(max_examples=300, deadline=None)
 def test_words_have_the_ids_of_the_whole_text(texts):
     encoder = test_words_have_the_ids_of_the_whole_text.encoder
@@ -44,12 +44,20 @@ def test_special_tokens_and_long_words(encoder):
 
 
 def test_memo_keeps_what_was_used_last():
-    memo = Memo(2)
-    assert memo.missing({1, 2, 3}) == {1, 2, 3}
-    memo.now.update({1: "a", 2: "b", 3: "c"})
-    assert memo.missing({1, 4}) == {4}
-    assert memo.now == {1: "a"}
-    assert memo.missing({2}) == set()
+    asked = []
+
+    def learn(keys):
+        asked.extend(keys)
+        return [x * 10 for x in keys]
+
+    memo = Memo(2, learn)
+    assert memo.of([1, 2, 3]) == [10, 20, 30]
+    assert memo.of([4, 1]) == [40, 10]
+    assert asked == [1, 2, 3, 4]
+    assert memo.of([2, 5]) == [20, 50]
+    assert memo.of([7]) == [70]
+    assert memo.of([3]) == [30]
+    assert asked == [1, 2, 3, 4, 5, 7, 3]
 
 
 @given(st.integers(0, 100_000))
