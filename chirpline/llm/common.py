@@ -64,6 +64,14 @@ def staged(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or what it takes to differ from all columns."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chirpline.llm.common import SPACES, staged, text_or_empty
+from chirpline.llm.common import SPACES, staged, text_or_empty, unused
 
 # Buckets that each owner task gets about, so that uneven ones even out.
 BUCKETS_PER_TASK = 8
@@ -139,7 +139,8 @@ def exact_groups(docs: DataFrame, key_bits: int = 64) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; of rows that share id and text, one."""
-    marked = docs.withColumn("_sha", F.sha2(normalised(), 256))
+    sha = unused(docs, "sha")
+    marked = docs.withColumn(sha, F.sha2(normalised(), 256))
     groups = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
-    same = marked["doc_id"].cast("long").eqNullSafe(groups["_id"]) & (marked["_sha"] == groups["_kept"])
-    return marked.join(groups, same, "left_semi").drop("_sha")
+    same = marked["doc_id"].cast("long").eqNullSafe(groups["_id"]) & (marked[sha] == groups["_kept"])
+    return marked.join(groups, same, "left_semi").drop(sha)

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chirpline.llm.common import WORD, staged, text_or_empty
+from chirpline.llm.common import WORD, staged, text_or_empty, unused
 
 # Weights by place of the source in the alphabet, and how often a source may be taken.
 WEIGHTS = (5, 2, 1)
@@ -153,6 +153,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document of which only some words are taken has these words of its text,
     and ``n_chars`` follows where there is such a column.
     """
+    renamed = {x: unused(docs, f"own_{x}") for x in docs.columns if x.lower() in (*ADDED, *OWN, "_copy", "_part")}
+    columns, docs = docs.columns, docs.withColumnsRenamed(renamed)
     copies = F.ceil(F.try_divide(F.col("taken"), F.col("size"))).cast("int")
     mixed = mix(docs, **options).filter("taken > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     words = F.least(F.col("size"), F.col("taken") - (F.col("_copy") - 1) * F.col("size"))
@@ -164,4 +166,4 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         mixed = mixed.withColumn("n_chars", F.when(F.col("_part"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return mixed.select(docs.columns)
+    return mixed.select(docs.columns).toDF(*columns)

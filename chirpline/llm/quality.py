@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from chirpline.llm.common import blocks, text_or_empty, texts_of
+from chirpline.llm.common import blocks, text_or_empty, texts_of, unused
 from chirpline.llm.sampling import fold, labelled_sample
 
 FOLDS = 5
@@ -29,7 +29,7 @@ THRESHOLD = 0.3
 
 BUCKETS = 1 << 17
 GRAM = 3
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 # Longer words are split, so that a text without white space has features like any other.
 WORD_BYTES = 64
 
@@ -157,13 +157,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, most_bytes: i
     return train(sample, counts)
 
 
-def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row, in one pass.
-
-    Empty, blank and null texts get the score of a document without features.
-    A null ``doc_id`` is not held out. Rows that repeat have their own rows.
-    ``keep`` returns the columns of ``docs`` and ``score`` instead.
-    """
+def _scored(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """The rows with a column ``name`` more: the score of ``text``."""
     model_of_all = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,16 +166,20 @@ def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
         for batch in batches:
             for block in blocks(batch, "text"):
                 found = pa.array(scorer.scores(texts_of(block, "text")), pa.float64())
-                yield pa.RecordBatch.from_arrays([*(block.columns if keep else block.columns[:1]), found], [*(block.schema.names if keep else ["doc_id"]), "score"])
-
-    if keep:
-        names = [x for x in docs.columns if x.lower() != "score"]
-        kept = docs.select(names)
-        return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("score", DoubleType())]))
-    scored = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, score double"
-    )
-    return scored.select(
+                yield pa.RecordBatch.from_arrays([*block.columns, found], [*block.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row, in one pass.
+
+    Empty, blank and null texts get the score of a document without features.
+    A null ``doc_id`` is not held out. Rows that repeat have their own rows;
+    other columns are not looked at.
+    """
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return _scored(texts, model, "score").select(
         "doc_id",
         F.coalesce(fold(FOLDS) == 0, F.lit(False)).alias("held_out"),
         "score",
@@ -190,6 +189,5 @@ def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose predicted quality is 1, with the columns of ``docs``; none is changed."""
-    return score(docs, fit(docs, labels), keep=True).filter(F.col("score") >= THRESHOLD).select(
-        [x for x in docs.columns if x.lower() != "score"]
-    )
+    name = unused(docs, "score")
+    return _scored(docs, fit(docs, labels), name).filter(F.col(name) >= THRESHOLD).drop(name)

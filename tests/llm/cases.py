@@ -33,7 +33,7 @@ def no_docs(spark):
     return spark.createDataFrame([], DOC_SCHEMA)
 
 
-CLASHING = ("size", "key", "n", "fp", "norm", "cell", "bucket", "page", "score", "target", "_key", "_range", "later", "runs", "kept")
+CLASHING = ("size", "key", "n", "fp", "norm", "cell", "bucket", "page", "score", "target", "_key", "_range", "later", "runs", "kept", "sha", "_sha", "_copy", "_part")
 
 
 def with_clashes(df):

@@ -120,8 +120,10 @@ def test_scores_do_not_depend_on_the_memo():
 
 def test_accepted_keeps_columns(spark):
     docs, labels = labelled(spark)
+    docs = with_clashes(docs)
     kept = quality.accepted(docs, labels)
     assert kept.columns == docs.columns
+    assert {r.score for r in kept.collect()} == {"x"}
     assert {r.doc_id for r in kept.collect()} == {
         r.doc_id for r in quality.score(docs, quality.fit(docs, labels)).filter("predicted = 1").collect()
     }

@@ -86,9 +86,10 @@ def test_reruns_agree_however_rows_lie(spark):
 
 
 def test_documents_come_as_often_as_they_are_taken(spark):
-    docs = odd_docs(spark)
+    docs = with_clashes(odd_docs(spark))
     mixed = mixed_documents(docs)
     assert mixed.columns == docs.columns
+    assert {(r.size, r._key) for r in mixed.collect()} == {("x", "x")}
     words = {}
     for r in mixed.collect():
         words[r.source] = words.get(r.source, 0) + count(r.text)
