@@ -28,7 +28,7 @@ MEMO_WORDS = 400_000
 MEMO_PARTS = 100_000
 MEMO_WORD_BYTES = 64
 WORDS_PER_CALL = 1_000
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 # Letters with punctuation around them: up to three parts that the tokenizer splits
 # before it merges. Lines that are anything else go into the last group.
 PLAIN = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([a-zß-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
@@ -138,8 +138,11 @@ class WordEncoder:
         codes = coded.indices.to_numpy()
         lengths = sizes[codes]
         ends = np.cumsum(lengths)
-        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
-        flat = ids[np.repeat(shift, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        # A block's ids are few enough for 32-bit places, unless one text alone is huge.
+        kind = np.int32 if len(ids) + (ends[-1] if len(ends) else 0) < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(sizes) - sizes)[codes] - (ends - lengths)).astype(kind), lengths)
+        place += np.arange(len(place), dtype=kind)
+        flat = ids[place]
         last_word = np.cumsum(pc.list_value_length(split).to_numpy())
         return flat, np.concatenate(([0], ends))[last_word]
 
@@ -195,7 +198,6 @@ def pack(
             for block in blocks(batch, "text", TEXT_BYTES):
                 flat, ends = encode(block.column("text"))
                 flat = np.insert(flat, ends, end_id)
-                packed = memoryview(flat.tobytes())
                 rows: list[tuple] = []
                 begin = 0
                 for doc_id, end in zip(block.column("doc_id").to_pylist(), (ends + np.arange(1, len(ends) + 1)).tolist(), strict=True):
@@ -203,7 +205,7 @@ def pack(
                     for length in piece_lengths(total, longest):
                         bucket = length.bit_length() - 1
                         sequence = (top - bucket) << (TASK_BITS + PLACE_BITS) | task << PLACE_BITS | places[bucket]
-                        crc = zlib.crc32(packed[4 * start : 4 * (start + length)])
+                        crc = zlib.crc32(flat[start : start + length])
                         rows.append((doc_id, start - begin, length, crc, total, sequence, 0, bucket))
                         places[bucket] += 1
                         start += length
