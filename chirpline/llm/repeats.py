@@ -41,7 +41,9 @@ GRAM = 32
 STRIDE = 128
 SHARD_BYTES = 1 << 20
 MERGE_ROWS = 1 << 16
-SHARD_ROWS = 4
+SHARDS_PER_TASK = 4
+MOST_TASKS = 50_000
+SHARD_ROWS = 16
 DOC_ROWS = 500
 # Text that is hashed at a time; places in it take 24 bits.
 CHUNK = 1 << 20
@@ -334,13 +336,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
                         rows.append((w["shard"], w["part"], w["anchor"], w["context"], w["times"], cut))
                 yield _rows(rows, names, kinds)
 
-    dealt = staged(
+    # Few shards a task, as each takes about a second.
+    tasks = min(MOST_TASKS, -(-shards // SHARDS_PER_TASK))
+    dealt = (
         cut_up.select("text", "wanted")
         .mapInArrow(cut_contexts, "shard long, part int, anchor long, context binary, times long, bytes binary")
+        .repartition(tasks, "shard", "part")
         .groupBy("shard", "part")
-        .agg(F.collect_list(F.struct("anchor", "context", "times", "bytes")).alias("held")),
-        "shards",
-        DOC_ROWS,
+        .agg(F.collect_list(F.struct("anchor", "context", "times", "bytes")).alias("held"))
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
