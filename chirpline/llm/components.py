@@ -20,7 +20,8 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:  # the larger end sees its smaller neighbours only
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+    # Written first, so that both sides of the join are plain shuffles, which Spark can split.
+    least = staged(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
     met = both.join(least, "a")
     if large:
         out = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -100,7 +100,9 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
         source.mapInArrow(select, "print long, doc_id long, text_hash long, first long, around array<long>"), "places"
     )
     # A fingerprint that only one document's one place has cannot be part of a match.
-    repeated = places.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    # Written before the join, like the first runs below: a join of plain shuffles can be
+    # split where very many places share a key, one after a grouping cannot.
+    repeated = staged(places.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print"), "repeated")
     met = places.join(repeated, "print", "left_semi")
     # Both ways from the fingerprint: every run of lines that it stands for.
     runs = met.select(
@@ -112,7 +114,9 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
         "first",
     ).select("lines", F.struct("doc_id", "text_hash", (F.col("first") + F.col("step")).alias("line")).alias("at"))
     runs = staged(runs.distinct(), "runs")
-    firsts = runs.groupBy("lines").agg(F.min("at").alias("first_at"), F.count("*").alias("n")).filter("n > 1")
+    firsts = staged(
+        runs.groupBy("lines").agg(F.min("at").alias("first_at"), F.count("*").alias("n")).filter("n > 1"), "firsts"
+    )
     later = runs.join(firsts, "lines").filter(F.col("at") != F.col("first_at"))
     per_doc = later.groupBy("at.doc_id", "at.text_hash").agg(F.sort_array(F.collect_list("at.line")).alias("later"))
     per_doc = staged(per_doc, "later")

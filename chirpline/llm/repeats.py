@@ -238,7 +238,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
         ),
         "places",
     )
-    twice = places.groupBy("core").agg(F.sum("times").alias("n")).filter("n > 1").select("core")
+    # Written before the join, which can then be split where very many places share a core.
+    twice = staged(places.groupBy("core").agg(F.sum("times").alias("n")).filter("n > 1").select("core"), "twice")
     run_fields = ["start", "strings", "distance", "step", "times"]
     per_doc = (
         places.join(twice, "core", "left_semi").groupBy(*key).agg(F.collect_set(F.struct(*run_fields)).alias("runs"))
