@@ -39,9 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
     Components in MapReduce and Beyond, 2014), each written to shared files,
     until the links are stars around the smallest node.
     """
-    schema = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    now = staged(schema.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while True:
+    links = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
+    now = then = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not now.isEmpty():
         then = staged(_stars(_stars(now, large=True), large=False), "links")
         # A star forest: no node is linked to two others, and none that others link to is itself linked.
         twice = then.groupBy("a").count().filter("count > 1").select("a")
