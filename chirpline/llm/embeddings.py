@@ -199,7 +199,8 @@ def _links_of(classes: DataFrame, dim: int, least: float, reach: float) -> tuple
                     pa.array(errors),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(probes)),
                 ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*part.schema.names, "cell", "codes", "errors", "probes"])
+                names = [*part.schema.names, "cell", "codes", "errors", "probes"]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names)
 
     schema = classes.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
     indexed = staged(
@@ -224,13 +225,13 @@ def _links_of(classes: DataFrame, dim: int, least: float, reach: float) -> tuple
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for cell, q, m in zip(batch.column("list").to_pylist(), batch.column("queries"), batch.column("members"), strict=True):
+            cells = batch.column("list").to_pylist()
+            for cell, q, m in zip(cells, batch.column("queries"), batch.column("members"), strict=True):
                 ids, found, a, b = block_links(index, cell, least, _fields(q, dim), _fields(m, dim))
                 nothing = [pa.nulls(len(ids), pa.int64()), pa.nulls(len(a), pa.int64())]
                 columns = [(ids, nothing[1]), (found, nothing[1]), (nothing[0], a), (nothing[0], b)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([pa.array(x, pa.int64()) for x in both]) for both in columns], ["id", "links", "a", "b"]
-                )
+                joined = [pa.concat_arrays([pa.array(x, pa.int64()) for x in both]) for both in columns]
+                yield pa.RecordBatch.from_arrays(joined, ["id", "links", "a", "b"])
 
     met = queries.join(members, ["label", "list"]).select("list", "queries", "members")
     found = staged(met.mapInArrow(search, "id long, links long, a long, b long"), "found", BLOCK_ROWS)

@@ -133,7 +133,8 @@ def exact_groups(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     return (
         entries.drop("n_bytes")
         .join(chains, ["key", "text_sha256"])
-        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
     )
 
 
@@ -141,6 +142,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns; of rows that share id and text, one."""
     sha = unused(docs, "sha")
     marked = docs.withColumn(sha, F.sha2(normalised(), 256))
-    groups = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
+    groups = exact_groups(docs).filter("kept")
+    groups = groups.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
     same = marked["doc_id"].cast("long").eqNullSafe(groups["_id"]) & (marked[sha] == groups["_kept"])
     return marked.join(groups, same, "left_semi").drop(sha)

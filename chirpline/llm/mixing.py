@@ -64,7 +64,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     left = F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     weight_left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     shared = rated.withColumn("capped", left * F.col("weight") > F.col("cap") * weight_left)
-    open_words = F.sum("source_size").over(everything) - F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0.0)).over(everything)
+    taken_up = F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0.0)).over(everything)
+    open_words = F.sum("source_size").over(everything) - taken_up
     open_weight = F.sum(F.when(F.col("capped"), 0.0).otherwise(F.col("weight"))).over(everything)
     share = F.try_divide(open_words * F.col("weight"), open_weight)
     return shared.withColumn(

@@ -99,7 +99,8 @@ class WordEncoder:
 
     def _learn_odd(self, words: list[bytes]) -> dict[bytes, bytes]:
         alone = [x for x in words if MARK in x or len(x) > MEMO_WORD_BYTES]
-        out = {word: ids.tobytes() for word, ids in zip(alone, self._encode([x.decode() for x in alone]), strict=True)}
+        encoded = self._encode([x.decode() for x in alone])
+        out = {word: ids.tobytes() for word, ids in zip(alone, encoded, strict=True)}
         rest = [x for x in words if x not in out]
         for i in range(0, len(rest), WORDS_PER_CALL):
             group = rest[i : i + WORDS_PER_CALL]
@@ -200,7 +201,8 @@ def pack(
                 flat = np.insert(flat, ends, end_id)
                 rows: list[tuple] = []
                 begin = 0
-                for doc_id, end in zip(block.column("doc_id").to_pylist(), (ends + np.arange(1, len(ends) + 1)).tolist(), strict=True):
+                ends = (ends + np.arange(1, len(ends) + 1)).tolist()
+                for doc_id, end in zip(block.column("doc_id").to_pylist(), ends, strict=True):
                     start, total = begin, end - begin
                     for length in piece_lengths(total, longest):
                         bucket = length.bit_length() - 1

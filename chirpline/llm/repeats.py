@@ -114,7 +114,10 @@ def core_of(text: bytes, start: int, distance: int, length: int) -> int:
 
 
 def progressions(columns: list[np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First rows of stretches that repeat all ``columns`` at even steps, the steps, and how often; for texts that repeat one word."""
+    """First rows of stretches that repeat all ``columns`` at even steps, the steps, and how often.
+
+    Texts that repeat one word have many such rows.
+    """
     n = len(starts)
     if not n:
         empty = np.empty(0, np.int64)
@@ -219,11 +222,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
             for block in blocks(batch, "text"):
                 texts = texts_of(block, "text")
                 of_text, start, strings, distance = runs_of(texts, length)
-                cores = np.fromiter(
-                    (core_of(texts[i], s, d, length) for i, s, d in zip(of_text.tolist(), start.tolist(), distance.tolist(), strict=True)),
-                    np.int64,
-                    len(start),
-                )
+                each = zip(of_text.tolist(), start.tolist(), distance.tolist(), strict=True)
+                cores = np.fromiter((core_of(texts[i], s, d, length) for i, s, d in each), np.int64, len(start))
                 first, steps, times = progressions([of_text, cores, strings, distance], start)
                 ids = [block.column(x).take(pa.array(of_text[first])) for x in key]
                 values = [cores[first], start[first], strings[first], distance[first], steps, times]
@@ -267,9 +267,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
             for block in blocks(batch, "text"):
                 rows = []
                 ids = [block.column(x).to_pylist() for x in key]
-                for doc_id, text_hash, text, runs in zip(*ids, texts_of(block, "text"), block.column("runs").to_pylist(), strict=True):
+                all_runs = block.column("runs").to_pylist()
+                for doc_id, text_hash, text, runs in zip(*ids, texts_of(block, "text"), all_runs, strict=True):
                     spread = sorted(
-                        (r["start"] + i * r["step"], r["strings"], r["distance"]) for r in runs for i in range(r["times"])
+                        (r["start"] + i * r["step"], r["strings"], r["distance"])
+                        for r in runs
+                        for i in range(r["times"])
                     )
                     # Neighbours with one anchor are one context again.
                     wide: list[list[int]] = []
@@ -378,13 +381,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in batch.column("rows"):
-                fields = {x: rows.values.field(x) for x in ("context", "digest", "part", "at", "known")}
+            for held in batch.column("rows"):
+                fields = {x: held.values.field(x) for x in ("context", "digest", "part", "at", "known")}
                 known = fields["known"].to_numpy(zero_copy_only=False)
                 found = merged(fields["part"].to_numpy(), fields["digest"].to_pylist(), known)
                 at = fields["at"].to_numpy()[found].tolist()
                 contexts = [x for x, f in zip(fields["context"].to_pylist(), found.tolist(), strict=True) if f]
-                yield _rows([(c, [a, a + 1]) for c, a in zip(contexts, at, strict=True)], ["context", "spans"], [pa.binary(), pa.list_(pa.int64())])
+                rows = [(context, [place, place + 1]) for context, place in zip(contexts, at, strict=True)]
+                yield _rows(rows, ["context", "spans"], [pa.binary(), pa.list_(pa.int64())])
 
     # A string's digest names its anchor's shards too: equal strings have equal anchors.
     by_range = across.groupBy("anchor", F.pmod(F.xxhash64("digest"), F.lit(buckets)).alias("range")).agg(
@@ -395,10 +399,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
     )
     counted = alone.select("context", F.array(F.lit(0).cast("long"), F.col("strings")).alias("spans"))
     # Written first, so that the join with a context of very many documents can be split.
-    found = staged(
-        counted.unionByName(in_shards.unionByName(between).groupBy("context").agg(F.flatten(F.collect_list("spans")).alias("spans"))),
-        "found",
-    )
+    searched = in_shards.unionByName(between)
+    searched = searched.groupBy("context").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = staged(counted.unionByName(searched), "found")
     per_open = (
         held.join(found, "context")
         .groupBy(*key)

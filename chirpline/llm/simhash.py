@@ -42,7 +42,8 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
         return np.array([digest(joined, SEED)], dtype="<u8")
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))[: len(words) - width + 1].tolist()
-    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)], dtype="<u8")
+    stops = (ends[width - 1 :] - 1).tolist()
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
 
 
 def fingerprint(hashes: np.ndarray) -> int:

@@ -86,7 +86,10 @@ def tap_slices() -> list[tuple[int, int]]:
 
 @dataclass
 class Model:
-    """Vectors by feature, filter taps, biases, the logistic layer and each language's threshold. Row 0 of the vectors is zero."""
+    """Vectors by feature, filter taps, biases, the logistic layer and each language's threshold.
+
+    Row 0 of the vectors is zero.
+    """
 
     rows: dict[int, int]
     vectors: np.ndarray
@@ -164,7 +167,8 @@ class Net:
             return
         # Each tap of each filter has seen one word: the one under it where the filter was largest.
         at_word = np.concatenate([best[i] + k for i, (width, _) in enumerate(tap_slices()) for k in range(width)])
-        each = np.concatenate([back[i * FILTERS : (i + 1) * FILTERS] for i, (width, _) in enumerate(tap_slices()) for _ in range(width)])
+        banks = [(back[i * FILTERS : (i + 1) * FILTERS], width) for i, width in enumerate(WIDTHS)]
+        each = np.concatenate([bank for bank, width in banks for _ in range(width)])
         add = each[:, None] * self.taps.T
         self._step("taps", (each[:, None] * words[at_word]).T, rate)
         self._step("bias", back, rate)
