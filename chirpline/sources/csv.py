@@ -70,8 +70,8 @@ def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
     )
     records = whole.unionByName(longer).select(
         _is_first(F.col("block"), F.col("line"), F.col("part")).alias("is_header"),
-        F.col("value").rlike("^\r?$").alias("is_blank"),
-        _conforming(F.regexp_replace("value", "\r$", "")).alias("value"),
+        F.col("value").isin("", "\r").alias("is_blank"),
+        _conforming(_without_end(F.col("value"))).alias("value"),
     )
     parsed = records.select("is_header", "is_blank", _parsed(F.col("value"), columns).alias("row"))
     return parsed.where(_is_data(columns)).select("row.*")
@@ -151,6 +151,11 @@ def _with_opening_line(staged: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
+def _without_end(line: Column) -> Column:
+    """The line without the CR of a line end of two characters."""
+    return F.when(line.endswith("\r"), line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+
+
 def _conforming(record: Column) -> Column:
     """The record, if all its quotes belong to quoted cells; else an error.
 
