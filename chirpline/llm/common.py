@@ -72,6 +72,32 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def one_of_each(docs: DataFrame, sha: str, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs``, without ``sha``, for each row of ``chosen``.
+
+    ``chosen`` has three columns: an id, a value of ``sha``, and the number of
+    rows of ``docs`` that have both; it should be staged. Where they are
+    several, the one whose columns have the smallest hash stays.
+    """
+    columns = [x for x in docs.columns if x != sha]
+    chosen = chosen.toDF(*(unused(docs, x) for x in ("_chosen_id", "_chosen_sha", "_chosen_n")))
+    own_id, own_sha, n = chosen.columns
+    same = docs["doc_id"].cast("long").eqNullSafe(chosen[own_id]) & (docs[sha] == chosen[own_sha])
+    single = docs.join(chosen.filter(F.col(n) == 1), same, "left_semi").select(columns)
+    several = chosen.filter(F.col(n) > 1)
+    if several.isEmpty():
+        return single
+    row = F.struct(*columns)
+    # Tasks reduce their own rows first, so rows that repeat very often are few when they meet.
+    merged = (
+        docs.join(several, same, "left_semi")
+        .groupBy(sha)
+        .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row"))
+        .select("row.*")
+    )
+    return single.unionByName(merged)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chirpline.llm.common import SPACES, staged, text_or_empty, unused
+from chirpline.llm.common import SPACES, one_of_each, staged, text_or_empty, unused
 
 # Buckets that each owner task gets about, so that uneven ones even out.
 BUCKETS_PER_TASK = 8
@@ -139,10 +139,12 @@ def exact_groups(docs: DataFrame, key_bits: int = 64) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; of rows that share id and text, one."""
+    """One row of each group of equal texts, one of the smallest ``doc_id``, with all its columns.
+
+    A null ``doc_id`` stays only where the whole group has none. Of rows that
+    share id and text, the one whose columns have the smallest hash stays.
+    """
     sha = unused(docs, "sha")
     marked = docs.withColumn(sha, F.sha2(normalised(), 256))
-    groups = exact_groups(docs).filter("kept")
-    groups = groups.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
-    same = marked["doc_id"].cast("long").eqNullSafe(groups["_id"]) & (marked[sha] == groups["_kept"])
-    return marked.join(groups, same, "left_semi").drop(sha)
+    kept = exact_groups(docs).filter("kept")
+    return one_of_each(marked, sha, staged(kept.groupBy("doc_id", "text_sha256").count(), "kept"))

@@ -58,3 +58,24 @@ def test_dedup_keeps_columns_and_one_of_each(spark):
     texts = [norm(r.text) for r in kept.collect() if r.doc_id != 0]
     assert len(texts) == len(set(texts))
     assert {norm(r.text) for r in kept.collect()} == {norm(x[1]) for x in odd_rows()}
+
+
+def test_dedup_keeps_one_row_of_repeated_rows_and_null_ids(spark):
+    rows = [
+        *[(1, "same text", "en", "s", 9)] * 3,
+        (1, "same  text", "de", "t", 10),
+        (1, "other text", "en", "s", 10),
+        (2, "same\ntext", "en", "s", 9),
+        (None, "other text", "en", "s", 10),
+        *[(None, "no id", "en", source, 5) for source in ("s", "s", "t")],
+        *[(None, None, None, None, None)] * 2,
+        (None, "", None, None, None),
+    ]
+    docs = with_clashes(spark.createDataFrame(rows, DOC_SCHEMA).repartition(4))
+    kept = exact_dedup(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, norm(r.text)) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "same text"), (1, "other text"), (None, "no id"), (None, "")], key=repr)
+    assert found(kept) == found(exact_dedup(docs.repartition(3)))
+    got = [norm(r.text) for r in exact_dedup(with_clashes(odd_docs(spark))).collect()]
+    assert sorted(got) == sorted({norm(x[1]) for x in odd_rows()})
