@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chirpline.llm.common import blocks, staged, text_or_empty, texts_of
+from chirpline.llm.common import blocks, one_of_each, staged, text_or_empty, texts_of, unused
 from chirpline.llm.components import Forest, components
 
 SEED = 42
@@ -56,18 +56,20 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(packed.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id, fp`` of every row, in one pass over the texts."""
+def fingerprints(docs: DataFrame, width: int = 4, with_sha: bool = False) -> DataFrame:
+    """``doc_id, fp`` of every row, in one pass over the texts; ``with_sha`` adds the text's SHA-256."""
+    own = ["doc_id", "sha"] if with_sha else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 found = [fingerprint(shingle_hashes(x, width)) for x in texts_of(block, "text")]
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(block.column(x) for x in own), pa.array(found, pa.int64())], [*own, "fp"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    if with_sha:
+        texts = texts.withColumn("sha", F.sha2("text", 256))
+    return texts.mapInArrow(run, "doc_id long, sha string, fp long" if with_sha else "doc_id long, fp long")
 
 
 def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -131,6 +133,19 @@ def near_links(prints: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     return staged(compared.mapInArrow(run, "a long, b long"), "near", TILE_ROWS)
 
 
+def _reached(found: DataFrame, radius: int, tile: int) -> DataFrame:
+    """For each fingerprint its group, named by one fingerprint of it, and the smallest ``doc_id`` there: ``fp, group, component_id``."""
+    prints = staged(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    linked = staged(components(near_links(prints, radius, tile)), "linked")
+    hubs = linked.join(prints, linked["node"] == prints["fp"]).groupBy("component").agg(F.min("least").alias("component_id"))
+    far = linked.join(hubs, "component").select(F.col("node").alias("fp"), F.col("component").alias("group"), "component_id")
+    return far.unionByName(
+        prints.join(linked, prints["fp"] == linked["node"], "left_anti").select(
+            "fp", F.col("fp").alias("group"), F.col("least").alias("component_id")
+        )
+    )
+
+
 def simhash_groups(docs: DataFrame, width: int = 4, radius: int = 4, tile: int = TILE) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -146,23 +161,26 @@ def simhash_groups(docs: DataFrame, width: int = 4, radius: int = 4, tile: int =
     grow with the square of their number.
     """
     found = staged(fingerprints(docs, width), "fingerprints")
-    prints = staged(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    linked = staged(components(near_links(prints, radius, tile)), "linked")
-    hubs = linked.join(prints, linked["node"] == prints["fp"]).groupBy("component").agg(F.min("least").alias("component_id"))
-    far = linked.join(hubs, "component").select(F.col("node").alias("fp"), "component_id")
-    reached = far.unionByName(
-        prints.join(linked, prints["fp"] == linked["node"], "left_anti").select("fp", F.col("least").alias("component_id"))
-    )
-    return found.join(reached, "fp").select(
+    return found.join(_reached(found, radius, tile), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def simhash_dedup(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
-    """One document of each group, the one of the smallest ``doc_id``, with all its columns.
+def simhash_dedup(docs: DataFrame, width: int = 4, radius: int = 4, tile: int = TILE) -> DataFrame:
+    """One row of each group, one of the smallest ``doc_id``, with all its columns.
 
-    Rows which share that ``doc_id`` all stay, as do rows of null ``doc_id``.
+    A null ``doc_id`` stays only where the whole group has none. Of several
+    rows with that id, the one whose text has the smallest SHA-256 stays, and
+    of those the one whose columns have the smallest hash.
     """
-    groups = simhash_groups(docs, width, radius)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    found = staged(fingerprints(docs, width, with_sha=True), "fingerprints")
+    least = (
+        found.join(_reached(found, radius, tile), "fp")
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("group", "doc_id", "sha")
+        .count()
+    )
+    first = least.groupBy("group").agg(F.min(F.struct("sha", "doc_id", "count")).alias("first"))
+    sha = unused(docs, "sha")
+    marked = docs.withColumn(sha, F.sha2(text_or_empty(), 256))
+    return one_of_each(marked, sha, staged(first.select("first.doc_id", "first.sha", "first.count"), "first"))

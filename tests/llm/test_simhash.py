@@ -6,7 +6,7 @@ import xxhash
 from chirpline.llm.components import components
 from chirpline.llm.simhash import fingerprint, near_links, shingle_hashes, simhash_dedup, simhash_groups, tile_links
 
-from .cases import found, no_docs, odd_docs, odd_rows, with_clashes
+from .cases import DOC_SCHEMA, found, no_docs, odd_docs, odd_rows, with_clashes
 
 
 def plain_print(text, width=4):
@@ -96,3 +96,34 @@ def test_dedup_keeps_one_of_each_group(spark):
     assert sorted(kept.columns) == sorted(docs.columns)
     want = sorted({x[0] for x in brute(odd_rows()) if x[0] is not None and x[0] == x[2]})
     assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == want
+
+
+def test_dedup_decides_by_row_and_keeps_one_of_each_group(spark):
+    rng = random.Random(9)
+    long, alone, nameless, lost = (" ".join(str(rng.random()) for _ in range(300)) for _ in range(4))
+    rows = [
+        (1, long, "en", "s", 1),
+        # Near copies of another id, and a text of its own under the same id.
+        (2, long + " x", "en", "s", 1),
+        (2, alone, "en", "s", 1),
+        # Of near copies and repeated rows with the smallest id, one.
+        (1, long + " y", "en", "s", 1),
+        (1, long, "en", "s", 1),
+        (None, long, "en", "s", 1),
+        # Groups without any id.
+        *[(None, nameless + end, "en", "s", 1) for end in ("", "", " x", " y")],
+        *[(None, lost, lang, "s", 1) for lang in ("en", "de")],
+        *[(None, text, "en", "s", 1) for text in (None, "")],
+    ]
+    groups = {}
+    for row, (_, p, _) in zip(rows, (brute([x])[0] for x in rows)):
+        groups.setdefault(next((k for k in groups if (int(k, 16) ^ int(p, 16)).bit_count() <= 4), p), []).append(row)
+    assert sorted(map(len, groups.values())) == [1, 2, 2, 4, 5]
+    docs = with_clashes(spark.createDataFrame(rows, DOC_SCHEMA).repartition(4))
+    kept = simhash_dedup(docs)
+    assert sorted(kept.columns) == sorted(docs.columns)
+    starts = sorted(((r.doc_id, (r.text or "")[:20]) for r in kept.collect()), key=repr)
+    assert starts == sorted([(1, long[:20]), (2, alone[:20]), (None, nameless[:20]), (None, lost[:20]), (None, "")], key=repr)
+    assert found(kept) == found(simhash_dedup(docs.repartition(3)))
+    odd = simhash_dedup(with_clashes(odd_docs(spark))).collect()
+    assert len(odd) == len({(r[2] if r[2] is not None else r[1]) for r in brute(odd_rows())})
