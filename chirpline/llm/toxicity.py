@@ -1,7 +1,8 @@
 """Toxicity by a convolutional text classifier.
 
 A word's vector is the sum of learned vectors found by hashing the word, its
-beginnings and its end. Filters of several widths run over the words of a
+beginnings and its end. After a run of several words without white space come
+pieces of it, which stand for the words that may begin within them. Filters of several widths run over the words of a
 text, each keeps its largest value (max pooling over time), and a logistic
 layer over these gives the raw score. Everything is trained in numpy on a
 bounded sample of whole texts. For each language, as function words in the
@@ -16,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,21 @@ MOST_FEATURES = 1 << 16
 MIN_DOCS = 5
 STARTS = (4, 5, 6, 7)
 MEMO_WORDS = 150_000
-WORD_CHARS = 64
+# Words of more characters are runs of several. Scripts that have no white space between words (Thai, Han, kana
+# and others from NO_SPACES on) write runs of any length, and words of few characters.
+WORD_CHARS = 24
+LEAST, LEAST_NO_SPACES, MOST = 4, 2, max(STARTS)
+NO_SPACES = "\u0e00"
+# Places of a piece at which words may begin, and what marks a piece.
+STEP = 4
+MARK = "\0"
 
 # A document this near its label teaches nothing.
 SURE = 0.01
 # F1 that a threshold may fall short of the best, so that single rows don't decide it.
 NEARLY = 0.02
 
-WORDS = re.compile(r"\w+")
+WORDS = re.compile(r"[^\W_]+")
 
 # Function words that tell languages apart.
 FUNCTION_WORDS = {
@@ -56,22 +65,45 @@ LANGUAGES = ("other", *FUNCTION_WORDS)
 LANGUAGE_OF = {word: i + 1 for i, words in enumerate(FUNCTION_WORDS.values()) for word in words}
 
 
+def pieces(word: str) -> list[str]:
+    """Pieces of a run of several words: each place of it begins in one, with MOST characters if there are."""
+    no_spaces = max(word) >= NO_SPACES
+    if len(word) <= (LEAST_NO_SPACES if no_spaces else WORD_CHARS):
+        return []
+    least = LEAST_NO_SPACES if no_spaces else LEAST
+    return [MARK + word[i : i + STEP + MOST - 1] for i in range(0, len(word) - least + 1, STEP)]
+
+
 def words_of(text: bytes) -> list[str]:
-    return WORDS.findall(text.decode("utf-8", "replace").lower())
+    """The words, each with its pieces behind it."""
+    words = WORDS.findall(text.decode("utf-8", "replace").lower())
+    out: list[str] = []
+    for word in words:
+        out.append(word)
+        if len(word) > WORD_CHARS or not word.isascii():
+            out += pieces(word)
+    return out
 
 
 def word_features(word: str) -> list[int]:
-    """Hashes of the word, its beginnings and its end."""
-    word = word[:WORD_CHARS] if len(word) <= WORD_CHARS else word[: WORD_CHARS // 2] + word[-WORD_CHARS // 2 :]
+    """Hashes of the word, its beginnings and its end; of a piece those of words, and of beginnings, that start in it."""
     crc = zlib.crc32
-    out = [crc(word.encode())]
-    out += [crc(word[:n].encode(), n) for n in STARTS if len(word) > n]
-    if len(word) > 4:
-        out.append(crc(word[-4:].encode(), 99))
-    return out
+    if word[0] != MARK:
+        out = [crc(word.encode())]
+        out += [crc(word[:n].encode(), n) for n in STARTS if len(word) > n]
+        if len(word) > 4:
+            out.append(crc(word[-4:].encode(), 99))
+        return out
+    out = []
+    for i in range(1, min(STEP + 1, len(word))):
+        for n in range(LEAST_NO_SPACES if word[i] >= NO_SPACES else LEAST, min(MOST, len(word) - i) + 1):
+            part = word[i : i + n].encode()
+            out.append(crc(part))
+            if n in STARTS:
+                out.append(crc(part, n))
+    return list(dict.fromkeys(out))
 
 
-MOST_PER_WORD = 2 + len(STARTS)
 TAPS = sum(WIDTHS) * FILTERS
 
 
@@ -100,8 +132,8 @@ class Model:
     thresholds: np.ndarray
 
     def indices(self, word: str) -> list[int]:
-        found = [r for r in (self.rows.get(x, 0) for x in word_features(word)) if r]
-        return found + [0] * (MOST_PER_WORD - len(found))
+        """The rows of the word's features; row 0 if it has none."""
+        return [r for r in (self.rows.get(x, 0) for x in word_features(word)) if r] or [0]
 
 
 def pooled(projected: np.ndarray, starts: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -142,9 +174,9 @@ class Net:
         past[at] += grad * grad
         getattr(self, name)[at] -= rate * grad / np.sqrt(past[at])
 
-    def learn(self, index: np.ndarray, y: int, weight: float, rate: float) -> None:
-        """``index``: a row of feature rows for each word, padding included."""
-        words = self.vectors[index].sum(axis=1)
+    def learn(self, index: np.ndarray, starts: np.ndarray, y: int, weight: float, rate: float) -> None:
+        """``index``: the feature rows of each word, padding included, which begin at ``starts``."""
+        words = np.add.reduceat(self.vectors[index], starts, axis=0)
         projected = words @ self.taps
         last = len(projected) - PAD
         best, value = [], []
@@ -172,9 +204,12 @@ class Net:
         add = each[:, None] * self.taps.T
         self._step("taps", (each[:, None] * words[at_word]).T, rate)
         self._step("bias", back, rate)
-        rows, place = np.unique(index[at_word].ravel(), return_inverse=True)
+        lengths = np.diff(starts, append=len(index))[at_word]
+        ends = np.cumsum(lengths)
+        features = index[np.arange(ends[-1]) + np.repeat(starts[at_word] - ends + lengths, lengths)]
+        rows, place = np.unique(features, return_inverse=True)
         grad = np.zeros((len(rows), SIZE), np.float32)
-        np.add.at(grad, place, np.repeat(add, MOST_PER_WORD, axis=0))
+        np.add.at(grad, place, np.repeat(add, lengths, axis=0))
         if rows[0] == 0:
             rows, grad = rows[1:], grad[1:]
         self._step("vectors", grad, rate, rows)
@@ -219,20 +254,22 @@ def train(
         return model
 
     memo: dict[str, list[int]] = {}
-    blank = [[0] * MOST_PER_WORD] * PAD
+    blank = [[0]] * PAD
     inputs = []
     for y, words in split:
         for word in words:
             if word not in memo:
                 memo[word] = model.indices(word)
-        inputs.append((y, np.array([*blank, *(memo[x] for x in words), *blank], dtype=np.int64)))
+        each = [*blank, *(memo[x] for x in words), *blank]
+        starts = np.cumsum([0, *map(len, each[:-1])], dtype=np.int32)
+        inputs.append((np.fromiter(chain.from_iterable(each), np.int32), starts, y))
     weight = [(counts[k] / sum(counts.values()) * len(sample) / seen[k]) ** 0.5 for k in (0, 1)]
 
     def learned(some: np.ndarray) -> Net:
         net = Net(len(rows), np.random.default_rng(seed))
         for epoch in range(epochs):
             for i in rng.permutation(some):
-                net.learn(inputs[i][1], inputs[i][0], weight[inputs[i][0]], rate * (1 - epoch / epochs))
+                net.learn(*inputs[i], weight[inputs[i][2]], rate * (1 - epoch / epochs))
         return net
 
     order = rng.permutation(len(inputs))
@@ -270,11 +307,14 @@ class Scorer:
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
             self.language = np.concatenate([self.language, np.zeros_like(self.language)])
         self.memo.update(zip(words, range(first, first + len(words)), strict=True))
-        index = np.array([self.model.indices(x) for x in words], dtype=np.int64)
+        each = [self.model.indices(x) for x in words]
+        index = np.fromiter(chain.from_iterable(each), np.int32)
+        lengths = np.fromiter(map(len, each), np.int64, len(each))
+        starts = np.cumsum(lengths) - lengths
         value = np.zeros((len(words), TAPS), np.float32)
-        for column in range(MOST_PER_WORD):
-            some = np.flatnonzero(index[:, column])
-            value[some] += self.adds[index[some, column]]
+        for column in range(lengths.max()):
+            some = np.flatnonzero(lengths > column)
+            value[some] += self.adds[index[starts[some] + column]]
         self.values[first : first + len(words)] = value
         self.language[first : first + len(words)] = [LANGUAGE_OF.get(x, 0) for x in words]
 

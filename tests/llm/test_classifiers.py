@@ -137,3 +137,30 @@ def test_pooling_never_crosses_documents():
     together, _ = toxicity.Scorer(model).raw(texts)
     alone = [toxicity.Scorer(model).raw([x])[0][0] for x in texts]
     assert np.allclose(together, alone, atol=1e-6)
+
+
+def test_toxicity_sees_the_middle_of_text_without_white_space():
+    rng = random.Random(5)
+    run = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    for term, letters, others in (("gruesome", "abcdefghijk", "pqrstvw"), ("foul", "abcdefghijk", "pqrstvw"), ("坏蛋", "天地人山水火木金", "土日月年多少")):
+        # Learned as a word of its own, met within runs.
+        sample = [(i % 2, " ".join([run(letters, 5), *[term] * (i % 2), run(letters, 5)]).encode()) for i in range(200)]
+        scorer = toxicity.Scorer(toxicity.train(sample, {0: 100, 1: 100}))
+        for before, after in ((20, 21), (40, 43), (200, 202), (63, 300), *[(3, 4), (9, 9)] * (term == "坏蛋")):
+            whole = [run(others, before) + x + run(others, after) for x in (term, run(others, len(term)))]
+            with_term, without = scorer.scores([x.encode() for x in whole])
+            assert with_term > without + 0.2, (term, before, after)
+        joined = [f"{run(others, 5)}_{x}_{run(others, 5)}" for x in (term, run(others, len(term)))]
+        with_term, without = scorer.scores([x.encode() for x in joined])
+        assert with_term > without + 0.2
+
+
+def test_words_may_begin_at_any_place_of_a_run():
+    for n in (3, 24, 25, 26, 64, 65, 200):
+        for first, least, longest in ((ord("a"), 4, 24), (0x4E00, 2, 2)):
+            word = "".join(chr(first + i % 26) for i in range(n))
+            words = toxicity.words_of(f"a {word} b".encode())
+            assert [x for x in words if x[0] != toxicity.MARK] == ["a", word, "b"]
+            starts = [x[1 + i :][: toxicity.MOST] for x in words[2:-1] for i in range(min(4, len(x) - 1))]
+            want = [word[i : i + 7] for i in range(n - least + 1)] if n > longest else []
+            assert [x for x in starts if len(x) >= least] == want
