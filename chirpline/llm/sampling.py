@@ -21,7 +21,8 @@ def labelled_sample(
     At most ``per_class`` documents for each label 0 and 1, the first by a hash
     of the id, and none of more than ``most_bytes``: their bound is the bound of
     what comes to the driver. Only rows for which ``learn`` holds count. Ids
-    that are labelled twice, or repeat among the documents, count once.
+    that are labelled twice, or repeat among the documents, count once, with the
+    greatest of their texts.
     """
     # A label's own columns alone, so that other columns of the same names don't matter.
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(
@@ -39,6 +40,7 @@ def labelled_sample(
         F.octet_length("text") <= most_bytes
     )
     # At most two times per_class ids.
-    rows = small.join(F.broadcast(chosen.groupBy("doc_id").agg(F.min("y").alias("y"))), "doc_id").collect()
-    found = {row["doc_id"]: (row["y"], bytes(row["text"])) for row in sorted(rows, key=lambda x: (x["doc_id"], x["text"]))}
-    return list(found.values()), counts
+    found = small.join(F.broadcast(chosen.groupBy("doc_id").agg(F.min("y").alias("y"))), "doc_id")
+    # Each task makes the rows of an id one first, so an id may have any number of them.
+    rows = found.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("text").alias("text")).collect()
+    return [(row["y"], bytes(row["text"])) for row in sorted(rows, key=lambda x: x["doc_id"])], counts

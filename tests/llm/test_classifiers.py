@@ -164,3 +164,13 @@ def test_words_may_begin_at_any_place_of_a_run():
             starts = [x[1 + i :][: toxicity.MOST] for x in words[2:-1] for i in range(min(4, len(x) - 1))]
             want = [word[i : i + 7] for i in range(n - least + 1)] if n > longest else []
             assert [x for x in starts if len(x) >= least] == want
+
+
+def test_sample_brings_one_row_of_each_id_to_the_driver(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    plain = labelled_sample(docs, labels, "quality", F.lit(True), 300, 1 << 16)
+    hot = docs.filter("doc_id < 3").withColumn("text", F.lit("!")).crossJoin(spark.range(500).select(F.lit(1).alias("one"))).drop("one")
+    collected, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: collected.append(collect(df)) or collected[-1])
+    assert labelled_sample(docs.unionByName(hot), labels, "quality", F.lit(True), 300, 1 << 16) == plain
+    assert max(map(len, collected)) == 400
