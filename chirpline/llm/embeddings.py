@@ -30,6 +30,12 @@ SUBSPACES = 8
 CODES = 64
 ROUNDS = 8
 
+# Sample vectors whose nearest neighbours show how differences of near pairs lie, nearest borders that
+# each looks at, and the part of them whose spread does not exceed the one taken.
+PROBED_ROWS = 1 << 10
+BORDERS = 8
+SPREAD_RANK = 0.9
+
 # Vectors of a block, about, and blocks handed to Python at a time.
 BLOCK = 1 << 10
 BLOCK_ROWS = 16
@@ -52,14 +58,41 @@ def k_means(x: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def border_spread(sample: np.ndarray, centres: np.ndarray) -> float:
+    """The standard deviation of a unit difference of near vectors across a border between cells, ``1 / sqrt(dim)`` at least.
+
+    It is that if differences point anywhere, and more if vectors fill only
+    some directions, be it everywhere or each neighbourhood its own: then the
+    borders lie across the same ones.
+    """
+    least = 1 / math.sqrt(sample.shape[1])
+    if len(centres) < 2 or len(sample) < 2:
+        return least
+    x = sample[:PROBED_ROWS]
+    apart = 2 - 2 * x @ sample.T
+    apart[apart < 1e-9] = np.inf  # the vector itself, and others of its direction
+    near = apart.argmin(axis=1)
+    some = np.isfinite(apart[np.arange(len(x)), near])
+    x, near = x[some], near[some]
+    if not len(x):
+        return least
+    difference = sample[near] - x
+    difference /= np.linalg.norm(difference, axis=1, keepdims=True)
+    order = (x @ centres.T - 0.5 * (centres**2).sum(axis=1)).argsort(axis=1)[:, ::-1][:, : BORDERS + 1]
+    across = centres[order[:, 1:]] - centres[order[:, :1]]
+    across /= np.maximum(np.linalg.norm(across, axis=2, keepdims=True), 1e-12)
+    parts = (np.einsum("nkd,nd->nk", across, difference) ** 2).mean(axis=1)
+    return max(least, math.sqrt(np.quantile(parts, SPREAD_RANK)))
+
+
 @dataclass
 class Index:
     """Coarse centroids, a codebook for each slice of the dimensions, and how far a search probes.
 
     A pair within ``limit`` (a distance of unit vectors) may lie on two sides
     of the border between two cells. The part of their difference across that
-    border is at most ``limit``, and about ``limit / sqrt(dim)`` if it points
-    anywhere; a list is probed if a part of up to ``reach`` standard deviations
+    border is at most ``limit``, and about ``limit * spread`` as the sample
+    shows it; a list is probed if a part of up to ``reach`` standard deviations
     would lead there. ``reach = sqrt(dim)`` covers every pair.
     """
 
@@ -68,6 +101,7 @@ class Index:
     books: list[np.ndarray]
     limit: float
     reach: float
+    spread: float
 
     @classmethod
     def fit(cls, sample: np.ndarray, lists: int, limit: float, reach: float) -> Index:
@@ -76,7 +110,7 @@ class Index:
         edges = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int).tolist()
         slices = list(zip(edges[:-1], edges[1:], strict=True))
         books = [k_means(np.ascontiguousarray(rest[:, a:b]), min(CODES, len(rest))) for a, b in slices]
-        return cls(centres, slices, books, limit, min(reach, math.sqrt(sample.shape[1])))
+        return cls(centres, slices, books, limit, reach, border_spread(sample, centres))
 
     def distances(self, x: np.ndarray, lists: np.ndarray | slice = slice(None)) -> np.ndarray:
         """Squared distances of rows to the centres of some lists."""
@@ -88,7 +122,7 @@ class Index:
         centres = self.centres[lists]
         apart = np.sqrt(np.maximum(self.distances(self.centres[own], lists), 0))
         mine = ((x - self.centres[own]) ** 2).sum(axis=1)
-        share = self.limit * self.reach / math.sqrt(x.shape[1])
+        share = self.limit * min(1.0, self.reach * self.spread)
         return (self.distances(x, lists) - mine[:, None] <= 2 * apart * share + 1e-9).reshape(len(x), len(centres))
 
     def encode(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from chirpline.llm.embeddings import Index, block_links, embedding_groups
 
@@ -104,3 +105,20 @@ def test_table_distances_leave_no_near_vector_out():
     codes, errors = index.encode(unit, np.zeros(300, int))
     far = np.linalg.norm(unit[:, None] - unit[None], axis=2) > 0.5
     assert (index.near(unit, 0, codes, errors) | far).all()
+
+
+@pytest.mark.parametrize(("dim", "inner", "groups"), [(384, 6, 1), (768, 6, 1), (768, 8, 1), (384, 6, 12), (384, 384, 1)])
+def test_recall_on_vectors_of_few_directions(dim, inner, groups):
+    rng = np.random.default_rng(7)
+    n = 4000
+    parts = [rng.standard_normal((n // groups, inner)) @ rng.standard_normal((inner, dim)) for _ in range(groups)]
+    x = np.concatenate(parts)
+    # Near copies, which differ as the vectors do.
+    x = np.concatenate([x, x[:2000] + 0.3 * x[rng.permutation(len(x))[:2000]] * (groups == 1)])
+    unit = rng.permutation(x / np.linalg.norm(x, axis=1, keepdims=True))
+    index = Index.fit(unit, 38, (2 - 2 * 0.93) ** 0.5, 3.0)
+    own = (unit @ index.centres.T - 0.5 * (index.centres**2).sum(axis=1)).argmax(axis=1)
+    seen = index.probes(unit, own)[:, own]
+    near = np.triu(unit @ unit.T >= 0.93, 1)
+    assert near.sum() > 1000
+    assert (near & (seen | seen.T)).sum() >= 0.97 * near.sum()
