@@ -9,7 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from chirpline.llm import embeddings, exact, lines, mixing, packing, quality, repeats, simhash, tokens, toxicity
+from chirpline.llm import (
+    credentials,
+    divergence,
+    embeddings,
+    exact,
+    lines,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    simhash,
+    tokens,
+    toxicity,
+)
 from chirpline.llm.common import read_table
 
 
@@ -60,6 +73,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secret_digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -73,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_toxicity,
         op10_simhash,
+        op12_divergence,
+        op13_secrets,
     )
 }
 
@@ -159,4 +182,38 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW same AS (PARTITION BY norm)""",
+    "op12_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        t AS (
+            SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (
+            SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+        l AS (
+            SELECT lang, count(*)::HUGEINT AS kinds, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+        u AS (
+            SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        g AS (
+            SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+            FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN u USING (lang, source) GROUP BY lang, source),
+        s AS (
+            SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+                   1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + kinds) AS p,
+                   1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + kinds) AS q
+            FROM g JOIN kept k USING (lang) JOIN l USING (lang)
+            LEFT JOIN u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source),
+        both_parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM s WHERE n > 0 AND p > q)
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM both_parts)
+        WHERE part = 'pair' OR rank <= 200""",
 }

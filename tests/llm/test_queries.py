@@ -14,7 +14,7 @@ import __spark_entry__
 import corpus_pipeline
 from chirpline.llm.queries import QUERIES, SQL
 
-from . import test_exact, test_mixing, test_repeats, test_simhash
+from . import test_credentials, test_exact, test_mixing, test_repeats, test_simhash
 from .cases import found
 
 SF = "/root/testdata/sf0.001"
@@ -44,7 +44,7 @@ def test_query_equals_its_sql(spark, db, name):
 
 
 def test_all_operators_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14) if n != 11]
     registered = __spark_entry__.queries()
     assert all(sum(q.startswith(n) for q in registered) == 1 for n in names)
     assert registered["pipeline"] is corpus_pipeline.run
@@ -134,3 +134,8 @@ def test_pipeline_stage_by_stage(spark):
     assert [x.split("-")[0] for x in set(os.listdir(shared)) - before] == ["packing"]
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset"]
     assert found(again.select(key)) == sorted((tuple(r[x] for x in key) for r in pieces), key=repr)
+
+
+def test_op13(spark):
+    want = [test_credentials.digest(x[0], x[1]) for x in rows_of(spark, "documents")]
+    assert found(QUERIES["op13_secrets"](spark, SF)) == sorted(want, key=repr)
