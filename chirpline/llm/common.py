@@ -51,16 +51,17 @@ def staging(spark: SparkSession, purpose: str) -> Iterator[None]:
             _FOLDER.reset(token)
 
 
-def staged(df: DataFrame, purpose: str, batch_rows: int | None = None) -> DataFrame:
+def staged(df: DataFrame, purpose: str, batch_rows: int | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` to the folder all executors share and read it back.
 
     Cuts lineage, so a lost executor costs no more than its own tasks.
-    ``batch_rows`` bounds the rows handed to Python at a time.
+    ``batch_rows`` bounds the rows handed to Python at a time. The rows of one
+    value of ``by``, which must have few, can be read without the others.
     """
     spark, folder = df.sparkSession, _FOLDER.get()
     path = f"{folder}/{purpose}-{uuid.uuid4().hex}" if folder else work_dir(spark, purpose)
     with settings(spark, {BATCH_ROWS: str(batch_rows)} if batch_rows else {}):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*[by] if by else []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirpline.llm import (
+    collocations,
     credentials,
     divergence,
     embeddings,
@@ -73,6 +74,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read_table(spark, sf_dir, "documents"))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_toxicity,
         op10_simhash,
+        op11_collocations,
         op12_divergence,
         op13_secrets,
     )
@@ -182,6 +188,36 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW same AS (PARTITION BY norm)""",
+    "op11_collocations": r"""
+        WITH p AS (
+            SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM (SELECT coalesce(lang, 'und') AS lang,
+                         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                  FROM documents)),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+        t AS (SELECT lang, words, len(words) AS size, unnest(range(1, len(words) + 1)) AS i FROM w),
+        f AS (
+            SELECT lang, array_to_string(words[i:i + length - 1], ' ') AS phrase, length, count(*) AS n
+            FROM t, (SELECT unnest([1, 2, 3, 4]) AS length) WHERE i + length - 1 <= size
+            GROUP BY lang, phrase, length HAVING count(*) >= 30),
+        total AS (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+        c AS (SELECT lang, phrase, string_split(phrase, ' ') AS words, length, n AS a FROM f WHERE length > 1),
+        cuts AS (SELECT lang, phrase, words, a, unnest(range(1, length)) AS k FROM c),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, a, k, x.n AS l, y.n AS r, ((2000000::HUGEINT * a) // (x.n + y.n))::BIGINT AS score
+            FROM cuts
+            JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(words[:k], ' ')
+            JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(words[k + 1:], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_size AS (SELECT *, unnest(range(2, length)) AS size FROM c),
+        held AS (
+            SELECT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, length - size + 2)) AS i FROM inner_size) GROUP BY 1, 2),
+        kept AS (SELECT b.* FROM best b LEFT JOIN held h USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+        SELECT * FROM (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, total.n, score
+            FROM kept JOIN total USING (lang))
+        WHERE rank <= 2000""",
     "op12_divergence": r"""
         WITH d AS (
             SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
