@@ -157,9 +157,13 @@ def stream_of(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
 
 
 def give(df: DataFrame, options: argparse.Namespace, part: str = "") -> None:
-    """Store a whole result if asked to, and print its first rows."""
+    """Store a whole result if asked to, and print its first rows: of what is stored then, so it is made once."""
     if options.out:
-        df.write.parquet(f"{options.out.rstrip('/')}/{part}".rstrip("/"))
+        path = f"{options.out.rstrip('/')}/{part}".rstrip("/")
+        df.write.parquet(path)
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+        # the order in which the rows were written
+        df = stored.orderBy("_metadata.file_name", "_metadata.row_index").select(df.columns)
     df.show(options.rows, truncate=False)
 
 

@@ -16,12 +16,15 @@ def store_counts(tweets: DataFrame, store: Tables, text: str = "tweet_text") ->
 
     The tweets are read twice, each time other columns: the text for the
     hashtags, airline and sentiment for the rest. Counts by sentiment and the
-    total are sums over the stored counts by airline and sentiment.
+    total are sums over the stored counts by airline and sentiment. Readers
+    find the three tables of one run, as they are exchanged together.
     """
-    store.replace(word_counts(tweets, text), "batch_hashtags")
-    store.replace(airline_sentiment_counts(tweets), "batch_airline_sentiment")
+    with store.together() as tables:
+        tables.replace(word_counts(tweets, text), "batch_hashtags")
+        tables.replace(airline_sentiment_counts(tweets), "batch_airline_sentiment")
+        by_sentiment = add_up(tables.read("batch_airline_sentiment"), "airline_sentiment")
+        tables.replace(by_sentiment, "batch_sentiment_counts")
     stored = store.read("batch_airline_sentiment")
-    store.replace(add_up(stored, "airline_sentiment"), "batch_sentiment_counts")
     return stored.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count")).first()["count"]
 
 

@@ -46,6 +46,7 @@ def run_live(
             finish(queries)
         else:
             wait_any(spark, queries)
+        store.settle()
         progress.wait(queries)
         record_stream(spark, store, progress, raw)
     finally:

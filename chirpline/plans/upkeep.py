@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,6 +39,9 @@ def compact(store: ParquetTables, target: ParquetTables, stored_as: str, *, twee
         _copy_batches(store, target, RAW.table, TABLES[RAW.table], lambda rows: rows)
     for output in RUNNING_COUNTS if stored_as != "current" else ():
         copied.add(output.table)
+        if stored_as == "increments":
+            _copy_log(store, target, output.table + ENDINGS[stored_as])
+            continue
         _copy_batches(
             store,
             target,
@@ -50,6 +55,16 @@ def compact(store: ParquetTables, target: ParquetTables, stored_as: str, *, twee
             target.replace(rows, table)
 
 
+def _copy_log(store: ParquetTables, target: ParquetTables, table: str) -> None:
+    """Copy a log, folded; it knows its last batch, so that one is not added again."""
+    log, copy, state = store.log(table), target.log(table), store.state()
+    known = log.of(state)
+    if known:
+        name = f"base-{uuid.uuid4().hex}"
+        copy.write_base(log.read(state), copy.buckets, name)
+        target.manifest.change(lambda new: copy.name_base(new, name, known["last"]))
+
+
 def _copy_batches(store: ParquetTables, target: ParquetTables, table: str, schema: StructType, make_one) -> None:
     rows = store.read_batches(table, schema)
     last = rows.agg(F.max("batch_id")).first()[0]

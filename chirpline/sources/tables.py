@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import copy
 import os
+import threading
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 from typing import Protocol
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +21,8 @@ from chirpline.operators.counts import add_up, newest
 from chirpline.operators.ordering import top
 from chirpline.schema import ENDINGS, TABLES, keys_of
 from chirpline.sources import files
+from chirpline.sources.countlog import BUCKETS, FOLD_AFTER, CountLog
+from chirpline.sources.manifest import Manifest
 
 BATCH = StructField("batch_id", LongType())
 
@@ -35,12 +43,27 @@ class Tables(Protocol):
     def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
         """Add the rows of a micro-batch, once, however often it is tried."""
 
+    def write_batches(self, parts: dict[str, DataFrame], batch_id: int) -> None:
+        """Add what one micro-batch gives to several tables."""
+
+    def together(self) -> AbstractContextManager[Tables]:
+        """Tables whose ``replace`` is seen by others at the end of the block, all at once; within it, at once."""
+
+    def snapshot(self) -> Tables:
+        """The tables as they are now, whatever is written from now on."""
+
+    def settle(self) -> None:
+        """Wait for what is done in the background."""
+
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         """The rows; an empty frame if the table was never written."""
 
     def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
         """The rows of a table filled by ``write_batch``, with ``batch_id``."""
 
+    def read_increments(self, table: str) -> DataFrame:
+        """The counts that batches have added to a table of counts, to be added up by key."""
+
     def exists(self, table: str) -> bool:
         """Whether the table was ever written."""
 
@@ -61,6 +84,8 @@ def current_counts(store: Tables, table: str, stored_as: str = "current") -> Dat
         return store.read(table)
     if stored_as == "increments" and table == "sentiment_counts":
         return add_up(current_counts(store, "airline_sentiment", stored_as), *keys_of(table))
+    if stored_as == "increments":
+        return fold(store.read_increments(table), table, stored_as)
     rows = store.read_batches(table + ENDINGS[stored_as], TABLES[table])
     if stored_as == "history":
         last = rows.agg(F.max(BATCH.name)).first()[0]  # of the folders' names, or an indexed column
@@ -76,50 +101,150 @@ def fold(rows: DataFrame, table: str, stored_as: str) -> DataFrame:
 class ParquetTables:
     """Tables as folders below ``root``, which all executors must reach.
 
-    ``replace`` writes a new folder and then names it in a file which is
-    exchanged in one step, so a reader finds the old table or the new one. The
-    one before stays until the next ``replace``, for readers that have begun.
-    """
+    A manifest names what counts: the folder of each table that was replaced,
+    the last batch of each that is filled by several, and the state of each
+    log of counts. ``replace`` writes a new folder and then has the manifest
+    name it, so a reader finds the old table or the new one. The one before
+    stays until the next ``replace``, for readers that have begun.
 
-    POINTER = "_current"
+    Increments of counts are kept as a log (``CountLog``) which is folded in
+    the background once it has ``fold_after`` deltas; 0 leaves that to the
+    caller.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, *, fold_after: int = FOLD_AFTER, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.manifest = Manifest(spark, self.root)
+        self.fold_after = fold_after
+        self.buckets = buckets
+        self._pinned: dict | None = None
+        self._replaced: dict[str, str] | None = None
+        self._folds: dict[str, threading.Thread] = {}
+        self._failed: list[str] = []
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _versions(self, table: str) -> list[str]:
-        """The folder that holds the table, and the one before, if ``replace`` has made them."""
-        return (files.read_text(self.spark, f"{self.path(table)}/{self.POINTER}") or "").split()
+    def state(self) -> dict:
+        """What the manifest says, or said when the snapshot was taken."""
+        return self.manifest.load() if self._pinned is None else self._pinned
+
+    def snapshot(self) -> ParquetTables:
+        """All tables as of one moment. Read it before tables are replaced, or logs folded, twice more."""
+        pinned = copy.copy(self)
+        pinned._pinned = self.state()
+        return pinned
+
+    @contextmanager
+    def together(self) -> Iterator[ParquetTables]:
+        inside = self.snapshot()
+        inside._replaced = {}
+        yield inside
+        self._name(inside._replaced)
 
     def location(self, table: str) -> str:
-        return "/".join([self.path(table), *self._versions(table)[:1]])
+        return "/".join([self.path(table), *self.state().get("current", {}).get(table, [])[:1]])
 
     def replace(self, rows: DataFrame, table: str) -> None:
-        before = self._versions(table)
         new = f"version-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.path(table)}/{new}")
-        files.put_text(self.spark, f"{self.path(table)}/{self.POINTER}", "\n".join([new, *before[:1]]))
-        for old in before[1:]:
-            files.remove(self.spark, f"{self.path(table)}/{old}")
+        if self._replaced is None:
+            self._name({table: new})
+        else:
+            self._replaced[table] = new
+            self._pinned.setdefault("current", {})[table] = [new]
+
+    def _name(self, replaced: dict[str, str]) -> None:
+        old: list[str] = []
+
+        def name(state: dict) -> None:
+            old.clear()
+            current = state.setdefault("current", {})
+            for table, new in replaced.items():
+                before = current.get(table, [])
+                old.extend(f"{self.path(table)}/{x}" for x in before[1:])
+                current[table] = [new, *before[:1]]
+
+        self.manifest.change(name)
+        for path in old:
+            files.remove(self.spark, path)
 
     def append(self, rows: DataFrame, table: str) -> None:
         rows.write.mode("append").parquet(self.location(table))
 
     def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        """A batch owns one folder of the table, which each try overwrites."""
-        rows.write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH.name}={batch_id}")
+        """A batch owns one folder of the table, which each try overwrites, or adds one delta to a log."""
+        if table.endswith(ENDINGS["increments"]):
+            self.write_batches({table: rows}, batch_id)
+        else:
+            rows.write.mode("overwrite").parquet(f"{self.path(table)}/{BATCH.name}={batch_id}")
+
+    def write_batches(self, parts: dict[str, DataFrame], batch_id: int) -> None:
+        """All parts are seen from one change of the manifest on, so readers find the batch in all tables or in none."""
+        state = self.manifest.load()
+        logs = {table: self.log(table) for table in parts if table.endswith(ENDINGS["increments"])}
+        deltas = {}
+        for table, rows in parts.items():
+            if table in logs:
+                deltas[table] = logs[table].write_delta(rows, batch_id, state)
+            else:
+                self.write_batch(rows, table, batch_id)
+
+        def name(state: dict) -> None:
+            for table in parts:
+                if table not in logs:
+                    last = state.setdefault("last", {})
+                    last[table] = max(batch_id, last.get(table, batch_id))
+                elif deltas[table]:
+                    logs[table].name_delta(state, batch_id, deltas[table])
+
+        state = self.manifest.change(name)
+        for table, log in logs.items():
+            if self.fold_after and log.is_due(state, self.fold_after):
+                self._fold_beside(table, log)
+
+    def log(self, table: str) -> CountLog:
+        schema = TABLES[table.removesuffix(ENDINGS["increments"])]
+        return CountLog(self.spark, self.manifest, self.path(table), table, schema, self.buckets)
+
+    def _fold_beside(self, table: str, log: CountLog) -> None:
+        """Fold in a thread of its own, so that batches go on; one at a time for a table."""
+        running = self._folds.get(table)
+        if running and running.is_alive():
+            return
+
+        def run() -> None:
+            try:
+                log.fold()
+            except Exception as error:  # nothing has changed, and the next batch tries again
+                self._failed.append(f"{table} was not folded: {error}"[:500])
+
+        self._folds[table] = InheritableThread(target=run, daemon=True)
+        self._folds[table].start()
+
+    def settle(self) -> None:
+        """Wait for folds that are running, and say which failed."""
+        for thread in self._folds.values():
+            thread.join()
+        while self._failed:
+            warnings.warn(self._failed.pop(), stacklevel=2)
+
+    def read_increments(self, table: str) -> DataFrame:
+        return self.log(table + ENDINGS["increments"]).read(self.state())
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         schema = schema or TABLES[table]
+        last = self.state().get("last", {}).get(table)
+        if last is not None and BATCH.name not in schema.names:
+            return self.read_batches(table, schema).select(*schema.names)
         try:
-            return self.spark.read.schema(schema).parquet(self.location(table)).select(*schema.names)
+            rows = self.spark.read.schema(schema).parquet(self.location(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
+        return (rows if last is None else rows.where(F.col(BATCH.name) <= last)).select(*schema.names)
 
     def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
         return self.read(table, with_batch(schema or TABLES[table]))
@@ -154,7 +279,8 @@ class JdbcTables:
 
     Statements are standard SQL with double-quoted names and need
     ``information_schema``, as PostgreSQL has it. A table may be named with
-    its schema.
+    its schema. ``replace`` needs transactions: readers find the old rows until
+    the new ones are all there.
     """
 
     def __init__(
@@ -175,6 +301,8 @@ class JdbcTables:
         self.password_variable = password_variable
         self.connections = connections
         self.write_options = write_options or {}
+        self._staged: dict[str, tuple[str, StructType]] | None = None
+        self._until: int | None = None
 
     def options(self) -> dict[str, str]:
         return {
@@ -197,7 +325,74 @@ class JdbcTables:
         )
 
     def replace(self, rows: DataFrame, table: str) -> None:
-        self._write(rows, table, "overwrite")
+        """Write the rows to a table beside it, and have the database move them over in one transaction."""
+        with self.together() as tables:
+            tables._stage(rows, table)
+
+    def _stage(self, rows: DataFrame, table: str) -> None:
+        beside = f"{table}_{uuid.uuid4().hex[:12]}"
+        self._staged[table] = beside, rows.schema
+        self._write(rows, beside, "overwrite")
+        if not self.exists(table):
+            self._write(rows.limit(0), table, "overwrite")
+
+    @contextmanager
+    def together(self) -> Iterator[JdbcTables]:
+        if self._staged is not None:  # part of a transaction already
+            yield self
+            return
+        inside = copy.copy(self)
+        inside._staged = {}
+        try:
+            yield inside
+            if inside._staged:
+                self._transact([x for table, staged in inside._staged.items() for x in move_statements(table, *staged)])
+        finally:
+            if inside._staged:
+                self._transact([f"DROP TABLE IF EXISTS {beside}" for beside, _ in inside._staged.values()])
+
+    def _connect(self):
+        """A connection of the driver's own, for statements that belong together."""
+        jvm = self.spark._jvm
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.driver)
+        properties = jvm.java.util.Properties()
+        for name in ("user", "password"):
+            properties.setProperty(name, self.options()[name])
+        return jvm.java.sql.DriverManager.getConnection(self.url, properties)
+
+    def _transact(self, statements: list[str]) -> None:
+        """Run all statements or, should one fail, none."""
+        connection = self._connect()
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            try:
+                for text in statements:
+                    statement.executeUpdate(text)
+                connection.commit()
+            except Exception:
+                connection.rollback()
+                raise
+            finally:
+                statement.close()
+        finally:
+            connection.close()
+
+    def snapshot(self) -> JdbcTables:
+        """Of increments, the batches to the last one that all their tables have finished.
+
+        Other tables are read as they are when asked for: a database keeps no
+        state of its tables beyond a transaction.
+        """
+        pinned = copy.copy(self)
+        lasts = []
+        for table in ("hashtags", "airline_sentiment"):
+            commits = f"{table}{ENDINGS['increments']}_commits"
+            if self.exists(commits):
+                lasts.append(self.query(f"SELECT MAX(batch_id) AS last FROM {commits}").first()["last"])
+        if len(lasts) == 2 and None not in lasts:
+            pinned._until = min(lasts)
+        return pinned
 
     def append(self, rows: DataFrame, table: str) -> None:
         self._write(rows, table, "append")
@@ -213,6 +408,16 @@ class JdbcTables:
         done = self.spark.createDataFrame([(batch_id, attempt)], COMMIT)
         self._write(done, f"{table}_commits", "append")
 
+    def write_batches(self, parts: dict[str, DataFrame], batch_id: int) -> None:
+        for table, rows in parts.items():
+            self.write_batch(rows, table, batch_id)
+
+    def settle(self) -> None:
+        """Nothing is done in the background."""
+
+    def read_increments(self, table: str) -> DataFrame:
+        return self.read_batches(table + ENDINGS["increments"], TABLES[table])
+
     def _load(self, **options: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options(), **options).load()
 
@@ -229,6 +434,7 @@ class JdbcTables:
         ``numPartitions`` to read a large one over several connections. Of a
         table filled by batches, only those that were finished, each once."""
         schema = schema or TABLES[table]
+        table = (self._staged or {}).get(table, (table,))[0]
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
         if self.exists(f"{table}_commits"):
@@ -243,6 +449,8 @@ class JdbcTables:
         if not self.exists(f"{table}_commits"):
             return self.spark.createDataFrame([], schema)
         commits = self._load(dbtable=f"{table}_commits")
+        if self._until is not None and table.endswith(ENDINGS["increments"]):
+            commits = commits.where(F.col(BATCH.name) <= self._until)
         rows = self._load(dbtable=table, **(partitioning or self._by_batch(commits)))
         identity = [name for name in schema.names if name != "count"] if "count" in schema.names else ["row_id"]
         return committed(rows, commits, identity).select(*schema.names)
@@ -263,13 +471,13 @@ class JdbcTables:
         stored = table + ENDINGS[stored_as]
         if not self.exists(stored):
             return self.spark.createDataFrame([], TABLES[table])
-        return self.query(top_query(stored, keys_of(table), k, stored_as))
+        return self.query(top_query(stored, keys_of(table), k, stored_as, self._until))
 
     def read_counts(self, table: str, values: list[str], stored_as: str = "current") -> DataFrame:
         stored = table + ENDINGS[stored_as]
         if not self.exists(stored) or not values:
             return self.spark.createDataFrame([], TABLES[table])
-        return self.query(counts_query(stored, keys_of(table), stored_as, values))
+        return self.query(counts_query(stored, keys_of(table), stored_as, values, self._until))
 
 
 COMMIT = StructType([BATCH, StructField("attempt", StringType())])
@@ -288,8 +496,25 @@ def exists_query(table: str) -> str:
     return f"SELECT 1 AS found FROM information_schema.tables WHERE table_name = '{name}'{where}"
 
 
-def counts_query(table: str, keys: list[str], stored_as: str = "current", values: list[str] | None = None) -> str:
-    """Current counts, for some values of the first key if given.
+def move_statements(table: str, beside: str, schema: StructType) -> list[str]:
+    """Make the rows of the table ``beside`` the rows of a table, which keeps its definition.
+
+    To be run in one transaction. A count that a repeated task has written
+    twice is moved once.
+    """
+    named = ", ".join(f'"{name}"' for name in schema.names)
+    rows = f"SELECT {named} FROM {beside}"
+    if "count" in schema.names:
+        keys = ", ".join(f'"{name}"' for name in schema.names if name != "count")
+        named = f'{keys}, "count"'
+        rows = f'SELECT {keys}, MAX("count") FROM {beside} GROUP BY {keys}'
+    return [f"DELETE FROM {table}", f"INSERT INTO {table} ({named}) {rows}"]
+
+
+def counts_query(
+    table: str, keys: list[str], stored_as: str = "current", values: list[str] | None = None, until: int | None = None
+) -> str:
+    """Current counts, for some values of the first key if given, and of increments to batch ``until``.
 
     Of a table filled by batches, rows of the chosen try of each finished batch
     count, once each. The filter reaches the table before anything is added up.
@@ -302,7 +527,8 @@ def counts_query(table: str, keys: list[str], stored_as: str = "current", values
     if stored_as == "current":
         rows, where = table, f" WHERE {only}" if only else ""
     else:
-        chosen = f"(SELECT batch_id, MIN(attempt) AS attempt FROM {table}_commits GROUP BY batch_id)"
+        to = f" WHERE batch_id <= {until}" if until is not None and stored_as == "increments" else ""
+        chosen = f"(SELECT batch_id, MIN(attempt) AS attempt FROM {table}_commits{to} GROUP BY batch_id)"
         rows = (
             f'(SELECT DISTINCT t.batch_id, {", ".join(f"""t."{key}\"""" for key in keys)}, t."count" '
             f"FROM {table} t JOIN {chosen} c ON t.batch_id = c.batch_id AND t.attempt = c.attempt"
@@ -315,6 +541,6 @@ def counts_query(table: str, keys: list[str], stored_as: str = "current", values
     return f'SELECT {named}, {total} AS "count" FROM {rows}{where} GROUP BY {named}'
 
 
-def top_query(table: str, keys: list[str], k: int, stored_as: str = "current") -> str:
+def top_query(table: str, keys: list[str], k: int, stored_as: str = "current", until: int | None = None) -> str:
     named = ", ".join(f'"{key}"' for key in keys)
-    return f'{counts_query(table, keys, stored_as)} ORDER BY "count" DESC, {named} LIMIT {k}'
+    return f'{counts_query(table, keys, stored_as, until=until)} ORDER BY "count" DESC, {named} LIMIT {k}'

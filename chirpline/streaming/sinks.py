@@ -81,8 +81,11 @@ def all_outputs(store: Tables) -> BatchWriter:
     """
 
     def write(records: DataFrame, batch_id: int) -> None:
-        store.write_batch(RAW.make(records), RAW.table, batch_id)
-        store.write_batch(HASHTAGS.make(records), HASHTAGS.table + INCREMENTS, batch_id)
-        store.write_batch(AIRLINE.make(records), AIRLINE.table + INCREMENTS, batch_id)
+        parts = {
+            RAW.table: RAW.make(records),
+            HASHTAGS.table + INCREMENTS: HASHTAGS.make(records),
+            AIRLINE.table + INCREMENTS: AIRLINE.make(records),
+        }
+        store.write_batches(parts, batch_id)
 
     return unless_empty(write)

@@ -1,6 +1,9 @@
 import os
+import threading
+from collections import Counter
 from unittest.mock import MagicMock
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +153,192 @@ def test_a_replace_that_fails_leaves_the_table(spark, store):
     assert as_set(store.read("sentiment_counts")) == {("a", 1)}
 
 
+# ---- logs of counts and the manifest -------------------------------------------------
+
+LOG = "hashtags_increments"
+
+
+def added(spark, store, batch_id, rows):
+    store.write_batch(spark.createDataFrame(rows, TABLES["hashtags"]), LOG, batch_id)
+
+
+def now(store):
+    return as_set(current_counts(store, "hashtags", "increments"))
+
+
+def folders(store, kind):
+    return sorted(x for x in os.listdir(store.path(LOG)) if x.startswith(kind))
+
+
+def test_a_fold_changes_no_count(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=8)
+    total = Counter()
+    for batch_id in range(5):
+        rows = [(f"t{i % 7}" if i % 5 else None, i + batch_id) for i in range(batch_id, 30, batch_id + 1)]
+        total.update({key: 0 for key, _ in rows})
+        for key, n in rows:
+            total[key] += n
+        added(spark, store, batch_id, rows)
+        if batch_id == 2:
+            assert store.log(LOG).fold()
+            assert store.log(LOG).of(store.state())["deltas"] == []
+        assert now(store) == set(total.items())
+    assert store.log(LOG).fold() and not store.log(LOG).fold()
+    assert now(store) == set(total.items())
+    assert len(folders(store, "base")) == 2  # the one before stays for readers that have begun
+
+
+def test_a_fold_rewrites_only_touched_buckets(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=16)
+    log = store.log(LOG)
+    added(spark, store, 0, [(f"t{i}", 1) for i in range(200)])
+    log.fold()
+    before = dict(log.of(store.state())["base"])
+    added(spark, store, 1, [("t1", 5)])
+    log.fold()
+    after = log.of(store.state())["base"]
+    changed = [b for b in after if after[b] != before[b]]
+    assert len(changed) == 1
+    assert sorted(os.listdir(f"{store.path(LOG)}/{after[changed[0]]}"))[-1] == f"part={changed[0]}"
+    assert dict(now(store))["t1"] == 6 and len(now(store)) == 200
+
+
+def test_a_fold_may_take_few_buckets_at_a_time(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=4)
+    log = store.log(LOG)
+    want = Counter()
+    for batch_id in range(6):
+        rows = [(f"t{i}", 1) for i in range(batch_id * 3, batch_id * 3 + 20)]
+        want.update(key for key, _ in rows)
+        added(spark, store, batch_id, rows)
+        log.fold(most=1)
+        assert now(store) == set(want.items())
+    through = log.of(store.state())["through"]
+    assert min(through) < max(through) == 5
+    while log.fold(most=1):
+        assert now(store) == set(want.items())
+    assert log.of(store.state())["through"] == [5] * 4 and not log.of(store.state())["deltas"]
+
+
+@pytest.mark.parametrize("midway", ["write_base", "change"])
+def test_a_fold_that_is_killed_changes_nothing(spark, tmp_path, monkeypatch, midway):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=4)
+    added(spark, store, 0, [("a", 1), ("b", 2)])
+    store.log(LOG).fold()
+    added(spark, store, 1, [("a", 5), ("c", 1)])
+    want = {("a", 6), ("b", 2), ("c", 1)}
+    log = store.log(LOG)
+    if midway == "write_base":
+        plain = log.write_base
+
+        def write_base(*args):
+            plain(*args)
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(log, "write_base", write_base)
+    else:
+        changes, plain = [], log.manifest.change
+
+        def change(make):
+            changes.append(make)
+            if len(changes) == 2:
+                raise KeyboardInterrupt
+            return plain(make)
+
+        monkeypatch.setattr(log.manifest, "change", change)
+    with pytest.raises(KeyboardInterrupt):
+        log.fold()
+    monkeypatch.undo()
+    assert now(store) == want and len(folders(store, "base")) == 2
+    added(spark, store, 2, [("c", 1)])
+    assert store.log(LOG).fold()
+    assert now(store) == want - {("c", 1)} | {("c", 2)}
+    assert len(folders(store, "base")) == 2  # what the killed fold had left is gone
+
+
+def test_batches_go_on_while_a_fold_runs(spark, tmp_path, monkeypatch):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=4)
+    for batch_id in range(3):
+        added(spark, store, batch_id, [("a", 1), (f"t{batch_id}", 1)])
+    log = store.log(LOG)
+    plain = log.write_base
+
+    def write_base(*args):
+        added(spark, store, 3, [("a", 1), ("late", 1)])
+        plain(*args)
+
+    monkeypatch.setattr(log, "write_base", write_base)
+    begun = store.snapshot()
+    assert log.fold()
+    assert [batch for batch, _ in log.of(store.state())["deltas"]] == [3]
+    assert now(store) == {("a", 4), ("t0", 1), ("t1", 1), ("t2", 1), ("late", 1)}
+    assert now(begun) == {("a", 3), ("t0", 1), ("t1", 1), ("t2", 1)}
+
+
+def test_of_two_folds_the_later_one_counts(spark, tmp_path, monkeypatch):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=0, buckets=4)
+    added(spark, store, 0, [("a", 1), ("b", 1)])
+    first, second = store.log(LOG), store.log(LOG)
+    plain = first.write_base
+
+    def write_base(*args):
+        plain(*args)
+        assert second.fold()
+
+    monkeypatch.setattr(first, "write_base", write_base)
+    assert not first.fold()
+    assert now(store) == {("a", 1), ("b", 1)}
+
+
+def test_a_log_is_folded_beside_its_batches(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables", fold_after=3)
+    for batch_id in range(8):
+        added(spark, store, batch_id, [("a", 1), (f"t{batch_id % 2}", 1)])
+    store.settle()
+    log = store.log(LOG).of(store.state())
+    assert len(log["deltas"]) < 8 and log["base"]
+    assert now(store) == {("a", 8), ("t0", 4), ("t1", 4)}
+
+
+def test_a_batch_counts_once_and_another_run_is_refused(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables")
+    for batch_id in (0, 1, 1):
+        added(spark, store, batch_id, [("a", 1)])
+    assert now(store) == {("a", 2)}
+    with pytest.raises(ValueError, match="another run"):
+        added(spark, store, 0, [("a", 1)])
+
+
+def test_changes_of_several_writers_all_count(spark, tmp_path):
+    manifests = [ParquetTables(spark, f"{tmp_path}/tables").manifest for _ in range(4)]
+
+    def work(manifest, who):
+        for i in range(6):
+            manifest.change(lambda state: state.setdefault("seen", []).append([who, i]))
+
+    threads = [threading.Thread(target=work, args=(m, who)) for who, m in enumerate(manifests)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    state = manifests[0].load()
+    assert state["number"] == 24 and sorted(state["seen"]) == sorted([who, i] for who in range(4) for i in range(6))
+    assert len([x for x in os.listdir(manifests[0].path) if x.endswith(".json")]) == 20
+
+
+def test_tables_replaced_together_are_seen_together(spark, store):
+    store.replace(counted(spark, [("old", 1)]), "batch_sentiment_counts")
+    with store.together() as tables:
+        tables.replace(counted(spark, [("new", 2)]), "batch_sentiment_counts")
+        assert as_set(tables.read("batch_sentiment_counts")) == {("new", 2)}
+        assert as_set(store.read("batch_sentiment_counts")) == {("old", 1)}
+    assert as_set(store.read("batch_sentiment_counts")) == {("new", 2)}
+    with pytest.raises(KeyboardInterrupt), store.together() as tables:
+        tables.replace(counted(spark, [("never", 3)]), "batch_sentiment_counts")
+        raise KeyboardInterrupt
+    assert as_set(store.read("batch_sentiment_counts")) == {("new", 2)}
+
+
 @pytest.mark.parametrize("stored_as", ["current", "history", "changes", "increments"])
 def test_top_and_named_counts_of_every_way_to_store(spark, store, stored_as):
     schema = TABLES["hashtags"]
@@ -169,22 +358,127 @@ def test_top_and_named_counts_of_every_way_to_store(spark, store, stored_as):
 
 
 class TablesInMemory(JdbcTables):
-    """The database replaced by frames by table name."""
+    """The database replaced by one within this process, which runs the statements; ``ran`` lists them."""
 
     def __init__(self, spark):
         super().__init__(spark, "jdbc:none:", driver="none")
-        self.frames = {}
+        self.db = duckdb.connect()
+        self.ran = []
+        self.failing = None
 
     def _write(self, rows, table, mode):
-        rows = self.spark.createDataFrame(rows.collect(), rows.schema)
-        known = self.frames.get(table)
-        self.frames[table] = rows if mode == "overwrite" or known is None else known.unionByName(rows)
-
-    def _load(self, **options):
-        return self.frames[options["dbtable"]]
+        incoming = rows.toArrow()
+        self.db.register("incoming", incoming)
+        if not self.exists(table):
+            self.db.execute(f"CREATE TABLE {table} AS SELECT * FROM incoming LIMIT 0")
+        elif mode == "overwrite":
+            self.db.execute(f"DELETE FROM {table}")
+        self.db.execute(f"INSERT INTO {table} SELECT * FROM incoming")
+        self.db.unregister("incoming")
+
+    def _load(self, query=None, dbtable=None, **options):
+        found = self.db.sql(query or f"SELECT * FROM {dbtable}").to_arrow_table()
+        return self.spark.createDataFrame(found)
 
     def exists(self, table):
-        return table in self.frames
+        return bool(self.db.sql(exists_query(table)).fetchall())
+
+    def tables(self):
+        return {name for (name,) in self.db.sql("SELECT table_name FROM information_schema.tables").fetchall()}
+
+    def _connect(self):
+        return Recorded(self)
+
+
+class Recorded:
+    """A connection as the driver would give it."""
+
+    def __init__(self, store):
+        self.store = store
+
+    def run(self, text):
+        self.store.ran.append(text)
+        if self.store.failing and text.startswith(self.store.failing):
+            raise OSError("connection lost")
+        self.store.db.execute(text)
+
+    def setAutoCommit(self, on):
+        assert on is False
+        self.run("BEGIN")
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, text):
+        self.run(text)
+
+    def commit(self):
+        self.run("COMMIT")
+
+    def rollback(self):
+        self.run("ROLLBACK")
+
+    def close(self):
+        pass
+
+
+def test_jdbc_replace_moves_rows_in_one_transaction(spark):
+    store = TablesInMemory(spark)
+    store.replace(counted(spark, [("a", 1)]), "sentiment_counts")
+    store.ran.clear()
+    store.replace(counted(spark, [("a", 3), ("a", 3), (None, 2)]), "sentiment_counts")
+    assert as_set(store.query("SELECT * FROM sentiment_counts")) == {("a", 3), (None, 2)}
+    assert store.db.sql("SELECT count(*) FROM sentiment_counts").fetchall() == [(2,)]
+    words = [x.split()[0] for x in store.ran]
+    assert words == ["BEGIN", "DELETE", "INSERT", "COMMIT", "BEGIN", "DROP", "COMMIT"]
+    assert store.tables() == {"sentiment_counts"}
+
+
+@pytest.mark.parametrize("failing", ["DELETE", "INSERT", "COMMIT"])
+def test_jdbc_replace_that_fails_leaves_the_table(spark, failing):
+    store = TablesInMemory(spark)
+    store.replace(counted(spark, [("a", 1)]), "sentiment_counts")
+    store.failing = failing
+    with pytest.raises(OSError, match="connection lost"):
+        store.replace(counted(spark, [("b", 2)]), "sentiment_counts")
+    assert as_set(store.read("sentiment_counts")) == {("a", 1)}
+    store.failing = None
+    store.replace(counted(spark, [("b", 2)]), "sentiment_counts")
+    assert as_set(store.read("sentiment_counts")) == {("b", 2)}
+
+
+def test_jdbc_rows_that_fail_never_reach_the_table(spark):
+    store = TablesInMemory(spark)
+    store.replace(counted(spark, [("a", 1)]), "sentiment_counts")
+    broken = counted(spark, [("b", 2)]).withColumn("count", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        store.replace(broken, "sentiment_counts")
+    assert as_set(store.read("sentiment_counts")) == {("a", 1)}
+
+
+def test_jdbc_batch_tables_are_exchanged_together(spark):
+    store = TablesInMemory(spark)
+    store_counts(spark.createDataFrame(TWEETS, TWEET_COLUMNS), store, text="text")
+    store.ran.clear()
+    store_counts(spark.createDataFrame(TWEETS[:1], TWEET_COLUMNS), store, text="text")
+    moved = [x.split()[2] for x in store.ran[: store.ran.index("COMMIT")] if x.startswith("INSERT")]
+    assert moved == ["batch_hashtags", "batch_airline_sentiment", "batch_sentiment_counts"]
+    assert as_set(store.read("batch_sentiment_counts")) == {("negative", 1)}
+    assert store.tables() == set(moved)
+
+
+def test_jdbc_snapshot_ends_with_the_last_batch_of_all_tables(spark):
+    store = TablesInMemory(spark)
+    tags = TABLES["hashtags"]
+    for batch_id in (0, 1):
+        store.write_batch(spark.createDataFrame([("x", 1)], tags), "hashtags_increments", batch_id)
+    air = spark.createDataFrame([("A", "negative", 1)], TABLES["airline_sentiment"])
+    store.write_batch(air, "airline_sentiment_increments", 0)
+    then = store.snapshot()
+    assert as_set(current_counts(then, "hashtags", "increments")) == {("x", 1)}
+    assert as_set(then.read_top("hashtags", 1, "increments")) == {("x", 1)}
+    assert as_set(then.read_counts("hashtags", ["x"], "increments")) == {("x", 1)}
+    assert as_set(store.read_counts("hashtags", ["x"], "increments")) == {("x", 2)}
 
 
 def test_jdbc_write_options(spark, monkeypatch):
@@ -194,7 +488,7 @@ def test_jdbc_write_options(spark, monkeypatch):
     writer = dealt.write.format.return_value
     for call in ("option", "options", "mode"):
         getattr(writer, call).return_value = writer
-    JdbcTables(spark, "jdbc:postgresql://db/tweets", connections=4).replace(rows, "batch_hashtags")
+    JdbcTables(spark, "jdbc:postgresql://db/tweets", connections=4)._write(rows, "batch_hashtags", "overwrite")
     rows.repartition.assert_called_once_with(4)
     dealt.write.format.assert_called_once_with("jdbc")
     writer.options.assert_called_once_with(
@@ -264,20 +558,14 @@ def test_jdbc_batches_are_read_over_several_connections(spark, monkeypatch):
 @pytest.mark.parametrize("stored_as", ["changes", "increments"])
 def test_the_database_counts_as_spark_does(spark, stored_as):
     """The statements, run by another SQL engine on the same rows."""
-    duckdb = pytest.importorskip("duckdb")
     schema = "hashtag string, count long, batch_id long, attempt string, row_id long"
     rows = [("a", 4, 0, "x", 0), ("a", 4, 0, "x", 0), ("a", 9, 0, "z", 0), ("b", 2, 1, "y", 0), ("a", 5, 1, "y", 1)]
     rows += [("a'", 1, 1, "y", 2), ("c", 9, 2, "never", 0)]
     commits = [(0, "x"), (0, "z"), (1, "y")]
     store = TablesInMemory(spark)
-    store.frames = {
-        f"hashtags_{stored_as}": spark.createDataFrame(rows, schema),
-        f"hashtags_{stored_as}_commits": spark.createDataFrame(commits, COMMIT),
-    }
-    con = duckdb.connect()
-    for name, df in store.frames.items():
-        con.register("frame", df.toPandas())
-        con.execute(f"CREATE TABLE {name} AS SELECT * FROM frame")
+    store._write(spark.createDataFrame(rows, schema), f"hashtags_{stored_as}", "append")
+    store._write(spark.createDataFrame(commits, COMMIT), f"hashtags_{stored_as}_commits", "append")
+    con = store.db
     want = as_set(current_counts(store, "hashtags", stored_as))
     table = f"hashtags_{stored_as}"
     assert set(con.execute(counts_query(table, ["hashtag"], stored_as)).fetchall()) == want
@@ -292,7 +580,7 @@ def test_jdbc_raw_tweets_are_those_of_finished_batches(spark):
     names = ", ".join(f"cast(null as {f.dataType.simpleString()}) AS {f.name}" for f in TABLES["tweets"].fields[1:])
     rows = spark.range(3).selectExpr("cast(id as string) AS tweet_id", *names.split(", "))
     store.write_batch(rows, "tweets", 0)
-    unfinished = store.frames["tweets"].withColumn("attempt", F.lit("lost"))
+    unfinished = store._load(dbtable="tweets").withColumn("attempt", F.lit("lost"))
     store._write(unfinished, "tweets", "append")
     assert store.read("tweets").count() == 3
 
@@ -341,7 +629,7 @@ def test_jdbc_unfinished_tries_and_repeated_tasks_do_not_count(spark):
 def test_jdbc_counts_repeated_in_another_order_count_once(spark):
     store = TablesInMemory(spark)
     store.write_batch(counted(spark, [("a", 1), (None, 2)]), "sentiment_counts_increments", 0)
-    written = store.frames["sentiment_counts_increments"]
+    written = store._load(dbtable="sentiment_counts_increments")
     again = written.withColumn("row_id", -F.col("row_id"))
     store._write(again, "sentiment_counts_increments", "append")
     found = store.read_batches("sentiment_counts_increments", TABLES["sentiment_counts"])
