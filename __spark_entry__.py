@@ -16,26 +16,34 @@ from chirpline.plans.batch import run_batch, store_counts
 from chirpline.plans.comparison import comparisons
 from chirpline.plans.live import current_counts, run_live
 from chirpline.session import work_dir
-from chirpline.sources import csv, messages
+from chirpline.sources import csv, files, messages
 from chirpline.sources.events import TWEETS_SQL, csv_rows_from, tweets_from
 from chirpline.sources.tables import ParquetTables
 from chirpline.streaming.queries import finish, start_cards, start_count, start_shared, start_tweets
 from chirpline.streaming.running import AIRLINE, HASHTAGS, SENTIMENT, Output
 
 # The training-data operators and their pipeline are an extra: without them the rest works on.
+EXTRA_QUERIES, EXTRA_SQL = {}, {}
 try:
-    import corpus_pipeline
     from chirpline.llm import queries as llm
 
-    EXTRA_QUERIES, EXTRA_SQL = {**llm.QUERIES, "pipeline": corpus_pipeline.run}, llm.SQL
+    EXTRA_QUERIES, EXTRA_SQL = dict(llm.QUERIES), llm.SQL
+except ImportError:
+    pass
+try:
+    import corpus_pipeline
+
+    EXTRA_QUERIES["pipeline"] = corpus_pipeline.run
 except ImportError:
-    EXTRA_QUERIES, EXTRA_SQL = {}, {}
+    pass
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# A batch of a stream over staged messages takes in about so many bytes, of files of so many messages.
-INTAKE_BYTES = 8 << 20
-ROWS_PER_FILE = 5_000
+# A stream over staged messages has at least so many batches, whatever its size.
+BATCHES = 3
+# And as many more as it takes, for no batch has more than so many files of so many messages.
+FILES_PER_BATCH = 1_000
+ROWS_PER_FILE = 100_000
 
 
 # ---- inputs -----------------------------------------------------------------
@@ -58,11 +66,19 @@ def joined_tags(rows: DataFrame) -> DataFrame:
     return rows.withColumn("hashtags", F.concat_ws("|", "hashtags"))
 
 
-def topic(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
-    """All tweets as a stream of messages, in several batches."""
+def topic(
+    spark: SparkSession, sf_dir: str, work: str, batches: int = BATCHES, records: DataFrame | None = None
+) -> DataFrame:
+    """All tweets as a stream of messages, in ``batches`` batches or more."""
     path = f"{work}/topic"
-    messages.publish_files(tweet_records(spark, sf_dir), path, ROWS_PER_FILE)
-    return messages.stream_files(spark, path, bytes_per_trigger=INTAKE_BYTES)
+    rows = events(spark, sf_dir).count()
+    rows_per_file = max(1, min(ROWS_PER_FILE, rows // (2 * batches)))
+    if records is None:
+        messages.publish_files(tweet_records(spark, sf_dir), path, rows_per_file)
+    else:
+        records.write.option("maxRecordsPerFile", rows_per_file).text(path)
+    n_files = sum(name.startswith("part-") for name in files.names(spark, path))
+    return messages.stream_files(spark, path, max(1, min(FILES_PER_BATCH, n_files // batches)))
 
 
 # ---- streaming queries --------------------------------------------------------
@@ -80,11 +96,53 @@ def running_count(
     return current_counts(store, output, stored_as)
 
 
-def shared_count(spark: SparkSession, sf_dir: str, output: Output) -> DataFrame:
+def shared_tables(spark: SparkSession, sf_dir: str) -> ParquetTables:
+    """What one reading stores in eight batches or more: a log of counts that was folded on the way."""
     work = work_dir(spark, "shared")
+    store = ParquetTables(spark, f"{work}/tables", fold_after=3)
+    finish([start_shared(topic(spark, sf_dir, work, 8), store, f"{work}/checkpoints", interval=None)])
+    store.settle()
+    return store
+
+
+def shared_count(spark: SparkSession, sf_dir: str, output: Output) -> DataFrame:
+    return current_counts(shared_tables(spark, sf_dir), output, "increments")
+
+
+def shared_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All comparisons of one state of the tables, the counts being those of a log."""
+    store = shared_tables(spark, sf_dir)
+    store_counts(tweets(spark, sf_dir), store)
+    return report_of(comparisons(store, "increments"))
+
+
+def damaged_topic(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
+    """The stream of all tweets, with every tenth message cut off in the middle."""
+    encoded = messages.encode(tweet_records(spark, sf_dir))
+    number = F.regexp_extract("value", r'"tweet_id":"(\d+)"', 1).cast("long")
+    half = F.substring("value", F.lit(1), F.floor(F.length("value") / 2).cast("int"))
+    cut = encoded.select(F.when(number % 10 == 0, half).otherwise(F.col("value")).alias("value"))
+    return topic(spark, sf_dir, work, records=cut)
+
+
+def stream_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each tweet is after a stream over damaged messages: with the tweets, or set aside."""
+    work = work_dir(spark, "damaged")
     store = ParquetTables(spark, f"{work}/tables")
-    finish([start_shared(topic(spark, sf_dir, work), store, f"{work}/checkpoints", interval=None)])
-    return current_counts(store, output, "increments")
+    run_live(spark, damaged_topic(spark, sf_dir, work), store, f"{work}/checkpoints", shared=True, interval=None)
+    decoded = store.read("tweets").where("tweet_id IS NOT NULL")
+    aside = store.read("undecodable").select(F.regexp_extract("value", r'"tweet_id":"(\d+)"', 1).alias("tweet_id"))
+    return decoded.select("tweet_id", F.lit(True).alias("decoded")).unionByName(
+        aside.withColumn("decoded", F.lit(False))
+    )
+
+
+def message_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream over damaged messages says of its run."""
+    work = work_dir(spark, "damaged")
+    store = ParquetTables(spark, f"{work}/tables")
+    run_live(spark, damaged_topic(spark, sf_dir, work), store, f"{work}/checkpoints", shared=True, interval=None)
+    return store.read("performance_metrics").select("processing_type", "records_processed")
 
 
 def stream_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +168,14 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_tags(decoded)
 
 
+def csv_large_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV columns with the types that are inferred from all records."""
+    work = work_dir(spark, "csv")
+    csv_rows_from(events(spark, sf_dir)).write.csv(f"{work}/csv", header=True, quote='"', escape='"')
+    read = csv.read_large_csv(spark, f"{work}/csv", work, infer=True)
+    return read.select(*read.columns, F.lit(", ".join(kind for _, kind in read.dtypes)).alias("types"))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str, *, large: bool = False) -> DataFrame:
     work = work_dir(spark, "csv")
     rows = csv_rows_from(events(spark, sf_dir))
@@ -141,9 +207,13 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comparison_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The comparisons of the stored tables, one below the other."""
+    return report_of(comparisons(both_paths(spark, sf_dir)))
+
+
+def report_of(compared: dict[str, DataFrame]) -> DataFrame:
     parts = [
         part.select(F.lit(name).alias("comparison"), F.col(part.columns[0]).alias("key"), *part.columns[1:])
-        for name, part in comparisons(both_paths(spark, sf_dir)).items()
+        for name, part in compared.items()
     ]
     report = parts[0]
     for part in parts[1:]:
@@ -201,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # records and messages
         "csv_roundtrip": csv_roundtrip,
         "csv_large_roundtrip": lambda s, d: csv_roundtrip(s, d, large=True),
+        "csv_large_inferred": csv_large_inferred,
         "tweet_records": lambda s, d: joined_tags(tweet_records(s, d)),
         "hashtag_array": lambda s, d: joined_tags(
             records.add_hashtags(tweets(s, d)).select("tweet_id", "hashtags")
@@ -217,6 +288,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hashtag_changes_current": lambda s, d: running_count(s, d, HASHTAGS, "changes"),
         "shared_hashtag_counts": lambda s, d: shared_count(s, d, HASHTAGS),
         "shared_airline_sentiment": lambda s, d: shared_count(s, d, AIRLINE),
+        "stream_undecodable": stream_undecodable,
+        "message_metrics": message_metrics,
         # stored results and comparison
         "negative_by_airline": lambda s, d: ordering.by_count(
             counts.negative_by_airline(counts.airline_sentiment_counts(tweets(s, d)))
@@ -229,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_hashtags_charted": lambda s, d: compare_hashtags(s, d, 5),
         "compare_all_hashtags": compare_all_hashtags,
         "comparison_report": comparison_report,
+        "shared_comparison": shared_comparison,
         "run_metrics": run_metrics,
         **EXTRA_QUERIES,
     }
@@ -314,6 +388,16 @@ def oracle_sql() -> dict[str, str]:
         "run_metrics": """SELECT 'batch' AS processing_type, count(*) AS records_processed, true AS took_time
                           FROM tweets
                           UNION ALL SELECT 'streaming', count(*), true FROM tweets""",
+        "stream_undecodable": "SELECT tweet_id, CAST(tweet_id AS BIGINT) % 10 <> 0 AS decoded FROM tweets",
+        "message_metrics": """SELECT 'streaming' AS processing_type, count(*) AS records_processed FROM tweets
+                              UNION ALL SELECT 'streaming_undecodable', count(*) FROM tweets
+                              WHERE CAST(tweet_id AS BIGINT) % 10 = 0""",
+        "csv_large_inferred": """SELECT CAST(tweet_id AS INT) AS tweet_id, airline_sentiment,
+              CAST(airline_sentiment_confidence AS DOUBLE) AS airline_sentiment_confidence, negativereason, airline,
+              username AS name, tweet_text AS text, CAST(created_at AS TIMESTAMP) AS tweet_created, retweet_count,
+              tweet_location, nullif(user_timezone, '') AS user_timezone,
+              'int, string, double, string, string, string, string, timestamp, int, string, string' AS types
+            FROM tweets""",
     }
     with_words = {
         "hashtag_counts_batch": "SELECT * FROM words",
@@ -329,6 +413,13 @@ def oracle_sql() -> dict[str, str]:
     }
     both = f"WITH {TWEETS}, {WORDS}, {TAGS}"
     records = f"WITH {TWEETS}, records AS (SELECT *, {TAG_LIST} AS hashtags FROM tweets)"
+    report = f"""{both},
+            hashtags AS (WITH {_compared_hashtags(5)}), hashtags_listed AS (WITH {_compared_hashtags(10)})
+            SELECT 'sentiment' AS comparison, airline_sentiment AS key, * EXCLUDE (airline_sentiment)
+              FROM ({compared_sentiment})
+            UNION ALL SELECT 'hashtags', hashtag, * EXCLUDE (hashtag) FROM hashtags
+            UNION ALL SELECT 'hashtags_listed', hashtag, * EXCLUDE (hashtag) FROM hashtags_listed
+            UNION ALL SELECT 'negative_by_airline', airline, * EXCLUDE (airline) FROM ({compared_airline})"""
     return {
         **{name: f"WITH {TWEETS} {query}" for name, query in plain.items()},
         **{name: f"WITH {TWEETS}, {WORDS} {query}" for name, query in with_words.items()},
@@ -339,12 +430,7 @@ def oracle_sql() -> dict[str, str]:
         "compare_hashtags_charted": f"{both}, {_compared_hashtags(5)}",
         "compare_all_hashtags": f"""{both} SELECT coalesce(s.hashtag, b.hashtag) AS hashtag, {COMPARED}
             FROM tags s FULL JOIN (SELECT word[2:] AS hashtag, count FROM words) b ON s.hashtag = b.hashtag""",
-        "comparison_report": f"""{both},
-            hashtags AS (WITH {_compared_hashtags(5)}), hashtags_listed AS (WITH {_compared_hashtags(10)})
-            SELECT 'sentiment' AS comparison, airline_sentiment AS key, * EXCLUDE (airline_sentiment)
-              FROM ({compared_sentiment})
-            UNION ALL SELECT 'hashtags', hashtag, * EXCLUDE (hashtag) FROM hashtags
-            UNION ALL SELECT 'hashtags_listed', hashtag, * EXCLUDE (hashtag) FROM hashtags_listed
-            UNION ALL SELECT 'negative_by_airline', airline, * EXCLUDE (airline) FROM ({compared_airline})""",
+        "comparison_report": report,
+        "shared_comparison": report,
         **EXTRA_SQL,
     }

@@ -30,6 +30,8 @@ def record_run(spark: SparkSession, store: Tables, processing_type: str, records
 
 
 def record_stream(spark: SparkSession, store: Tables, progress: ProgressTotals, query: StreamingQuery) -> None:
-    """Add the row of a streaming run that has ended."""
+    """Add the row of a streaming run that has ended, and one for messages it could not decode, if there were any."""
     records, seconds = progress.totals(query)
     record_run(spark, store, "streaming", records, seconds)
+    if bad := progress.undecodable(query):
+        record_run(spark, store, "streaming_undecodable", bad, seconds)

@@ -63,7 +63,18 @@ RAW_TWEETS = StructType(
     ]
 )
 
-# Stored table names, with the columns of each.
+# Messages that cannot be decoded: what they hold and where they were, a file
+# or a topic and its partition, with the offset there.
+UNDECODABLE = StructType(
+    [
+        StructField("value", StringType()),
+        StructField("origin", StringType()),
+        StructField("position", LongType()),
+        StructField("processing_time", TimestampType()),
+    ]
+)
+
+# Stored table names, with the columns of each; the last one is our own.
 TABLES = {
     "batch_sentiment_counts": counts("airline_sentiment"),
     "batch_hashtags": counts("word"),
@@ -73,6 +84,7 @@ TABLES = {
     "airline_sentiment": counts("airline", "airline_sentiment"),
     "tweets": RAW_TWEETS,
     "performance_metrics": METRIC,
+    "undecodable": UNDECODABLE,
 }
 
 

@@ -29,8 +29,12 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = True, infer: b
     return spark.read.options(**options).csv(path, header=True, inferSchema=infer, enforceSchema=False)
 
 
-def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
-    """The same rows, all text, with each file read by many tasks.
+def read_large_csv(spark: SparkSession, path: str, work: str, *, infer: bool = False) -> DataFrame:
+    """The same rows, with each file read by many tasks.
+
+    Columns are text unless ``infer`` is set. Then Spark's own inference looks
+    at all records, as it does for a plain read, but here each task types its
+    share of them, and one row of types per task is merged.
 
     The files must quote every text that holds a quote, as CSV writers do; a
     record that does not is an error. Then a line with an odd number of quotes
@@ -73,8 +77,16 @@ def read_large_csv(spark: SparkSession, path: str, work: str) -> DataFrame:
         F.col("value").isin("", "\r").alias("is_blank"),
         _conforming(_without_end(F.col("value"))).alias("value"),
     )
-    parsed = records.select("is_header", "is_blank", _parsed(F.col("value"), columns).alias("row"))
-    return parsed.where(_is_data(columns)).select("row.*")
+    text = StructType([StructField(name, StringType()) for name in columns])
+    if infer:
+        records.write.mode("overwrite").parquet(f"{work}/records")
+        records = spark.read.parquet(f"{work}/records")
+        data = records.where("NOT is_header AND NOT is_blank").select("value")
+        schema = _inferred(data, columns)
+    else:
+        schema = text
+    parsed = records.select("is_header", "is_blank", *(_parsed(F.col("value"), x).alias(name) for name, x in (("row", text), ("typed", schema))))
+    return parsed.where(_is_data(columns)).select("typed.*" if infer else "row.*")
 
 
 def _first_line(part: Column) -> Column:
@@ -167,8 +179,19 @@ def _conforming(record: Column) -> Column:
     return F.when(~F.contains(record, F.lit('"')) | ~stray, record).otherwise(F.raise_error(message).cast("string"))
 
 
-def _parsed(record: Column, columns: list[str]) -> Column:
-    schema = StructType([StructField(name, StringType()) for name in columns])
+def _inferred(records: DataFrame, columns: list[str]) -> StructType:
+    """The types that Spark infers for the cells of records, each a text of its own."""
+    spark = records.sparkSession
+    texts = getattr(records._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark.read.options(**QUOTING, header="false", inferSchema="true")
+    found = DataFrame(reader._jreader.csv(texts), spark).schema
+    if len(found) > len(columns):
+        found = StructType(found.fields[: len(columns)])
+    types = [field.dataType for field in found] + [StringType()] * (len(columns) - len(found))
+    return StructType([StructField(name, kind) for name, kind in zip(columns, types, strict=True)])
+
+
+def _parsed(record: Column, schema: StructType) -> Column:
     return F.from_csv(record, schema.toDDL(), QUOTING)
 
 

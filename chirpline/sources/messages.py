@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from chirpline.schema import TWEET
 
@@ -33,13 +33,59 @@ def decode(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFram
     """
     wanted = StructType([TWEET[name] for name in (fields or TWEET.names)])
     parsed = messages.select(F.from_json(F.col("value").cast("string"), wanted).alias("data")).select("data.*")
-    cleaned = [
-        F.nullif(F.col(field.name), F.lit(NOT_A_NUMBER)).alias(field.name)
+    return parsed.select(*_cleaned(wanted), F.current_timestamp().alias("processing_time"))
+
+
+def _cleaned(wanted: StructType, within: str = "") -> list[Column]:
+    return [
+        F.nullif(F.col(within + field.name), F.lit(NOT_A_NUMBER)).alias(field.name)
         if field.dataType == StringType()
-        else F.col(field.name)
+        else F.col(within + field.name).alias(field.name)
         for field in wanted
     ]
-    return parsed.select(*cleaned, F.current_timestamp().alias("processing_time"))
+
+
+# The column that takes in a text that is not all JSON of the schema, and what is known of a bad message.
+CORRUPT = "_corrupt_record"
+BAD = "undecodable"
+
+
+def judge(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """The records of ``decode``, with a column ``undecodable``, null for messages that can be decoded.
+
+    A message cannot be decoded if it has no value, or its text is no JSON
+    object and no field could be read from it. For such a message the column
+    holds ``value`` (the text), ``origin`` (topic and partition, or the file)
+    and ``position`` (its offset in the partition, null in a file). A field of
+    the wrong type, or one that is missing, is no fault of the message.
+    """
+    wanted = StructType([TWEET[name] for name in (fields or TWEET.names)])
+    text = F.col("value").cast("string")
+    if {"topic", "partition", "offset"} <= set(messages.columns):
+        origin, position = F.concat_ws("/", "topic", "partition"), F.col("offset")
+    else:
+        origin = F.col("origin") if "origin" in messages.columns else F.lit(None).cast("string")
+        position = F.lit(None).cast("long")
+    known = StructType([*wanted.fields, StructField(CORRUPT, StringType())])
+    parsed = messages.select(
+        F.from_json(text, known, {"columnNameOfCorruptRecord": CORRUPT}).alias("data"),
+        text.alias("text"),
+        origin.alias("origin"),
+        position.alias("position"),
+    )
+    nothing = F.forall(F.array(*[F.col(f"data.{name}").isNull() for name in wanted.names]), lambda x: x)
+    # Only what gave nothing is looked at again: it may be an object all the same.
+    is_object = F.from_json("text", "map<string,string>").isNotNull()
+    bad = F.col("text").isNull() | F.when(nothing & F.col(f"data.{CORRUPT}").isNotNull(), ~is_object).otherwise(
+        F.col("data").isNull() | (F.trim("text") == "")
+    )
+    found = F.when(bad, F.struct(F.col("text").alias("value"), "origin", "position"))
+    return parsed.select(*_cleaned(wanted, "data."), F.current_timestamp().alias("processing_time"), found.alias(BAD))
+
+
+def undecodable(judged: DataFrame) -> DataFrame:
+    """The messages that could not be decoded, out of ``judge``."""
+    return judged.where(F.col(BAD).isNotNull()).select(f"{BAD}.*", "processing_time")
 
 
 def publish_files(records: DataFrame, path: str, rows_per_file: int | None = None) -> None:
@@ -107,7 +153,7 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> Da
 def stream_files(
     spark: SparkSession, path: str, per_trigger: int | None = None, *, bytes_per_trigger: int | None = None
 ) -> DataFrame:
-    """Unbounded messages of a folder of text files.
+    """Unbounded messages of a folder of text files, each with its file as ``origin``.
 
     A batch takes in ``per_trigger`` files, or about ``bytes_per_trigger`` bytes
     of them where files differ in size.
@@ -117,7 +163,7 @@ def stream_files(
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
-    return reader.load(path)
+    return reader.load(path).select("value", F.col("_metadata.file_path").alias("origin"))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

@@ -10,16 +10,21 @@ from collections.abc import Iterable
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
+# What a query may observe of the messages it takes in: how many, and how many of them cannot be decoded.
+TAKEN_IN = "taken_in"
+
+
 class ProgressTotals(StreamingQueryListener):
     """Adds up rows taken in and time spent per run of a query.
 
     It hears of every batch, whereas a query itself remembers only the last
-    hundred. Two numbers are kept per run.
+    hundred. Three numbers are kept per run.
     """
 
     def __init__(self):
         self._rows: dict[str, int] = defaultdict(int)
         self._milliseconds: dict[str, int] = defaultdict(int)
+        self._undecodable: dict[str, int] = defaultdict(int)
         self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
 
     def onQueryStarted(self, event) -> None:
@@ -29,6 +34,9 @@ class ProgressTotals(StreamingQueryListener):
         run = str(event.progress.runId)
         self._rows[run] += event.progress.numInputRows
         self._milliseconds[run] += event.progress.batchDuration
+        observed = event.progress.observedMetrics.get(TAKEN_IN)
+        if observed:
+            self._undecodable[run] += observed["undecodable"]
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -50,3 +58,7 @@ class ProgressTotals(StreamingQueryListener):
         """Rows and seconds of a run, complete once it has been waited for."""
         run = str(query.runId)
         return self._rows[run], self._milliseconds[run] / 1000.0
+
+    def undecodable(self, query: StreamingQuery) -> int:
+        """Messages of a run that could not be decoded, if it observes them."""
+        return self._undecodable[str(query.runId)]

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chirpline.operators.records import tweet_cards
 from chirpline.schema import ENDINGS
 from chirpline.session import LARGE_STATE, settings
-from chirpline.sources.messages import decode
+from chirpline.sources.messages import BAD, decode, judge
 from chirpline.sources.tables import Tables
+from chirpline.streaming.progress import TAKEN_IN
 from chirpline.streaming.running import HASHTAGS, RAW, RUNNING_COUNTS, Output
 from chirpline.streaming.sinks import (
     BatchWriter,
@@ -171,8 +173,10 @@ def start_shared(
 ) -> StreamingQuery:
     """All four outputs from one query, which reads and decodes the source once."""
     fields = dict.fromkeys([*RAW.fields, *(name for output in RUNNING_COUNTS for name in output.fields)])
+    judged = judge(messages, list(fields))
+    counted = judged.observe(TAKEN_IN, F.count(F.lit(1)).alias("messages"), F.count(BAD).alias(BAD))
     return _start(
-        decode(messages, list(fields)),
+        counted,
         all_outputs(store),
         mode="append",
         name="all_outputs",

@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from chirpline.operators.ordering import by_count
 from chirpline.schema import ENDINGS
+from chirpline.sources.messages import undecodable
 from chirpline.sources.tables import Tables
 from chirpline.streaming.running import AIRLINE, HASHTAGS, RAW
 
@@ -77,15 +78,19 @@ def all_outputs(store: Tables) -> BatchWriter:
     The counts cover the batch alone and are stored as increments; adding them
     up gives the running counts. No state is kept between batches, so nothing
     grows with the number of hashtags ever seen. Counts by sentiment are sums
-    of those by airline and sentiment, so they are not stored.
+    of those by airline and sentiment, so they are not stored. Messages that
+    cannot be decoded are counted like any other, under null, and set aside.
     """
 
     def write(records: DataFrame, batch_id: int) -> None:
+        bad = undecodable(records)
         parts = {
             RAW.table: RAW.make(records),
             HASHTAGS.table + INCREMENTS: HASHTAGS.make(records),
             AIRLINE.table + INCREMENTS: AIRLINE.make(records),
         }
+        if not bad.isEmpty():
+            parts["undecodable"] = bad
         store.write_batches(parts, batch_id)
 
     return unless_empty(write)

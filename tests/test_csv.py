@@ -173,3 +173,30 @@ def test_large_reader_shuffles_lines_once(spark, folder, tmp_path):
 def test_whole_numbers_written_as_decimals(spark, tmp_path, written, number):
     (tmp_path / "t.csv").write_text(HEADER + f"1,negative,1.0,A,a,b,2015,{written}\n")
     assert shape_records(read_csv(spark, str(tmp_path))).first()["retweet_count"] == number
+
+
+TYPED = [
+    "1,2.5,2015-02-24,true,x,,9999999999,1",
+    "2,3,2015-02-25,FALSE,1,,5,2",
+    "-3,,2015-02-26,,,,7,0.5",
+    '"4","1e5","2015-02-27","true","a,""b""\nc",,8,',
+    "5,NaN,2015-02-28,false,7,,12345678901234567890,9",
+]
+
+
+@pytest.mark.parametrize("split_bytes", [40, 1 << 20])
+@pytest.mark.parametrize(
+    "lines",
+    [TYPED, TYPED[:2], TYPED[::-1], [*TYPED, "x,y,z,w,v,,u,t"], [",,,,,,,"], [*TYPED[:2], "6,1,2015-02-24 10:00:00,true,,,1,2"], []],
+    ids=["all", "few", "turned", "text", "nothing", "times", "none"],
+)
+def test_types_of_large_files_are_those_of_plain_ones(spark, tmp_path, lines, split_bytes):
+    (tmp_path / "in").mkdir()
+    header = "a,b,c,d,e,f,g,h"
+    for file, part in enumerate((lines, lines[1:])):
+        (tmp_path / "in" / f"{file}.csv").write_text("\n".join([header, *part]) + "\n")
+    plain = read_csv(spark, f"{tmp_path}/in", infer=True)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)}):
+        large = read_large_csv(spark, f"{tmp_path}/in", f"{tmp_path}/work", infer=True)
+        assert large.schema == plain.schema
+        assert sorted(map(repr, large.collect())) == sorted(map(repr, plain.collect()))

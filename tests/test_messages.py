@@ -10,12 +10,14 @@ from chirpline.schema import TWEET
 from chirpline.sources.messages import (
     decode,
     encode,
+    judge,
     publish_files,
     publish_topic,
     read_files,
     stream_topic,
     subscribe_options,
     topic_options,
+    undecodable,
 )
 
 CSV_ROW = {
@@ -202,3 +204,38 @@ def test_card_of_a_message_of_nulls(spark):
     assert "Airline: None\n" in card
     assert "Hashtags: None\n" in card
     assert card.endswith("Reason (if negative): N/A")
+
+
+@pytest.mark.parametrize(
+    ("text", "is_bad"),
+    [
+        ('{"tweet_id":"1"}', False),
+        ("{}", False),
+        ('{"unknown":1}', False),
+        ('{"retweet_count":"x"}', False),
+        ('{"tweet_id":"1","retweet_count":"x"}', False),
+        ('{"tweet_id":NaN}', False),
+        ("{broken", True),
+        ('{"tweet_id":"1","airl', True),
+        ('{"a":', True),
+        ("", True),
+        ("  ", True),
+        ("[]", True),
+        ('[{"tweet_id":"7"}]', True),
+        ("5", True),
+        ("null", True),
+        (None, True),
+    ],
+)
+def test_what_cannot_be_decoded(spark, text, is_bad):
+    sent = spark.createDataFrame([(text,)], "value string")
+    row = judge(sent).first()
+    assert row["undecodable"] == ((text, None, None) if is_bad else None)
+    assert row[:12] == decode(sent).first()[:12]
+
+
+def test_undecodable_messages_keep_their_place_in_the_topic(spark):
+    rows = [(b"{broken", "tweets", 3, 41), (b'{"tweet_id":"1"}', "tweets", 3, 42), (b"\xff", "tweets", 0, 7)]
+    sent = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
+    found = undecodable(judge(sent, ["tweet_id"])).drop("processing_time")
+    assert {tuple(row) for row in found.collect()} == {("{broken", "tweets/3", 41), ("�", "tweets/0", 7)}

@@ -8,8 +8,10 @@ import pytest
 from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 
+import __spark_entry__ as entry_points
 from chirpline.operators.counts import airline_sentiment_counts, sentiment_counts, tag_counts
 from chirpline.operators.records import tweet_cards
+from chirpline.plans.comparison import comparisons
 from chirpline.plans.live import current_counts, run_live
 from chirpline.plans.metrics import timed
 from chirpline.plans.upkeep import compact
@@ -429,3 +431,80 @@ def test_timed():
     result, seconds = timed(lambda: 5)
     assert result == 5
     assert seconds >= 0
+
+
+def test_undecodable_messages_are_set_aside_and_counted(spark, topic, store, checkpoint):
+    write_batch(topic, 7, [("8", "A", "neutral", ["x"])], "", "[1]", '{"airline":')
+    run_live(spark, stream_files(spark, topic, 1), store, checkpoint, shared=True, interval=None)
+    aside = store.read("undecodable").collect()
+    assert sorted(row["value"] for row in aside) == sorted(["", "[1]", "{broken", '{"airline":'])
+    assert {row["origin"].rsplit("/")[-1] for row in aside} == {"00001.json", "00007.json"}
+    assert {row["batch_id"] for row in store.read_batches("undecodable").collect()} == {1, 3}
+    metrics = {row["processing_type"]: row["records_processed"] for row in store.read("performance_metrics").collect()}
+    assert metrics == {"streaming": 12, "streaming_undecodable": 4}
+    assert store.read("tweets").count() == 12
+    for output in RUNNING_COUNTS:
+        assert as_set(current_counts(store, output, "increments")) == expected(spark, topic, output)
+
+
+class Interleaved(ParquetTables):
+    """Compares after every step of a write, as another reader might."""
+
+    def look(self):
+        found = comparisons(ParquetTables(self.spark, self.root), "increments")
+        by_sentiment, by_airline = (
+            {row[0]: row["streaming_count"] for row in found[name].collect()} for name in ("sentiment", "negative_by_airline")
+        )
+        tags = sum(row["streaming_count"] for row in found["hashtags_listed"].collect())
+        self.seen.append((sum(by_sentiment.values()), by_sentiment.get("negative", 0), sum(by_airline.values()), tags))
+
+    seen: list = []
+
+    def log(self, table):
+        log = super().log(table)
+        plain = log.write_delta
+
+        def write_delta(*args):
+            self.look()
+            done = plain(*args)
+            self.look()
+            return done
+
+        log.write_delta = write_delta
+        return log
+
+
+def test_a_comparison_beside_a_running_stream_reads_one_batch_of_all_tables(spark, topic, tmp_path, checkpoint):
+    store = Interleaved(spark, f"{tmp_path}/tables")
+    store.seen = []
+    finish([start_shared(stream_files(spark, topic, 1), store, checkpoint, interval=None)])
+    store.look()
+    # tweets, negative ones twice, uses of hashtags: after no batch, after one, two and three
+    assert list(dict.fromkeys(store.seen)) == [(0, 0, 0, 0), (3, 1, 1, 2), (6, 2, 2, 4), (8, 3, 3, 6)]
+
+
+def test_registered_streams_have_several_batches(spark):
+    """At the smallest scale too, so that what they show is added up over batches."""
+    sf_dir = "/root/testdata/sf0.001"
+    work = work_dir(spark, "batches")
+    query = start_tweets(
+        entry_points.topic(spark, sf_dir, work), ParquetTables(spark, f"{work}/tables"), f"{work}/checkpoints", interval=None
+    )
+    finish([query])
+    assert len([p for p in query.recentProgress if p.numInputRows]) >= 3
+    shared = entry_points.shared_tables(spark, sf_dir)
+    log = shared.log("hashtags_increments").of(shared.state())
+    assert log["last"] >= 7 and log["base"] and len(log["deltas"]) < 8
+
+
+def test_state_is_read_again_in_every_batch(spark):
+    """A running count over the registered topic ends with the counts of all batches, not of the last one."""
+    sf_dir = "/root/testdata/sf0.001"
+    work = work_dir(spark, "batches")
+    store = ParquetTables(spark, f"{work}/tables")
+    messages = entry_points.topic(spark, sf_dir, work)
+    finish([start_count(messages, SENTIMENT, store, f"{work}/checkpoints", stored_as="history", interval=None)])
+    history = store.read_batches("sentiment_counts_history", TABLES["sentiment_counts"])
+    totals = {row["batch_id"]: row["total"] for row in history.groupBy("batch_id").agg({"count": "sum"}).toDF("batch_id", "total").collect()}
+    assert len(totals) >= 3 and sorted(totals.values()) == [totals[batch] for batch in sorted(totals)]
+    assert max(totals.values()) == entry_points.events(spark, sf_dir).count() > min(totals.values())
