@@ -137,6 +137,23 @@ def stream_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each stored batch has the messages of its range, and each range begins where the last one ended."""
+    work = work_dir(spark, "ranges")
+    store = ParquetTables(spark, f"{work}/tables")
+    run_live(spark, topic(spark, sf_dir, work), store, f"{work}/checkpoints", shared=True, interval=None)
+    ranges = store.read("batch_ranges")
+    stored = store.read_batches("tweets").groupBy(F.col("batch_id").alias("batch")).count()
+    ends = ranges.select((F.col("batch") + 1).alias("batch"), F.col("end_offset").alias("before"))
+    joined = ranges.join(stored, "batch", "full").join(ends, "batch", "left")
+    return joined.agg(
+        F.sum("messages").alias("messages"),
+        F.bool_and(F.col("messages").eqNullSafe(F.col("count"))).alias("agree"),
+        F.bool_and((F.col("batch") == 0) | F.col("start_offset").eqNullSafe(F.col("before"))).alias("gapless"),
+        (F.count("*") >= BATCHES).alias("several"),
+    )
+
+
 def message_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stream over damaged messages says of its run."""
     work = work_dir(spark, "damaged")
@@ -290,6 +307,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shared_airline_sentiment": lambda s, d: shared_count(s, d, AIRLINE),
         "stream_undecodable": stream_undecodable,
         "message_metrics": message_metrics,
+        "batch_ranges": batch_ranges,
         # stored results and comparison
         "negative_by_airline": lambda s, d: ordering.by_count(
             counts.negative_by_airline(counts.airline_sentiment_counts(tweets(s, d)))
@@ -388,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
         "run_metrics": """SELECT 'batch' AS processing_type, count(*) AS records_processed, true AS took_time
                           FROM tweets
                           UNION ALL SELECT 'streaming', count(*), true FROM tweets""",
+        "batch_ranges": """SELECT count(*) AS messages, true AS agree, true AS gapless, true AS several FROM tweets""",
         "stream_undecodable": "SELECT tweet_id, CAST(tweet_id AS BIGINT) % 10 <> 0 AS decoded FROM tweets",
         "message_metrics": """SELECT 'streaming' AS processing_type, count(*) AS records_processed FROM tweets
                               UNION ALL SELECT 'streaming_undecodable', count(*) FROM tweets

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chirpline.plans.metrics import record_stream
 from chirpline.sources import tables
 from chirpline.sources.tables import Tables
-from chirpline.streaming.progress import ProgressTotals
+from chirpline.streaming.progress import BatchRanges, ProgressTotals
 from chirpline.streaming.queries import finish, start_all, start_shared, wait_any
 from chirpline.streaming.running import Output
 
@@ -30,9 +30,13 @@ def run_live(
 
     With ``interval=None`` every query works off what is there instead. A
     metric row is written for the query that stores the raw tweets, which takes
-    in every message once; a run that fails has none.
+    in every message once; a run that fails has none. What each batch of that
+    query took in is stored as well.
     """
     progress = ProgressTotals()
+    ranges = BatchRanges(spark, store, "all_outputs" if shared else "tweets")
+    # The ranges are written before the totals hear of the same event.
+    spark.streams.addListener(ranges)
     spark.streams.addListener(progress)
     spark.streams.resetTerminated()
     try:
@@ -51,3 +55,4 @@ def run_live(
         record_stream(spark, store, progress, raw)
     finally:
         spark.streams.removeListener(progress)
+        spark.streams.removeListener(ranges)

@@ -34,8 +34,10 @@ def compact(store: ParquetTables, target: ParquetTables, stored_as: str, *, twee
         raise ValueError(f"{target.root} and {store.root} must be folders apart")
     if not target.is_empty():
         raise ValueError(f"{target.root} is not empty")
-    copied = {RAW.table, "undecodable"}
-    _copy_batches(store, target, "undecodable", TABLES["undecodable"], lambda rows: rows)
+    small = ("undecodable", "batch_ranges")
+    copied = {RAW.table, *small}
+    for table in small:
+        _copy_batches(store, target, table, TABLES[table], lambda rows: rows)
     if tweets:
         _copy_batches(store, target, RAW.table, TABLES[RAW.table], lambda rows: rows)
     for output in RUNNING_COUNTS if stored_as != "current" else ():

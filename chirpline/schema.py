@@ -74,7 +74,19 @@ UNDECODABLE = StructType(
     ]
 )
 
-# Stored table names, with the columns of each; the last one is our own.
+# What a batch of a stream has taken in: from one place of a source to another.
+BATCH_RANGES = StructType(
+    [
+        StructField("query", StringType()),
+        StructField("batch", LongType()),
+        StructField("source", StringType()),
+        StructField("start_offset", StringType()),
+        StructField("end_offset", StringType()),
+        StructField("messages", LongType()),
+    ]
+)
+
+# Stored table names, with the columns of each; the last two are our own.
 TABLES = {
     "batch_sentiment_counts": counts("airline_sentiment"),
     "batch_hashtags": counts("word"),
@@ -85,6 +97,7 @@ TABLES = {
     "tweets": RAW_TWEETS,
     "performance_metrics": METRIC,
     "undecodable": UNDECODABLE,
+    "batch_ranges": BATCH_RANGES,
 }
 
 

@@ -150,6 +150,12 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> Da
     return spark.readStream.format("kafka").options(**subscribe_options(servers, topic, **options)).load()
 
 
+def topic_range(spark: SparkSession, servers: str, topic: str, start: str, end: str, **options: str) -> DataFrame:
+    """The messages between two places of a topic, as a stored batch has them, to read a batch again."""
+    between = {"subscribe": topic, "startingOffsets": start or "earliest", "endingOffsets": end}
+    return spark.read.format("kafka").options(**topic_options(servers, **between, **options)).load()
+
+
 def stream_files(
     spark: SparkSession, path: str, per_trigger: int | None = None, *, bytes_per_trigger: int | None = None
 ) -> DataFrame:

@@ -275,7 +275,9 @@ class JdbcTables:
 
     ``connections`` bounds how many tasks write to the database at a time, and
     read batches from it. Rows are dealt anew to that many tasks before they
-    are written, so what makes them keeps its own width.
+    are written, so what makes them keeps its own width. ``read`` takes a
+    plain table over several connections if ``parts`` is given; ``hash_of``
+    says how the database makes a whole number out of a text.
 
     Statements are standard SQL with double-quoted names and need
     ``information_schema``, as PostgreSQL has it. A table may be named with
@@ -293,7 +295,9 @@ class JdbcTables:
         password_variable: str = "JDBC_PASSWORD",
         connections: int = 16,
         write_options: dict[str, str] | None = None,
+        hash_of: str = "hashtext({})",
     ):
+        self.hash_of = hash_of
         self.spark = spark
         self.url = url
         self.driver = driver
@@ -428,19 +432,33 @@ class JdbcTables:
     def exists(self, table: str) -> bool:
         return not self.query(exists_query(table)).isEmpty()
 
-    def read(self, table: str, schema: StructType | None = None, **partitioning: str) -> DataFrame:
+    def _load_parts(self, table: str, predicates: list[str]) -> DataFrame:
+        """A table over as many connections, each of which takes the rows of one predicate."""
+        options = self.options()
+        return self.spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+
+    def read(
+        self, table: str, schema: StructType | None = None, *, parts: int | None = None, **partitioning: str
+    ) -> DataFrame:
         """Rows of a table; ``partitioning`` takes Spark's options
         ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-        ``numPartitions`` to read a large one over several connections. Of a
-        table filled by batches, only those that were finished, each once."""
+        ``numPartitions`` to read a large one over several connections, and
+        ``parts`` reads one without a number to go by, in so many parts by the
+        hash of its keys, or of its first column. Of a table filled by batches,
+        only those that were finished, each once."""
         schema = schema or TABLES[table]
         table = (self._staged or {}).get(table, (table,))[0]
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
         if self.exists(f"{table}_commits"):
             return self.read_batches(table, schema, **partitioning).select(*schema.names)
-        rows = self._load(dbtable=table, **partitioning).select(*schema.names)
         keys = [name for name in schema.names if name != "count"]
+        if parts and parts > 1:
+            by = keys if "count" in schema.names else schema.names[:1]
+            rows = self._load_parts(table, hash_predicates(by, parts, self.hash_of))
+        else:
+            rows = self._load(dbtable=table, **partitioning)
+        rows = rows.select(*schema.names)
         return newest(rows, *keys) if "count" in schema.names else rows
 
     def read_batches(self, table: str, schema: StructType | None = None, **partitioning: str) -> DataFrame:
@@ -490,6 +508,14 @@ def committed(rows: DataFrame, commits: DataFrame, identity: list[str]) -> DataF
     return tried.dropDuplicates(list(dict.fromkeys([BATCH.name, *identity])))
 
 
+def hash_predicates(columns: list[str], parts: int, hash_of: str) -> list[str]:
+    """Conditions of which each row meets exactly one, whatever it holds: a null counts as an empty text."""
+    text = " || chr(31) || ".join(f"""COALESCE(CAST("{name}" AS VARCHAR), '')""" for name in columns)
+    number = hash_of.format(text)
+    # The remainder of a negative number may be negative.
+    return [f"MOD(MOD({number}, {parts}) + {parts}, {parts}) = {part}" for part in range(parts)]
+
+
 def exists_query(table: str) -> str:
     schema, _, name = table.rpartition(".")
     where = f" AND table_schema = '{schema}'" if schema else ""

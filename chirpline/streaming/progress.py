@@ -7,8 +7,12 @@ import warnings
 from collections import defaultdict
 from collections.abc import Iterable
 
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from chirpline.schema import BATCH_RANGES
+from chirpline.sources.tables import Tables
+
 
 # What a query may observe of the messages it takes in: how many, and how many of them cannot be decoded.
 TAKEN_IN = "taken_in"
@@ -62,3 +66,38 @@ class ProgressTotals(StreamingQueryListener):
     def undecodable(self, query: StreamingQuery) -> int:
         """Messages of a run that could not be decoded, if it observes them."""
         return self._undecodable[str(query.runId)]
+
+
+class BatchRanges(StreamingQueryListener):
+    """Stores what each batch of a query has taken in, as it is reported.
+
+    One row per batch and source: where the batch began and ended there, and
+    how many messages it took in. So a stored batch can be checked against its
+    source, or read again (``messages.topic_range``). A batch that is repeated
+    after a restart has the same range and stores it anew. Of a batch that was
+    finished but not reported before the driver was lost there is no row.
+    """
+
+    def __init__(self, spark: SparkSession, store: Tables, name: str):
+        self._spark = spark
+        self._store = store
+        self._name = name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.name != self._name or not progress.numInputRows:
+            return
+        rows = [
+            (progress.name, progress.batchId, x.description, x.startOffset, x.endOffset, x.numInputRows)
+            for x in progress.sources
+        ]
+        self._store.write_batch(self._spark.createDataFrame(rows, BATCH_RANGES), "batch_ranges", progress.batchId)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -17,6 +17,7 @@ from chirpline.sources.messages import (
     stream_topic,
     subscribe_options,
     topic_options,
+    topic_range,
     undecodable,
 )
 
@@ -239,3 +240,16 @@ def test_undecodable_messages_keep_their_place_in_the_topic(spark):
     sent = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
     found = undecodable(judge(sent, ["tweet_id"])).drop("processing_time")
     assert {tuple(row) for row in found.collect()} == {("{broken", "tweets/3", 41), ("�", "tweets/0", 7)}
+
+
+def test_a_range_of_a_topic_can_be_read_again():
+    spark = MagicMock()
+    topic_range(spark, "host:9092", "tweets", '{"tweets":{"0":5}}', '{"tweets":{"0":9}}')
+    options = spark.read.format.return_value.options.call_args.kwargs
+    spark.read.format.assert_called_once_with("kafka")
+    assert options == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "tweets",
+        "startingOffsets": '{"tweets":{"0":5}}',
+        "endingOffsets": '{"tweets":{"0":9}}',
+    }

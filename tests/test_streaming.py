@@ -366,8 +366,10 @@ def test_wait_any_raises_what_failed(spark, topic, tmp_path, checkpoint):
 @pytest.mark.parametrize("shared", [False, True])
 def test_live_run_writes_one_metric_row(spark, topic, store, checkpoint, shared):
     run_live(spark, stream_files(spark, topic, 1), store, checkpoint, shared=shared, interval=None)
-    (metric,) = store.read("performance_metrics").collect()
+    metric, *bad = sorted(store.read("performance_metrics").collect())
     assert (metric["processing_type"], metric["records_processed"]) == ("streaming", 8)
+    # one reading also counts the message that cannot be decoded
+    assert [tuple(row)[:2] for row in bad] == [("streaming_undecodable", 1)] * shared
     assert metric["processing_time_seconds"] > 0
 
 
@@ -508,3 +510,17 @@ def test_state_is_read_again_in_every_batch(spark):
     totals = {row["batch_id"]: row["total"] for row in history.groupBy("batch_id").agg({"count": "sum"}).toDF("batch_id", "total").collect()}
     assert len(totals) >= 3 and sorted(totals.values()) == [totals[batch] for batch in sorted(totals)]
     assert max(totals.values()) == entry_points.events(spark, sf_dir).count() > min(totals.values())
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_batches_are_tied_to_what_they_took_in(spark, topic, store, checkpoint, shared):
+    run_live(spark, stream_files(spark, topic, 1), store, checkpoint, shared=shared, interval=None)
+    write_batch(topic, 9, [("7", "C", "neutral", ["new"])])
+    run_live(spark, stream_files(spark, topic, 1), store, checkpoint, shared=shared, interval=None)
+    ranges = sorted(store.read("batch_ranges").collect(), key=lambda row: row["batch"])
+    assert [row["messages"] for row in ranges] == [3, 3, 2, 1]
+    assert [json.loads(row["end_offset"])["logOffset"] for row in ranges] == [0, 1, 2, 3]
+    assert [row["start_offset"] for row in ranges[1:]] == [row["end_offset"] for row in ranges[:-1]]
+    assert {row["query"] for row in ranges} == {"all_outputs" if shared else "tweets"}
+    stored = store.read_batches("tweets").groupBy("batch_id").count().collect()
+    assert {row["batch_id"]: row["count"] for row in stored} == {row["batch"]: row["messages"] for row in ranges}

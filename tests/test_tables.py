@@ -1,6 +1,7 @@
 import os
 import threading
 from collections import Counter
+from functools import reduce
 from unittest.mock import MagicMock
 
 import duckdb
@@ -18,6 +19,7 @@ from chirpline.sources.tables import (
     counts_query,
     current_counts,
     exists_query,
+    hash_predicates,
     top_query,
 )
 
@@ -467,6 +469,47 @@ def test_jdbc_batch_tables_are_exchanged_together(spark):
     assert store.tables() == set(moved)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16])
+@pytest.mark.parametrize("columns", [["airline"], ["airline", "airline_sentiment"]])
+def test_hash_predicates_cover_each_row_once(columns, parts):
+    """Run by a database, over nulls, empty texts and quotes, with hashes of either sign."""
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t (airline VARCHAR, airline_sentiment VARCHAR, n INT)")
+    values = [None, "", "a", "it's", "é", *[f"Air{i}" for i in range(200)]]
+    db.executemany("INSERT INTO t VALUES (?, ?, ?)", [(a, b, i) for i, a in enumerate(values) for b in (None, "", "x")])
+    predicates = hash_predicates(columns, parts, "(CAST(hash({}) % 2001 AS BIGINT) - 1000)")
+    assert len(predicates) == parts
+    met = " + ".join(f"CAST(({x}) AS INT)" for x in predicates)
+    assert db.sql(f"SELECT DISTINCT {met} FROM t").fetchall() == [(1,)]
+    sizes = [db.sql(f"SELECT count(*) FROM t WHERE {x}").fetchall()[0][0] for x in predicates]
+    assert sum(sizes) == 3 * len(values) and max(sizes) <= 3 * sum(sizes) / parts
+
+
+def test_jdbc_plain_table_is_read_in_parts(spark, monkeypatch):
+    store = TablesInMemory(spark)
+    store.hash_of = "CAST(hash({}) % 1000 AS BIGINT)"
+    store.replace(counted(spark, [("a", 1), (None, 2), ("c", 3)]), "sentiment_counts")
+    asked = []
+
+    def load_parts(self, table, predicates):
+        asked.append(predicates)
+        parts = [self._load(query=f"SELECT * FROM {table} WHERE {x}") for x in predicates]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    monkeypatch.setattr(TablesInMemory, "_load_parts", load_parts)
+    assert as_set(store.read("sentiment_counts", parts=4)) == {("a", 1), (None, 2), ("c", 3)}
+    assert asked == [hash_predicates(["airline_sentiment"], 4, store.hash_of)]
+
+
+def test_jdbc_parts_reach_spark(spark, monkeypatch):
+    reader = MagicMock()
+    monkeypatch.setenv("JDBC_PASSWORD", "secret")
+    store = JdbcTables(MagicMock(read=reader), "jdbc:postgresql://db/tweets")
+    store._load_parts("hashtags", ["a", "b"])
+    known = {"driver": "org.postgresql.Driver", "user": "postgres", "password": "secret"}
+    reader.jdbc.assert_called_once_with("jdbc:postgresql://db/tweets", "hashtags", predicates=["a", "b"], properties=known)
+
+
 def test_jdbc_snapshot_ends_with_the_last_batch_of_all_tables(spark):
     store = TablesInMemory(spark)
     tags = TABLES["hashtags"]
