@@ -77,5 +77,8 @@ def _copy_batches(store: ParquetTables, target: ParquetTables, table: str, schem
     def of(batches) -> DataFrame:
         return rows.where(batches).drop("batch_id")
 
-    target.write_batch(make_one(of(F.col("batch_id") < last)), table, EARLIER)
-    target.write_batch(of(F.col("batch_id") == last), table, last)
+    for batch_id, part in ((EARLIER, make_one(of(F.col("batch_id") < last))), (last, of(F.col("batch_id") == last))):
+        if table in store.state().get("last", {}):
+            target.write_batches({table: part}, batch_id)
+        else:
+            target.write_batch(part, table, batch_id)

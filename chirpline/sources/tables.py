@@ -7,7 +7,7 @@ import os
 import threading
 import uuid
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import AbstractContextManager, contextmanager
 from typing import Protocol
 
@@ -26,6 +26,9 @@ from chirpline.sources.manifest import Manifest
 
 BATCH = StructField("batch_id", LongType())
 
+# Batches of a table of rows that are merged at a time.
+MERGE_AFTER = 64
+
 
 def with_batch(schema: StructType) -> StructType:
     return StructType([*schema.fields, BATCH])
@@ -109,14 +112,24 @@ class ParquetTables:
 
     Increments of counts are kept as a log (``CountLog``) which is folded in
     the background once it has ``fold_after`` deltas; 0 leaves that to the
-    caller.
+    caller. Other tables that are filled by ``write_batches`` gain a folder per
+    batch; every ``merge_after`` of them are merged in the background too.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, fold_after: int = FOLD_AFTER, buckets: int = BUCKETS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        *,
+        fold_after: int = FOLD_AFTER,
+        buckets: int = BUCKETS,
+        merge_after: int = MERGE_AFTER,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest = Manifest(spark, self.root)
         self.fold_after = fold_after
+        self.merge_after = merge_after
         self.buckets = buckets
         self._pinned: dict | None = None
         self._replaced: dict[str, str] | None = None
@@ -202,29 +215,84 @@ class ParquetTables:
         state = self.manifest.change(name)
         for table, log in logs.items():
             if self.fold_after and log.is_due(state, self.fold_after):
-                self._fold_beside(table, log)
+                self._beside(table, log.fold)
+        for table in parts.keys() - logs.keys():
+            if self.merge_after and batch_id - self._merged(state, table)["through"] > self.merge_after:
+                self._beside(table, lambda table=table: self.merge_batches(table))
 
     def log(self, table: str) -> CountLog:
         schema = TABLES[table.removesuffix(ENDINGS["increments"])]
         return CountLog(self.spark, self.manifest, self.path(table), table, schema, self.buckets)
 
-    def _fold_beside(self, table: str, log: CountLog) -> None:
-        """Fold in a thread of its own, so that batches go on; one at a time for a table."""
+    def _merged(self, state: dict, table: str) -> dict:
+        """Which batches of a table were merged: all to ``through``, in ``folders``; ``stale`` folders go with the next merge."""
+        none = {"through": -2, "folders": [], "stale": []}
+        return state.get("merged", {}).get(table, none)
+
+    def merge_batches(self, table: str) -> bool:
+        """Make the batches that are there, but for the last, one folder of files of Spark's usual size.
+
+        The last batch stays by itself, as a stream repeats it if it was
+        stopped before marking it done. Batches may be added meanwhile. Until
+        the manifest names the new folder nothing has changed, so a merge that
+        ends midway leaves a folder that nobody reads. What was merged is
+        removed by the next merge, for readers that have begun. Returns whether
+        it has merged any.
+        """
+        state = self.manifest.load()
+        merged, last = self._merged(state, table), state.get("last", {}).get(table, -1)
+        batches = [n for n in self._batches(table) if merged["through"] < n < last]
+        if not batches:
+            return False
+        folder = f"merged-{uuid.uuid4().hex}"
+        rows = self._batch_rows(table, TABLES[table], batches)
+        # Files as large as the shuffle's partitions are meant to be, whatever the number of batches.
+        rows.hint("rebalance").write.parquet(f"{self.path(table)}/{folder}")
+
+        def name(state: dict) -> bool | None:
+            now = self._merged(state, table)
+            if now["through"] != merged["through"]:
+                return False  # another merge was first
+            stale = [f"{BATCH.name}={n}" for n in batches]
+            named = {"through": batches[-1], "folders": [*now["folders"], folder], "stale": stale}
+            state.setdefault("merged", {})[table] = named
+            return None
+
+        done = folder in self._merged(self.manifest.change(name), table)["folders"]
+        for old in merged["stale"] if done else [folder]:
+            files.remove(self.spark, f"{self.path(table)}/{old}")
+        return done
+
+    def _batches(self, table: str) -> list[int]:
+        prefix = f"{BATCH.name}="
+        names = files.names(self.spark, self.path(table))
+        return sorted(int(x.removeprefix(prefix)) for x in names if x.startswith(prefix))
+
+    def _batch_rows(self, table: str, schema: StructType, batches: list[int]) -> DataFrame:
+        """Rows of some batches, which have a folder each."""
+        if not batches:
+            return self.spark.createDataFrame([], with_batch(schema))
+        paths = [f"{self.path(table)}/{BATCH.name}={n}" for n in batches]
+        reader = self.spark.read.schema(with_batch(schema)).option("basePath", self.path(table))
+        return reader.parquet(*paths).select(*schema.names, BATCH.name)
+
+    def _beside(self, table: str, work: Callable[[], bool]) -> None:
+        """Work in a thread of its own, so that batches go on; one at a time for a table."""
         running = self._folds.get(table)
         if running and running.is_alive():
             return
 
         def run() -> None:
             try:
-                log.fold()
+                work()
             except Exception as error:  # nothing has changed, and the next batch tries again
-                self._failed.append(f"{table} was not folded: {error}"[:500])
+                self._failed.append(f"{table} was not folded or merged: {error}"[:500])
 
         self._folds[table] = InheritableThread(target=run, daemon=True)
         self._folds[table].start()
 
     def settle(self) -> None:
-        """Wait for folds that are running, and say which failed."""
+        """Wait for folds and merges that are running, and say which failed."""
         for thread in self._folds.values():
             thread.join()
         while self._failed:
@@ -235,19 +303,30 @@ class ParquetTables:
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         schema = schema or TABLES[table]
-        last = self.state().get("last", {}).get(table)
-        if last is not None and BATCH.name not in schema.names:
+        if table in self.state().get("last", {}):
             return self.read_batches(table, schema).select(*schema.names)
+        return self._read_folder(table, schema)
+
+    def _read_folder(self, table: str, schema: StructType) -> DataFrame:
         try:
-            rows = self.spark.read.schema(schema).parquet(self.location(table))
+            return self.spark.read.schema(schema).parquet(self.location(table)).select(*schema.names)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
-        return (rows if last is None else rows.where(F.col(BATCH.name) <= last)).select(*schema.names)
 
     def read_batches(self, table: str, schema: StructType | None = None) -> DataFrame:
-        return self.read(table, with_batch(schema or TABLES[table]))
+        """Of a table filled by ``write_batches``, the batches that the manifest knows, merged or not."""
+        schema, state = schema or TABLES[table], self.state()
+        last = state.get("last", {}).get(table)
+        if last is None:
+            return self._read_folder(table, with_batch(schema))
+        merged = self._merged(state, table)
+        rows = self._batch_rows(table, schema, [n for n in self._batches(table) if merged["through"] < n <= last])
+        folders = [f"{self.path(table)}/{x}" for x in merged["folders"]]
+        if folders:
+            rows = rows.unionByName(self.spark.read.schema(with_batch(schema)).parquet(*folders))
+        return rows
 
     def exists(self, table: str) -> bool:
         return files.exists(self.spark, self.path(table))

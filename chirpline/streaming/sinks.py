@@ -53,7 +53,7 @@ def add_rows(store: Tables, table: str) -> BatchWriter:
     them, and reading them twice would count them twice. Such a batch is empty
     only if the source has moved on without a message; it then adds no rows.
     """
-    return lambda batch, batch_id: store.write_batch(batch, table, batch_id)
+    return lambda batch, batch_id: store.write_batches({table: batch}, batch_id)
 
 
 def show_batch(rows: int) -> BatchWriter:

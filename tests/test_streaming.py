@@ -524,3 +524,20 @@ def test_batches_are_tied_to_what_they_took_in(spark, topic, store, checkpoint,
     assert {row["query"] for row in ranges} == {"all_outputs" if shared else "tweets"}
     stored = store.read_batches("tweets").groupBy("batch_id").count().collect()
     assert {row["batch_id"]: row["count"] for row in stored} == {row["batch"]: row["messages"] for row in ranges}
+
+
+@pytest.mark.parametrize("start", [start_tweets, start_shared])
+def test_tweets_are_merged_while_the_stream_runs(spark, tmp_path, checkpoint, start):
+    """Every tweet once, in a few files, though batches go on while some are merged."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for number in range(12):
+        write_batch(folder, number, [(f"{number}-{i}", "A", "negative", ["x"]) for i in range(3)])
+    store = ParquetTables(spark, f"{tmp_path}/tables", merge_after=3)
+    finish([start(stream_files(spark, str(folder), 1), store, checkpoint, interval=None)])
+    store.settle()
+    rows = store.read_batches("tweets").collect()
+    assert sorted(row["tweet_id"] for row in rows) == sorted(f"{n}-{i}" for n in range(12) for i in range(3))
+    assert all(row["tweet_id"].startswith(f"{row['batch_id']}-") for row in rows)
+    merged = store.state()["merged"]["tweets"]
+    assert merged["folders"] and merged["through"] >= 2

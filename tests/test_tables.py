@@ -311,6 +311,46 @@ def test_a_batch_counts_once_and_another_run_is_refused(spark, tmp_path):
         added(spark, store, 0, [("a", 1)])
 
 
+def tweets_of(spark, *ids):
+    names = TABLES["tweets"].names[1:]
+    return spark.createDataFrame([(str(i), *[None] * len(names)) for i in ids], TABLES["tweets"])
+
+
+def test_merged_batches_hold_each_row_once(spark, tmp_path):
+    store = ParquetTables(spark, f"{tmp_path}/tables", merge_after=0)
+    for batch_id in range(7):
+        store.write_batches({"tweets": tweets_of(spark, batch_id, batch_id)}, batch_id)
+        begun = store.snapshot().read_batches("tweets")
+        if batch_id in (2, 5):
+            assert store.merge_batches("tweets") and not store.merge_batches("tweets")
+        rows = sorted((int(r["tweet_id"]), r["batch_id"]) for r in store.read_batches("tweets").collect())
+        assert rows == [(n, n) for n in range(batch_id + 1) for _ in range(2)]
+        assert begun.count() == len(rows)
+    left = [x for x in os.listdir(store.path("tweets")) if not x.startswith("merged")]
+    # the first merge's batches are gone; those of the second wait for readers that have begun
+    assert sorted(left) == [f"batch_id={n}" for n in (2, 3, 4, 5, 6)]
+    # the last batch may be repeated
+    store.write_batches({"tweets": tweets_of(spark, 6, 6)}, 6)
+    assert store.read("tweets").count() == 14
+
+
+def test_a_merge_that_is_killed_changes_nothing(spark, tmp_path, monkeypatch):
+    store = ParquetTables(spark, f"{tmp_path}/tables", merge_after=0)
+    for batch_id in range(3):
+        store.write_batches({"tweets": tweets_of(spark, batch_id)}, batch_id)
+
+    def change(make):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store.manifest, "change", change)
+    with pytest.raises(KeyboardInterrupt):
+        store.merge_batches("tweets")
+    monkeypatch.undo()
+    assert store.read("tweets").count() == 3
+    assert store.merge_batches("tweets")
+    assert store.read("tweets").count() == 3
+
+
 def test_changes_of_several_writers_all_count(spark, tmp_path):
     manifests = [ParquetTables(spark, f"{tmp_path}/tables").manifest for _ in range(4)]
 
