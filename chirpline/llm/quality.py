@@ -1,19 +1,20 @@
 """Quality by supervised subword embeddings.
 
-A document is the average of learned vectors: one for each word and each
-character n-gram of it, found by hashing. A softmax layer over the average
-tells the two labels apart. Vectors and layer are trained by stochastic
-gradient descent in numpy on a bounded sample. Afterwards every feature needs
-just the difference that its vector makes to the two outputs, so scoring is a
-sum over the words of a text.
+A document is the average of learned vectors: one for each word, each
+character n-gram of it and each pair of words in a row, found by hashing. A
+softmax layer over the average tells the two labels apart. Vectors and layer
+are trained by stochastic gradient descent in numpy on a bounded sample.
+Afterwards every feature needs just the difference that its vector makes to
+the two outputs, so scoring is a sum over the words of a text and its pairs.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from chirpline.llm.sampling import fold, labelled_sample
 FOLDS = 5
 THRESHOLD = 0.3
 
-BUCKETS = 1 << 17
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
 GRAM = 3
 MEMO_WORDS = 250_000
 # Longer words are split, so that a text without white space has features like any other.
@@ -44,13 +46,11 @@ def word_features(word: bytes) -> list[int]:
     return out
 
 
-# A word that is the same as the one before it is a feature of its own.
-AGAIN = zlib.crc32(b"again", 1) % BUCKETS
-AGAIN_WEIGHT = 8
-
-
-def repeats(words: list[bytes]) -> int:
-    return sum(a == b for a, b in pairwise(words))
+def pair_features(crcs: np.ndarray) -> np.ndarray:
+    """Buckets of words in a row, by pairs, out of the words' checksums."""
+    h = crcs[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + crcs[1:].astype(np.uint64)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 @dataclass
@@ -64,28 +64,22 @@ class Model:
 def document_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and their parts of its average."""
     words = text.split()
-    counted: dict[bytes, int] = {}
-    for word in words:
-        counted[word] = counted.get(word, 0) + 1
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.float32)
     ids: list[int] = []
     times: list[int] = []
-    for word, n in counted.items():
+    for word, n in Counter(words).items():
         found = word_features(word)
         ids += found
         times += [n] * len(found)
-    again = repeats(words)
-    if again:  # about as heavy as a word with its n-grams
-        ids.append(AGAIN)
-        times.append(again * AGAIN_WEIGHT)
-    if not ids:
-        return np.empty(0, np.int64), np.empty(0, np.float32)
-    buckets, inverse = np.unique(np.array(ids), return_inverse=True)
-    parts = np.bincount(inverse, weights=np.array(times, dtype=np.float64))
+    pairs = pair_features(np.array([zlib.crc32(x) for x in words], dtype=np.uint32))
+    buckets, inverse = np.unique(np.concatenate((np.array(ids), pairs)), return_inverse=True)
+    parts = np.bincount(inverse, weights=np.concatenate((times, np.ones(len(pairs)))))
     return buckets, (parts / parts.sum()).astype(np.float32)
 
 
 def train(
-    sample: list[tuple[int, bytes]], counts: dict[int, int], size: int = 16, epochs: int = 4, rate: float = 0.5, seed: int = 7
+    sample: list[tuple[int, bytes]], counts: dict[int, int], size: int = 16, epochs: int = 12, rate: float = 0.7, seed: int = 7
 ) -> Model:
     """Gradient descent, one document at a time, over shuffled epochs with a falling rate.
 
@@ -126,29 +120,40 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.bias = model.bias
-        self.share = model.share.astype(np.float64).tolist()
-        self.memo: dict[bytes, complex] = {}
+        self.share = model.share.astype(np.float64)
+        self.shares = self.share.tolist()
+        self.forget()
 
-    def learn(self, word: bytes) -> complex:
-        """The word's summed shares and its number of features, as one number that adds up."""
-        ids = word_features(word)
-        return complex(sum(map(self.share.__getitem__, ids)), len(ids))
+    def forget(self) -> None:
+        self.memo: dict[bytes, int] = {}
+        # of each word met: the sum of its shares, how many they are, its checksum
+        self.known = [np.empty(0, np.float64), np.empty(0, np.float64), np.empty(0, np.uint32)]
+
+    def learn(self, words: set[bytes]) -> None:
+        new = words.difference(self.memo)
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.forget()
+            new = words
+        if new:
+            features = [word_features(x) for x in new]
+            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
+            sums = [sum(map(self.shares.__getitem__, x)) for x in features]
+            more = sums, [len(x) for x in features], [zlib.crc32(x) for x in new]
+            self.known = [np.concatenate((x, np.array(y, x.dtype))) for x, y in zip(self.known, more, strict=True)]
 
     def scores(self, texts: list[bytes]) -> list[float]:
         split = [x.split() for x in texts]
-        wanted: set[bytes] = set().union(*split)
-        new = wanted.difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo = {x: self.memo[x] for x in wanted if x in self.memo}
-        learn, memo = self.learn, self.memo
-        memo.update((x, learn(x)) for x in new)
-        again = complex(AGAIN_WEIGHT * self.share[AGAIN], AGAIN_WEIGHT)
-        out = []
-        for words in split:
-            total = sum(map(memo.__getitem__, words), complex(0)) + repeats(words) * again
-            mean = total.real / total.imag if total.imag else 0.0
-            out.append(float(1 / (1 + np.exp(-np.clip(mean + self.bias, -50, 50)))))
-        return out
+        self.learn(set().union(*split))
+        n = len(texts)
+        of = np.repeat(np.arange(n), [len(x) for x in split])
+        ids = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=len(of))
+        sums, sizes, crcs = (x[ids] for x in self.known)
+        whole = of[1:] == of[:-1]  # pairs within a text
+        at, pairs = of[1:][whole], self.share[pair_features(crcs)[whole]]
+        total = np.bincount(of, sums, n) + np.bincount(at, pairs, n)
+        count = np.bincount(of, sizes, n) + np.bincount(at, minlength=n)
+        mean = total / np.maximum(count, 1)
+        return (1 / (1 + np.exp(-np.clip(mean + self.bias, -50, 50)))).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, most_bytes: int = 1 << 16) -> Model:
@@ -175,8 +180,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row, in one pass.
 
     Empty, blank and null texts get the score of a document without features.
-    A null ``doc_id`` is not held out. Rows that repeat have their own rows;
-    other columns are not looked at.
+    A text of any length is scored whole, and long words in pieces. A null
+    ``doc_id`` is not held out. Rows that repeat have their own rows; other
+    columns are not looked at. An empty table gives no rows.
     """
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return _scored(texts, model, "score").select(
@@ -188,6 +194,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose predicted quality is 1, with the columns of ``docs``; none is changed."""
+    """The documents whose predicted quality is 1, with the columns of ``docs``; none is changed.
+
+    Null and empty texts, repeated rows and an empty table are as in ``score``;
+    columns may have any names.
+    """
     name = unused(docs, "score")
     return _scored(docs, fit(docs, labels), name).filter(F.col(name) >= THRESHOLD).drop(name)
