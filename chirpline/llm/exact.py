@@ -18,6 +18,8 @@ from chirpline.llm.common import SPACES, one_of_each, staged, text_or_empty, unu
 
 # Buckets that each owner task gets about, so that uneven ones even out.
 BUCKETS_PER_TASK = 8
+# And the most bytes of a bucket, whatever the input: there are more owner tasks then.
+BUCKET_BYTES = 16 << 20
 # A directory of up to so many cells is sent to every task.
 BROADCAST_CELLS = 1 << 20
 
@@ -96,22 +98,24 @@ def exact_groups(docs: DataFrame, key_bits: int = 64) -> DataFrame:
     )
     held = F.col("n_rows") * F.col("n_bytes")
     total, distinct = per_key.agg(F.coalesce(F.sum(held), F.lit(0)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    capacity = max(1, total // (tasks * BUCKETS_PER_TASK))
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(usual, math.ceil(total / (BUCKETS_PER_TASK * BUCKET_BYTES)))
+    capacity = min(BUCKET_BYTES, max(1, total // (tasks * BUCKETS_PER_TASK)))
     depth = max(0, math.ceil(math.log2(max(1, distinct / capacity))))
     cells, depth = directory(per_key, capacity, depth)
 
-    # A key with more copies than a bucket takes has overflow pages. Such keys are
-    # few: each holds over 1 / (tasks * BUCKETS_PER_TASK) of all bytes.
+    # A key with more copies than a bucket takes has overflow pages. There are
+    # no more such keys than buckets, as each holds more bytes than a bucket.
     pages = F.ceil(held / capacity).cast("int")
-    overflow = F.broadcast(per_key.filter((F.col("n_rows") > 1) & (pages > 1)).select("key", pages.alias("pages")))
+    overflow = per_key.filter((F.col("n_rows") > 1) & (pages > 1)).select("key", pages.alias("pages"))
+    overflow = F.broadcast(overflow) if total // capacity <= BROADCAST_CELLS else overflow
     page = F.when(F.col("pages").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pages")))
     in_owner = (
         with_text.withColumn("cell", _cell(depth))
         .join(F.broadcast(cells) if 1 << depth <= BROADCAST_CELLS else cells, "cell")
         .join(overflow, "key", "left")
         .select("bucket", page.alias("page"), F.col("pages").isNotNull().alias("paged"), "key", "norm", "doc_id")
-        .repartition("bucket", "page")
+        .repartition(*[tasks] * (tasks > usual), "bucket", "page")
         .groupBy("bucket", "page", "paged", "key", "norm")
         .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     )

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+from chirpline.llm import exact
 from chirpline.llm.exact import directory, exact_dedup, exact_groups
 
 from .cases import DOC_SCHEMA, found, no_docs, odd_docs, odd_rows, with_clashes
@@ -47,6 +48,15 @@ def test_directory_doubles_where_buckets_are_full(spark):
     assert len(set(rows.values())) < len(rows)
 
 
+def test_buckets_have_a_bound_in_bytes(spark, monkeypatch):
+    """However much there is, an owner task gets about so many buckets of so many bytes."""
+    monkeypatch.setattr(exact, "BUCKET_BYTES", 300)
+    rows = [(i, f"text {i % 150} " * 5 if i % 4 else "hot text " * 30, "en", "s", 1) for i in range(900)]
+    assert found(exact_groups(spark.createDataFrame(rows, DOC_SCHEMA).repartition(5))) == brute(rows)
+    monkeypatch.setattr(exact, "BROADCAST_CELLS", 1)
+    assert found(exact_groups(spark.createDataFrame(rows, DOC_SCHEMA).repartition(5))) == brute(rows)
+
+
 def test_empty_table(spark):
     assert found(exact_groups(no_docs(spark))) == []
 
