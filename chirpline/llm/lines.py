@@ -3,9 +3,11 @@
 The lines of a document that are not blank are hashed. Of every run of
 ``window`` successive ``gram``-line hashes the smallest is selected, so a run
 of ``window + gram - 1`` lines that occurs twice has the same fingerprint, at
-the same place, both times. Positions join on repeated fingerprints; around
-each such position the matches are extended both ways, and of every repeated
-run of lines all but the first occurrence are deleted.
+the same place, both times. Shorter runs that hold many words, such as a
+paragraph in one line, are fingerprints as a whole. Positions join on repeated
+fingerprints; around each such position the matches are extended both ways,
+line by line, and of every repeated run all but the first occurrence are
+deleted.
 """
 
 from __future__ import annotations
@@ -22,15 +24,24 @@ from chirpline.llm.common import blocks, staged, text_or_empty, texts_of
 
 GRAM = 2
 WINDOW = 2
+# A shorter run counts too if it has so many words.
+LEAST_WORDS = 50
 SPACE_BYTES = b" \t\n\r\x0b\x0c"
 
 
-def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lines that are not blank, stripped of white space around them, and their line numbers."""
+def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Hashes of the lines that are not blank, stripped of white space around them, their line numbers, and the lines."""
     lines = [x.strip(SPACE_BYTES) for x in text.split(b"\n")]
     kept = [i for i, x in enumerate(lines) if x]
+    lines = [lines[i] for i in kept]
     digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(lines[i]) for i in kept], dtype=np.uint64).view(np.int64), np.array(kept, dtype=np.int64)
+    return np.array([digest(x) for x in lines], dtype=np.uint64).view(np.int64), np.array(kept, dtype=np.int64), lines
+
+
+def wordy_runs(lines: list[bytes], longest: int, least: int) -> list[tuple[int, int]]:
+    """Place and length of the runs of up to ``longest`` lines that hold ``least`` words or more."""
+    ends = np.cumsum([0, *(len(x.split()) for x in lines)])
+    return [(at, n) for n in range(1, longest + 1) for at in np.flatnonzero(ends[n:] - ends[:-n] >= least).tolist()]
 
 
 def gram_hashes(hashes: np.ndarray, gram: int) -> np.ndarray:
@@ -53,12 +64,13 @@ def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     return np.arange(n) + window - 1 - runs[:, ::-1].argmin(axis=1)
 
 
-def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, least_words: int = LEAST_WORDS) -> DataFrame:
     """Adds ``n_lines, n_removed, n_runs, kept_text`` to ``doc_id`` and ``text``, a row per document.
 
-    A run of at least ``window + gram - 1`` lines, blank ones left out and
-    white space around lines too, which also occurs earlier is deleted; earlier
-    is a smaller ``doc_id``, then an earlier line of the same document. Matches
+    A run of lines, blank ones left out and white space around lines too, which
+    also occurs earlier is deleted if it has ``window + gram - 1`` lines or
+    ``least_words`` words; earlier is a smaller ``doc_id``, then an earlier
+    line of the same document. Words are parted by ASCII white space. Matches
     are taken in the input, so overlapping repeats count. ``n_lines`` counts
     all lines, a null or empty text has one; ``n_runs`` counts maximal runs of
     deleted lines, blank lines between them apart; deleted lines go with
@@ -79,7 +91,9 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
                 rows: list[tuple] = []
                 keys = (block.column(x).to_pylist() for x in ("doc_id", "text_hash"))
                 for doc_id, text_hash, text in zip(*keys, texts_of(block, "text"), strict=True):
-                    hashes, _ = line_hashes(text)
+                    hashes, _, lines = line_hashes(text)
+                    for first, n in wordy_runs(lines, run - 1, least_words):
+                        rows.append((int(gram_hashes(hashes[first : first + n], n)[0]), doc_id, text_hash, first, hashes[first : first + n].tolist(), n))
                     grams = gram_hashes(hashes, gram)
                     chosen = winnow(grams, window)
                     if not len(chosen):
@@ -88,28 +102,28 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
                     for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(chosen)], strict=True):
                         # All runs of lines whose fingerprint is here: from the first to the last line of any.
                         around = hashes[first : end - 1 + run].tolist()
-                        rows.append((int(grams[chosen[first]]), doc_id, text_hash, first, around))
+                        rows.append((int(grams[chosen[first]]), doc_id, text_hash, first, around, run))
                 if rows:
-                    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
+                    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int32()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                        ["print", "doc_id", "text_hash", "first", "around"],
+                        ["print", "doc_id", "text_hash", "first", "around", "n"],
                     )
 
     places = staged(
-        source.mapInArrow(select, "print long, doc_id long, text_hash long, first long, around array<long>"), "places"
+        source.mapInArrow(select, "print long, doc_id long, text_hash long, first long, around array<long>, n int"), "places"
     )
     # A fingerprint that only one document's one place has cannot be part of a match.
     # Written before the join, like the first runs below: a join of plain shuffles can be
     # split where very many places share a key, one after a grouping cannot.
-    repeated = staged(places.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print"), "repeated")
+    repeated = staged(places.groupBy("print").agg(F.count("*").alias("times")).filter("times > 1").select("print"), "repeated")
     met = places.join(repeated, "print", "left_semi")
     # Both ways from the fingerprint: every run of lines that it stands for.
     runs = met.select(
         "doc_id",
         "text_hash",
         F.posexplode(
-            F.transform(F.sequence(F.lit(1), F.size("around") - run + 1), lambda i: F.slice("around", i, run))
+            F.transform(F.sequence(F.lit(1), F.size("around") - F.col("n") + 1), lambda i: F.slice("around", i, F.col("n")))
         ).alias("step", "lines"),
         "first",
     ).select("lines", F.struct("doc_id", "text_hash", (F.col("first") + F.col("step")).alias("line")).alias("at"))
@@ -118,7 +132,8 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
         runs.groupBy("lines").agg(F.min("at").alias("first_at"), F.count("*").alias("n")).filter("n > 1"), "firsts"
     )
     later = runs.join(firsts, "lines").filter(F.col("at") != F.col("first_at"))
-    per_doc = later.groupBy("at.doc_id", "at.text_hash").agg(F.sort_array(F.collect_list("at.line")).alias("later"))
+    gone = F.sequence(F.col("at.line"), F.col("at.line") + F.size("lines") - 1)
+    per_doc = later.groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(gone).alias("later"))
     per_doc = staged(per_doc, "later")
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,8 +148,8 @@ def line_dedup(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
                     if not at:
                         rows.append((doc_id, len(lines), 0, 0, text))
                         continue
-                    _, numbers = line_hashes(text)
-                    gone = np.unique((np.array(at)[:, None] + np.arange(run)).ravel())
+                    _, numbers, _ = line_hashes(text)
+                    gone = np.unique(np.concatenate(at))
                     dropped = set(numbers[gone].tolist())
                     kept = b"\n".join([x for i, x in enumerate(lines) if i not in dropped])
                     rows.append((doc_id, len(lines), len(dropped), int((np.diff(gone) > 1).sum()) + 1, kept))

@@ -148,14 +148,20 @@ SQL: dict[str, str] = {
                    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
             FROM documents),
         f AS (
-            SELECT doc_id, place, row_number() OVER one AS n,
-                   [trimmed, lead(trimmed) OVER one, lead(trimmed, 2) OVER one] AS run, lead(trimmed, 2) OVER one IS NOT NULL AS whole
-            FROM (SELECT *, trim(line, E' \t\n\r\x0b\x0c') AS trimmed FROM l) WHERE trimmed <> ''
+            SELECT doc_id, place, row_number() OVER one AS n, a, lead(a) OVER one AS b, lead(a, 2) OVER one AS c,
+                   size_a, lead(size_a) OVER one AS size_b
+            FROM (SELECT *, len(regexp_extract_all(a, '[^\x20\x09-\x0D]+')) AS size_a
+                  FROM (SELECT *, trim(line, E' \t\n\r\x0b\x0c') AS a FROM l))
+            WHERE a <> ''
             WINDOW one AS (PARTITION BY doc_id ORDER BY place)),
+        u AS (
+            SELECT doc_id, n, [a, b, c] AS run FROM f WHERE c IS NOT NULL
+            UNION ALL SELECT doc_id, n, [a, b] FROM f WHERE b IS NOT NULL AND size_a + size_b >= 50
+            UNION ALL SELECT doc_id, n, [a] FROM f WHERE size_a >= 50),
         later AS (
-            SELECT doc_id, n FROM (SELECT *, min((doc_id, n)) OVER (PARTITION BY run) AS first_at FROM f WHERE whole)
+            SELECT doc_id, n, run FROM (SELECT *, min((doc_id, n)) OVER (PARTITION BY run) AS first_at FROM u)
             WHERE (doc_id, n) <> first_at),
-        gone AS (SELECT DISTINCT doc_id, n + step AS n FROM later, (SELECT unnest([0, 1, 2]) AS step)),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(n, n + len(run))) AS n FROM later),
         dropped AS (SELECT doc_id, place, n FROM f JOIN gone USING (doc_id, n)),
         runs AS (
             SELECT doc_id, count(*) AS n_removed, count(*) FILTER (is_start) AS n_runs
