@@ -95,3 +95,32 @@ def test_common_prefixes_of_the_first_suffixes_only():
     whole = common_prefixes(symbols, order, starts, 9)
     asked = np.isin(order, [0, 1, *(starts[2] + np.arange(3)).tolist()])
     assert some.tolist() == np.where(asked, whole, 0).tolist()
+
+
+def passages(seed, n_words):
+    """Documents of words of their own; every second pair shares a passage of so many words, at other places."""
+    rng = random.Random(seed)
+    own = lambda i, n: " ".join(f"{rng.getrandbits(32):08x}"[: rng.randint(3, 8)] + str(i) for _ in range(n))
+    rows, planted = [], {}
+    for pair in range(20):
+        passage = own(f"p{pair}", n_words)
+        for i in (2 * pair, 2 * pair + 1):
+            parts = [own(i, rng.randint(80, 200)), passage if pair % 2 else own(i, n_words), own(i, rng.randint(80, 200))]
+            rows.append((i, " ".join(parts), "en", "s", 0))
+            if pair % 2:
+                planted[i] = len(passage.encode())
+    return rows, planted
+
+
+@pytest.mark.parametrize("n_words", [51, 60, 120])
+def test_planted_passages_are_caught_and_clean_documents_left_alone(spark, n_words):
+    """Judged by ``n_removed``: a shared passage goes where it has 400 bytes, and nothing else does."""
+    rows, planted = passages(n_words, n_words)
+    got = {r.doc_id: r for r in repeat_digests(spark.createDataFrame(rows, DOC_SCHEMA).repartition(4), length=400).collect()}
+    assert all(size >= 400 for size in planted.values()) or n_words == 51
+    for doc_id, r in got.items():
+        want = planted.get(doc_id, 0)
+        # the passage, and the blanks on either side of it with what happens to be alike around them
+        assert want + 2 <= r.n_removed <= want + 6 if r.n_removed else want + 2 < 400
+        assert r.n_spans == (r.n_removed > 0)
+        assert r.n_bytes == len(rows[doc_id][1].encode())
