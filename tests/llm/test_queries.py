@@ -15,7 +15,7 @@ import corpus_pipeline
 from chirpline.llm.queries import QUERIES, SQL
 
 from . import test_credentials, test_exact, test_mixing, test_repeats, test_simhash
-from .cases import found
+from .cases import DOC_SCHEMA, found, odd_rows, with_clashes
 
 SF = "/root/testdata/sf0.001"
 
@@ -139,3 +139,37 @@ def test_pipeline_stage_by_stage(spark):
 def test_op13(spark):
     want = [test_credentials.digest(x[0], x[1]) for x in rows_of(spark, "documents")]
     assert found(QUERIES["op13_secrets"](spark, SF)) == sorted(want, key=repr)
+
+
+def odd_tables(spark, path, rows):
+    docs = with_clashes(spark.createDataFrame(rows, DOC_SCHEMA).repartition(3))
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels = [(i * 3, int(i % 4 > 0), 0) for i in range(60)] + [(None, 1, 0), (3, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return docs
+
+
+def test_pipeline_over_odd_rows(spark, tmp_path):
+    """Null ids and texts, empty and long texts, repeated rows and columns with clashing names: each stage and the whole."""
+    docs = odd_tables(spark, str(tmp_path), odd_rows())
+    columns, now = docs.columns, spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, now, str(tmp_path))
+        assert kept.columns == columns
+        rows = kept.collect()
+        assert {r["key"] for r in rows} <= {"x"}
+        now = spark.createDataFrame(rows, now.schema)
+    words = sum(test_mixing.count(r.text) for r in rows)
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert words > 0 and pieces
+    assert all(r.length & (r.length - 1) == 0 for r in pieces)
+    # each document is packed whole
+    tokens = Counter()
+    for r in pieces:
+        tokens[r.doc_id, r.doc_tokens] += r.length
+    assert all(n % doc_tokens == 0 for (_, doc_tokens), n in tokens.items())
+
+
+def test_pipeline_over_no_rows(spark, tmp_path):
+    odd_tables(spark, str(tmp_path), [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
