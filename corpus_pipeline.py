@@ -3,6 +3,13 @@
 Each stage is written to the folder all executors share and read again, so a
 lost executor costs a stage at most its own tasks, and a stage judges just
 what its predecessor kept.
+
+A null text is an empty one to every stage: it has the score of a document
+without words, is equal and near to other empty ones, has no words to mix and
+is one token to pack. Texts of any length are taken whole. Of copies and near
+copies one row stays, whatever ids repeat or are null, and ties are settled by
+id and by hashes of the text and the row. Columns beyond those needed, with
+whatever names, stay until the last stage. An empty table gives no rows.
 """
 
 from __future__ import annotations
