@@ -78,7 +78,8 @@ def topic(
     else:
         records.write.option("maxRecordsPerFile", rows_per_file).text(path)
     n_files = sum(name.startswith("part-") for name in files.names(spark, path))
-    return messages.stream_files(spark, path, max(1, min(FILES_PER_BATCH, n_files // batches)))
+    # The most files with which there still are so many batches.
+    return messages.stream_files(spark, path, max(1, min(FILES_PER_BATCH, (n_files - 1) // (batches - 1))))
 
 
 # ---- streaming queries --------------------------------------------------------
