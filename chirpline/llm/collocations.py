@@ -9,7 +9,7 @@ of all lengths are counted in the same scans, each over all documents exactly
 once.
 
 Marks are kept in arrays of fixed size, like a Bloom filter that remembers
-when. They are the same for all tasks of a scan and a mark never changes, so
+when; their size is fixed. They are the same for all tasks of a scan and a mark never changes, so
 the start of a phrase is known wherever it is met. Where the arrays mark a
 phrase too much, phrases are counted that need not be; their counts are whole
 all the same.
@@ -21,16 +21,17 @@ import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chirpline.llm.common import blocks, staged, text_or_empty, texts_of
-from chirpline.session import scratch
+from chirpline.llm.common import BATCH_ROWS, blocks, staged, text_or_empty, texts_of
+from chirpline.session import scratch, settings
 from chirpline.sources import files
 
 # Longest phrase, threshold, scale of scores, share of a longer phrase, phrases listed per language.
@@ -41,7 +42,7 @@ SHARE_PERCENT = 80
 LISTED = 2_000
 
 SHARDS = 3
-# Bytes of each array of marks; there is one for each length but the longest.
+# Bytes of each array of marks; there is one for each length.
 CELLS = 1 << 24
 # Bytes of text whose phrases a task sums up before it hands them on.
 HELD_BYTES = 8 << 20
@@ -50,7 +51,35 @@ HELD_BYTES = 8 << 20
 FOLD = bytes(0x0A if x in b".,;:!?\n\x0b\x0c\r" else 0x20 if x == 0x09 else x for x in range(256)).lower()
 TOKEN = re.compile(rb"[^ \n]+|\n")
 
-COUNTED = "lang string, phrase string, length int, hash long, start int, n long"
+# A row is a digest, how often it was counted, and four small numbers in one. From the top: the length, the
+# stop at which counting started, the stop at which the threshold was reached, and a place: a block that holds
+# the phrase, below bits which are as good as random, so that the largest place is that of any such block.
+COUNTED = "high long, low long, n long, kind long"
+STOP_BITS = 6
+STOPS = 1 << STOP_BITS
+BLOCK_BITS = 24
+PLACE_BITS = 2 * BLOCK_BITS
+
+# Blocks of coded texts that a task gets at a time.
+BLOCK_ROWS = {BATCH_ROWS: "1"}
+# Bits of the table by which a task tells places that cannot begin a wanted phrase.
+WANTED_BITS = 20
+
+
+def _kind(length: int, start: np.ndarray, block: int, low: np.ndarray) -> np.ndarray:
+    stops = (length << STOP_BITS | start.astype(np.int64)) << STOP_BITS
+    order = (low ^ np.uint64(block)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BLOCK_BITS)
+    return stops << PLACE_BITS | order.astype(np.int64) << BLOCK_BITS | block
+
+
+def _parts(kind: Column) -> tuple[Column, Column, Column, Column]:
+    """Length, start, stop and block."""
+
+    def bits(shift: int, width: int) -> Column:
+        return F.shiftright(kind, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+    stop, start = PLACE_BITS, PLACE_BITS + STOP_BITS
+    return F.shiftright(kind, start + STOP_BITS), bits(start, STOP_BITS), bits(stop, STOP_BITS), bits(0, BLOCK_BITS)
 
 
 class Marks:
@@ -58,15 +87,15 @@ class Marks:
 
     def __init__(self, cells: int):
         self.cells = cells
-        self.stops = np.zeros((LONGEST - 1, cells), dtype=np.uint8)
+        self.stops = np.zeros((LONGEST, cells), dtype=np.uint8)
 
     def __getstate__(self) -> tuple[int, bytes]:
         return self.cells, pa.compress(self.stops.tobytes(), "zstd", asbytes=True)
 
     def __setstate__(self, state: tuple[int, bytes]) -> None:
         self.cells = state[0]
-        stops = pa.decompress(state[1], (LONGEST - 1) * self.cells, "zstd", asbytes=True)
-        self.stops = np.frombuffer(stops, dtype=np.uint8).reshape(LONGEST - 1, self.cells)
+        stops = pa.decompress(state[1], LONGEST * self.cells, "zstd", asbytes=True)
+        self.stops = np.frombuffer(stops, dtype=np.uint8).reshape(LONGEST, self.cells)
 
     def add(self, length: np.ndarray, word: np.ndarray, bits: np.ndarray, stop: int) -> None:
         """Mark cells, given as 64 bits for each word of them, that are not marked yet."""
@@ -82,97 +111,190 @@ class Marks:
         return np.where((a > 0) & (b > 0), np.maximum(a, b), 0)
 
 
+def coded(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The different words of some texts, and the texts as their numbers from 1; 0 stands between pieces."""
+    tokens = TOKEN.findall(b"\n".join(texts).translate(FOLD))
+    numbers: defaultdict[bytes, int] = defaultdict(itertools.count(1).__next__)
+    numbers[b"\n"] = 0
+    ids = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+    return list(numbers)[1:], ids
+
+
+class Tokens:
+    """Coded texts of one language.
+
+    Phrases are told apart by the numbers of their words here and by 128-bit
+    digests elsewhere, in two halves of which the second gives the cells.
+    """
+
+    def __init__(self, lang: str, words: list[bytes], ids: np.ndarray, seed: int):
+        self.words = [b"\n", *words]
+        self.ids = ids.astype(np.int64)
+        base = xxhash.xxh64_intdigest(lang.encode(), seed)
+        halves = b"".join([xxhash.xxh3_128_digest(x, base) for x in self.words])
+        self.own = np.ascontiguousarray(np.frombuffer(halves, dtype=">u8").reshape(-1, 2).T.astype(np.uint64))
+
+    def phrases(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length: which places begin a phrase within one piece, and the digests there."""
+        inside, hashes = self.ids > 0, self.own[:, self.ids]
+        yield 1, inside, hashes
+        for length in range(2, min(LONGEST, len(self.ids)) + 1):
+            last = self.ids[length - 1 :]
+            inside = inside[:-1] & (last > 0)
+            hashes = _extended(hashes[:, :-1], self.own[:, last])
+            yield length, inside, hashes
+
+    def different(self, length: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first place of each different phrase at some places, and how often it is there."""
+        key = self.ids[at]
+        for k in range(1, length):
+            if k > 1:
+                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            key = key << 32 | self.ids[at + k]
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        return at[first], n
+
+    def text(self, length: int, place: int) -> bytes:
+        return b" ".join([self.words[x] for x in self.ids[place : place + length]])
+
+
 def _extended(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of phrases with one more word."""
-    h = (hashes ^ (word >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) + word
+    """Digests of phrases with one more word."""
+    factor = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], dtype=np.uint64)
+    h = (hashes ^ (word >> np.uint64(7))) * factor + word
     return h ^ (h >> np.uint64(31))
 
 
-def phrase_counts(lang: str, texts: list[bytes], marks: Marks | None, step: int, shards: int) -> list[tuple]:
-    """``lang, phrase, length, hash, start, n`` of the phrases in texts that are counted in this step.
+def _total(lang: str, seed: int) -> np.ndarray:
+    """What stands for all words of a language."""
+    return np.frombuffer(xxhash.xxh3_128_digest(lang.encode(), seed), dtype=">u8").astype(np.uint64)
+
 
-    Words are numbered, and longer phrases by the numbers of their parts, so
-    that phrases are told apart by what they are, not by a hash. Length 0 is
-    the number of all words.
+def phrase_counts(lang: str, tokens: Tokens, marks: Marks | None, step: int, shards: int, seed: int = 0) -> Iterator[tuple]:
+    """``digests, length, start, n`` of the phrases that are counted in this step, by length.
+
+    Length 0 is the number of all words.
     """
-    tokens = TOKEN.findall(b"\n".join(texts).translate(FOLD))
-    numbers: defaultdict[bytes, int] = defaultdict(itertools.count(1).__next__)
-    numbers[b"\n"] = 0  # the number 0 stands between pieces
-    ids = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-    words = list(numbers)
-    base = xxhash.xxh64_intdigest(lang.encode(), 1)
-    own = np.array([xxhash.xxh64_intdigest(x, base & 0xFFFFFFFF) for x in words], dtype=np.uint64)
-    rows: list[tuple] = []
     if step <= shards:
-        n = np.bincount(ids, minlength=len(words))
-        signed = own.view(np.int64).tolist()
-        rows += [(lang, x, 1, signed[i], 0, int(n[i])) for i, x in enumerate(words) if i and n[i]]
-        if total := int(n[1:].sum()):
-            rows.append((lang, b"", 0, 0, 0, total))
+        n = np.bincount(tokens.ids, minlength=len(tokens.words))[1:]
+        if len(n):
+            yield tokens.own[:, 1:], 1, np.zeros(len(n), dtype=np.int64), n
+            yield _total(lang, seed)[:, None], 0, np.zeros(1, dtype=np.int64), n.sum()[None]
     if marks is None:
-        return rows
-    # For each place: the hash of the phrase that begins there, its stop, and whether it lies in one piece.
-    hashes, inside = own[ids], ids > 0
-    stops = marks.of(1, own)[ids]
-    for length in range(2, LONGEST + 1):
-        if len(ids) < length:
-            break
-        both = np.minimum(stops[:-1], stops[1:]) > 0
-        start = np.maximum(stops[:-1], stops[1:])
-        inside = inside[:-1] & (ids[length - 1 :] > 0)
-        hashes = _extended(hashes[:-1], own[ids[length - 1 :]])
-        at = np.flatnonzero(inside & both & (start >= step - shards))
-        if len(at):
-            parts = [ids[at + k] for k in range(length)]
-            key = parts[0]
-            for part in parts[1:]:
-                if key is not parts[0]:
-                    key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-                key = key << 32 | part
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            first = at[first]
-            found = zip(first.tolist(), hashes[first].view(np.int64).tolist(), start[first].tolist(), n.tolist(), strict=True)
-            rows += [(lang, b" ".join(tokens[i : i + length]), length, h, s, k) for i, h, s, k in found]
-        if length < LONGEST:
-            stops = np.where(inside, marks.of(length, hashes), 0)
-    return rows
-
-
-def _scan(shard: DataFrame, marks: Broadcast[Marks | None], step: int, shards: int, held_bytes: int) -> DataFrame:
-    """What one shard adds to the phrases counted in this step."""
+        return
+    stops = marks.of(1, tokens.own[1])[tokens.ids]  # what stands between pieces ends all phrases, whatever its mark
+    for length, inside, hashes in tokens.phrases():
+        if length > 1:
+            start = np.maximum(stops[:-1], stops[1:])
+            at = np.flatnonzero(inside & (np.minimum(stops[:-1], stops[1:]) > 0) & (start >= step - shards))
+            if len(at):
+                first, n = tokens.different(length, at)
+                yield hashes[:, first], length, start[first].astype(np.int64), n
+            if length < LONGEST:
+                stops = np.where(inside, marks.of(length, hashes[1]), 0)
+
+
+def _blocks_of_language(batches: Iterator[pa.RecordBatch], held_bytes: int) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language, of ``held_bytes`` if there are as many; four times that is held at most."""
+    held: dict[str, list[bytes]] = defaultdict(list)
+    sizes: dict[str, int] = defaultdict(int)
+    for batch in batches:
+        for block in blocks(batch, "text"):
+            for lang, text in zip(block.column("lang").to_pylist(), texts_of(block, "text"), strict=True):
+                held[lang].append(text)
+                sizes[lang] += len(text)
+            everything = sum(sizes.values()) >= 4 * held_bytes
+            for lang in [x for x, size in sizes.items() if everything or size >= held_bytes]:
+                yield lang, held.pop(lang)
+                del sizes[lang]
+    yield from held.items()
+
+
+def _dealt(rows: DataFrame, shards: int, held_bytes: int) -> DataFrame:
+    """Texts coded once for all scans: ``lang, words, ids, block, shard``, a row for what a task holds of a language at a time.
+
+    Blocks may share a number, at worst to be looked at together.
+    """
+
+    names = ["lang", "words", "ids", "block", "shard"]
+    kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "phrase", "length", "hash", "start", "n"]
-        kinds = [pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-        held: dict[str, list[bytes]] = defaultdict(list)
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in held.items():
-                rows = phrase_counts(lang, texts, marks.value, step, shards)
-                if rows:
-                    arrays = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    arrays[1] = arrays[1].cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(arrays, names)
-            held.clear()
+        task = TaskContext.get().partitionId()
+        for turn, (lang, texts) in enumerate(_blocks_of_language(batches, held_bytes)):
+            words, ids = coded(texts)
+            block = xxhash.xxh64_intdigest(f"{task} {turn}") >> (64 - BLOCK_BITS)
+            values = (lang, b"\n".join(words), ids.tobytes(), block, (task + turn) % shards)
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], names)
+
+    return rows.mapInArrow(run, "lang string, words binary, ids binary, block long, shard int")
+
+
+def _tokens(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, int, Tokens]]:
+    for lang, words, ids, block in zip(*(batch.column(x) for x in ("lang", "words", "ids", "block")), strict=True):
+        known = words.as_py()
+        numbers = np.frombuffer(ids.as_buffer(), dtype=np.int32)
+        yield lang.as_py(), block.as_py(), Tokens(lang.as_py(), known.split(b"\n") if known else [], numbers, seed)
+
 
+def _scan(shard: DataFrame, marks: Broadcast[Marks | None], step: int, shards: int, seed: int) -> DataFrame:
+    """What one shard adds to the phrases counted in this step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "text"):
-                for lang, text in zip(block.column("lang").to_pylist(), texts_of(block, "text"), strict=True):
-                    held[lang].append(text)
-                    size += len(text)
-                if size >= held_bytes:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+            for lang, block, tokens in _tokens(batch, seed):
+                for hashes, length, start, n in phrase_counts(lang, tokens, marks.value, step, shards, seed):
+                    halves = [np.ascontiguousarray(x) for x in hashes]
+                    kind = _kind(length, start, block, halves[1])
+                    columns = [*(x.view(np.int64) for x in halves), n.astype(np.int64), kind]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["high", "low", "n", "kind"])
 
     return shard.mapInArrow(run, COUNTED)
 
 
+def found_texts(lang: str, tokens: Tokens, wanted: dict[tuple[int, int], int], seed: int) -> list[tuple[tuple[int, int], bytes]]:
+    """Digests and texts of phrases of a block; ``wanted`` has the lengths by digest. Length 0 is the language as a whole."""
+    total = tuple(_total(lang, seed).tolist())
+    found = [(total, b"")] if total in wanted else []
+    mask = np.uint64((1 << WANTED_BITS) - 1)
+    for length, inside, hashes in tokens.phrases():
+        lows = np.array([low for (_, low), n in wanted.items() if n == length], dtype=np.uint64)
+        may = np.zeros(1 << WANTED_BITS, dtype=bool)
+        may[lows & mask] = True
+        at = np.flatnonzero(may[hashes[1] & mask] & inside)
+        at = at[np.isin(hashes[1][at], lows)]
+        if len(at):
+            at, _ = tokens.different(length, at)
+            digests = zip(*hashes[:, at].tolist(), strict=True)
+            found += [(x, tokens.text(length, i)) for i, x in zip(at.tolist(), digests, strict=True) if x in wanted]
+    return found
+
+
+def _texts(dealt: DataFrame, counted: DataFrame, seed: int) -> DataFrame:
+    """``high, low, lang, phrase`` of counted phrases, each looked up in one block that holds it."""
+    asked = counted.groupBy("block").agg(F.collect_list(F.struct("high", "low", "length")).alias("wanted"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (lang, _, tokens), wanted in zip(_tokens(batch, seed), batch.column("wanted"), strict=True):
+                columns = [wanted.values.field(x).to_numpy() for x in ("high", "low", "length")]
+                high, low = (x.view(np.uint64).tolist() for x in columns[:2])
+                found = found_texts(lang, tokens, dict(zip(zip(high, low, strict=True), columns[2].tolist(), strict=True)), seed)
+                if found:
+                    digests, names = zip(*found, strict=True)
+                    halves = np.array(digests, dtype=np.uint64).view(np.int64).T
+                    names = pa.array(names, pa.binary()).cast(pa.string())
+                    columns = [*(pa.array(x) for x in halves), pa.array([lang] * len(found)), names]
+                    yield pa.RecordBatch.from_arrays(columns, ["high", "low", "lang", "phrase"])
+
+    met = dealt.join(asked, "block").select("lang", "words", "ids", "block", "wanted")
+    return met.mapInArrow(run, "high long, low long, lang string, phrase string").distinct()
+
+
 def _add_marks(marks: Marks, reached: DataFrame, stop: int) -> bool:
     """Mark the phrases; the driver gets one bit per cell. Whether there were any."""
     mask = F.lit(marks.cells - 1).cast("long")
-    cells = F.array(F.col("hash").bitwiseAND(mask), F.shiftrightunsigned("hash", 32).bitwiseAND(mask))
+    cells = F.array(F.col("low").bitwiseAND(mask), F.shiftrightunsigned("low", 32).bitwiseAND(mask))
     bits = (
         reached.select("length", F.explode(cells).alias("cell"))
         .groupBy("length", F.shiftrightunsigned("cell", 6).alias("word"))
@@ -184,7 +306,9 @@ def _add_marks(marks: Marks, reached: DataFrame, stop: int) -> bool:
     return bits.num_rows > 0
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, cells: int = CELLS, held_bytes: int = HELD_BYTES) -> DataFrame:
+def frequent_phrases(
+    docs: DataFrame, least: int = LEAST, shards: int = SHARDS, cells: int = CELLS, held_bytes: int = HELD_BYTES, seed: int = 0
+) -> DataFrame:
     """``lang, phrase, length, n`` of all phrases of 1 to 4 words that occur ``least`` times in a language.
 
     Texts are lower-cased from A to Z and cut into pieces at ``.,;:!?`` and
@@ -192,49 +316,56 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shards: int = SHARDS,
     and overlapping occurrences count. Length 0 has the number of all words of
     a language. A null language is ``und``; null and empty texts have no
     words; each row counts, repeated ones too. ``cells`` must be a power of two.
+
+    Only digests of phrases are counted and shuffled; the phrases that stay
+    get their text from one block of texts that holds them. Should one digest
+    stand for two phrases there, all is counted again with other digests.
     """
     spark = docs.sparkSession
-    if not 1 <= shards <= 60:
-        raise ValueError("the number of shards must be from 1 to 60")
+    if not 1 <= LONGEST * shards < STOPS:
+        raise ValueError("the number of shards must be from 1 to 15")
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
-    dealt = rows.filter("text <> ''").withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int"))
-    dealt = staged(dealt, "shards", by="shard")
+    dealt = staged(_dealt(rows.filter("text <> ''"), shards, held_bytes), "shards", by="shard")
+    while True:
+        counted = _count(dealt, least, shards, cells, seed)
+        texts = staged(_texts(dealt.drop("shard"), counted, seed), "texts", int(BLOCK_ROWS[BATCH_ROWS]))
+        if texts.groupBy("high", "low").count().filter("count > 1").isEmpty():
+            return staged(texts.join(counted, ["high", "low"]).select("lang", "phrase", "length", "n"), "phrases")
+        seed += 1
+
+
+def _count(dealt: DataFrame, least: int, shards: int, cells: int, seed: int) -> DataFrame:
+    """``high, low, length, n, block`` of all digests that reach the threshold, and of each language as a whole."""
+    spark = dealt.sparkSession
     marks, last = Marks(cells), 0
     done: list[DataFrame] = []
+    length, start, stop, block = _parts(F.col("kind"))
     with scratch(spark, "phrase-counts") as folder:
         counts = None
         for step in itertools.count(1):
             if step > max(shards, last + shards):
                 break
             sent = spark.sparkContext.broadcast(marks if last else None)  # arrays of a fixed size
-            shard = dealt.filter(F.col("shard") == (step - 1) % shards).select("lang", "text")
-            found = _scan(shard, sent, step, shards, held_bytes).withColumn("stop", F.lit(0))
+            shard = dealt.filter(F.col("shard") == (step - 1) % shards).drop("shard")
+            found = _scan(shard, sent, step, shards, seed)
             if counts is not None:
                 found = found.unionByName(counts.filter("not over").drop("over"))
-            summed = found.groupBy("lang", "phrase", "length").agg(
-                F.max("hash").alias("hash"), F.max("start").alias("start"), F.sum("n").alias("n"), F.max("stop").alias("stop")
-            )
-            reached = (F.col("stop") == 0) & (F.col("n") >= least) & (F.col("length") > 0)
-            summed = summed.withColumn("stop", F.when(reached, step).otherwise(F.col("stop")))
+            summed = found.groupBy("high", "low").agg(F.sum("n").alias("n"), F.max("kind").alias("kind"))
+            reached = (stop == 0) & (F.col("n") >= least) & (length > 0)
+            summed = summed.withColumn("kind", F.col("kind") + F.when(reached, step << PLACE_BITS).otherwise(0))
             # A phrase is over once it has seen every shard, and done with if that did not get it to the threshold.
-            summed = summed.withColumn("over", F.col("start") + shards <= step)
-            summed = summed.filter(~F.col("over") | (F.col("stop") > 0) | (F.col("length") == 0))
+            summed = summed.withColumn("over", start + shards <= step)
+            summed = summed.filter(~F.col("over") | (stop > 0) | (length == 0))
             path = f"{folder}/{step}"
-            summed.write.option("compression", "zstd").partitionBy("over").parquet(path)
+            with settings(spark, BLOCK_ROWS):
+                summed.write.option("compression", "zstd").partitionBy("over").parquet(path)
             counts = spark.read.schema(summed.schema).parquet(path)
             sent.destroy()
-            if _add_marks(marks, counts.filter((F.col("stop") == step) & (F.col("length") < LONGEST)), step):
+            if _add_marks(marks, counts.filter((stop == step) & (length < LONGEST)).select("low", length.alias("length")), step):
                 last = step
-            done.append(counts.filter("over").select("lang", "phrase", "length", "n"))
+            done.append(counts.filter("over").select("high", "low", length.alias("length"), "n", block.alias("block")))
             files.remove(spark, f"{folder}/{step - 1}/over=false")
-        return staged(_union(done), "frequent")
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        return staged(reduce(DataFrame.unionByName, done), "frequent")
 
 
 def collocations(

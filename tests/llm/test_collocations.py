@@ -5,7 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from chirpline.llm.collocations import Marks, collocations, frequent_phrases, phrase_counts
+from chirpline.llm import collocations as collocations_module
+from chirpline.llm.collocations import Marks, Tokens, coded, collocations, found_texts, frequent_phrases, phrase_counts
 
 from .cases import DOC_SCHEMA, found, no_docs, odd_docs, odd_rows, with_clashes
 
@@ -116,13 +117,65 @@ def test_marks_keep_the_first_stop():
     assert marks.of(1, h).tolist() == [5, 0, 3]
 
 
+def listed(counts):
+    """``length, digests, start, n`` of each phrase."""
+    return sorted(
+        (length, *(int(x[i]) for x in hashes), int(start[i]), int(n[i])) for hashes, length, start, n in counts for i in range(len(n))
+    )
+
+
 def test_only_started_phrases_are_counted():
-    rows = phrase_counts("en", [b"a b c. a b"], None, 1, 3)
-    assert sorted((x[1], x[5]) for x in rows) == [(b"", 5), (b"a", 2), (b"b", 2), (b"c", 1)]
+    texts = [b"a b c. a b"]
+    tokens = Tokens("en", *coded(texts), 0)
+    assert tokens.words == [b"\n", b"a", b"b", b"c"] and tokens.ids.tolist() == [1, 2, 3, 0, 1, 2]
+    rows = listed(phrase_counts("en", tokens, None, 1, 3))
+    assert sorted((x[0], x[4]) for x in rows) == [(0, 5), (1, 1), (1, 2), (1, 2)]
     marks = Marks(1 << 12)
-    for x in rows:
-        if x[1] in (b"a", b"b"):
-            for cell in (x[3] & 4095, (x[3] >> 32) & 4095):
-                marks.stops[0, cell] = 1
-    assert {(x[1], x[4], x[5]) for x in phrase_counts("en", [b"a b c. a b"], marks, 4, 3)} == {(b"a b", 1, 2)}
-    assert phrase_counts("en", [b"a b c. a b"], marks, 5, 3) == []
+    for low in tokens.own[1, 1:3].tolist():
+        for cell in (low & 4095, (low >> 32) & 4095):
+            marks.stops[0, cell] = 1
+    assert [(x[0], x[3], x[4]) for x in listed(phrase_counts("en", tokens, marks, 4, 3))] == [(2, 1, 2)]
+    assert listed(phrase_counts("en", tokens, marks, 5, 3)) == []
+
+
+def test_digests_differ_by_language_words_and_seed():
+    def digests(lang, text, seed):
+        return {tuple(hashes[:, i].tolist()) for _, inside, hashes in Tokens(lang, *coded([text]), seed).phrases() for i in np.flatnonzero(inside)}
+
+    groups = [digests("en", b"a b c d", 0), digests("de", b"a b c d", 0), digests("en", b"a b c d", 1), digests("en", b"d c ba", 0)]
+    assert [len(x) for x in groups] == [10, 10, 10, 6]
+    assert len(set.union(*groups)) == 10 + 10 + 10 + 6 - 2
+
+
+def test_texts_come_from_the_block_that_is_asked():
+    tokens = Tokens("en", *coded([b"a b c. a b\tc d"]), 0)
+    every = {}
+    for length, inside, hashes in tokens.phrases():
+        for i in np.flatnonzero(inside).tolist():
+            every[tuple(hashes[:, i].tolist())] = (length, tokens.text(length, i))
+    wanted = {x: length for x, (length, _) in every.items()}
+    assert sorted(found_texts("en", tokens, wanted, 0)) == sorted((x, text) for x, (_, text) in every.items())
+    assert sorted(x for _, x in every.values()) == sorted(b"a,b,c,d,a b,b c,c d,a b c,b c d,a b c d".split(b","))
+    assert found_texts("en", tokens, {(1, 2): 1}, 0) == []
+
+
+def test_phrases_with_one_digest_are_counted_again(spark, monkeypatch):
+    """With the digests of the first seed all alike, the second gives the counts."""
+    plain = collocations_module._scan
+    tried = []
+
+    def scan(shard, marks, step, shards, seed):
+        tried.append(seed)
+        return plain(shard, marks, step, shards, seed)
+
+    monkeypatch.setattr(collocations_module, "_scan", scan)
+    texts = collocations_module._texts
+
+    def doubled(dealt, counted, seed):
+        found = texts(dealt, counted, seed)
+        return found if seed else found.unionByName(found.selectExpr("high", "low", "lang", "concat(phrase, '!') AS phrase"))
+
+    monkeypatch.setattr(collocations_module, "_texts", doubled)
+    rows = corpus(9, 60)
+    assert found(collocations(spark.createDataFrame(rows, DOC_SCHEMA), least=8)) == brute(rows, least=8)
+    assert set(tried) == {0, 1}
