@@ -30,11 +30,12 @@ SUBSPACES = 8
 CODES = 64
 ROUNDS = 8
 
-# Sample vectors whose nearest neighbours show how differences of near pairs lie, nearest borders that
-# each looks at, and the part of them whose spread does not exceed the one taken.
-PROBED_ROWS = 1 << 10
-BORDERS = 8
-SPREAD_RANK = 0.9
+# Sample vectors that probing is calibrated on and how many at a time, the neighbours towards which pairs
+# are made of each, and how many pairs of the sample itself are taken at a time.
+PROBED_ROWS = 1 << 11
+PROBED_AT_ONCE = 1 << 7
+NEIGHBOURS = 8
+PAIRS_AT_ONCE = 1 << 12
 
 # Vectors of a block, about, and blocks handed to Python at a time.
 BLOCK = 1 << 10
@@ -58,31 +59,33 @@ def k_means(x: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
-def border_spread(sample: np.ndarray, centres: np.ndarray) -> float:
-    """The standard deviation of a unit difference of near vectors across a border between cells, ``1 / sqrt(dim)`` at least.
+def limit_pairs(sample: np.ndarray, limit: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors as far apart as a link may be, and the pairs of the sample that are links.
 
-    It is that if differences point anywhere, and more if vectors fill only
-    some directions, be it everywhere or each neighbourhood its own: then the
-    borders lie across the same ones.
+    From each of some vectors a step of length ``limit`` is taken towards each
+    of its nearest neighbours, so the pairs lie in the directions that vectors
+    there fill, be they all or few.
     """
-    least = 1 / math.sqrt(sample.shape[1])
-    if len(centres) < 2 or len(sample) < 2:
-        return least
-    x = sample[:PROBED_ROWS]
-    apart = 2 - 2 * x @ sample.T
-    apart[apart < 1e-9] = np.inf  # the vector itself, and others of its direction
-    near = apart.argmin(axis=1)
-    some = np.isfinite(apart[np.arange(len(x)), near])
-    x, near = x[some], near[some]
-    if not len(x):
-        return least
-    difference = sample[near] - x
-    difference /= np.linalg.norm(difference, axis=1, keepdims=True)
-    order = (x @ centres.T - 0.5 * (centres**2).sum(axis=1)).argsort(axis=1)[:, ::-1][:, : BORDERS + 1]
-    across = centres[order[:, 1:]] - centres[order[:, :1]]
-    across /= np.maximum(np.linalg.norm(across, axis=2, keepdims=True), 1e-12)
-    parts = (np.einsum("nkd,nd->nk", across, difference) ** 2).mean(axis=1)
-    return max(least, math.sqrt(np.quantile(parts, SPREAD_RANK)))
+    made: list[tuple[np.ndarray, np.ndarray]] = []
+    linked: list[tuple[np.ndarray, np.ndarray]] = []
+    for start in range(0, min(PROBED_ROWS, len(sample)), PROBED_AT_ONCE):
+        x = sample[start : min(start + PROBED_AT_ONCE, PROBED_ROWS)]
+        square = np.maximum(2 - 2 * x @ sample.T, 0)
+        square[square < 1e-9] = np.inf  # the vector itself, and others of its direction
+        n = min(NEIGHBOURS, len(sample))
+        columns = np.argpartition(square, n - 1, axis=1)[:, :n].ravel()
+        rows = np.repeat(np.arange(len(x)), n)
+        some = np.isfinite(square[rows, columns])
+        made.append((start + rows[some], columns[some]))
+        rows, columns = np.nonzero(square <= limit**2)
+        linked.append((start + rows[:PAIRS_AT_ONCE], columns[:PAIRS_AT_ONCE]))
+    a, b = (sample[np.concatenate(x)] for x in zip(*made, strict=True))
+    across = b - (a * b).sum(axis=1, keepdims=True) * a
+    size = np.linalg.norm(across, axis=1)
+    a, across = a[size > 1e-9], across[size > 1e-9] / size[size > 1e-9, None]
+    angle = 2 * math.asin(min(1.0, limit / 2))
+    found = [np.concatenate(x) for x in zip(*linked, strict=True)]
+    return [(a, math.cos(angle) * a + math.sin(angle) * across), (sample[found[0]], sample[found[1]])]
 
 
 @dataclass
@@ -90,27 +93,40 @@ class Index:
     """Coarse centroids, a codebook for each slice of the dimensions, and how far a search probes.
 
     A pair within ``limit`` (a distance of unit vectors) may lie on two sides
-    of the border between two cells. The part of their difference across that
-    border is at most ``limit``, and about ``limit * spread`` as the sample
-    shows it; a list is probed if a part of up to ``reach`` standard deviations
-    would lead there. ``reach = sqrt(dim)`` covers every pair.
+    of the border between two cells. A list is probed if its border is no
+    farther than ``margin``, which is measured: so that the share ``recall`` of
+    the pairs of ``limit_pairs`` are found from one side or the other, and of
+    each kind of them. A margin of ``limit`` covers every pair.
     """
 
     centres: np.ndarray
     slices: list[tuple[int, int]]
     books: list[np.ndarray]
     limit: float
-    reach: float
-    spread: float
+    margin: float
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, limit: float, reach: float) -> Index:
+    def fit(cls, sample: np.ndarray, lists: int, limit: float, recall: float) -> Index:
         centres = k_means(sample, min(lists, len(sample)))
         rest = sample - centres[nearest(sample, centres)]
         edges = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int).tolist()
         slices = list(zip(edges[:-1], edges[1:], strict=True))
         books = [k_means(np.ascontiguousarray(rest[:, a:b]), min(CODES, len(rest))) for a, b in slices]
-        return cls(centres, slices, books, limit, reach, border_spread(sample, centres))
+        index = cls(centres, slices, books, limit, limit if recall >= 1 else 0.0)
+        if 0 < recall < 1:
+            needed = [index.needed(a, b) for a, b in limit_pairs(sample, limit) if len(a)]
+            index.margin = max([0.0, *(float(np.quantile(x, recall, method="higher")) for x in needed)])
+        return index
+
+    def needed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The margin with which one of two vectors would probe the other's list, for each pair."""
+        cells = nearest(a, self.centres), nearest(b, self.centres)
+        apart = np.linalg.norm(self.centres[cells[0]] - self.centres[cells[1]], axis=1)
+        out = []
+        for x, own, other in ((a, *cells), (b, *cells[::-1])):
+            beyond = ((x - self.centres[other]) ** 2).sum(axis=1) - ((x - self.centres[own]) ** 2).sum(axis=1)
+            out.append(np.where(apart > 0, beyond / np.maximum(2 * apart, 1e-12), 0))
+        return np.minimum(*out)
 
     def distances(self, x: np.ndarray, lists: np.ndarray | slice = slice(None)) -> np.ndarray:
         """Squared distances of rows to the centres of some lists."""
@@ -122,8 +138,7 @@ class Index:
         centres = self.centres[lists]
         apart = np.sqrt(np.maximum(self.distances(self.centres[own], lists), 0))
         mine = ((x - self.centres[own]) ** 2).sum(axis=1)
-        share = self.limit * min(1.0, self.reach * self.spread)
-        return (self.distances(x, lists) - mine[:, None] <= 2 * apart * share + 1e-9).reshape(len(x), len(centres))
+        return (self.distances(x, lists) - mine[:, None] <= 2 * apart * self.margin + 1e-9).reshape(len(x), len(centres))
 
     def encode(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and each code's distance to its vector."""
@@ -205,7 +220,7 @@ def _fields(packed: pa.ListScalar, dim: int) -> dict[str, np.ndarray]:
     return out
 
 
-def _links_of(classes: DataFrame, dim: int, least: float, reach: float) -> tuple[DataFrame, DataFrame]:
+def _links_of(classes: DataFrame, dim: int, least: float, recall: float) -> tuple[DataFrame, DataFrame]:
     """Numbers of links ``id, links`` and connecting links ``a, b`` of the classes of one dimension."""
     count = classes.count()
     size = min(SAMPLE_ROWS, max(1, SAMPLE_VALUES // dim))
@@ -213,7 +228,7 @@ def _links_of(classes: DataFrame, dim: int, least: float, reach: float) -> tuple
     vectors = np.array([row[0] for row in taken], dtype=np.float64)
     sample, _ = _unit(vectors / np.abs(vectors).max(axis=1, keepdims=True))
     lists = max(1, min(MOST_LISTS, math.isqrt(count) // 2, len(sample) // 8))
-    index = Index.fit(sample, lists, math.sqrt(max(0.0, 2 - 2 * least)), reach)
+    index = Index.fit(sample, lists, math.sqrt(max(0.0, 2 - 2 * least)), recall)
     # At most MOST_LISTS centres and SAMPLE_VALUES numbers, whatever the input.
     shared = classes.sparkSession.sparkContext.broadcast(index)
 
@@ -272,7 +287,7 @@ def _links_of(classes: DataFrame, dim: int, least: float, reach: float) -> tuple
     return found.filter("id IS NOT NULL").select("id", "links"), found.filter("a IS NOT NULL").select("a", "b")
 
 
-def embedding_groups(vectors: DataFrame, least: float = 0.93, reach: float = 3.0) -> DataFrame:
+def embedding_groups(vectors: DataFrame, least: float = 0.93, recall: float = 0.995) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
     Vectors of equal labels and lengths whose cosine is at least ``least`` are
@@ -282,6 +297,9 @@ def embedding_groups(vectors: DataFrame, least: float = 0.93, reach: float = 3.0
     of each other; rows that share a ``vec_id`` are one node of the components
     and each have their row. Other columns are not looked at. An empty table
     gives no rows. Lengths are worked through one by one; there should be few.
+
+    ``recall`` is the share of links at the limit itself, those hardest to
+    find, that probing is calibrated to; 1 probes so far that none is missed.
     """
     rows = vectors.select(
         vectors["vec_id"].cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding"
@@ -300,7 +318,7 @@ def embedding_groups(vectors: DataFrame, least: float = 0.93, reach: float = 3.0
     )
     counted, edges = None, None
     for (dim,) in classes.select("dim").distinct().orderBy("dim").collect():
-        links, joins = _links_of(classes.filter(F.col("dim") == dim).drop("dim"), dim, least, reach)
+        links, joins = _links_of(classes.filter(F.col("dim") == dim).drop("dim"), dim, least, recall)
         counted = links if counted is None else counted.unionByName(links)
         edges = joins if edges is None else edges.unionByName(joins)
     if counted is None:

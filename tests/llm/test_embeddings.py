@@ -77,8 +77,8 @@ def test_a_link_found_from_one_side_counts_for_both():
     x = rng.standard_normal((400, 12))
     x = np.concatenate([x, x + rng.standard_normal(x.shape) * 0.08])
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    for reach in (0.0, 1.0, 12**0.5):
-        index = Index.fit(unit[:200], 10, (2 - 2 * 0.93) ** 0.5, reach)
+    for recall in (0.0, 0.9, 1.0):
+        index = Index.fit(unit[:200], 10, (2 - 2 * 0.93) ** 0.5, recall)
         own = (unit @ index.centres.T - 0.5 * (index.centres**2).sum(axis=1)).argmax(axis=1)
         codes, errors = index.encode(unit, own)
         probes = index.probes(unit, own)
@@ -101,7 +101,7 @@ def test_table_distances_leave_no_near_vector_out():
     rng = np.random.default_rng(6)
     x = rng.standard_normal((300, 10))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    index = Index.fit(unit[:100], 4, 0.5, 3.0)
+    index = Index.fit(unit[:100], 4, 0.5, 0.995)
     codes, errors = index.encode(unit, np.zeros(300, int))
     far = np.linalg.norm(unit[:, None] - unit[None], axis=2) > 0.5
     assert (index.near(unit, 0, codes, errors) | far).all()
@@ -116,9 +116,46 @@ def test_recall_on_vectors_of_few_directions(dim, inner, groups):
     # Near copies, which differ as the vectors do.
     x = np.concatenate([x, x[:2000] + 0.3 * x[rng.permutation(len(x))[:2000]] * (groups == 1)])
     unit = rng.permutation(x / np.linalg.norm(x, axis=1, keepdims=True))
-    index = Index.fit(unit, 38, (2 - 2 * 0.93) ** 0.5, 3.0)
+    index = Index.fit(unit, 38, (2 - 2 * 0.93) ** 0.5, 0.995)
     own = (unit @ index.centres.T - 0.5 * (index.centres**2).sum(axis=1)).argmax(axis=1)
     seen = index.probes(unit, own)[:, own]
     near = np.triu(unit @ unit.T >= 0.93, 1)
     assert near.sum() > 1000
     assert (near & (seen | seen.T)).sum() >= 0.97 * near.sum()
+
+
+def planted(n, dim, seed, copies=2_000):
+    """Vectors of any direction, some with a near one; labels of ten kinds."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step = rng.standard_normal((copies, dim))
+    step -= (step * x[:copies]).sum(axis=1, keepdims=True) * x[:copies]
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    angle = np.arccos(rng.uniform(0.93, 0.99, copies))[:, None]
+    label = rng.integers(0, 10, n)
+    return np.concatenate([x, np.cos(angle) * x[:copies] + np.sin(angle) * step]), np.concatenate([label, label[:copies]])
+
+
+@pytest.mark.parametrize(("n", "dim", "lists", "share"), [(48_000, 64, 111, 0.08), (18_000, 256, 70, 0.08)])
+def test_few_lists_are_probed_where_vectors_point_anywhere(n, dim, lists, share):
+    x, _ = planted(n, dim, 1)
+    index = Index.fit(x[np.random.default_rng(2).permutation(len(x))[:16384]], lists, (2 - 2 * 0.93) ** 0.5, 0.995)
+    own = (x @ index.centres.T - 0.5 * (index.centres**2).sum(axis=1)).argmax(axis=1)
+    seen = index.probes(x, own)
+    assert (seen * np.bincount(own, minlength=lists)).sum() < share * len(x) ** 2
+    a, b = np.arange(2_000), n + np.arange(2_000)
+    assert (seen[a, own[b]] | seen[b, own[a]]).mean() >= 0.98
+
+
+def test_recall_of_the_whole_search(spark):
+    """Against all pairs, on vectors that hold links of every strength."""
+    x, label = planted(6_000, 64, 3, 1_500)
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))]
+    got = {r.vec_id: r.n_links for r in embedding_groups(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()}
+    near = (x @ x.T >= 0.93) & (label[:, None] == label[None])
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    assert want.sum() >= 3_000
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.98 * want.sum()
