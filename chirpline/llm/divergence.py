@@ -58,27 +58,22 @@ def _partial_counts(rows: DataFrame, digest_bits: int, all_terms: bool = False)
 
         def flush() -> Iterator[pa.RecordBatch]:
             named: dict[int, set[bytes]] = {}
+            digest = xxhash.xxh3_64_intdigest
             for (lid, gid), (n, n_docs) in held.items():
-                seen = named.setdefault(lid, set())
-                new = n.keys() if all_terms else n.keys() - seen
-                yield from counted(lid, gid, list(new), n, n_docs, True)
-                yield from counted(lid, gid, list(n.keys() - new), n, n_docs, False)
-                seen |= new
-            held.clear()
-
-        def counted(lid: int, gid: int, terms: list[bytes], n: Counter, n_docs: Counter, with_terms: bool) -> Iterator[pa.RecordBatch]:
-            seed, digest, size = lid & 0xFFFFFFFFFFFFFFFF, xxhash.xxh3_64_intdigest, len(terms)
-            if size:
-                digests = np.array([digest(x, seed) for x in terms], dtype=np.uint64) & np.uint64(mask)
+                seen, seed, size = named.setdefault(lid, set()), lid & 0xFFFFFFFFFFFFFFFF, len(n)
+                digests = np.array([digest(x, seed) for x in n], dtype=np.uint64) & np.uint64(mask)
+                terms = list(n) if all_terms else [None if x in seen else x for x in n]
+                seen.update(n)
                 columns = [
                     pa.array(np.full(size, lid)),
                     pa.array(np.full(size, gid)),
                     pa.array(digests.view(np.int64)),
-                    pa.array(terms, pa.binary()).cast(pa.string()) if with_terms else pa.nulls(size, pa.string()),
-                    pa.array(np.fromiter(map(n.__getitem__, terms), dtype=np.int64, count=size)),
-                    pa.array(np.fromiter(map(n_docs.__getitem__, terms), dtype=np.int64, count=size)),
+                    pa.array(terms, pa.binary()).cast(pa.string()),
+                    pa.array(np.fromiter(n.values(), dtype=np.int64, count=size)),
+                    pa.array(np.fromiter(map(n_docs.__getitem__, n), dtype=np.int64, count=size)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["lid", "gid", "digest", "term", "n", "n_docs"])
+            held.clear()
 
         for batch in batches:
             for block in blocks(batch, "text"):
