@@ -179,3 +179,48 @@ def test_phrases_with_one_digest_are_counted_again(spark, monkeypatch):
     rows = corpus(9, 60)
     assert found(collocations(spark.createDataFrame(rows, DOC_SCHEMA), least=8)) == brute(rows, least=8)
     assert set(tried) == {0, 1}
+
+
+def test_a_scan_hands_on_a_row_for_each_bucket(spark):
+    """Not one for each phrase; what is packed there adds up to all counts."""
+    rows = corpus(5, 40)
+    docs = spark.createDataFrame([(x[2] or "und", x[1]) for x in rows], "lang string, text string").coalesce(1)
+    dealt = collocations_module._dealt(docs, 1, 300).drop("shard")
+    marks = Marks(1 << 6)
+    marks.stops[:] = 1
+    sent = spark.sparkContext.broadcast(collocations_module.Sent(marks, 4))
+    packed = collocations_module._scan(dealt, sent, 1, 1, 0)
+    assert packed.columns == ["bucket", "rows"] and packed.groupBy("bucket").count().count() == 16
+    blocks = dealt.count()
+    assert packed.count() <= blocks * (collocations_module.LONGEST + 1) * 16
+    added = collocations_module._added_up(packed, 1, 8, 1)
+    parts = {x.part: x.n for x in added.groupBy("part").agg({"bucket": "count"}).withColumnRenamed("count(bucket)", "n").collect()}
+    assert set(parts) == {"over", "open", "new"} and max(parts.values()) <= 16
+    got = collocations_module._unpacked(added.filter("part = 'over' OR part = 'open'")).filter("length > 0")
+    counts, _ = brute_counts(rows)
+    assert sorted((x.length, x.n) for x in got.collect() if x.length > 1 or x.n >= 8) == sorted(
+        (len(x), n) for c in counts.values() for x, n in c.items() if len(x) > 1 or n >= 8
+    )
+
+
+def test_packed_rows_are_added_up_by_both_halves_of_a_digest():
+    rng = np.random.default_rng(0)
+    high, low = rng.integers(-2, 2, 500), rng.choice([-(2**63), -1, 0, 1, 2**63 - 1, 5 << 40, (5 << 40) + 1], 500)
+    n = rng.integers(1, 9, 500)
+    kind = collocations_module._kind(3, np.full(500, 2), 7)
+    expected = Counter()
+    for *digest, x in zip(high.tolist(), low.tolist(), n.tolist(), strict=True):
+        expected[tuple(digest)] += x
+    got = collocations_module._summed(np.stack([high, low, n, kind]))
+    assert {(a, b): x for a, b, x, _ in got.T.tolist()} == expected and got.shape[1] == len(expected)
+    assert set(got[3].tolist()) == {int(kind[0])}
+    keys = rng.integers(0, 2**64, 5000, dtype=np.uint64) >> rng.integers(0, 60, 5000, dtype=np.uint64)
+    assert (keys[collocations_module._order(keys)] == np.sort(keys)).all()
+
+
+def test_texts_are_coded_by_first_appearance_with_one_mark_between_pieces():
+    assert [(words, ids.tolist()) for words, ids in map(coded, ([b""], [b".\n"], [b" B a,, b\tC", b"", b"a"]))] == [
+        ([], []),
+        ([], [0]),
+        ([b"b", b"a", b"c"], [1, 2, 0, 1, 3, 0, 2]),
+    ]
